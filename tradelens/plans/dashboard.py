@@ -1,0 +1,28 @@
+"""Data behind the dashboard: the two views, totals and per-token series."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+from ..operators.aggregates import (daily_trade_summary, headline_totals, series_for_token,
+                                    token_list, token_series)
+
+
+def summary_view(trades: DataFrame) -> DataFrame:
+    return daily_trade_summary(trades)
+
+
+def headline(trades: DataFrame) -> DataFrame:
+    return headline_totals(daily_trade_summary(trades), trades)
+
+
+def tokens(gap: DataFrame) -> DataFrame:
+    return token_list(gap)
+
+
+def series(gap: DataFrame) -> DataFrame:
+    return token_series(gap)
+
+
+def one_token(gap: DataFrame, token: str) -> DataFrame:
+    return series_for_token(gap, token)
