@@ -25,6 +25,10 @@ from tradelens.plans import price_gap as PG
 from tradelens.sources import fixtures as FX
 from tradelens.sources import prices as PR
 from tradelens.sources import trades as TR
+from tradelens import jobs as JB
+from tradelens.sinks import load as LD
+from tradelens.sinks import views as VW
+from tradelens.streaming import price_stream as ST
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = "2024-01-15"  # fixed `as_of` of the load windows (FIXTURES.md §3)
@@ -169,6 +173,130 @@ def q_row_ids(spark, sf_dir):
     return with_row_id(trades.select(*cols))
 
 
+# --- staging loads (pure DataFrame form of insert-if-absent and its report)
+
+FIRST_HALF_END = "2024-01-16"      # existing rows: block_date before this day
+BATCH_START = "2024-01-10"         # batch: overlaps the existing rows from this day
+BATCH_DUP_START = "2024-01-25"     # ... and repeats its rows from this day
+EMPTY_BEFORE = "2024-01-01"        # no trade is older: an empty batch
+
+
+def _trade_rows(spark, sf_dir):
+    trades, _ = _tables(spark, sf_dir)
+    return with_row_id(trades.select(*JB.TRADE_COLUMNS))
+
+
+def _overlapping_batch(rows):
+    d = F.col("block_date")
+    return rows.where(d >= F.lit(BATCH_START).cast("date")).unionByName(
+        rows.where(d >= F.lit(BATCH_DUP_START).cast("date")))
+
+
+def q_insert_if_absent(spark, sf_dir):
+    rows = _trade_rows(spark, sf_dir)
+    stored = LD.insert_new_rows(rows.where(F.col("block_date") < F.lit(FIRST_HALF_END).cast("date")), None)
+    new = LD.insert_new_rows(_overlapping_batch(rows), stored)
+    return stored.unionByName(new).drop("id")
+
+
+def q_seed_if_empty(spark, sf_dir):
+    rows = _trade_rows(spark, sf_dir).drop("id")
+    d = F.col("block_date")
+    seed = rows.where(d >= F.lit(AS_OF).cast("date"))
+    empty_target = rows.where(d < F.lit(EMPTY_BEFORE).cast("date"))
+    full_target = rows.where(d < F.lit(AS_OF).cast("date"))
+    return (LD.seed_if_empty(empty_target, seed).withColumn("target", F.lit("empty"))
+            .unionByName(LD.seed_if_empty(full_target, seed).withColumn("target", F.lit("non_empty"))))
+
+
+def q_load_report(spark, sf_dir):
+    rows = _trade_rows(spark, sf_dir)
+    stored = rows.where(F.col("block_date") < F.lit(FIRST_HALF_END).cast("date")).select("id")
+    columns = ",".join(rows.columns)
+
+    def report(batch, load):
+        return AG.load_counts(batch, stored).select(
+            F.lit("staging").alias("schema_name"), F.lit("trades").alias("table_name"),
+            F.lit(load).alias("load"), "total_rows", "inserted_rows", F.lit(columns).alias("columns"))
+    empty = rows.where(F.col("block_date") < F.lit(EMPTY_BEFORE).cast("date"))
+    return report(_overlapping_batch(rows), "daily").unionByName(report(empty, "empty"))
+
+
+def _published(spark, sf_dir, view):
+    import uuid
+    trades, prices = _tables(spark, sf_dir)
+    tag = uuid.uuid4().hex[:8]
+    t_name, p_name = f"tl_trades_{tag}", f"tl_coin_prices_{tag}"
+    trades.createOrReplaceTempView(t_name)
+    prices.createOrReplaceTempView(p_name)
+    return VW.publish_views(spark, t_name, p_name, temporary=True)[view]
+
+
+def q_published_price_gap_view(spark, sf_dir):
+    return _r(_published(spark, sf_dir, "price_gap_daily"), {"avg_price_difference": 6})
+
+
+def q_published_summary_view(spark, sf_dir):
+    return _r(_published(spark, sf_dir, "trade_summary_daily"),
+              {"total_usd_value_bought": 6, "total_usd_value_sold": 6, "total_units_sold": 6,
+               "total_units_bought": 6, "avg_buy_price": 6, "avg_sell_price": 6})
+
+
+def q_staged_trades(spark, sf_dir):
+    """A source frame with raw column names -> cleaned names, staging types, id."""
+    events = FX.load_events(spark, sf_dir)
+    k = F.get_json_object("props", "$.k").cast("double")
+    raw = events.where(F.col("event_type").isin(*FX.TRADE_EVENT_TYPES)).select(
+        F.col("event_id").alias("Unnamed: 0"),
+        F.to_date("ts").alias("Block Date"),
+        F.col("user_id").cast("string").alias(" TX Hash "),
+        F.col("user_id").cast("int").alias("User Id"),
+        F.col("value").alias("Units Bought"),
+        (k >= 50).alias("Partial Fill"))
+    return LD.stage_rows(raw, ["column_0", "block_date", "tx_hash", "user_id", "partial_fill"])
+
+
+def q_coin_tagged_prices(spark, sf_dir):
+    """One document set per coin request; the coin is a constant column of each."""
+    events = FX.load_events(spark, sf_dir)
+    docs = PR.price_docs_from_prices(FX.price_points_from_events(events))
+    out = None
+    for coin in FX.PRICE_EVENT_COINS.values():
+        one = PR.explode_price_docs(PR.parse_price_docs(docs.where(F.col("coin") == coin).drop("coin")))
+        one = one.withColumn("coin", F.lit(coin))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_daily_load_replayed(spark, sf_dir):
+    trades, prices = _tables(spark, sf_dir)
+    base = _session.scratch_path(spark, "daily-trades")
+    t = JB.trades_table(spark, path=f"{base}/trades")
+    for _ in range(2):
+        JB.load_trades(spark, trades, t, AS_OF)
+    return t.read().drop("id")
+
+
+def q_daily_price_load_replayed(spark, sf_dir):
+    _, prices = _tables(spark, sf_dir)
+    base = _session.scratch_path(spark, "daily-prices")
+    p = JB.prices_table(spark, path=f"{base}/prices")
+    for _ in range(2):
+        for coin in JB.DEFAULT_COINS:
+            JB.load_prices(spark, prices, p, coin, AS_OF)
+    return p.read().drop("id")
+
+
+def q_stream_load_replayed(spark, sf_dir):
+    events = FX.load_events(spark, sf_dir)
+    base = _session.scratch_path(spark, "price-stream")
+    ST.land_price_docs(PR.price_docs_from_prices(FX.price_points_from_events(events)), f"{base}/landing")
+    table = JB.prices_table(spark, path=f"{base}/table")
+    for run in range(2):  # the second run replays everything under a new checkpoint
+        ST.stream_price_docs(spark, f"{base}/landing", table, f"{base}/checkpoint-{run}").awaitTermination()
+    return table.read().drop("id")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_gap_daily": _gap(),
     "price_gap_daily_union": _gap(plan="union"),
@@ -193,6 +321,16 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_docs_exploded": q_price_docs_exploded,
     "rows_as_json": q_rows_as_json,
     "row_ids": q_row_ids,
+    "insert_if_absent": q_insert_if_absent,
+    "seed_if_empty": q_seed_if_empty,
+    "load_report": q_load_report,
+    "published_price_gap_view": q_published_price_gap_view,
+    "published_summary_view": q_published_summary_view,
+    "staged_trades": q_staged_trades,
+    "coin_tagged_prices": q_coin_tagged_prices,
+    "daily_load_replayed": q_daily_load_replayed,
+    "daily_price_load_replayed": q_daily_price_load_replayed,
+    "stream_load_replayed": q_stream_load_replayed,
 }
 
 
@@ -358,6 +496,53 @@ SELECT substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '
 FROM r""",
 }
 
+_TRADE_ROWS = f"SELECT {_TRADE_COLS} FROM trades"
+_BATCH = f"""{_TRADE_ROWS} WHERE block_date >= DATE '{BATCH_START}'
+UNION ALL {_TRADE_ROWS} WHERE block_date >= DATE '{BATCH_DUP_START}'"""
+_PRICE_ROW_COLS = "date_time, prices, market_cap, total_volume, coin"
+_TRADE_COL_LIST = ",".join(["id"] + _TRADE_COLS.replace(" ", "").split(","))
+
+_ORACLE.update({
+    "insert_if_absent": f"""WITH {_FIXTURE_CTES},
+b AS ({_TRADE_ROWS} WHERE block_date < DATE '{FIRST_HALF_END}' UNION ALL {_BATCH})
+SELECT DISTINCT * FROM b""",
+    "seed_if_empty": f"""WITH {_FIXTURE_CTES}
+SELECT {_TRADE_COLS}, 'empty' AS target FROM trades WHERE block_date >= DATE '{AS_OF}'
+UNION ALL
+SELECT {_TRADE_COLS}, 'non_empty' AS target FROM trades WHERE block_date < DATE '{AS_OF}'""",
+    "load_report": f"""WITH {_FIXTURE_CTES},
+s AS (SELECT DISTINCT {_TRADE_COLS} FROM trades WHERE block_date < DATE '{FIRST_HALF_END}'),
+b AS ({_BATCH}),
+e AS ({_TRADE_ROWS} WHERE block_date < DATE '{EMPTY_BEFORE}')
+SELECT 'staging' AS schema_name, 'trades' AS table_name, 'daily' AS load,
+       (SELECT count(*) FROM b) AS total_rows,
+       (SELECT count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM s)) AS inserted_rows,
+       '{_TRADE_COL_LIST}' AS columns
+UNION ALL
+SELECT 'staging', 'trades', 'empty', (SELECT count(*) FROM e),
+       (SELECT count(*) FROM (SELECT * FROM e EXCEPT SELECT * FROM s)), '{_TRADE_COL_LIST}'""",
+    "published_price_gap_view": _gap_sql(),
+    "published_summary_view": _ORACLE["trade_summary_daily"],
+    "staged_trades": f"""WITH {_FIXTURE_CTES},
+r AS (SELECT event_id AS column_0, CAST(CAST(ts AS DATE) AS VARCHAR) AS block_date,
+             CAST(user_id AS VARCHAR) AS tx_hash, CAST(user_id AS BIGINT) AS user_id,
+             value AS units_bought, (k >= 50) AS partial_fill
+      FROM ev WHERE event_type IN ('purchase', 'signup')),
+h AS (SELECT *, md5(concat_ws(',', CAST(column_0 AS VARCHAR), block_date, tx_hash, CAST(user_id AS VARCHAR),
+                               CASE WHEN partial_fill THEN 'True' ELSE 'False' END)) AS hx FROM r)
+SELECT substr(hx, 1, 8) || '-' || substr(hx, 9, 4) || '-' || substr(hx, 13, 4) || '-' || substr(hx, 17, 4)
+       || '-' || substr(hx, 21, 12) AS id, column_0, block_date, tx_hash, user_id, units_bought, partial_fill
+FROM h""",
+    "coin_tagged_prices": f"WITH {_FIXTURE_CTES}\nSELECT {_PRICE_ROW_COLS} FROM coin_prices",
+    "daily_load_replayed": f"""WITH {_FIXTURE_CTES}
+SELECT DISTINCT {_TRADE_COLS} FROM trades
+WHERE buy_token = 'WETH' AND sell_token = 'USDC' AND block_date = DATE '{AS_OF}' - INTERVAL '1' DAY""",
+    "daily_price_load_replayed": f"""WITH {_FIXTURE_CTES}
+SELECT DISTINCT {_PRICE_ROW_COLS} FROM coin_prices
+WHERE coin IN ('ethereum', 'usd-coin') AND date_time BETWEEN '2024-01-14 00:00:00' AND '2024-01-14 23:59:59'""",
+    "stream_load_replayed": f"WITH {_FIXTURE_CTES}\nSELECT DISTINCT {_PRICE_ROW_COLS} FROM coin_prices",
+})
+
 
 # --------------------------------------------------------------------------- contract
 
