@@ -15,13 +15,13 @@ def checked_broadcast(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Da
     """Mark ``side`` for broadcast only if it is proven to hold ``<= max_rows`` rows.
 
     The bound is measured (a row count, stopped at ``max_rows + 1`` per partition),
-    not estimated.  Beyond it the side is left to a shuffle join; AQE then sorts or
-    hashes it on the join keys and splits skewed key partitions at run time.
+    not estimated.  Beyond it the side carries a sort-merge hint, so neither the
+    planner's size estimate nor a run-time re-plan can broadcast it; both sides are
+    shuffled on the join keys and AQE splits skewed key partitions.
     """
-    if max_rows <= 0:
-        return side
-    n = side.limit(max_rows + 1).count()
-    return F.broadcast(side) if n <= max_rows else side
+    if max_rows > 0 and side.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(side)
+    return side.hint("merge")
 
 
 def join_prices(legs: DataFrame, prices: DataFrame, keys=("slot", "token"),
