@@ -119,3 +119,15 @@ def test_single_join_equals_union_form(spark, trades, prices):
         assert gap_rows(PG.price_gap_daily(t, p, mode)) == gap_rows(PG.price_gap_daily(t, p, mode, plan="union"))
     # 24h pairs are a subset of 12h pairs.
     assert LG.legs_union_all(t, p, "24h").count() <= LG.legs_union_all(t, p, "12h").count()
+
+
+def test_hot_coin_hour_is_split_into_bounded_documents(spark):
+    points = spark.range(50).select(F.lit("ethereum").alias("coin"), (F.lit(1704067200000) + F.col("id") * 1000).alias("ms"),
+                                    F.col("id").cast("double").alias("prices"), F.lit(1.0).alias("market_cap"),
+                                    F.lit(2.0).alias("total_volume"))
+    docs = PR.price_docs_from_prices(points, max_points=8)
+    assert docs.count() == 7                     # ceil(50 / 8) documents for the one coin-hour
+    sizes = [r.n for r in PR.parse_price_docs(docs).select(F.size("prices").alias("n")).collect()]
+    assert sum(sizes) == 50 and max(sizes) <= 20  # hash-split: each near 8, none holds the group
+    back = PR.explode_price_docs(PR.parse_price_docs(docs))
+    assert sorted(r.prices for r in back.collect()) == [float(i) for i in range(50)]

@@ -35,7 +35,8 @@ def trades_table(spark: SparkSession, name: str | None = None, path: str | None
 
 
 def prices_table(spark: SparkSession, name: str | None = None, path: str | None = None) -> StagingTable:
-    return StagingTable(spark, name=name, path=path, schema=COIN_PRICES)
+    """Partitioned by coin: the id hashes the coin, so a load reads only its coins' ids."""
+    return StagingTable(spark, name=name, path=path, schema=COIN_PRICES, partition_by=["coin"])
 
 
 def load_trades(spark: SparkSession, source: DataFrame, table: StagingTable, as_of, initial: bool = False,

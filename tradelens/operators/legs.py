@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import coin_to_token, hour_key, hour_slot, market_value, price_gap
+from .joins import BROADCAST_MAX_ROWS, checked_broadcast
 
 
 def keyed_trades(trades: DataFrame, mode: str = "12h") -> DataFrame:
@@ -31,31 +32,46 @@ def weighted_prices(prices: DataFrame, mode: str = "12h", mapping: dict | None =
             .groupBy("slot", "token", "external_price").agg(F.count(F.lit(1)).alias("n")))
 
 
-def trade_legs(trades: DataFrame, mode: str = "12h") -> DataFrame:
-    """Unpivot each trade into its sell and buy leg (one scan, no union)."""
-    sell = F.struct(F.lit("sell").alias("side"), F.col("sell_token").alias("token"),
-                    F.col("units_sold").alias("amount"), F.col("sell_price").alias("cow_price"),
-                    F.col("sell_value_usd").alias("usd_cow_value"))
-    buy = F.struct(F.lit("buy").alias("side"), F.col("buy_token").alias("token"),
-                   F.col("units_bought").alias("amount"), F.col("buy_price").alias("cow_price"),
-                   F.col("usd_value").alias("usd_cow_value"))
+# The trade column behind each leg field, per side.
+_LEG_FIELDS = {
+    "token": ("sell_token", "buy_token"),
+    "amount": ("units_sold", "units_bought"),
+    "cow_price": ("sell_price", "buy_price"),
+    "usd_cow_value": ("sell_value_usd", "usd_value"),
+}
+
+
+def trade_legs(trades: DataFrame, mode: str = "12h",
+               fields: tuple[str, ...] = ("token", "amount", "cow_price", "usd_cow_value")) -> DataFrame:
+    """Unpivot each trade into its sell and buy leg (one scan, no union).
+
+    Only ``fields`` are carried through the generator, so unused trade columns are
+    pruned down to the Parquet scan.
+    """
+    sell = F.struct(F.lit("sell").alias("side"), *[F.col(_LEG_FIELDS[f][0]).alias(f) for f in fields])
+    buy = F.struct(F.lit("buy").alias("side"), *[F.col(_LEG_FIELDS[f][1]).alias(f) for f in fields])
     return trades.select(hour_slot("block_time", mode).alias("slot"), F.inline(F.array(sell, buy)))
 
 
 def view_all_data(trades: DataFrame, prices: DataFrame, mode: str = "12h",
-                  mapping: dict | None = None) -> DataFrame:
-    """Trades LEFT JOIN prices on the hour-key text, as in the source view.
+                  mapping: dict | None = None,
+                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Trades LEFT JOIN prices on the hour key, as in the source view.
 
-    Many-to-many: a trade meets every price row of its key, of every coin.
+    Many-to-many: a trade meets every price row of its key, of every coin.  The
+    join runs on the integer hour slot (equal slots <=> equal key texts); the
+    ``datetime`` / ``date_time`` texts are computed once per input row.
     """
     cow = trades.select(
+        hour_slot("block_time", mode).alias("slot"),
         hour_key("block_time", mode).alias("datetime"), "token_pair", "order_type", "partial_fill",
         "units_sold", "sell_value_usd", "sell_token", "sell_price", "units_bought",
         F.col("usd_value").alias("buy_value_usd"), "buy_token", "buy_price")
-    geck = prices.select(hour_key("date_time", mode).alias("date_time"),
+    geck = prices.select(hour_slot("date_time", mode).alias("slot"),
+                         hour_key("date_time", mode).alias("date_time"),
                          coin_to_token("coin", mapping).alias("coin"),
                          F.col("prices").alias("external_price"))
-    return cow.join(geck, cow["datetime"] == geck["date_time"], "left")
+    return cow.join(checked_broadcast(geck, broadcast_max_rows), "slot", "left")
 
 
 # The columns each side of the source view reads.
@@ -68,6 +84,8 @@ _SIDE_COLUMNS = {
 def leg_side(all_data: DataFrame, side: str, gap: str = "quarter") -> DataFrame:
     """One side of the view: joined rows whose price coin is that side's token.
 
+    Columns: slot (the integer hour key) and the view's eight columns.
+
     The filter rejects the NULL-extended rows, so Catalyst turns the left join into
     an inner join with the token as a second join key.
     """
@@ -75,7 +93,7 @@ def leg_side(all_data: DataFrame, side: str, gap: str = "quarter") -> DataFrame:
         raise ValueError("side must be 'sell' or 'buy'")
     token, units, price, value = _SIDE_COLUMNS[side]
     return all_data.where(F.col("coin") == F.col(token)).select(
-        "datetime",
+        "slot", "datetime",
         F.col("coin").alias("external_coin"),
         F.col(token).alias("cow_token"),
         F.col(units).alias("amount"),
@@ -86,17 +104,18 @@ def leg_side(all_data: DataFrame, side: str, gap: str = "quarter") -> DataFrame:
 
 
 def leg_pairs(trades: DataFrame, prices: DataFrame, side: str, mode: str = "12h",
-              gap: str = "quarter", mapping: dict | None = None) -> DataFrame:
+              gap: str = "quarter", mapping: dict | None = None,
+              broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows of one side of the view: every (trade leg, price) pair.
 
     Columns: datetime (hour-key text), external_coin, cow_token, amount, cow_price,
     price_difference, external_value_usd, usd_cow_value.
     """
-    return leg_side(view_all_data(trades, prices, mode, mapping), side, gap)
+    return leg_side(view_all_data(trades, prices, mode, mapping, broadcast_max_rows), side, gap)
 
 
 def legs_union_all(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
-                   mapping: dict | None = None) -> DataFrame:
-    """``sell side UNION ALL buy side`` of the source view."""
-    return leg_pairs(trades, prices, "sell", mode, gap, mapping).unionByName(
-        leg_pairs(trades, prices, "buy", mode, gap, mapping))
+                   mapping: dict | None = None, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``sell side UNION ALL buy side`` of the source view (both sides share one join)."""
+    all_data = view_all_data(trades, prices, mode, mapping, broadcast_max_rows)
+    return leg_side(all_data, "sell", gap).unionByName(leg_side(all_data, "buy", gap))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import hour_slot, price_gap, slot_day
+from ..functions.scalars import hour_slot, hour_text_from_slot, price_gap, slot_day
 from ..operators.joins import BROADCAST_MAX_ROWS, join_prices, trade_price_left_join
 from ..operators.legs import keyed_prices, legs_union_all, trade_legs, weighted_prices
 
@@ -27,10 +27,10 @@ def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap
                     broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Columns: date (``yyyy-MM-dd`` text), cow_token, avg_price_difference."""
     if plan == "union":
-        return price_gap_from_legs(legs_union_all(trades, prices, mode, gap, mapping))
+        return price_gap_from_legs(legs_union_all(trades, prices, mode, gap, mapping, broadcast_max_rows), mode)
     if plan != "single_join":
         raise ValueError("plan must be 'single_join' or 'union'")
-    legs = trade_legs(trades, mode).select("slot", "token", "cow_price")
+    legs = trade_legs(trades, mode, fields=("token", "cow_price")).select("slot", "token", "cow_price")
     side = weighted_prices(prices, mode, mapping)
     pairs = join_prices(legs, side, ("slot", "token"), "inner", broadcast_max_rows)
     n = F.col("n")
@@ -47,8 +47,16 @@ def _day_text(day_col: str):
     return F.date_format(F.date_from_unix_date(F.col(day_col)), "yyyy-MM-dd").alias("date")
 
 
-def price_gap_from_legs(final_data: DataFrame) -> DataFrame:
-    """Daily average of ``price_difference`` over view rows (``datetime`` is hour-key text)."""
+def price_gap_from_legs(final_data: DataFrame, mode: str = "12h") -> DataFrame:
+    """Daily average of ``price_difference`` over view rows.
+
+    Groups on the integer day of the hour slot when the rows carry it, else on the
+    date part of the ``datetime`` text; the two are the same day.
+    """
+    if "slot" in final_data.columns:
+        daily = final_data.groupBy(slot_day("slot", mode).alias("day"), "cow_token").agg(
+            F.avg("price_difference").alias("avg_price_difference"))
+        return daily.select(_day_text("day"), "cow_token", "avg_price_difference")
     return final_data.groupBy(F.substring("datetime", 1, 10).alias("date"), "cow_token").agg(
         F.avg("price_difference").alias("avg_price_difference"))
 
@@ -77,9 +85,12 @@ def left_join_counts(trades: DataFrame, prices: DataFrame, mode: str = "12h",
     return counted.select(_day_text("day"), "joined_rows", "unmatched_trades", "mapped_rows", "leg_rows")
 
 
-def leg_summary(legs: DataFrame) -> DataFrame:
-    """View rows of one or both sides aggregated per (hour key, token)."""
-    return legs.groupBy("datetime", "cow_token").agg(
+def leg_summary(legs: DataFrame, mode: str = "12h") -> DataFrame:
+    """View rows of one or both sides aggregated per (hour key, token).
+
+    Groups on the integer slot and renders the hour-key text on the aggregated rows.
+    """
+    agg = legs.groupBy("slot", "cow_token").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("amount").alias("sum_amount"),
         F.avg("cow_price").alias("avg_cow_price"),
@@ -87,3 +98,4 @@ def leg_summary(legs: DataFrame) -> DataFrame:
         F.sum("external_value_usd").alias("sum_external_value_usd"),
         F.sum("usd_cow_value").alias("sum_usd_cow_value"),
     )
+    return agg.select(hour_text_from_slot("slot", mode).alias("datetime"), *[c for c in agg.columns if c != "slot"])

@@ -41,17 +41,27 @@ def update_price_window(prices: DataFrame, coin: str, target_date) -> DataFrame:
     return price_window(prices, coin, f"{d} 00:00:00", f"{d} 23:59:59")
 
 
-def price_docs_from_prices(points: DataFrame, ms_col: str = "ms") -> DataFrame:
-    """Build price-history documents, one per (coin, UTC hour), as JSON text.
+# A built document holds about this many points at most (an API page).
+MAX_DOC_POINTS = 512
+
+
+def price_docs_from_prices(points: DataFrame, ms_col: str = "ms",
+                           max_points: int = MAX_DOC_POINTS) -> DataFrame:
+    """Build price-history documents as JSON text: (coin, doc_hour, chunk, doc).
 
     ``points`` has ``coin``, ``ms_col``, ``prices``, ``market_cap``, ``total_volume``.
-    A document holds the points of one coin in one hour, so its size is bounded by
-    the price feed's granularity, not by the table size.
+    Points are grouped per (coin, UTC hour); a group with more than ``max_points``
+    points is split into ``ceil(n / max_points)`` documents by a hash of the point,
+    so no single document (and no single collect) grows with a hot coin-hour.
     """
     pts = points.select(
         "coin", F.col(ms_col).cast("double").alias("ms"), "prices", "market_cap", "total_volume",
         F.floor(F.col(ms_col) / 3_600_000).cast("long").alias("doc_hour"))
-    grouped = (pts.groupBy("coin", "doc_hour")
+    sizes = pts.groupBy("coin", "doc_hour").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(max_points)).cast("int").alias("n_docs"))
+    chunked = pts.join(sizes, ["coin", "doc_hour"]).withColumn(
+        "chunk", F.pmod(F.xxhash64("ms", "prices", "market_cap", "total_volume"), F.col("n_docs")).cast("int"))
+    grouped = (chunked.groupBy("coin", "doc_hour", "chunk")
                .agg(F.sort_array(F.collect_list(F.struct("ms", "prices", "market_cap", "total_volume")))
                     .alias("pts")))
 
@@ -60,7 +70,7 @@ def price_docs_from_prices(points: DataFrame, ms_col: str = "ms") -> DataFrame:
 
     doc = F.struct(series("prices").alias("prices"), series("market_cap").alias("market_caps"),
                    series("total_volume").alias("total_volumes"))
-    return grouped.select("coin", "doc_hour", F.to_json(doc).alias("doc"))
+    return grouped.select("coin", "doc_hour", "chunk", F.to_json(doc).alias("doc"))
 
 
 def explode_price_docs(parsed: DataFrame, keep: tuple[str, ...] = ("coin",)) -> DataFrame:
