@@ -51,3 +51,46 @@ def test_broadcast_only_under_the_bound(spark):
     def rounded(df):
         return sorted((r.date, r.cow_token, round(r.avg_price_difference, 9)) for r in df.collect())
     assert rounded(big_side) == rounded(PG.price_gap_daily(*FX.fixture_tables(spark, SF_SMALL)))
+
+
+def test_hot_slot_is_split_by_the_skew_join(spark):
+    """One hour slot holds a third of the legs; beyond the broadcast bound the sort-merge
+    join is planned and AQE splits the hot partition instead of giving it one task."""
+    from pyspark.sql import functions as F
+    from tradelens.schemas import TRADES, without_id
+    base = spark.range(30000).select(
+        F.to_date(F.lit("2024-01-05")).alias("block_date"),
+        F.when(F.col("id") % 3 == 0, F.lit("2024-01-05 10:00:00"))
+         .otherwise(F.concat(F.lit("2024-01-"), F.lpad(((F.col("id") % 25) + 1).cast("string"), 2, "0"),
+                             F.lit(" "), F.lpad((F.col("id") % 24).cast("string"), 2, "0"), F.lit(":15:00")))
+         .cast("timestamp_ntz").alias("block_time"),
+        F.col("id").cast("string").alias("tx_hash"), F.lit("USDC-WETH").alias("token_pair"),
+        F.lit("sell").alias("order_type"), F.lit(False).alias("partial_fill"),
+        F.lit("USDC").alias("sell_token"), F.lit("WETH").alias("buy_token"),
+        F.lit(1.0).alias("units_sold"), F.lit(1.0).alias("units_bought"), F.lit(1.0).alias("sell_value_usd"),
+        F.lit(2.0).alias("usd_value"), ((F.col("id") % 7) + 1.0).alias("sell_price"), ((F.col("id") % 5) + 1.0).alias("buy_price"))
+    trades = spark.createDataFrame(base.rdd, without_id(TRADES))
+    prices = spark.range(2000).select(
+        F.date_format(F.timestamp_add("MINUTE", F.col("id") * 17, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")),
+                      "yyyy-MM-dd HH:mm:ss").alias("date_time"),
+        ((F.col("id") % 11) + 1.0).alias("prices"), F.lit(1.0).alias("market_cap"), F.lit(1.0).alias("total_volume"),
+        F.when(F.col("id") % 2 == 0, F.lit("ethereum")).otherwise(F.lit("usd-coin")).alias("coin"))
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        shuffled = PG.price_gap_daily(trades, prices, broadcast_max_rows=0)
+        got = sorted((r.date, r.cow_token, round(r.avg_price_difference, 9)) for r in shuffled.collect())
+        final = plan_text(shuffled)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in final
+    want = sorted((r.date, r.cow_token, round(r.avg_price_difference, 9))
+                  for r in PG.price_gap_daily(trades, prices).collect())
+    assert got == want

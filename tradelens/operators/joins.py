@@ -43,6 +43,12 @@ def trade_price_left_join(keyed: DataFrame, price_counts: DataFrame,
     return keyed.join(side, ["slot"], "left")
 
 
-def anti_join_ids(batch: DataFrame, existing_ids: DataFrame) -> DataFrame:
-    """Rows of ``batch`` whose ``id`` is not among ``existing_ids``."""
-    return batch.join(existing_ids.select("id"), "id", "left_anti")
+def anti_join_ids(batch: DataFrame, existing_ids: DataFrame,
+                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Rows of ``batch`` whose ``id`` is not among ``existing_ids``.
+
+    The stored ids (already restricted to the batch's partitions) are broadcast only
+    under the measured bound; a large history is sort-merge joined on the id, whose
+    MD5 values spread evenly over the shuffle partitions.
+    """
+    return batch.join(checked_broadcast(existing_ids.select("id"), broadcast_max_rows), "id", "left_anti")

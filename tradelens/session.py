@@ -11,8 +11,12 @@ from pyspark.sql import SparkSession
 # Settings every job of this package assumes.  UTC makes hour and day keys
 # independent of the machine; ANSI makes a zero price sum an error instead of
 # a silent NULL; AQE re-plans joins from measured shuffle sizes and splits
-# skewed join partitions.
+# skewed join partitions.  No join is broadcast from a planner size estimate:
+# the library broadcasts explicitly behind a measured row count, and AQE may
+# convert a join at run time from the measured size of a finished shuffle.
 RECOMMENDED_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
@@ -22,6 +26,20 @@ RECOMMENDED_CONF = {
 }
 
 
+# Settings for a large cluster (about 100 TB of trades), applied by the deployment,
+# not by this package: many shuffle partitions that AQE coalesces at run time,
+# 256 MB input splits, and run-time (measured) broadcast conversion kept small.
+CLUSTER_CONF = {
+    **RECOMMENDED_CONF,
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "tradelens", extra: dict | None = None) -> SparkSession:
     """A session for tests, the bench and local runs (the UI stays off)."""
