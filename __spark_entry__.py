@@ -245,7 +245,7 @@ def q_published_summary_view(spark, sf_dir):
 def q_staged_trades(spark, sf_dir):
     """A source frame with raw column names -> cleaned names, staging types, id."""
     events = FX.load_events(spark, sf_dir)
-    k = F.get_json_object("props", "$.k").cast("double")
+    k = FX.k_of("props")
     raw = events.where(F.col("event_type").isin(*FX.TRADE_EVENT_TYPES)).select(
         F.col("event_id").alias("Unnamed: 0"),
         F.to_date("ts").alias("Block Date"),
