@@ -282,8 +282,7 @@ def q_daily_price_load_replayed(spark, sf_dir):
     base = _session.scratch_path(spark, "daily-prices")
     p = JB.prices_table(spark, path=f"{base}/prices")
     for _ in range(2):
-        for coin in JB.DEFAULT_COINS:
-            JB.load_prices(spark, prices, p, coin, AS_OF)
+        JB.load_prices(spark, prices, p, list(JB.DEFAULT_COINS), AS_OF)
     return p.read().drop("id")
 
 

@@ -129,3 +129,28 @@ def test_stream_replay_adds_nothing(spark):
     assert table.read().count() == 4
     landed = PR.read_price_docs(spark, f"{base}/landing")
     assert landed.count() == 5 and set(r.coin for r in landed.collect()) == {"ethereum", "usd-coin"}
+
+
+def test_read_one_pretty_printed_document_per_file(spark):
+    import json
+    import os
+    base = scratch_path(spark, "docs-multiline")
+    doc = {"prices": [[1728691391999, 2400.5], [1728694991000, 2401.0]],
+           "market_caps": [[1728691391999, 1.0e11], [1728694991000, 1.1e11]],
+           "total_volumes": [[1728691391999, 5.0e9], [1728694991000, 5.5e9]]}
+    for coin, body in (("ethereum", doc), ("usd-coin", {"error": "not found"})):
+        os.makedirs(f"{base}/coin={coin}", exist_ok=True)
+        with open(f"{base}/coin={coin}/2024-10-12.json", "w") as fh:
+            json.dump(body, fh, indent=2)
+    rows = sorted((r.coin, r.date_time, r.prices) for r in PR.read_price_docs(spark, base, multi_line=True).collect())
+    assert rows == [("ethereum", "2024-10-12 00:03:11", 2400.5), ("ethereum", "2024-10-12 01:03:11", 2401.0)]
+
+
+def test_daily_scan_prunes_trade_partitions(spark):
+    from tradelens.sources import trades as TR
+    table = JB.trades_table(spark, path=scratch_path(spark, "t-prune"))
+    LD.insert_if_absent(spark, _rows(spark), table)
+    scan = TR.trades_prev_day(table.read(), dt.date(2024, 1, 15))
+    plan = scan._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+    assert "PartitionFilters: [isnotnull(block_date" in plan and "2024-01-14" in plan
+    assert scan.count() == 2      # the two identical rows of the 14th were stored once

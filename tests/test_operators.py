@@ -131,3 +131,11 @@ def test_hot_coin_hour_is_split_into_bounded_documents(spark):
     assert sum(sizes) == 50 and max(sizes) <= 20  # hash-split: each near 8, none holds the group
     back = PR.explode_price_docs(PR.parse_price_docs(docs))
     assert sorted(r.prices for r in back.collect()) == [float(i) for i in range(50)]
+
+
+def test_sum_of_daily_distinct_counts_bounds_the_global_distinct(spark):
+    from conftest import SF_MID
+    from tradelens.sources import fixtures as FX
+    trades, _ = FX.fixture_tables(spark, SF_MID)
+    head = AG.headline_totals(AG.daily_trade_summary(trades), trades).first()
+    assert head.no_trades >= head.no_trades_distinct > 0

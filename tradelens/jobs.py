@@ -42,30 +42,44 @@ def prices_table(spark: SparkSession, name: str | None = None, path: str | None
 def load_trades(spark: SparkSession, source: DataFrame, table: StagingTable, as_of, initial: bool = False,
                 buy_token: str = DEFAULT_BUY_TOKEN, sell_token: str = DEFAULT_SELL_TOKEN) -> LoadReport:
     """Month-to-date (initial) or previous-day (daily) trades of one direction."""
+    d = _day(as_of)
     pick = trades_month_to_date if initial else trades_prev_day
-    batch = pick(source, _day(as_of), buy_token, sell_token)
-    return insert_if_absent(spark, with_row_id(batch.select(*TRADE_COLUMNS)), table)
+    batch = pick(source, d, buy_token, sell_token)
+    if initial:
+        days = [d.replace(day=1) + dt.timedelta(days=i) for i in range((d - d.replace(day=1)).days)]
+    else:
+        days = [d - dt.timedelta(days=1)]
+    return insert_if_absent(spark, with_row_id(batch.select(*TRADE_COLUMNS)), table,
+                            partition_values={"block_date": days})
 
 
-def load_prices(spark: SparkSession, source: DataFrame, table: StagingTable, coin: str, as_of,
+def load_prices(spark: SparkSession, source: DataFrame, table: StagingTable, coin, as_of,
                 initial: bool = False, start=None) -> LoadReport:
-    """Prices of one coin: ``[start, as_of - 1]`` (initial) or the day before ``as_of``."""
+    """Prices of one coin (or a list of coins, loaded as one batch):
+    ``[start, as_of - 1]`` (initial) or the day before ``as_of``."""
     d = _day(as_of)
-    if initial:
-        batch = init_price_window(source, coin, d, start)
-    else:
-        batch = update_price_window(source, coin, d - dt.timedelta(days=1))
+    coins = [coin] if isinstance(coin, str) else list(coin)
+    parts = []
+    for c in coins:
+        if initial:
+            parts.append(init_price_window(source, c, d, start))
+        else:
+            parts.append(update_price_window(source, c, d - dt.timedelta(days=1)))
+    batch = parts[0]
+    for part in parts[1:]:
+        batch = batch.unionByName(part)
     rows = batch.select(*PRICE_ROW_COLUMNS, "coin")
-    return insert_if_absent(spark, with_row_id(rows.select(*PRICE_COLUMNS)), table)
+    return insert_if_absent(spark, with_row_id(rows.select(*PRICE_COLUMNS)), table,
+                            partition_values={"coin": coins})
 
 
 def daily_load(spark: SparkSession, trade_source: DataFrame, price_source: DataFrame,
                trades: StagingTable, prices: StagingTable, as_of,
                coins=DEFAULT_COINS) -> list[LoadReport]:
-    """The scheduled daily task: previous-day trades, then each coin's previous-day prices."""
-    reports = [load_trades(spark, trade_source, trades, as_of)]
-    reports += [load_prices(spark, price_source, prices, c, as_of) for c in coins]
-    return reports
+    """The scheduled daily task: previous-day trades, then the coins' previous-day prices
+    (all coins in one batch: one scan, one anti-join, one append)."""
+    return [load_trades(spark, trade_source, trades, as_of),
+            load_prices(spark, price_source, prices, list(coins), as_of)]
 
 
 def backfill(spark: SparkSession, trade_source: DataFrame, price_source: DataFrame,
@@ -78,8 +92,8 @@ def backfill(spark: SparkSession, trade_source: DataFrame, price_source: DataFra
     """
     trades.ensure()
     prices.ensure()
-    reports = [load_prices(spark, price_source, prices, c, as_of, initial=True, start=start) for c in coins]
-    reports.append(load_trades(spark, trade_source, trades, as_of, initial=True))
+    reports = [load_prices(spark, price_source, prices, list(coins), as_of, initial=True, start=start),
+               load_trades(spark, trade_source, trades, as_of, initial=True)]
     if views_db is not None and trades.name and prices.name:
         publish_views(spark, trades.name, prices.name, target=views_db)
     return reports

@@ -46,25 +46,32 @@ def insert_new_rows(rows: DataFrame, existing: DataFrame | None) -> DataFrame:
     return batch if existing is None else anti_join_ids(batch, existing)
 
 
-def _existing_for(table: StagingTable, rows: DataFrame) -> DataFrame | None:
+def _existing_for(table: StagingTable, rows: DataFrame,
+                  partition_values: dict | None = None) -> DataFrame | None:
     if not table.exists():
         return None
     stored = table.read()
     # The id hashes the partition column too, so an equal id lives in the same
-    # partition: read only the batch's partitions.
+    # partition: read only the batch's partitions.  Values the caller knows (the
+    # load window) are used as given; others are read from the batch.
     for col in table.partition_by:
-        values = [r[0] for r in rows.select(col).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()]
+        if partition_values and col in partition_values:
+            values = list(partition_values[col])
+        else:
+            values = [r[0] for r in rows.select(col).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()]
         if len(values) <= MAX_PRUNED_PARTITIONS:
             stored = stored.where(F.col(col).isin(values)) if values else stored.limit(0)
     return stored.select("id")
 
 
 def insert_if_absent(spark: SparkSession, rows: DataFrame, table: StagingTable,
-                     schema_name: str | None = None) -> LoadReport:
+                     schema_name: str | None = None, partition_values: dict | None = None) -> LoadReport:
     """Append the rows whose ``id`` the table does not hold yet; report the counts.
 
     An empty batch writes nothing (and creates no table).  Counts come from
     observed metrics of the write job itself, not from extra passes.
+    ``partition_values`` ({column: values}) may name a superset of the batch's
+    partition values, sparing a pass over the batch to find them.
     """
     if rows.isEmpty():
         return LoadReport(schema_name, table.label, 0, 0, list(rows.columns))
@@ -73,7 +80,7 @@ def insert_if_absent(spark: SparkSession, rows: DataFrame, table: StagingTable,
     table.ensure()
     fetched, written = Observation("fetched"), Observation("written")
     observed = rows.observe(fetched, F.count(F.lit(1)).alias("n"))
-    new = insert_new_rows(observed, _existing_for(table, rows))
+    new = insert_new_rows(observed, _existing_for(table, rows, partition_values))
     table.append(new.observe(written, F.count(F.lit(1)).alias("n")))
     return LoadReport(schema_name, table.label, int(fetched.get["n"]), int(written.get["n"]),
                       list(rows.columns))
