@@ -64,17 +64,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
     On a cluster this is the folder the cluster names in ``spark.checkpoint.dir``
-    and it is only read here.  Only when it is unset (tests, local runs) a local
-    folder is created and set.
+    (or the context's checkpoint folder); it is only read here.  Only when neither
+    is set (tests, local runs) a local folder is created and registered with the
+    context.  ``spark.checkpoint.dir`` itself cannot change in a running session.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
+        current = sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="tradelens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return current
 
 
