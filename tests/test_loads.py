@@ -154,3 +154,18 @@ def test_daily_scan_prunes_trade_partitions(spark):
     plan = scan._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
     assert "PartitionFilters: [isnotnull(block_date" in plan and "2024-01-14" in plan
     assert scan.count() == 2      # the two identical rows of the 14th were stored once
+
+
+def test_bucketed_trades_summary_needs_no_history_shuffle(spark):
+    from tradelens.operators import aggregates as AG
+    tag = uuid.uuid4().hex[:6]
+    db = TB.create_namespace(spark, f"bucketed_{tag}")
+    table = JB.trades_table(spark, name=f"{db}.trades", buckets=4)
+    LD.insert_if_absent(spark, _rows(spark), table)
+    LD.insert_if_absent(spark, _rows(spark), table)
+    summary = AG.daily_trade_summary(table.read())
+    plan = summary._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+    assert "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning") == 1     # only the final (day, pair) merge
+    got = {r.block_date.isoformat(): r.no_txn for r in summary.collect()}
+    assert got == {"2024-01-13": 1, "2024-01-14": 2}

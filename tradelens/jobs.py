@@ -30,8 +30,12 @@ def _day(d) -> dt.date:
     return dt.date.fromisoformat(d) if isinstance(d, str) else d
 
 
-def trades_table(spark: SparkSession, name: str | None = None, path: str | None = None) -> StagingTable:
-    return StagingTable(spark, name=name, path=path, schema=TRADES, partition_by=["block_date"])
+def trades_table(spark: SparkSession, name: str | None = None, path: str | None = None,
+                 buckets: int | None = None) -> StagingTable:
+    """Partitioned by ``block_date``; a catalog table may be bucketed by ``tx_hash`` so the
+    daily summary's distinct count runs without shuffling the stored trades."""
+    return StagingTable(spark, name=name, path=path, schema=TRADES, partition_by=["block_date"],
+                        bucket_by=("tx_hash", buckets) if buckets else None)
 
 
 def prices_table(spark: SparkSession, name: str | None = None, path: str | None = None) -> StagingTable:

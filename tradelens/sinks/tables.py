@@ -27,6 +27,9 @@ class StagingTable:
 
     Rows are appended only (single writer per table); ``partition_by`` columns
     become folders, so loads restricted to a few dates read only those folders.
+    ``bucket_by=(column, n)`` (catalog tables) hashes rows into ``n`` buckets per
+    partition: an aggregate or distinct count keyed by that column then reads the
+    buckets without shuffling the stored history.
     """
 
     spark: SparkSession
@@ -34,10 +37,13 @@ class StagingTable:
     path: str | None = None
     schema: T.StructType | None = None
     partition_by: list[str] = field(default_factory=list)
+    bucket_by: tuple[str, int] | None = None
 
     def __post_init__(self):
         if (self.name is None) == (self.path is None):
             raise ValueError("give exactly one of name or path")
+        if self.bucket_by is not None and self.name is None:
+            raise ValueError("bucketing needs a catalog table (name)")
 
     @property
     def label(self) -> str:
@@ -59,6 +65,9 @@ class StagingTable:
             raise ValueError(f"no schema to create {self.label}")
         if self.name is not None:
             parts = f" PARTITIONED BY ({', '.join(self.partition_by)})" if self.partition_by else ""
+            if self.bucket_by is not None:
+                col, n = self.bucket_by
+                parts += f" CLUSTERED BY ({col}) INTO {int(n)} BUCKETS"
             self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({ddl_columns(schema)}) USING parquet{parts}")
         else:
             empty = self.spark.createDataFrame([], schema)
@@ -78,7 +87,11 @@ class StagingTable:
     def append(self, df: DataFrame) -> None:
         if self.name is not None:
             cols = self.spark.table(self.name).columns
-            df.select(*cols).write.mode("append").insertInto(self.name)
+            out = df.select(*cols)
+            if self.bucket_by is not None:
+                # Same hash as the bucket id: each task writes one bucket file per partition.
+                out = out.repartition(int(self.bucket_by[1]), self.bucket_by[0])
+            out.write.mode("append").insertInto(self.name)
         else:
             df.write.mode("append").partitionBy(*self.partition_by).parquet(self.path)
 
