@@ -92,9 +92,10 @@ def test_catalog_tables_views_and_backfill(spark):
 
 def test_view_sql_equals_dataframe_form(spark):
     from tradelens.plans import price_gap as PG
-    t, p = frames(spark, [trade("2024-01-05 03:10:00", buy_price=3.0), trade("2024-01-05 15:10:00", sell_token="WETH", buy_token="USDC")],
+    t, p = frames(spark, [trade("2024-01-05 03:10:00", buy_price=3.0), trade("2024-01-05 15:10:00", sell_token="WETH", buy_token="USDC"),
+                          trade("2024-01-05 15:11:00", buy_price=None)],
                   [price("2024-01-05 03:20:00", "ethereum", 1.0), price("2024-01-05 15:20:00", "usd-coin", 2.0),
-                   price("2024-01-05 15:25:00", "ethereum", 2.0)])
+                   price("2024-01-05 15:25:00", "ethereum", 2.0), ("2024-01-05 15:26:00", None, None, None, "usd-coin")])
     t.createOrReplaceTempView("vt_trades")
     p.createOrReplaceTempView("vt_prices")
     for mode in ("12h", "24h"):

@@ -139,3 +139,10 @@ def test_sum_of_daily_distinct_counts_bounds_the_global_distinct(spark):
     trades, _ = FX.fixture_tables(spark, SF_MID)
     head = AG.headline_totals(AG.daily_trade_summary(trades), trades).first()
     assert head.no_trades >= head.no_trades_distinct > 0
+
+
+def test_null_prices_are_ignored_like_avg(spark):
+    t, p = frames(spark, [trade("2024-01-05 10:00:00", buy_price=3.0), trade("2024-01-05 10:10:00", buy_price=None)],
+                  [price("2024-01-05 10:30:00", "ethereum", 1.0), ("2024-01-05 10:40:00", None, None, None, "ethereum")])
+    assert gap_rows(PG.price_gap_daily(t, p)) == [("2024-01-05", "WETH", 25.0)]
+    assert gap_rows(PG.price_gap_daily(t, p, plan="union")) == [("2024-01-05", "WETH", 25.0)]

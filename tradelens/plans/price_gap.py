@@ -34,11 +34,13 @@ def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap
     side = weighted_prices(prices, mode, mapping)
     pairs = join_prices(legs, side, ("slot", "token"), "inner", broadcast_max_rows)
     n = F.col("n")
+    diff = price_gap("cow_price", "external_price", gap)
     # Group on the integer day (cheap per joined row); format the date text only
-    # on the aggregated rows.
+    # on the aggregated rows.  Like AVG, pairs whose gap is NULL (a NULL price)
+    # count in neither sum.
     daily = pairs.groupBy(slot_day("slot", mode).alias("day"), F.col("token").alias("cow_token")).agg(
-        F.sum(price_gap("cow_price", "external_price", gap) * n).alias("gap_sum"),
-        F.sum(n).alias("pairs"))
+        F.sum(diff * n).alias("gap_sum"),
+        F.sum(F.when(diff.isNotNull(), n)).alias("pairs"))
     return daily.select(_day_text("day"), "cow_token",
                         (F.col("gap_sum") / F.col("pairs")).alias("avg_price_difference"))
 

@@ -44,7 +44,8 @@ WITH legs AS (
   GROUP BY slot, token, external_price
 ), days AS (
   SELECT CAST(floor(legs.slot / {n}) AS INT) AS day, legs.token AS cow_token,
-         sum(({_GAP_EXPR[gap]}) * px.n) AS gap_sum, sum(px.n) AS pairs
+         sum(({_GAP_EXPR[gap]}) * px.n) AS gap_sum,
+         sum(CASE WHEN ({_GAP_EXPR[gap]}) IS NOT NULL THEN px.n END) AS pairs
   FROM legs JOIN px ON legs.slot = px.slot AND legs.token = px.token
   GROUP BY CAST(floor(legs.slot / {n}) AS INT), legs.token
 )
