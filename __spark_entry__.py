@@ -72,12 +72,17 @@ def _legs_query(side):
 def q_legs_union_all(spark, sf_dir):
     trades, prices = _tables(spark, sf_dir)
     legs = LG.legs_union_all(trades, prices)
-    out = legs.groupBy("cow_token").agg(
+    # Sums over millions of pairs reach 1e10, where a double's last bit exceeds any
+    # decimal rounding; the inputs have at most 4 decimals, so sum them exactly.
+    return legs.groupBy("cow_token").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.sum("amount").alias("sum_amount"),
-        F.sum("external_value_usd").alias("sum_external_value_usd"),
-        F.sum("usd_cow_value").alias("sum_usd_cow_value"))
-    return _r(out, {"sum_amount": 6, "sum_external_value_usd": 6, "sum_usd_cow_value": 6})
+        _exact_sum("amount").alias("sum_amount"),
+        _exact_sum("external_value_usd").alias("sum_external_value_usd"),
+        _exact_sum("usd_cow_value").alias("sum_usd_cow_value"))
+
+
+def _exact_sum(c):
+    return F.sum(F.col(c).cast("decimal(24,4)")).cast("decimal(38,4)")
 
 
 def q_trade_summary_daily(spark, sf_dir):
@@ -423,9 +428,10 @@ FROM all_data GROUP BY substr(datetime, 1, 10)""",
     "sell_legs": f"WITH {_view_ctes()}\n" + _LEG_SUMMARY.format(side="sell_side"),
     "buy_legs": f"WITH {_view_ctes()}\n" + _LEG_SUMMARY.format(side="buy_side"),
     "legs_union_all": f"""WITH {_view_ctes()}
-SELECT cow_token, count(*) AS n_rows, round(sum(amount), 6) AS sum_amount,
-       round(sum(external_value_usd), 6) AS sum_external_value_usd,
-       round(sum(usd_cow_value), 6) AS sum_usd_cow_value
+SELECT cow_token, count(*) AS n_rows,
+       CAST(sum(CAST(amount AS DECIMAL(24,4))) AS DECIMAL(38,4)) AS sum_amount,
+       CAST(sum(CAST(external_value_usd AS DECIMAL(24,4))) AS DECIMAL(38,4)) AS sum_external_value_usd,
+       CAST(sum(CAST(usd_cow_value AS DECIMAL(24,4))) AS DECIMAL(38,4)) AS sum_usd_cow_value
 FROM final_data GROUP BY cow_token""",
     "trade_summary_daily": f"""WITH {_FIXTURE_CTES}, {_SUMMARY_CTE}
 SELECT block_date, token_pair, no_txn,
