@@ -73,7 +73,8 @@ def q_legs_union_all(spark, sf_dir):
     trades, prices = _tables(spark, sf_dir)
     legs = LG.legs_union_all(trades, prices)
     # Sums over millions of pairs reach 1e10, where a double's last bit exceeds any
-    # decimal rounding; the inputs have at most 4 decimals, so sum them exactly.
+    # decimal rounding.  The inputs have at most 4 decimals, so each term is summed
+    # exactly as an integer count of 1e-4 (a long sum, < 2**53) and divided once.
     return legs.groupBy("cow_token").agg(
         F.count(F.lit(1)).alias("n_rows"),
         _exact_sum("amount").alias("sum_amount"),
@@ -82,7 +83,9 @@ def q_legs_union_all(spark, sf_dir):
 
 
 def _exact_sum(c):
-    return F.sum(F.col(c).cast("decimal(24,4)")).cast("decimal(38,4)")
+    # rint (Math.rint) is the fast native rounding; every term lies within ~1e-6 of
+    # an integer count of 1e-4, never on a .5 tie, so it equals SQL round here.
+    return F.sum(F.rint(F.col(c) * 10000).cast("long")) / F.lit(10000.0)
 
 
 def q_trade_summary_daily(spark, sf_dir):
@@ -429,9 +432,9 @@ FROM all_data GROUP BY substr(datetime, 1, 10)""",
     "buy_legs": f"WITH {_view_ctes()}\n" + _LEG_SUMMARY.format(side="buy_side"),
     "legs_union_all": f"""WITH {_view_ctes()}
 SELECT cow_token, count(*) AS n_rows,
-       CAST(sum(CAST(amount AS DECIMAL(24,4))) AS DECIMAL(38,4)) AS sum_amount,
-       CAST(sum(CAST(external_value_usd AS DECIMAL(24,4))) AS DECIMAL(38,4)) AS sum_external_value_usd,
-       CAST(sum(CAST(usd_cow_value AS DECIMAL(24,4))) AS DECIMAL(38,4)) AS sum_usd_cow_value
+       CAST(sum(CAST(round(amount * 10000) AS BIGINT)) AS DOUBLE) / 10000.0 AS sum_amount,
+       CAST(sum(CAST(round(external_value_usd * 10000) AS BIGINT)) AS DOUBLE) / 10000.0 AS sum_external_value_usd,
+       CAST(sum(CAST(round(usd_cow_value * 10000) AS BIGINT)) AS DOUBLE) / 10000.0 AS sum_usd_cow_value
 FROM final_data GROUP BY cow_token""",
     "trade_summary_daily": f"""WITH {_FIXTURE_CTES}, {_SUMMARY_CTE}
 SELECT block_date, token_pair, no_txn,
