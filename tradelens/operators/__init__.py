@@ -2,6 +2,6 @@
 
 from .joins import checked_broadcast, join_prices, trade_price_left_join, anti_join_ids  # noqa: F401
 from .legs import (trade_legs, keyed_trades, keyed_prices, weighted_prices, leg_pairs, legs_union_all,
-                   view_all_data, leg_side)  # noqa: F401
+                   view_all_data, leg_side, mapped_prices)  # noqa: F401
 from .aggregates import (daily_trade_summary, headline_totals, token_list, token_series,  # noqa: F401
                          series_for_token, load_counts)

@@ -11,35 +11,43 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
-def checked_broadcast(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def checked_broadcast(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      bound_by: DataFrame | None = None) -> DataFrame:
     """Mark ``side`` for broadcast only if it is proven to hold ``<= max_rows`` rows.
 
     The bound is measured (a row count, stopped at ``max_rows + 1`` per partition),
-    not estimated.  Beyond it the side carries a sort-merge hint, so neither the
-    planner's size estimate nor a run-time re-plan can broadcast it; both sides are
-    shuffled on the join keys and AQE splits skewed key partitions.
+    not estimated.  ``bound_by`` may name a frame with at least as many rows as
+    ``side`` (the input of its pre-aggregation): counting it needs no shuffle, and
+    only when it exceeds the bound is ``side`` itself counted.  Beyond the bound the
+    side carries a sort-merge hint, so neither the planner's size estimate nor a
+    run-time re-plan can broadcast it; both sides are shuffled on the join keys and
+    AQE splits skewed key partitions.
     """
-    if max_rows > 0 and side.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(side)
+    if max_rows > 0:
+        for probe in ([bound_by] if bound_by is not None else []) + [side]:
+            if probe.limit(max_rows + 1).count() <= max_rows:
+                return F.broadcast(side)
     return side.hint("merge")
 
 
 def join_prices(legs: DataFrame, prices: DataFrame, keys=("slot", "token"),
-                how: str = "inner", broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                how: str = "inner", broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+                bound_by: DataFrame | None = None) -> DataFrame:
     """Many-to-many equi-join of trade legs to price rows (no de-duplication)."""
-    side = checked_broadcast(prices, broadcast_max_rows)
+    side = checked_broadcast(prices, broadcast_max_rows, bound_by)
     return legs.join(side, list(keys), how)
 
 
 def trade_price_left_join(keyed: DataFrame, price_counts: DataFrame,
-                          broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                          broadcast_max_rows: int = BROADCAST_MAX_ROWS,
+                          bound_by: DataFrame | None = None) -> DataFrame:
     """Trades left-joined to the price rows of their hour key.
 
     ``price_counts`` holds one row per (slot, token) with the number ``n`` of price
     rows, so the join emits one row per trade and matched token instead of one per
     price row; counts over the joined rows are sums of ``n``.
     """
-    side = checked_broadcast(price_counts, broadcast_max_rows)
+    side = checked_broadcast(price_counts, broadcast_max_rows, bound_by)
     return keyed.join(side, ["slot"], "left")
 
 

@@ -28,10 +28,15 @@ def weighted_prices(prices: DataFrame, mode: str = "12h", mapping: dict | None =
     is one joined row of weight ``n``.  Unmapped coins are dropped here, since an
     inner join on the token could never match them.
     """
-    return (keyed_prices(prices, mode, mapping).where(F.col("token").isNotNull())
+    return (mapped_prices(prices, mode, mapping)
             .groupBy("slot", "token", "external_price").agg(F.count(F.lit(1)).alias("n")))
 
 
+def mapped_prices(prices: DataFrame, mode: str = "12h", mapping: dict | None = None) -> DataFrame:
+    """Keyed price rows of mapped coins: the input of ``weighted_prices`` (and a bound on its size)."""
+    return keyed_prices(prices, mode, mapping).where(F.col("token").isNotNull())
+
+
 # The trade column behind each leg field, per side.
 _LEG_FIELDS = {
     "token": ("sell_token", "buy_token"),

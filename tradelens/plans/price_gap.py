@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import hour_slot, hour_text_from_slot, price_gap, slot_day
 from ..operators.joins import BROADCAST_MAX_ROWS, join_prices, trade_price_left_join
-from ..operators.legs import keyed_prices, legs_union_all, trade_legs, weighted_prices
+from ..operators.legs import keyed_prices, legs_union_all, mapped_prices, trade_legs, weighted_prices
 
 
 def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
@@ -32,7 +32,8 @@ def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap
         raise ValueError("plan must be 'single_join' or 'union'")
     legs = trade_legs(trades, mode, fields=("token", "cow_price")).select("slot", "token", "cow_price")
     side = weighted_prices(prices, mode, mapping)
-    pairs = join_prices(legs, side, ("slot", "token"), "inner", broadcast_max_rows)
+    pairs = join_prices(legs, side, ("slot", "token"), "inner", broadcast_max_rows,
+                        bound_by=mapped_prices(prices, mode, mapping))
     n = F.col("n")
     diff = price_gap("cow_price", "external_price", gap)
     # Group on the integer day (cheap per joined row); format the date text only
@@ -73,8 +74,9 @@ def left_join_counts(trades: DataFrame, prices: DataFrame, mode: str = "12h",
     leg_rows (joined rows whose token is the trade's buy or sell token).
     """
     t = trades.select(hour_slot("block_time", mode).alias("slot"), "sell_token", "buy_token")
-    counts = keyed_prices(prices, mode, mapping).groupBy("slot", "token").agg(F.count(F.lit(1)).alias("n"))
-    j = trade_price_left_join(t, counts, broadcast_max_rows)
+    keyed = keyed_prices(prices, mode, mapping)
+    counts = keyed.groupBy("slot", "token").agg(F.count(F.lit(1)).alias("n"))
+    j = trade_price_left_join(t, counts, broadcast_max_rows, bound_by=keyed)
     n = F.coalesce(F.col("n"), F.lit(0))
     unmatched = F.col("n").isNull()
     is_leg = (F.col("token") == F.col("sell_token")) | (F.col("token") == F.col("buy_token"))
