@@ -4,13 +4,16 @@ Every query reads the driver's tables through the fixture mapping of FIXTURES.md
 (``events`` -> trades and coin prices) and runs over the whole tables.  Floating
 results are rounded to 6 decimals in both engines, because sums in a different
 order differ in the last bits; the inputs have at most 4 decimals, so sums sit on
-a 4-decimal grid and 6-decimal rounding never meets a tie.
+a 4-decimal grid and 6-decimal rounding never meets a tie.  Sums too large for
+that (``legs_union_all``) are summed exactly as integer counts of 1e-4.
+
+Every query first sets the session time zone to UTC: hour and day keys are read
+in UTC, and a zone with daylight saving would shift keys around its gaps.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,9 +39,14 @@ AS_OF = "2024-01-15"  # fixed `as_of` of the load windows (FIXTURES.md §3)
 
 # --------------------------------------------------------------------------- helpers
 
-def _tables(spark: SparkSession, sf_dir: str):
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     _session.apply_recommended(spark)
-    return FX.fixture_tables(spark, sf_dir)
+    return FX.load_events(spark, sf_dir)
+
+
+def _tables(spark: SparkSession, sf_dir: str):
+    events = _events(spark, sf_dir)
+    return FX.trades_from_events(events), FX.coin_prices_from_events(events)
 
 
 def _r(df: DataFrame, digits: dict[str, int]) -> DataFrame:
@@ -141,7 +149,7 @@ def q_price_window(spark, sf_dir):
 
 
 def q_hour_keys(spark, sf_dir):
-    events = FX.load_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     return events.groupBy(S.hour_key("ts", "12h").alias("hour_key_12h"),
                           S.hour_key("ts", "24h").alias("hour_key_24h")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -165,13 +173,13 @@ def q_unix_roundtrip(spark, sf_dir):
 
 
 def q_price_docs_exploded(spark, sf_dir):
-    events = FX.load_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     docs = PR.price_docs_from_prices(FX.price_points_from_events(events))
     return PR.explode_price_docs(PR.parse_price_docs(docs)).select("coin", *PR.PRICE_ROW_COLUMNS)
 
 
 def q_rows_as_json(spark, sf_dir):
-    events = FX.load_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     return events.select("event_id", S.row_json("event_id", "user_id", "event_type", "props").alias("json"))
 
 
@@ -252,7 +260,7 @@ def q_published_summary_view(spark, sf_dir):
 
 def q_staged_trades(spark, sf_dir):
     """A source frame with raw column names -> cleaned names, staging types, id."""
-    events = FX.load_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     k = FX.k_of("props")
     raw = events.where(F.col("event_type").isin(*FX.TRADE_EVENT_TYPES)).select(
         F.col("event_id").alias("Unnamed: 0"),
@@ -266,7 +274,7 @@ def q_staged_trades(spark, sf_dir):
 
 def q_coin_tagged_prices(spark, sf_dir):
     """One document set per coin request; the coin is a constant column of each."""
-    events = FX.load_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     docs = PR.price_docs_from_prices(FX.price_points_from_events(events))
     out = None
     for coin in FX.PRICE_EVENT_COINS.values():
@@ -295,7 +303,7 @@ def q_daily_price_load_replayed(spark, sf_dir):
 
 
 def q_stream_load_replayed(spark, sf_dir):
-    events = FX.load_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     base = _session.scratch_path(spark, "price-stream")
     ST.land_price_docs(PR.price_docs_from_prices(FX.price_points_from_events(events)), f"{base}/landing")
     table = JB.prices_table(spark, path=f"{base}/table")
@@ -568,6 +576,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 if __name__ == "__main__":  # pragma: no cover
-    spark = _session.build_session()
-    entry(spark).show()
-    print(os.getcwd())
+    entry(_session.build_session()).show()

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "COIN_TOKENS", "HOUR_KEY_FORMATS", "as_col", "to_ts", "hour_key", "hour_slot",
-    "slot_day", "hour_text_from_slot", "day_key", "day_text_from_slot", "coin_to_token",
+    "slot_day", "hour_text_from_slot", "day_key", "coin_to_token",
     "price_gap", "market_value", "month_start", "days_before", "month_start_text",
     "to_unix_seconds", "unix_ms_to_text", "round_half_even", "row_json", "element",
     "text_to_date", "epoch_ntz",
@@ -70,10 +70,6 @@ def slot_day(slot, mode: str = "12h") -> Column:
     return F.floor(as_col(slot) / _slots_per_day(mode)).cast("int")
 
 
-def day_text_from_slot(slot, mode: str = "12h") -> Column:
-    return F.date_format(F.date_from_unix_date(slot_day(slot, mode)), "yyyy-MM-dd")
-
-
 def hour_text_from_slot(slot, mode: str = "12h") -> Column:
     """Hour-key text of a slot, identical to ``hour_key`` of any timestamp in it."""
     n = _slots_per_day(mode)

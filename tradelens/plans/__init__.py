@@ -1,4 +1,3 @@
-"""End-to-end results: the price-gap view, the summary view and the dashboard data."""
+"""End-to-end results: the price-gap view in its two plans, left-join counts, leg summaries."""
 
 from .price_gap import price_gap_daily, price_gap_from_legs, left_join_counts, leg_summary  # noqa: F401
-from .dashboard import summary_view, headline, tokens, series, one_token  # noqa: F401

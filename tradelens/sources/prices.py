@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import unix_ms_to_text, epoch_ntz
+from ..functions.scalars import element, unix_ms_to_text
 from ..operators.joins import checked_broadcast
 from ..schemas import PRICE_DOC, PRICE_DOC_DDL
 
@@ -88,10 +88,10 @@ def explode_price_docs(parsed: DataFrame, keep: tuple[str, ...] = ("coin",)) ->
     rows = parsed.where(p.isNotNull()).select(*keep, F.inline(zipped))
     return rows.select(
         *keep,
-        unix_ms_to_text(F.col("p")[0].cast("long")).alias("date_time"),
-        F.col("p")[1].alias("prices"),
-        F.col("m")[1].alias("market_cap"),
-        F.col("v")[1].alias("total_volume"),
+        unix_ms_to_text(element("p", 0).cast("long")).alias("date_time"),
+        element("p", 1).alias("prices"),
+        element("m", 1).alias("market_cap"),
+        element("v", 1).alias("total_volume"),
     )
 
 
@@ -110,8 +110,3 @@ def read_price_docs(spark: SparkSession, path: str, multi_line: bool = False) ->
     raw = (spark.read.schema(PRICE_DOC_DDL + ", coin string")
            .option("multiLine", str(multi_line).lower()).json(path))
     return explode_price_docs(raw).select("coin", *PRICE_ROW_COLUMNS)
-
-
-def event_ms(ts) -> F.Column:
-    """Milliseconds since epoch of a TIMESTAMP_NTZ read as UTC."""
-    return F.timestamp_diff("MILLISECOND", epoch_ntz(), F.col(ts) if isinstance(ts, str) else ts)
