@@ -69,31 +69,39 @@ def q_trade_price_left_join(spark, sf_dir):
 
 
 def _legs_query(side):
+    """One side of the view per (hour key, token), from weighted view rows."""
     def run(spark, sf_dir):
         trades, prices = _tables(spark, sf_dir)
-        out = PG.leg_summary(LG.leg_pairs(trades, prices, side))
+        rows = LG.weighted_view_rows(trades, prices).where(F.col("side") == side)
+        out = PG.leg_summary_weighted(rows)
         return _r(out, {"sum_amount": 6, "avg_cow_price": 6, "avg_price_difference": 6,
                         "sum_external_value_usd": 6, "sum_usd_cow_value": 6})
     return run
 
 
 def q_legs_union_all(spark, sf_dir):
+    """Counts and value sums of ``sell side UNION ALL buy side`` per token.
+
+    All four are linear in the market price, so each leg meets the count and sum of
+    its hour's prices (one row per leg, no pairs).  Sums over millions of view rows
+    reach 1e10, where a double's last bit exceeds any decimal rounding; the inputs
+    have at most 4 decimals, so each term is summed exactly as an integer count of
+    1e-4 (a long sum, < 2**53) and divided once.
+    """
     trades, prices = _tables(spark, sf_dir)
-    legs = LG.legs_union_all(trades, prices)
-    # Sums over millions of pairs reach 1e10, where a double's last bit exceeds any
-    # decimal rounding.  The inputs have at most 4 decimals, so each term is summed
-    # exactly as an integer count of 1e-4 (a long sum, < 2**53) and divided once.
-    return legs.groupBy("cow_token").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        _exact_sum("amount").alias("sum_amount"),
-        _exact_sum("external_value_usd").alias("sum_external_value_usd"),
-        _exact_sum("usd_cow_value").alias("sum_usd_cow_value"))
+    legs = LG.legs_with_price_sums(trades, prices)
+    n = F.col("n")
+    return legs.groupBy(F.col("token").alias("cow_token")).agg(
+        F.sum(n).alias("n_rows"),
+        _exact_sum(F.col("amount") * n).alias("sum_amount"),
+        _exact_sum(F.col("amount") * F.col("sum_price")).alias("sum_external_value_usd"),
+        _exact_sum(F.col("usd_cow_value") * n).alias("sum_usd_cow_value"))
 
 
 def _exact_sum(c):
     # rint (Math.rint) is the fast native rounding; every term lies within ~1e-6 of
     # an integer count of 1e-4, never on a .5 tie, so it equals SQL round here.
-    return F.sum(F.rint(F.col(c) * 10000).cast("long")) / F.lit(10000.0)
+    return F.sum(F.rint(c * 10000).cast("long")) / F.lit(10000.0)
 
 
 def q_trade_summary_daily(spark, sf_dir):

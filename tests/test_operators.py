@@ -146,3 +146,31 @@ def test_null_prices_are_ignored_like_avg(spark):
                   [price("2024-01-05 10:30:00", "ethereum", 1.0), ("2024-01-05 10:40:00", None, None, None, "ethereum")])
     assert gap_rows(PG.price_gap_daily(t, p)) == [("2024-01-05", "WETH", 25.0)]
     assert gap_rows(PG.price_gap_daily(t, p, plan="union")) == [("2024-01-05", "WETH", 25.0)]
+
+
+_maybe_prices = st.one_of(st.none(), _prices)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(trades=st.lists(st.tuples(_hours, st.integers(0, 59), _prices, _prices, st.booleans()), min_size=1, max_size=10),
+       prices=st.lists(st.tuples(_hours, st.integers(0, 59), _coins, _maybe_prices), min_size=1, max_size=14))
+def test_compressed_view_forms_equal_the_row_form(spark, trades, prices):
+    """Property: weighted view rows and per-leg price sums give the row form's aggregates."""
+    rows_t = [trade(_ts(h, m), sell_price=sp, buy_price=bp,
+                    sell_token="USDC" if d else "WETH", buy_token="WETH" if d else "USDC")
+              for h, m, sp, bp, d in trades]
+    rows_p = [price(_ts(h, m), c, v) if v is not None else (_ts(h, m), None, None, None, c) for h, m, c, v in prices]
+    t, p = frames(spark, rows_t, rows_p)
+
+    def summary(df):
+        return sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect())
+    for side in ("sell", "buy"):
+        row_form = PG.leg_summary(LG.leg_pairs(t, p, side))
+        weighted = PG.leg_summary_weighted(LG.weighted_view_rows(t, p).where(F.col("side") == side))
+        assert summary(row_form.select(*sorted(row_form.columns))) == summary(weighted.select(*sorted(row_form.columns)))
+    rows = LG.legs_union_all(t, p).groupBy("cow_token").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("amount").alias("a"), F.sum("external_value_usd").alias("v"))
+    sums = LG.legs_with_price_sums(t, p).groupBy(F.col("token").alias("cow_token")).agg(
+        F.sum("n").alias("n"), F.sum(F.col("amount") * F.col("n")).alias("a"),
+        F.sum(F.col("amount") * F.col("sum_price")).alias("v"))
+    assert summary(rows) == summary(sums)

@@ -124,3 +124,46 @@ def legs_union_all(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap:
     """``sell side UNION ALL buy side`` of the source view (both sides share one join)."""
     all_data = view_all_data(trades, prices, mode, mapping, broadcast_max_rows)
     return leg_side(all_data, "sell", gap).unionByName(leg_side(all_data, "buy", gap))
+
+
+def weighted_view_rows(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
+                       mapping: dict | None = None,
+                       broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Both sides of the view as a multiset: each row stands for ``n`` identical view rows.
+
+    Legs (one per trade side) are joined to distinct (slot, token, price) with their
+    multiplicity, so a price repeated within an hour key is one joined row of
+    weight ``n`` rather than ``n`` rows.  Columns: slot, side, cow_token, amount,
+    cow_price, external_price, n, price_difference, external_value_usd, usd_cow_value.
+    """
+    legs = trade_legs(trades, mode).withColumnRenamed("token", "cow_token")
+    side = checked_broadcast(weighted_prices(prices, mode, mapping).withColumnRenamed("token", "cow_token"),
+                             broadcast_max_rows, mapped_prices(prices, mode, mapping))
+    return legs.join(side, ["slot", "cow_token"]).select(
+        "slot", "side", "cow_token", "amount", "cow_price", "external_price", "n",
+        price_gap("cow_price", "external_price", gap).alias("price_difference"),
+        market_value("amount", "external_price").alias("external_value_usd"),
+        "usd_cow_value")
+
+
+def price_sums(prices: DataFrame, mode: str = "12h", mapping: dict | None = None) -> DataFrame:
+    """Per (slot, token): the number ``n`` of price rows and their sum ``sum_price``.
+
+    Enough for every aggregate that is linear in the market price (counts, sums of
+    amount x price): joined to it, each leg gives one row instead of one per price.
+    """
+    return mapped_prices(prices, mode, mapping).groupBy("slot", "token").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("external_price").alias("sum_price"))
+
+
+def legs_with_price_sums(trades: DataFrame, prices: DataFrame, mode: str = "12h",
+                         mapping: dict | None = None,
+                         broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Each leg with ``n`` and ``sum_price`` of its (slot, token): one row per leg.
+
+    ``sum(n)`` is the number of view rows (sell side UNION ALL buy side), and
+    ``sum(amount * sum_price)`` their market value, without emitting the pairs.
+    """
+    side = checked_broadcast(price_sums(prices, mode, mapping), broadcast_max_rows,
+                             mapped_prices(prices, mode, mapping))
+    return trade_legs(trades, mode).join(side, ["slot", "token"])

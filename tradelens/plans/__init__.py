@@ -1,3 +1,4 @@
 """End-to-end results: the price-gap view in its two plans, left-join counts, leg summaries."""
 
-from .price_gap import price_gap_daily, price_gap_from_legs, left_join_counts, leg_summary  # noqa: F401
+from .price_gap import (price_gap_daily, price_gap_from_legs, left_join_counts, leg_summary,  # noqa: F401
+                        leg_summary_weighted)

@@ -103,3 +103,18 @@ def leg_summary(legs: DataFrame, mode: str = "12h") -> DataFrame:
         F.sum("usd_cow_value").alias("sum_usd_cow_value"),
     )
     return agg.select(hour_text_from_slot("slot", mode).alias("datetime"), *[c for c in agg.columns if c != "slot"])
+
+
+def leg_summary_weighted(rows: DataFrame, mode: str = "12h") -> DataFrame:
+    """``leg_summary`` over weighted view rows (``weighted_view_rows``): same result."""
+    n = F.col("n")
+    pd = F.col("price_difference")
+    agg = rows.groupBy("slot", "cow_token").agg(
+        F.sum(n).alias("n_rows"),
+        F.sum(F.col("amount") * n).alias("sum_amount"),
+        (F.sum(F.col("cow_price") * n) / F.sum(F.when(F.col("cow_price").isNotNull(), n))).alias("avg_cow_price"),
+        (F.sum(pd * n) / F.sum(F.when(pd.isNotNull(), n))).alias("avg_price_difference"),
+        F.sum(F.col("external_value_usd") * n).alias("sum_external_value_usd"),
+        F.sum(F.col("usd_cow_value") * n).alias("sum_usd_cow_value"),
+    )
+    return agg.select(hour_text_from_slot("slot", mode).alias("datetime"), *[c for c in agg.columns if c != "slot"])
