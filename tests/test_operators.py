@@ -174,3 +174,11 @@ def test_compressed_view_forms_equal_the_row_form(spark, trades, prices):
         F.sum("n").alias("n"), F.sum(F.col("amount") * F.col("n")).alias("a"),
         F.sum(F.col("amount") * F.col("sum_price")).alias("v"))
     assert summary(rows) == summary(sums)
+
+
+def test_zero_price_sum_can_be_skipped(spark):
+    t, p = frames(spark, [trade("2024-01-05 10:00:00", buy_price=0.0), trade("2024-01-05 10:05:00", buy_price=3.0)],
+                  [price("2024-01-05 10:30:00", "ethereum", 0.0), price("2024-01-05 10:31:00", "ethereum", 1.0)])
+    # pairs (0,0) skipped; (0,1) -> -25, (3,0) -> 25, (3,1) -> 25
+    got = gap_rows(PG.price_gap_daily(t, p, on_zero="null"))
+    assert got == [("2024-01-05", "WETH", round(25 / 3, 9))]

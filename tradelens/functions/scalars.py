@@ -95,17 +95,22 @@ def coin_to_token(coin, mapping: dict | None = None) -> Column:
     return out if out is not None else F.lit(None).cast("string")
 
 
-def price_gap(trade_price, external_price, mode: str = "quarter") -> Column:
+def price_gap(trade_price, external_price, mode: str = "quarter", on_zero: str = "raise") -> Column:
     """Gap between a trade price and the market price, in percent.
 
     'quarter' is the source formula ``((p - e) / (p + e) / 2) * 100``;
-    'symmetric_pct' is ``(p - e) / ((p + e) / 2) * 100``.
+    'symmetric_pct' is ``(p - e) / ((p + e) / 2) * 100``.  A zero ``p + e`` raises
+    (ANSI, as the source database does); ``on_zero='null'`` gives NULL instead, and
+    AVG then skips the pair.
     """
     p, e = as_col(trade_price), as_col(external_price)
+    if on_zero not in ("raise", "null"):
+        raise ValueError("on_zero must be 'raise' or 'null'")
+    div = F.try_divide if on_zero == "null" else (lambda a, b: a / b)
     if mode == "quarter":
-        return ((p - e) / (p + e) / 2) * 100
+        return (div(p - e, p + e) / 2) * 100
     if mode == "symmetric_pct":
-        return (p - e) / ((p + e) / 2) * 100
+        return div(p - e, (p + e) / 2) * 100
     raise ValueError("gap mode must be 'quarter' or 'symmetric_pct'")
 
 

@@ -24,9 +24,14 @@ from ..operators.legs import keyed_prices, legs_union_all, mapped_prices, trade_
 
 def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
                     plan: str = "single_join", mapping: dict | None = None,
-                    broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Columns: date (``yyyy-MM-dd`` text), cow_token, avg_price_difference."""
+                    broadcast_max_rows: int = BROADCAST_MAX_ROWS, on_zero: str = "raise") -> DataFrame:
+    """Columns: date (``yyyy-MM-dd`` text), cow_token, avg_price_difference.
+
+    ``on_zero='null'`` skips pairs whose prices sum to zero instead of failing.
+    """
     if plan == "union":
+        if on_zero != "raise":
+            raise ValueError("the union plan mirrors the source view: on_zero='raise' only")
         return price_gap_from_legs(legs_union_all(trades, prices, mode, gap, mapping, broadcast_max_rows), mode)
     if plan != "single_join":
         raise ValueError("plan must be 'single_join' or 'union'")
@@ -35,7 +40,7 @@ def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap
     pairs = join_prices(legs, side, ("slot", "token"), "inner", broadcast_max_rows,
                         bound_by=mapped_prices(prices, mode, mapping))
     n = F.col("n")
-    diff = price_gap("cow_price", "external_price", gap)
+    diff = price_gap("cow_price", "external_price", gap, on_zero)
     # Group on the integer day (cheap per joined row); format the date text only
     # on the aggregated rows.  Like AVG, pairs whose gap is NULL (a NULL price)
     # count in neither sum.
