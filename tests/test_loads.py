@@ -170,3 +170,20 @@ def test_bucketed_trades_summary_needs_no_history_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 1     # only the final (day, pair) merge
     got = {r.block_date.isoformat(): r.no_txn for r in summary.collect()}
     assert got == {"2024-01-13": 1, "2024-01-14": 2}
+
+
+def test_stream_into_a_catalog_table_sees_its_own_appends(spark):
+    """foreachBatch runs in a cloned session: the target is refreshed before each anti-join."""
+    tag = uuid.uuid4().hex[:6]
+    db = TB.create_namespace(spark, f"stream_{tag}")
+    base = scratch_path(spark, "stream-catalog")
+    table = JB.prices_table(spark, name=f"{db}.coin_prices")
+    doc = ('{"prices": [[1704067200000, 2.0], [1704070800000, 2.5]], "market_caps": [[1704067200000, 3.0], '
+           '[1704070800000, 3.5]], "total_volumes": [[1704067200000, 4.0], [1704070800000, 4.5]]}')
+    for i in range(3):  # the same document lands three times, one file per trigger
+        ST.land_price_docs(spark.createDataFrame([("ethereum", doc)], "coin string, doc string"), f"{base}/landing")
+        ST.stream_price_docs(spark, f"{base}/landing", table, f"{base}/ck", max_files_per_trigger=1).awaitTermination()
+        assert table.read().count() == 2
+    ST.stream_price_docs(spark, f"{base}/landing", table, f"{base}/ck-replay",
+                         max_files_per_trigger=1).awaitTermination()
+    assert table.read().count() == 2
