@@ -79,7 +79,7 @@ def load_counts(batch: DataFrame, existing_ids: DataFrame) -> DataFrame:
     distinct ids not yet stored.  One left join and one aggregation.
     """
     known = existing_ids.select("id").distinct().withColumn("_known", F.lit(True))
-    flagged = batch.select("id").join(checked_broadcast(known), "id", "left")
+    flagged = batch.select("id").join(checked_broadcast(known, bound_by=existing_ids), "id", "left")
     return flagged.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_distinct(F.when(F.col("_known").isNull(), F.col("id"))).alias("inserted_rows"),

@@ -60,7 +60,7 @@ def price_docs_from_prices(points: DataFrame, ms_col: str = "ms",
         F.floor(F.col(ms_col) / 3_600_000).cast("long").alias("doc_hour"))
     sizes = pts.groupBy("coin", "doc_hour").agg(
         F.ceil(F.count(F.lit(1)) / F.lit(max_points)).cast("int").alias("n_docs"))
-    chunked = pts.join(checked_broadcast(sizes), ["coin", "doc_hour"]).withColumn(
+    chunked = pts.join(checked_broadcast(sizes, bound_by=pts), ["coin", "doc_hour"]).withColumn(
         "chunk", F.pmod(F.xxhash64("ms", "prices", "market_cap", "total_volume"), F.col("n_docs")).cast("int"))
     grouped = (chunked.groupBy("coin", "doc_hour", "chunk")
                .agg(F.sort_array(F.collect_list(F.struct("ms", "prices", "market_cap", "total_volume")))
