@@ -94,3 +94,18 @@ def test_hot_slot_is_split_by_the_skew_join(spark):
     want = sorted((r.date, r.cow_token, round(r.avg_price_difference, 9))
                   for r in PG.price_gap_daily(trades, prices).collect())
     assert got == want
+
+
+def test_published_view_carries_the_measured_join_strategy(spark):
+    import uuid
+    from tradelens.sinks import views as VW
+    trades, prices = FX.fixture_tables(spark, SF_SMALL)
+    tag = uuid.uuid4().hex[:6]
+    trades.createOrReplaceTempView(f"pv_trades_{tag}")
+    prices.createOrReplaceTempView(f"pv_prices_{tag}")
+    small = VW.publish_views(spark, f"pv_trades_{tag}", f"pv_prices_{tag}", temporary=True)["price_gap_daily"]
+    text = plan_text(small)
+    assert "BroadcastHashJoin" in text and "BuildRight" in text
+    big = VW.publish_views(spark, f"pv_trades_{tag}", f"pv_prices_{tag}", temporary=True,
+                           broadcast_max_rows=2)["price_gap_daily"]
+    assert "SortMergeJoin" in plan_text(big)

@@ -79,11 +79,15 @@ def load_prices(spark: SparkSession, source: DataFrame, table: StagingTable, coi
 
 def daily_load(spark: SparkSession, trade_source: DataFrame, price_source: DataFrame,
                trades: StagingTable, prices: StagingTable, as_of,
-               coins=DEFAULT_COINS) -> list[LoadReport]:
+               coins=DEFAULT_COINS, views_db: str | None = None) -> list[LoadReport]:
     """The scheduled daily task: previous-day trades, then the coins' previous-day prices
-    (all coins in one batch: one scan, one anti-join, one append)."""
-    return [load_trades(spark, trade_source, trades, as_of),
-            load_prices(spark, price_source, prices, list(coins), as_of)]
+    (all coins in one batch: one scan, one anti-join, one append).  With ``views_db``
+    the views are published again, which re-measures the price-join strategy."""
+    reports = [load_trades(spark, trade_source, trades, as_of),
+               load_prices(spark, price_source, prices, list(coins), as_of)]
+    if views_db is not None and trades.name and prices.name:
+        publish_views(spark, trades.name, prices.name, target=views_db)
+    return reports
 
 
 def backfill(spark: SparkSession, trade_source: DataFrame, price_source: DataFrame,

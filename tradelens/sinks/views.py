@@ -2,7 +2,8 @@
 
 The price-gap view is written in the single-join form: each trade unpivoted into
 its two legs, joined once on (hour slot, token).  Catalyst plans it like the
-DataFrame version in ``plans.price_gap``.
+DataFrame version in ``plans.price_gap``; the join strategy is measured when the
+view is published and written into it as a hint.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.scalars import COIN_TOKENS
+from ..operators.joins import BROADCAST_MAX_ROWS
+from ..operators.legs import mapped_prices, weighted_prices
 
 _GAP_EXPR = {
     "quarter": "((cow_price - external_price) / (cow_price + external_price) / 2) * 100",
@@ -26,8 +29,11 @@ def _slot(ts_sql: str, n: int) -> str:
     return f"unix_date(to_date({ts_sql})) * {n} + hour({ts_sql}) % {n}"
 
 
-def price_gap_view_sql(trades: str, prices: str, mode: str = "12h", gap: str = "quarter") -> str:
+def price_gap_view_sql(trades: str, prices: str, mode: str = "12h", gap: str = "quarter",
+                       join_hint: str | None = None) -> str:
+    """The price-gap view; ``join_hint`` ('BROADCAST' or 'MERGE') names the price-side strategy."""
     n = 12 if mode == "12h" else 24
+    hint = f"/*+ {join_hint}(px) */ " if join_hint else ""
     t_ts = "CAST(block_time AS TIMESTAMP_NTZ)"
     p_ts = "CAST(date_time AS TIMESTAMP_NTZ)"
     return f"""
@@ -43,7 +49,7 @@ WITH legs AS (
   WHERE token IS NOT NULL
   GROUP BY slot, token, external_price
 ), days AS (
-  SELECT CAST(floor(legs.slot / {n}) AS INT) AS day, legs.token AS cow_token,
+  SELECT {hint}CAST(floor(legs.slot / {n}) AS INT) AS day, legs.token AS cow_token,
          sum(({_GAP_EXPR[gap]}) * px.n) AS gap_sum,
          sum(CASE WHEN ({_GAP_EXPR[gap]}) IS NOT NULL THEN px.n END) AS pairs
   FROM legs JOIN px ON legs.slot = px.slot AND legs.token = px.token
@@ -68,16 +74,36 @@ FROM {trades}
 GROUP BY block_date, token_pair"""
 
 
+def price_side_hint(spark: SparkSession, prices: str, mode: str = "12h",
+                    broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> str:
+    """'BROADCAST' if the view's price side measures under half the bound, else 'MERGE'.
+
+    A view is planned on every read, after the decision; the half-bound margin
+    covers the growth of the price table until the next publish (the daily job
+    publishes again).  The row count is bounded by the keyed price rows first.
+    """
+    table = spark.table(prices)
+    side = weighted_prices(table, mode)
+    limit = broadcast_max_rows // 2
+    for probe in (mapped_prices(table, mode), side):
+        if probe.limit(limit + 1).count() <= limit:
+            return "BROADCAST"
+    return "MERGE"
+
+
 def publish_views(spark: SparkSession, trades: str, prices: str, target: str | None = None,
-                  mode: str = "12h", gap: str = "quarter", temporary: bool = False) -> dict[str, DataFrame]:
+                  mode: str = "12h", gap: str = "quarter", temporary: bool = False,
+                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> dict[str, DataFrame]:
     """Create or replace ``price_gap_daily`` and ``trade_summary_daily``.
 
     ``target`` is the database of persistent views; ``temporary=True`` publishes
-    session views instead (allowed over temporary inputs).
+    session views instead (allowed over temporary inputs).  The price join of the
+    first view carries a strategy hint measured now (``price_side_hint``).
     """
     kind = "TEMPORARY VIEW" if temporary else "VIEW"
     prefix = "" if temporary or not target else f"{target}."
-    names = {"price_gap_daily": price_gap_view_sql(trades, prices, mode, gap),
+    hint = price_side_hint(spark, prices, mode, broadcast_max_rows)
+    names = {"price_gap_daily": price_gap_view_sql(trades, prices, mode, gap, hint),
              "trade_summary_daily": summary_view_sql(trades)}
     out = {}
     for name, body in names.items():
