@@ -182,3 +182,11 @@ def test_zero_price_sum_can_be_skipped(spark):
     # pairs (0,0) skipped; (0,1) -> -25, (3,0) -> 25, (3,1) -> 25
     got = gap_rows(PG.price_gap_daily(t, p, on_zero="null"))
     assert got == [("2024-01-05", "WETH", round(25 / 3, 9))]
+
+
+def test_dedupe_prices_avg_meets_one_price_per_key(spark):
+    t, p = frames(spark, [trade("2024-01-05 10:00:00", buy_price=3.0)],
+                  [price("2024-01-05 10:30:00", "ethereum", 1.0), price("2024-01-05 10:40:00", "ethereum", 5.0)])
+    # every row: (25 + -12.5) / 2 = 6.25; averaged price 3 -> 0
+    assert gap_rows(PG.price_gap_daily(t, p)) == [("2024-01-05", "WETH", 6.25)]
+    assert gap_rows(PG.price_gap_daily(t, p, dedupe_prices="avg")) == [("2024-01-05", "WETH", 0.0)]

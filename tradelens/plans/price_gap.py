@@ -24,19 +24,29 @@ from ..operators.legs import keyed_prices, legs_union_all, mapped_prices, trade_
 
 def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
                     plan: str = "single_join", mapping: dict | None = None,
-                    broadcast_max_rows: int = BROADCAST_MAX_ROWS, on_zero: str = "raise") -> DataFrame:
+                    broadcast_max_rows: int = BROADCAST_MAX_ROWS, on_zero: str = "raise",
+                    dedupe_prices: str = "none") -> DataFrame:
     """Columns: date (``yyyy-MM-dd`` text), cow_token, avg_price_difference.
 
     ``on_zero='null'`` skips pairs whose prices sum to zero instead of failing.
+    ``dedupe_prices='avg'`` first averages the prices of each (hour key, token), so a
+    trade meets one price per key instead of every price row (a different result;
+    the source joins every row).
     """
+    if dedupe_prices not in ("none", "avg"):
+        raise ValueError("dedupe_prices must be 'none' or 'avg'")
     if plan == "union":
-        if on_zero != "raise":
-            raise ValueError("the union plan mirrors the source view: on_zero='raise' only")
+        if on_zero != "raise" or dedupe_prices != "none":
+            raise ValueError("the union plan mirrors the source view: no on_zero / dedupe_prices options")
         return price_gap_from_legs(legs_union_all(trades, prices, mode, gap, mapping, broadcast_max_rows), mode)
     if plan != "single_join":
         raise ValueError("plan must be 'single_join' or 'union'")
     legs = trade_legs(trades, mode, fields=("token", "cow_price")).select("slot", "token", "cow_price")
-    side = weighted_prices(prices, mode, mapping)
+    if dedupe_prices == "avg":
+        side = mapped_prices(prices, mode, mapping).groupBy("slot", "token").agg(
+            F.avg("external_price").alias("external_price"), F.lit(1).cast("long").alias("n"))
+    else:
+        side = weighted_prices(prices, mode, mapping)
     pairs = join_prices(legs, side, ("slot", "token"), "inner", broadcast_max_rows,
                         bound_by=mapped_prices(prices, mode, mapping))
     n = F.col("n")
