@@ -68,22 +68,23 @@ def insert_if_absent(spark: SparkSession, rows: DataFrame, table: StagingTable,
                      schema_name: str | None = None, partition_values: dict | None = None) -> LoadReport:
     """Append the rows whose ``id`` the table does not hold yet; report the counts.
 
-    An empty batch writes nothing (and creates no table).  Counts come from
-    observed metrics of the write job itself, not from extra passes.
+    An empty batch writes nothing (and creates no table).  ``total_rows`` is a row
+    count of the batch; ``inserted_rows`` is observed in the write's own result
+    stage, whose metrics count each partition once even when tasks are retried
+    (an observation in a shuffle stage could count a recomputed stage twice).
     ``partition_values`` ({column: values}) may name a superset of the batch's
     partition values, sparing a pass over the batch to find them.
     """
-    if rows.isEmpty():
+    total = rows.count()
+    if total == 0:
         return LoadReport(schema_name, table.label, 0, 0, list(rows.columns))
     if table.schema is None:
         table.schema = rows.schema
     table.ensure()
-    fetched, written = Observation("fetched"), Observation("written")
-    observed = rows.observe(fetched, F.count(F.lit(1)).alias("n"))
-    new = insert_new_rows(observed, _existing_for(table, rows, partition_values))
-    table.append(new.observe(written, F.count(F.lit(1)).alias("n")))
-    return LoadReport(schema_name, table.label, int(fetched.get["n"]), int(written.get["n"]),
-                      list(rows.columns))
+    written = Observation("written")
+    new = insert_new_rows(rows, _existing_for(table, rows, partition_values))
+    table.append(new, observation=written)
+    return LoadReport(schema_name, table.label, int(total), int(written.get["n"]), list(rows.columns))
 
 
 def seed_if_empty(target: DataFrame, seed: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.naming import clean_schema_name
@@ -84,16 +85,19 @@ class StagingTable:
             reader = reader.schema(self.schema)
         return reader.parquet(self.path)
 
-    def append(self, df: DataFrame) -> None:
+    def append(self, df: DataFrame, observation: Observation | None = None) -> None:
+        """Append ``df``; ``observation`` (a row count ``n``) is taken in the writing stage."""
+        def observed(out: DataFrame) -> DataFrame:
+            return out if observation is None else out.observe(observation, F.count(F.lit(1)).alias("n"))
         if self.name is not None:
             cols = self.spark.table(self.name).columns
             out = df.select(*cols)
             if self.bucket_by is not None:
                 # Same hash as the bucket id: each task writes one bucket file per partition.
                 out = out.repartition(int(self.bucket_by[1]), self.bucket_by[0])
-            out.write.mode("append").insertInto(self.name)
+            observed(out).write.mode("append").insertInto(self.name)
         else:
-            df.write.mode("append").partitionBy(*self.partition_by).parquet(self.path)
+            observed(df).write.mode("append").partitionBy(*self.partition_by).parquet(self.path)
 
     def drop(self) -> None:
         if self.name is not None:
