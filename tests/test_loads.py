@@ -187,3 +187,24 @@ def test_stream_into_a_catalog_table_sees_its_own_appends(spark):
     ST.stream_price_docs(spark, f"{base}/landing", table, f"{base}/ck-replay",
                          max_files_per_trigger=1).awaitTermination()
     assert table.read().count() == 2
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_POOL = [trade(f"2024-01-{d:02d} {h:02d}:00:00", tx_hash=f"t{i}", buy_price=1.0 + i)
+         for i, (d, h) in enumerate([(13, 1), (13, 2), (14, 1), (14, 1), (14, 3), (15, 4)])]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(batches=st.lists(st.lists(st.integers(0, len(_POOL) - 1), min_size=0, max_size=6), min_size=1, max_size=3))
+def test_any_batch_sequence_stores_each_row_once(spark, batches):
+    table = JB.trades_table(spark, path=scratch_path(spark, "t-prop"))
+    inserted = 0
+    for batch in batches:
+        t, _ = frames(spark, [_POOL[i] for i in batch], [])
+        inserted += LD.insert_if_absent(spark, with_row_id(t), table).inserted_rows
+    distinct_rows = {_POOL[i][2] for b in batches for i in b}
+    stored = table.read().collect() if table.exists() else []
+    assert sorted(r.tx_hash for r in stored) == sorted(distinct_rows)
+    assert inserted == len(distinct_rows)

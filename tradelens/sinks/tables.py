@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,9 +54,12 @@ class StagingTable:
     def exists(self) -> bool:
         if self.name is not None:
             return self.spark.catalog.tableExists(self.name)
-        jvm_path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)  # noqa: SLF001
-        fs = jvm_path.getFileSystem(self.spark._jsc.hadoopConfiguration())  # noqa: SLF001
-        return fs.exists(jvm_path) and len(fs.listStatus(jvm_path)) > 0
+        try:
+            # Creating the reader lists the folder; a missing folder is an analysis error.
+            self.spark.read.schema(self.schema or "id string").parquet(self.path)
+            return True
+        except AnalysisException:
+            return False
 
     def ensure(self, schema: T.StructType | None = None) -> bool:
         """Create the empty table with the declared schema if absent; True if created."""
