@@ -507,7 +507,7 @@ FROM coin_prices""",
     "price_docs_exploded": f"""WITH {_FIXTURE_CTES}
 SELECT coin, date_time, prices, market_cap, total_volume FROM coin_prices""",
     "rows_as_json": """SELECT event_id,
-       to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type, 'props': props}) AS json
+       CAST(to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type, 'props': props}) AS VARCHAR) AS json
 FROM events""",
     "row_ids": f"""WITH {_FIXTURE_CTES},
 r AS (SELECT block_date, tx_hash, token_pair, order_type, partial_fill, sell_token, buy_token,

@@ -46,6 +46,19 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(got, key=key) == sorted(want, key=key)
 
 
+# Spark simple type names -> DuckDB type names of the same values.
+_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+          "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_types_match_oracle(spark, con, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    rel = con.sql(E.oracle_sql()[name])
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["date", "cow_token", "avg_price_difference"]

@@ -61,7 +61,7 @@ def token_series(gap: DataFrame) -> DataFrame:
     """
     w = Window.partitionBy("cow_token").orderBy("date")
     return (gap.select("cow_token", text_to_date("date").alias("date"), "avg_price_difference")
-            .withColumn("seq", F.row_number().over(w))
+            .withColumn("seq", F.row_number().over(w).cast("long"))
             .select("cow_token", "seq", "date", "avg_price_difference"))
 
 
