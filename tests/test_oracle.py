@@ -14,7 +14,7 @@ TABLES = ["events"]
 
 def _norm(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 9)
+        return "nan" if math.isnan(v) else v
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
