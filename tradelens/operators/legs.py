@@ -67,16 +67,16 @@ def view_all_data(trades: DataFrame, prices: DataFrame, mode: str = "12h",
     join runs on the integer hour slot (equal slots <=> equal key texts); the
     ``datetime`` / ``date_time`` texts are computed once per input row.
     """
-    cow = trades.select(
+    trade_side = trades.select(
         hour_slot("block_time", mode).alias("slot"),
         hour_key("block_time", mode).alias("datetime"), "token_pair", "order_type", "partial_fill",
         "units_sold", "sell_value_usd", "sell_token", "sell_price", "units_bought",
         F.col("usd_value").alias("buy_value_usd"), "buy_token", "buy_price")
-    geck = prices.select(hour_slot("date_time", mode).alias("slot"),
-                         hour_key("date_time", mode).alias("date_time"),
-                         coin_to_token("coin", mapping).alias("coin"),
-                         F.col("prices").alias("external_price"))
-    return cow.join(checked_broadcast(geck, broadcast_max_rows), "slot", "left")
+    price_side = prices.select(hour_slot("date_time", mode).alias("slot"),
+                               hour_key("date_time", mode).alias("date_time"),
+                               coin_to_token("coin", mapping).alias("coin"),
+                               F.col("prices").alias("external_price"))
+    return trade_side.join(checked_broadcast(price_side, broadcast_max_rows), "slot", "left")
 
 
 # The columns each side of the source view reads.
@@ -113,8 +113,8 @@ def leg_pairs(trades: DataFrame, prices: DataFrame, side: str, mode: str = "12h"
               broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows of one side of the view: every (trade leg, price) pair.
 
-    Columns: datetime (hour-key text), external_coin, cow_token, amount, cow_price,
-    price_difference, external_value_usd, usd_cow_value.
+    Columns: slot, datetime (hour-key text), external_coin, cow_token, amount,
+    cow_price, price_difference, external_value_usd, usd_cow_value.
     """
     return leg_side(view_all_data(trades, prices, mode, mapping, broadcast_max_rows), side, gap)
 
