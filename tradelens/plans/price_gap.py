@@ -8,8 +8,9 @@ Two plans give the same rows:
   measured size is under the bound, and the join streams into a partial aggregate,
   so the joined rows are never stored and the trades are never shuffled when the
   prices are broadcast.
-* ``union``: the source view's shape: left join on the hour-key text, one filter per
-  side, ``UNION ALL``, then the daily average.
+* ``union``: the source view's shape: left join on the hour key (as its integer
+  slot), one filter per side, ``UNION ALL`` of every (leg, price row) pair, then the
+  daily average.  Kept as the reference form and cross-check.
 """
 
 from __future__ import annotations
