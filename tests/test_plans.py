@@ -87,6 +87,9 @@ def test_hot_slot_is_split_by_the_skew_join(spark):
         shuffled = PG.price_gap_daily(trades, prices, broadcast_max_rows=0)
         got = sorted((r.date, r.cow_token, round(r.avg_price_difference, 9)) for r in shuffled.collect())
         final = plan_text(shuffled)
+        left = PG.left_join_counts(trades, prices, broadcast_max_rows=0)
+        left_rows = sorted(left.collect())
+        left_final = plan_text(left)
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
@@ -94,6 +97,9 @@ def test_hot_slot_is_split_by_the_skew_join(spark):
     want = sorted((r.date, r.cow_token, round(r.avg_price_difference, 9))
                   for r in PG.price_gap_daily(trades, prices).collect())
     assert got == want
+    # The left join (trades keep their rows) splits the hot trade partition too.
+    assert "SortMergeJoin(skew=true)" in left_final and "LeftOuter" in left_final
+    assert left_rows == sorted(PG.left_join_counts(trades, prices).collect())
 
 
 def test_published_view_carries_the_measured_join_strategy(spark):
