@@ -21,7 +21,8 @@ def checked_broadcast(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     only when it exceeds the bound is ``side`` itself counted.  Beyond the bound the
     side carries a sort-merge hint, so neither the planner's size estimate nor a
     run-time re-plan can broadcast it; both sides are shuffled on the join keys and
-    AQE splits skewed key partitions.
+    AQE splits skewed key partitions.  The count runs when the plan is built, so
+    build the plan right before running it.
     """
     if max_rows > 0:
         for probe in ([bound_by] if bound_by is not None else []) + [side]:
