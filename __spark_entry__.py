@@ -310,6 +310,16 @@ def q_daily_price_load_replayed(spark, sf_dir):
     return p.read().drop("id")
 
 
+def q_backfill_price_gap(spark, sf_dir):
+    """Initial load into staging tables, then the daily price gap read from them."""
+    trades, prices = _tables(spark, sf_dir)
+    base = _session.scratch_path(spark, "backfill")
+    t = JB.trades_table(spark, path=f"{base}/trades")
+    p = JB.prices_table(spark, path=f"{base}/prices")
+    JB.backfill(spark, trades, prices, t, p, AS_OF)
+    return _r(PG.price_gap_daily(t.read(), p.read()), {"avg_price_difference": 6})
+
+
 def q_stream_load_replayed(spark, sf_dir):
     events = _events(spark, sf_dir)
     base = _session.scratch_path(spark, "price-stream")
@@ -354,6 +364,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_load_replayed": q_daily_load_replayed,
     "daily_price_load_replayed": q_daily_price_load_replayed,
     "stream_load_replayed": q_stream_load_replayed,
+    "backfill_price_gap": q_backfill_price_gap,
 }
 
 
@@ -376,22 +387,22 @@ coin_prices AS (
   FROM ev WHERE event_type IN ('view', 'click', 'error'))"""
 
 
-def _view_ctes(hour_fmt="%I", gap="quarter"):
+def _view_ctes(hour_fmt="%I", gap="quarter", trades_src="trades", prices_src="coin_prices", base=None):
     def diff(p):
         if gap == "quarter":
             return f"(({p} - external_price) / ({p} + external_price) / 2) * 100"
         return f"({p} - external_price) / (({p} + external_price) / 2) * 100"
-    return f"""{_FIXTURE_CTES},
+    return f"""{base or _FIXTURE_CTES},
 cow_trades AS (
   SELECT strftime(date_trunc('hour', CAST(block_time AS TIMESTAMP)), '%Y-%m-%d {hour_fmt}:00') AS datetime,
          token_pair, order_type, partial_fill, units_sold, sell_value_usd, sell_token, sell_price,
          units_bought, usd_value AS buy_value_usd, buy_token, buy_price
-  FROM trades),
+  FROM {trades_src}),
 coin_gecko_data AS (
   SELECT strftime(date_trunc('hour', CAST(date_time AS TIMESTAMP)), '%Y-%m-%d {hour_fmt}:00') AS date_time,
          CASE WHEN coin = 'ethereum' THEN 'WETH' WHEN coin = 'usd-coin' THEN 'USDC' END AS coin,
          prices AS external_price
-  FROM coin_prices),
+  FROM {prices_src}),
 all_data AS (
   SELECT * FROM cow_trades AS c LEFT JOIN coin_gecko_data AS g ON g.date_time = c.datetime),
 buy_side AS (
@@ -565,6 +576,15 @@ WHERE buy_token = 'WETH' AND sell_token = 'USDC' AND block_date = DATE '{AS_OF}'
 SELECT DISTINCT {_PRICE_ROW_COLS} FROM coin_prices
 WHERE coin IN ('ethereum', 'usd-coin') AND date_time BETWEEN '2024-01-14 00:00:00' AND '2024-01-14 23:59:59'""",
     "stream_load_replayed": f"WITH {_FIXTURE_CTES}\nSELECT DISTINCT {_PRICE_ROW_COLS} FROM coin_prices",
+    "backfill_price_gap": "WITH " + _view_ctes(trades_src="staged_trades", prices_src="staged_prices", base=f"""{_FIXTURE_CTES},
+staged_trades AS (
+  SELECT DISTINCT {_TRADE_COLS} FROM trades
+  WHERE buy_token = 'WETH' AND sell_token = 'USDC'
+    AND block_date >= DATE '2024-01-01' AND block_date < DATE '{AS_OF}'),
+staged_prices AS (
+  SELECT DISTINCT {_PRICE_ROW_COLS} FROM coin_prices
+  WHERE coin IN ('ethereum', 'usd-coin') AND date_time BETWEEN '2024-01-01 00:00:00' AND '2024-01-14 23:59:59')""")
+    + "\nSELECT date, cow_token, round(avg_price_difference, 6) AS avg_price_difference FROM gap",
 })
 
 
