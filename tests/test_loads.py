@@ -208,3 +208,18 @@ def test_any_batch_sequence_stores_each_row_once(spark, batches):
     stored = table.read().collect() if table.exists() else []
     assert sorted(r.tx_hash for r in stored) == sorted(distinct_rows)
     assert inserted == len(distinct_rows)
+
+
+def test_load_any_frame_infers_the_table(spark):
+    tag = uuid.uuid4().hex[:6]
+    db = TB.create_namespace(spark, f"generic_{tag}")
+    raw = spark.createDataFrame([(0, " x ", 1, 2.5, True), (1, "y", None, 3.0, False), (1, "y", None, 3.0, False)],
+                                "`Unnamed: 0` long, ` Pair Name ` string, `Units` int, `Price USD` double, `Partial Fill` boolean")
+    table = TB.StagingTable(spark, name=f"{db}.generic")
+    first = LD.load_frame(spark, raw, table)
+    again = LD.load_frame(spark, raw, table)
+    assert (first.total_rows, first.inserted_rows, again.inserted_rows) == (3, 2, 0)
+    stored = spark.table(f"{db}.generic")
+    assert [(f.name, f.dataType.simpleString()) for f in stored.schema.fields] == [
+        ("id", "string"), ("column_0", "bigint"), ("pair_name", "string"), ("units", "bigint"),
+        ("price_usd", "double"), ("partial_fill", "boolean")]

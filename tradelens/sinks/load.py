@@ -90,3 +90,14 @@ def insert_if_absent(spark: SparkSession, rows: DataFrame, table: StagingTable,
 def seed_if_empty(target: DataFrame, seed: DataFrame) -> DataFrame:
     """The target's rows, or the seed rows when the target holds none."""
     return seed if target.isEmpty() else target
+
+
+def load_frame(spark: SparkSession, raw: DataFrame, table: StagingTable,
+               schema_name: str | None = None) -> LoadReport:
+    """Load any source frame: clean its column names, cast to staging types, hash each
+    row into ``id``, create the table from that schema if absent, insert if absent.
+
+    Names are cleaned on every load (not only when the table is created), so a second
+    load with raw names still matches the stored columns.
+    """
+    return insert_if_absent(spark, stage_rows(raw), table, schema_name)
