@@ -190,3 +190,19 @@ def test_dedupe_prices_avg_meets_one_price_per_key(spark):
     # every row: (25 + -12.5) / 2 = 6.25; averaged price 3 -> 0
     assert gap_rows(PG.price_gap_daily(t, p)) == [("2024-01-05", "WETH", 6.25)]
     assert gap_rows(PG.price_gap_daily(t, p, dedupe_prices="avg")) == [("2024-01-05", "WETH", 0.0)]
+
+
+def test_flagship_result_does_not_depend_on_the_session_zone(spark):
+    from conftest import SF_SMALL
+    from tradelens.sources import fixtures as FX
+
+    def run():
+        trades, prices = FX.fixture_tables(spark, SF_SMALL)
+        return gap_rows(PG.price_gap_daily(trades, prices)), gap_rows(PG.price_gap_daily(trades, prices, plan="union"))
+    utc = run()
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert run() == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -24,14 +24,29 @@ def test_hour_key_12h_folds_am_pm(spark):
 
 
 @pytest.mark.parametrize("mode", ["12h", "24h"])
-def test_hour_slot_is_a_bijection_with_the_text_key(spark, mode):
-    df = spark.range(0, 72 * 60, 7).select(
-        F.timestamp_add("MINUTE", F.col("id"), F.lit(dt.datetime(2024, 1, 31, 0, 0)).cast("timestamp_ntz")).alias("t"))
-    got = df.select(S.hour_key("t", mode).alias("k"), S.hour_slot("t", mode).alias("s"),
-                    S.hour_text_from_slot(S.hour_slot("t", mode), mode).alias("back")).collect()
+def test_hour_key_and_slot_match_the_text_format(spark, mode):
+    """The key equals strftime's %I (12h) / %H (24h) text, and slots are a bijection with it."""
+    start = dt.datetime(1969, 12, 30, 0, 0)
+    df = spark.range(0, 26 * 24 * 60, 37).select(
+        F.timestamp_add("MINUTE", F.col("id"), F.lit(start).cast("timestamp_ntz")).alias("t"))
+    got = df.select("t", S.hour_key("t", mode).alias("k"), S.hour_slot("t", mode).alias("s")).collect()
+    fmt = "%Y-%m-%d %I:00" if mode == "12h" else "%Y-%m-%d %H:00"
+    assert all(r.k == r.t.strftime(fmt) for r in got)
     pairs = {(r.k, r.s) for r in got}
     assert len({k for k, _ in pairs}) == len({s for _, s in pairs}) == len(pairs)
-    assert all(r.k == r.back for r in got)
+
+
+def test_keys_do_not_depend_on_the_session_zone(spark):
+    """A wall-clock time that a DST change skips keeps its hour in any session zone."""
+    df = spark.createDataFrame([("2024-03-10 02:30:00",)], "t string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        r = df.select(S.hour_key("t", "24h").alias("k"), S.day_key("t").alias("d"),
+                      S.unix_ms_to_text(S.to_unix_seconds("t") * 1000).alias("u")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert (r.k, r.d, r.u) == ("2024-03-10 02:00", "2024-03-10", "2024-03-10 02:30:00")
 
 
 def test_zone_suffix_is_dropped(spark):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,7 +10,7 @@ __all__ = [
     "slot_day", "hour_text_from_slot", "day_key", "coin_to_token",
     "price_gap", "market_value", "month_start", "days_before", "month_start_text",
     "to_unix_seconds", "unix_ms_to_text", "round_half_even", "row_json", "element",
-    "text_to_date", "epoch_ntz",
+    "text_to_date", "wall_clock_seconds", "wall_clock_millis", "text_from_epoch_seconds",
 ]
 
 # Coin id of the price source -> token symbol of the trades.
@@ -29,10 +27,6 @@ HOUR_KEY_FORMATS = {
     "24h": "yyyy-MM-dd HH:00",
 }
 
-def epoch_ntz() -> Column:
-    """1970-01-01 00:00:00 as TIMESTAMP_NTZ (built lazily: needs an active session)."""
-    return F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
-
 
 def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -44,8 +38,13 @@ def to_ts(c) -> Column:
 
 
 def hour_key(ts, mode: str = "12h") -> Column:
-    """Hour-key text of a timestamp (``'yyyy-MM-dd hh:00'`` or ``HH`` for '24h')."""
-    return F.date_format(to_ts(ts), HOUR_KEY_FORMATS[mode])
+    """Hour-key text of a timestamp: ``HOUR_KEY_FORMATS[mode]`` applied to its local time.
+
+    Built from the wall-clock fields (``hour_slot``), not with ``date_format``, which
+    would pass the value through the session time zone and shift local times that a
+    daylight-saving change skips.
+    """
+    return hour_text_from_slot(hour_slot(ts, mode), mode)
 
 
 def _slots_per_day(mode: str) -> int:
@@ -74,15 +73,15 @@ def hour_text_from_slot(slot, mode: str = "12h") -> Column:
     """Hour-key text of a slot, identical to ``hour_key`` of any timestamp in it."""
     n = _slots_per_day(mode)
     s = as_col(slot)
-    day = F.date_format(F.date_from_unix_date(slot_day(s, mode)), "yyyy-MM-dd")
+    day = F.date_from_unix_date(slot_day(s, mode)).cast("string")
     h = s - slot_day(s, mode) * n
     hh = F.when(h == 0, F.lit(12)).otherwise(h) if n == 12 else h
     return F.concat(day, F.lit(" "), F.lpad(hh.cast("string"), 2, "0"), F.lit(":00"))
 
 
 def day_key(ts) -> Column:
-    """Day-key text ``yyyy-MM-dd`` of a text or timestamp value."""
-    return F.date_format(to_ts(ts), "yyyy-MM-dd")
+    """Day-key text ``yyyy-MM-dd`` of a text or timestamp value (its wall-clock date)."""
+    return F.to_date(to_ts(ts)).cast("string")
 
 
 def coin_to_token(coin, mapping: dict | None = None) -> Column:
@@ -127,18 +126,47 @@ def days_before(d, n: int = 1) -> Column:
 
 
 def month_start_text(d) -> Column:
-    return F.date_format(month_start(d), "yyyy-MM-dd")
+    return month_start(d).cast("string")
+
+
+def wall_clock_seconds(ts) -> Column:
+    """Whole seconds since 1970-01-01 00:00:00 of a TIMESTAMP_NTZ, read as UTC.
+
+    Built from the wall-clock fields: ``timestamp_diff`` on NTZ values would pass
+    through the session time zone.
+    """
+    t = to_ts(ts)
+    return ((F.unix_date(F.to_date(t)).cast("long") * 24 + F.hour(t)) * 60 + F.minute(t)) * 60 + F.second(t)
+
+
+def wall_clock_millis(ts) -> Column:
+    """Milliseconds since the epoch of a TIMESTAMP_NTZ read as UTC (sub-milliseconds dropped)."""
+    t = to_ts(ts)
+    whole_minutes = (F.unix_date(F.to_date(t)).cast("long") * 24 + F.hour(t)) * 60 + F.minute(t)
+    return whole_minutes * 60000 + F.floor(F.extract(F.lit("SECOND"), t) * 1000).cast("long")
+
+
+def text_from_epoch_seconds(secs) -> Column:
+    """UTC text ``'yyyy-MM-dd HH:mm:ss'`` of whole epoch seconds, zone-free."""
+    s = as_col(secs).cast("long")
+    day = F.floor(s / 86400)
+    sod = s - day * 86400
+
+    def two(c):
+        return F.lpad(c.cast("string"), 2, "0")
+    return F.concat(F.date_from_unix_date(day.cast("int")).cast("string"), F.lit(" "),
+                    two(F.floor(sod / 3600)), F.lit(":"), two(F.floor((sod % 3600) / 60)), F.lit(":"),
+                    two(sod % 60))
 
 
 def to_unix_seconds(text) -> Column:
     """``'yyyy-MM-dd HH:mm:ss'`` read as UTC -> unix seconds (independent of session zone)."""
-    return F.timestamp_diff("SECOND", epoch_ntz(), F.to_timestamp_ntz(as_col(text), F.lit("yyyy-MM-dd HH:mm:ss")))
+    return wall_clock_seconds(F.to_timestamp_ntz(as_col(text), F.lit("yyyy-MM-dd HH:mm:ss")))
 
 
 def unix_ms_to_text(ms) -> Column:
     """Unix milliseconds -> UTC text ``'yyyy-MM-dd HH:mm:ss'``, sub-seconds dropped."""
-    secs = F.floor(as_col(ms) / 1000).cast("long")
-    return F.date_format(F.timestamp_add("SECOND", secs, epoch_ntz()), "yyyy-MM-dd HH:mm:ss")
+    return text_from_epoch_seconds(F.floor(as_col(ms) / 1000))
 
 
 def round_half_even(x) -> Column:

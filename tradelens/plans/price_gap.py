@@ -63,7 +63,7 @@ def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap
 
 
 def _day_text(day_col: str):
-    return F.date_format(F.date_from_unix_date(F.col(day_col)), "yyyy-MM-dd").alias("date")
+    return F.date_from_unix_date(F.col(day_col)).cast("string").alias("date")
 
 
 def price_gap_from_legs(final_data: DataFrame, mode: str = "12h") -> DataFrame:

@@ -55,7 +55,7 @@ WITH legs AS (
   FROM legs JOIN px ON legs.slot = px.slot AND legs.token = px.token
   GROUP BY CAST(floor(legs.slot / {n}) AS INT), legs.token
 )
-SELECT date_format(date_from_unix_date(day), 'yyyy-MM-dd') AS date, cow_token,
+SELECT CAST(date_from_unix_date(day) AS STRING) AS date, cow_token,
        gap_sum / pairs AS avg_price_difference
 FROM days"""
 

@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalars import epoch_ntz
+from ..functions.scalars import wall_clock_millis
 
 # Fixed values of the mapping.
 TRADE_EVENT_TYPES = ("purchase", "signup")
@@ -82,7 +82,8 @@ def coin_prices_from_events(events: DataFrame) -> DataFrame:
     coin = coin_of()
     return (events.where(F.col("event_type").isin(*PRICE_EVENT_COINS))
             .select(
-                F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("date_time"),
+                # NTZ text is 'yyyy-MM-dd HH:mm:ss[.ffffff]': whole seconds, zone-free.
+                F.substring(F.col("ts").cast("timestamp_ntz").cast("string"), 1, 19).alias("date_time"),
                 F.col("value").alias("prices"),
                 (F.col("value") * 1000).alias("market_cap"),
                 (F.col("value") * 10).alias("total_volume"),
@@ -97,7 +98,7 @@ def price_points_from_events(events: DataFrame) -> DataFrame:
     """
     return (events.where(F.col("event_type").isin(*PRICE_EVENT_COINS))
             .select(coin_of().alias("coin"),
-                    F.timestamp_diff("MILLISECOND", epoch_ntz(), F.col("ts").cast("timestamp_ntz")).alias("ms"),
+                    wall_clock_millis("ts").alias("ms"),
                     F.col("value").alias("prices"),
                     (F.col("value") * 1000).alias("market_cap"),
                     (F.col("value") * 10).alias("total_volume")))
