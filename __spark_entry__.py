@@ -7,8 +7,9 @@ order differ in the last bits; the inputs have at most 4 decimals, so sums sit o
 a 4-decimal grid and 6-decimal rounding never meets a tie.  Sums too large for
 that (``legs_union_all``) are summed exactly as integer counts of 1e-4.
 
-Every query first sets the session time zone to UTC: hour and day keys are read
-in UTC, and a zone with daylight saving would shift keys around its gaps.
+Every query sets the recommended session time zone (UTC).  The library's keys and
+unix conversions read wall-clock fields and do not depend on it (tested under a
+daylight-saving zone).
 """
 
 from __future__ import annotations
