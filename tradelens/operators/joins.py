@@ -15,8 +15,9 @@ def checked_broadcast(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                       bound_by: DataFrame | None = None) -> DataFrame:
     """Mark ``side`` for broadcast only if it is proven to hold ``<= max_rows`` rows.
 
-    The bound is measured (a row count, stopped at ``max_rows + 1`` per partition),
-    not estimated.  ``bound_by`` may name a frame with at least as many rows as
+    The bound is measured (an exact, distributed row count: partial counts per task
+    and a one-row merge; a ``limit`` would funnel rows through one task), not
+    estimated.  ``bound_by`` may name a frame with at least as many rows as
     ``side`` (the input of its pre-aggregation): counting it needs no shuffle, and
     only when it exceeds the bound is ``side`` itself counted.  Beyond the bound the
     side carries a sort-merge hint, so neither the planner's size estimate nor a
@@ -26,7 +27,7 @@ def checked_broadcast(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     """
     if max_rows > 0:
         for probe in ([bound_by] if bound_by is not None else []) + [side]:
-            if probe.limit(max_rows + 1).count() <= max_rows:
+            if probe.count() <= max_rows:
                 return F.broadcast(side)
     return side.hint("merge")
 

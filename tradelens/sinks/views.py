@@ -86,7 +86,7 @@ def price_side_hint(spark: SparkSession, prices: str, mode: str = "12h",
     side = weighted_prices(table, mode)
     limit = broadcast_max_rows // 2
     for probe in (mapped_prices(table, mode), side):
-        if probe.limit(limit + 1).count() <= limit:
+        if probe.count() <= limit:
             return "BROADCAST"
     return "MERGE"
 
