@@ -54,12 +54,7 @@ class StagingTable:
     def exists(self) -> bool:
         if self.name is not None:
             return self.spark.catalog.tableExists(self.name)
-        try:
-            # Creating the reader lists the folder; a missing folder is an analysis error.
-            self.spark.read.schema(self.schema or "id string").parquet(self.path)
-            return True
-        except AnalysisException:
-            return False
+        return _path_exists(self.spark, self.path)
 
     def ensure(self, schema: T.StructType | None = None) -> bool:
         """Create the empty table with the declared schema if absent; True if created."""
@@ -108,6 +103,23 @@ class StagingTable:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
+def _path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder exists, asked of the cluster file system (HDFS, object stores,
+    local) through Hadoop's FileSystem API.  Where no JVM gateway exists (Spark
+    Connect), creating a reader on the folder is the probe (a missing folder fails
+    analysis)."""
+    try:
+        jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem via the gateway
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))  # noqa: SLF001
+    except AttributeError:
+        try:
+            spark.read.format("parquet").schema("id string").load(path)
+            return True
+        except AnalysisException:
+            return False
+
+
 def drop_tables(spark: SparkSession, names: list[str]) -> None:
     """Development reset: drop the named staging tables (opt-in)."""
     for n in names:
