@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import dataclasses
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -39,9 +40,15 @@ def stream_price_docs(spark: SparkSession, landing: str, table: StagingTable, ch
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         # The batch runs in a cloned session: read the target through it, so the
-        # anti-join sees the files appended by earlier batches.
+        # anti-join sees the files appended by earlier batches.  The batch is used
+        # twice (its row count, then the append), so its parsed rows are kept for
+        # the duration of this call; lost blocks are recomputed from the files.
         target = dataclasses.replace(table, spark=batch.sparkSession)
-        insert_if_absent(batch.sparkSession, batch, target)
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            insert_if_absent(batch.sparkSession, batch, target)
+        finally:
+            batch.unpersist()
 
     writer = staged.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
