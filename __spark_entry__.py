@@ -394,33 +394,33 @@ def _view_ctes(hour_fmt="%I", gap="quarter", trades_src="trades", prices_src="co
             return f"(({p} - external_price) / ({p} + external_price) / 2) * 100"
         return f"({p} - external_price) / (({p} + external_price) / 2) * 100"
     return f"""{base or _FIXTURE_CTES},
-cow_trades AS (
+hour_trades AS (
   SELECT strftime(date_trunc('hour', CAST(block_time AS TIMESTAMP)), '%Y-%m-%d {hour_fmt}:00') AS datetime,
          token_pair, order_type, partial_fill, units_sold, sell_value_usd, sell_token, sell_price,
          units_bought, usd_value AS buy_value_usd, buy_token, buy_price
   FROM {trades_src}),
-coin_gecko_data AS (
+hour_prices AS (
   SELECT strftime(date_trunc('hour', CAST(date_time AS TIMESTAMP)), '%Y-%m-%d {hour_fmt}:00') AS date_time,
          CASE WHEN coin = 'ethereum' THEN 'WETH' WHEN coin = 'usd-coin' THEN 'USDC' END AS coin,
          prices AS external_price
   FROM {prices_src}),
-all_data AS (
-  SELECT * FROM cow_trades AS c LEFT JOIN coin_gecko_data AS g ON g.date_time = c.datetime),
-buy_side AS (
+trade_price_rows AS (
+  SELECT * FROM hour_trades AS c LEFT JOIN hour_prices AS g ON g.date_time = c.datetime),
+buy_rows AS (
   SELECT datetime, coin AS external_coin, buy_token AS cow_token, units_bought AS amount,
          buy_price AS cow_price, {diff('buy_price')} AS price_difference,
          units_bought * external_price AS external_value_usd, buy_value_usd AS usd_cow_value
-  FROM all_data WHERE coin = buy_token),
-sell_side AS (
+  FROM trade_price_rows WHERE coin = buy_token),
+sell_rows AS (
   SELECT datetime, coin AS external_coin, sell_token AS cow_token, units_sold AS amount,
          sell_price AS cow_price, {diff('sell_price')} AS price_difference,
          units_sold * external_price AS external_value_usd, sell_value_usd AS usd_cow_value
-  FROM all_data WHERE coin = sell_token),
-final_data AS (SELECT * FROM sell_side UNION ALL SELECT * FROM buy_side),
+  FROM trade_price_rows WHERE coin = sell_token),
+view_rows AS (SELECT * FROM sell_rows UNION ALL SELECT * FROM buy_rows),
 gap AS (
   SELECT strftime(date_trunc('day', CAST(datetime AS TIMESTAMP)), '%Y-%m-%d') AS date, cow_token,
          avg(price_difference) AS avg_price_difference
-  FROM final_data
+  FROM view_rows
   GROUP BY strftime(date_trunc('day', CAST(datetime AS TIMESTAMP)), '%Y-%m-%d'), cow_token)"""
 
 
@@ -455,15 +455,15 @@ SELECT substr(datetime, 1, 10) AS date, count(*) AS joined_rows,
        count(*) FILTER (WHERE date_time IS NULL) AS unmatched_trades,
        count(*) FILTER (WHERE coin IS NOT NULL) AS mapped_rows,
        count(*) FILTER (WHERE coin = buy_token OR coin = sell_token) AS leg_rows
-FROM all_data GROUP BY substr(datetime, 1, 10)""",
-    "sell_legs": f"WITH {_view_ctes()}\n" + _LEG_SUMMARY.format(side="sell_side"),
-    "buy_legs": f"WITH {_view_ctes()}\n" + _LEG_SUMMARY.format(side="buy_side"),
+FROM trade_price_rows GROUP BY substr(datetime, 1, 10)""",
+    "sell_legs": f"WITH {_view_ctes()}\n" + _LEG_SUMMARY.format(side="sell_rows"),
+    "buy_legs": f"WITH {_view_ctes()}\n" + _LEG_SUMMARY.format(side="buy_rows"),
     "legs_union_all": f"""WITH {_view_ctes()}
 SELECT cow_token, count(*) AS n_rows,
        CAST(sum(CAST(round(amount * 10000) AS BIGINT)) AS DOUBLE) / 10000.0 AS sum_amount,
        CAST(sum(CAST(round(external_value_usd * 10000) AS BIGINT)) AS DOUBLE) / 10000.0 AS sum_external_value_usd,
        CAST(sum(CAST(round(usd_cow_value * 10000) AS BIGINT)) AS DOUBLE) / 10000.0 AS sum_usd_cow_value
-FROM final_data GROUP BY cow_token""",
+FROM view_rows GROUP BY cow_token""",
     "trade_summary_daily": f"""WITH {_FIXTURE_CTES}, {_SUMMARY_CTE}
 SELECT block_date, token_pair, no_txn,
        round(total_usd_value_bought, 6) AS total_usd_value_bought,

@@ -163,7 +163,8 @@ def test_compressed_view_forms_equal_the_row_form(spark, trades, prices):
     t, p = frames(spark, rows_t, rows_p)
 
     def summary(df):
-        return sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect())
+        rows = [tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect()]
+        return sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
     for side in ("sell", "buy"):
         row_form = PG.leg_summary(LG.leg_pairs(t, p, side))
         weighted = PG.leg_summary_weighted(LG.weighted_view_rows(t, p).where(F.col("side") == side))

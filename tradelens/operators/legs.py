@@ -58,7 +58,7 @@ def trade_legs(trades: DataFrame, mode: str = "12h",
     return trades.select(hour_slot("block_time", mode).alias("slot"), F.inline(F.array(sell, buy)))
 
 
-def view_all_data(trades: DataFrame, prices: DataFrame, mode: str = "12h",
+def trades_left_join_prices(trades: DataFrame, prices: DataFrame, mode: str = "12h",
                   mapping: dict | None = None,
                   broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Trades LEFT JOIN prices on the hour key, as in the source view.
@@ -86,7 +86,7 @@ _SIDE_COLUMNS = {
 }
 
 
-def leg_side(all_data: DataFrame, side: str, gap: str = "quarter") -> DataFrame:
+def leg_side(joined: DataFrame, side: str, gap: str = "quarter") -> DataFrame:
     """One side of the view: joined rows whose price coin is that side's token.
 
     Columns: slot (the integer hour key) and the view's eight columns.
@@ -97,7 +97,7 @@ def leg_side(all_data: DataFrame, side: str, gap: str = "quarter") -> DataFrame:
     if side not in _SIDE_COLUMNS:
         raise ValueError("side must be 'sell' or 'buy'")
     token, units, price, value = _SIDE_COLUMNS[side]
-    return all_data.where(F.col("coin") == F.col(token)).select(
+    return joined.where(F.col("coin") == F.col(token)).select(
         "slot", "datetime",
         F.col("coin").alias("external_coin"),
         F.col(token).alias("cow_token"),
@@ -116,14 +116,14 @@ def leg_pairs(trades: DataFrame, prices: DataFrame, side: str, mode: str = "12h"
     Columns: slot, datetime (hour-key text), external_coin, cow_token, amount,
     cow_price, price_difference, external_value_usd, usd_cow_value.
     """
-    return leg_side(view_all_data(trades, prices, mode, mapping, broadcast_max_rows), side, gap)
+    return leg_side(trades_left_join_prices(trades, prices, mode, mapping, broadcast_max_rows), side, gap)
 
 
 def legs_union_all(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
                    mapping: dict | None = None, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``sell side UNION ALL buy side`` of the source view (both sides share one join)."""
-    all_data = view_all_data(trades, prices, mode, mapping, broadcast_max_rows)
-    return leg_side(all_data, "sell", gap).unionByName(leg_side(all_data, "buy", gap))
+    joined = trades_left_join_prices(trades, prices, mode, mapping, broadcast_max_rows)
+    return leg_side(joined, "sell", gap).unionByName(leg_side(joined, "buy", gap))
 
 
 def weighted_view_rows(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
