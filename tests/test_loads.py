@@ -223,3 +223,18 @@ def test_load_any_frame_infers_the_table(spark):
     assert [(f.name, f.dataType.simpleString()) for f in stored.schema.fields] == [
         ("id", "string"), ("column_0", "bigint"), ("pair_name", "string"), ("units", "bigint"),
         ("price_usd", "double"), ("partial_fill", "boolean")]
+
+
+def test_read_documents_named_by_coin(spark):
+    import json
+    import os
+    base = scratch_path(spark, "docs-by-name")
+    os.makedirs(base, exist_ok=True)
+    doc = {"prices": [[1728691391999, 2400.5]], "market_caps": [[1728691391999, 1.0]],
+           "total_volumes": [[1728691391999, 2.0]]}
+    for name in ("ethereum_2024-10-12.json", "usd-coin_2024-10-12.json"):
+        with open(os.path.join(base, name), "w") as fh:
+            json.dump(doc, fh, indent=2)
+    rows = sorted((r.coin, r.date_time) for r in PR.read_price_docs(spark, base, multi_line=True,
+                                                                        coin_from="file_name").collect())
+    assert rows == [("ethereum", "2024-10-12 00:03:11"), ("usd-coin", "2024-10-12 00:03:11")]

@@ -101,12 +101,24 @@ def parse_price_docs(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
     return docs.select(*others, F.from_json(F.col(doc_col), PRICE_DOC).alias("_d")).select(*others, "_d.*")
 
 
-def read_price_docs(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Landed documents under ``path/coin=<id>/`` -> one row per point with ``coin``.
+# Fixed value: the coin id at the start of a landed file name, before '_' or '.'.
+COIN_FILE_PATTERN = r"^([^_.]+)"
 
+
+def read_price_docs(spark: SparkSession, path: str, multi_line: bool = False,
+                    coin_from: str = "folder", file_pattern: str = COIN_FILE_PATTERN) -> DataFrame:
+    """Landed documents -> one row per point with ``coin``.
+
+    ``coin_from='folder'``: files under ``path/coin=<id>/`` (partition discovery).
+    ``coin_from='file_name'``: files named ``<id>_<anything>.json`` directly under
+    ``path``; the coin is read from the file's metadata with ``file_pattern``.
     ``multi_line=True`` reads one (pretty-printed) document per file, as returned by
     the price API; otherwise one document per line.
     """
-    raw = (spark.read.schema(PRICE_DOC_DDL + ", coin string")
-           .option("multiLine", str(multi_line).lower()).json(path))
+    if coin_from not in ("folder", "file_name"):
+        raise ValueError("coin_from must be 'folder' or 'file_name'")
+    ddl = PRICE_DOC_DDL + (", coin string" if coin_from == "folder" else "")
+    raw = spark.read.schema(ddl).option("multiLine", str(multi_line).lower()).json(path)
+    if coin_from == "file_name":
+        raw = raw.withColumn("coin", F.regexp_extract(F.col("_metadata.file_name"), file_pattern, 1))
     return explode_price_docs(raw).select("coin", *PRICE_ROW_COLUMNS)
