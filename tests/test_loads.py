@@ -238,3 +238,22 @@ def test_read_documents_named_by_coin(spark):
     rows = sorted((r.coin, r.date_time) for r in PR.read_price_docs(spark, base, multi_line=True,
                                                                         coin_from="file_name").collect())
     assert rows == [("ethereum", "2024-10-12 00:03:11"), ("usd-coin", "2024-10-12 00:03:11")]
+
+
+def test_stream_archives_loaded_documents(spark):
+    import glob
+    import time
+    base = scratch_path(spark, "stream-archive")
+    doc = ('{"prices": [[1704067200000, 2.0]], "market_caps": [[1704067200000, 3.0]], '
+           '"total_volumes": [[1704067200000, 4.0]]}')
+    for _ in range(2):
+        ST.land_price_docs(spark.createDataFrame([("ethereum", doc)], "coin string, doc string"), f"{base}/landing")
+    table = JB.prices_table(spark, path=f"{base}/table")
+    ST.stream_price_docs(spark, f"{base}/landing", table, f"{base}/ck", max_files_per_trigger=1,
+                         archive_dir=f"{base}/archive").awaitTermination()
+    assert table.read().count() == 1
+    for _ in range(50):  # files are moved after each commit, possibly by a background thread
+        if not glob.glob(f"{base}/landing/coin=ethereum/*.txt"):
+            break
+        time.sleep(0.2)
+    assert glob.glob(f"{base}/archive/**/*.txt", recursive=True)

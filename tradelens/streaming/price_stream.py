@@ -30,11 +30,20 @@ def land_price_docs(docs: DataFrame, path: str) -> None:
 
 def stream_price_docs(spark: SparkSession, landing: str, table: StagingTable, checkpoint: str,
                       available_now: bool = True, multi_line: bool = False,
-                      max_files_per_trigger: int | None = None) -> StreamingQuery:
+                      max_files_per_trigger: int | None = None,
+                      archive_dir: str | None = None) -> StreamingQuery:
+    """Start the load; ``checkpoint`` must be in shared storage.
+
+    ``archive_dir`` moves each landed file there once its batch is committed
+    (``cleanSource=archive``), so the landing folder, which is listed on every
+    trigger, holds only files not yet loaded rather than the whole history.
+    """
     src = (spark.readStream.schema(PRICE_DOC_DDL + ", coin string")
            .option("multiLine", str(multi_line).lower()))
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        src = src.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     rows = explode_price_docs(src.json(landing)).select(*PRICE_ROW_COLUMNS, "coin")
     staged = with_row_id(rows.select(*PRICE_COLUMNS))
 
