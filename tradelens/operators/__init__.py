@@ -1,7 +1,7 @@
 """Relational operators of the price-gap and summary results."""
 
 from .joins import checked_broadcast, join_prices, trade_price_left_join, anti_join_ids  # noqa: F401
-from .legs import (trade_legs, keyed_trades, keyed_prices, weighted_prices, leg_pairs, legs_union_all,
+from .legs import (trade_legs, keyed_prices, weighted_prices, leg_pairs, legs_union_all,
                    trades_left_join_prices, leg_side, mapped_prices, weighted_view_rows, price_sums,
                    legs_with_price_sums)  # noqa: F401
 from .aggregates import (daily_trade_summary, headline_totals, token_list, token_series,  # noqa: F401

@@ -9,11 +9,6 @@ from ..functions.scalars import coin_to_token, hour_key, hour_slot, market_value
 from .joins import BROADCAST_MAX_ROWS, checked_broadcast
 
 
-def keyed_trades(trades: DataFrame, mode: str = "12h") -> DataFrame:
-    """Trades with the integer hour slot of ``block_time``."""
-    return trades.withColumn("slot", hour_slot("block_time", mode))
-
-
 def keyed_prices(prices: DataFrame, mode: str = "12h", mapping: dict | None = None) -> DataFrame:
     """Price rows -> (slot, token, external_price); unmapped coins keep a NULL token."""
     return prices.select(hour_slot("date_time", mode).alias("slot"),
