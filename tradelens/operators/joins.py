@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side is at most this many rows.  Every side passed here has a fixed
-# narrow width (an int slot, a token symbol, a double and a count: < 64 bytes as an
-# UnsafeRow), so the bound keeps a broadcast under ~64 MB per executor.
+# A broadcast side is at most this many rows.  Every side passed here is narrow (an
+# int slot, a token symbol, a double and a count: about 48 bytes as an UnsafeRow,
+# about 100 bytes with its key in the executor's hash relation), so the bound keeps
+# a broadcast near 100 MB per executor at worst; real price sides are far smaller.
 BROADCAST_MAX_ROWS = 1_000_000
 
 
