@@ -115,3 +115,18 @@ def test_published_view_carries_the_measured_join_strategy(spark):
     big = VW.publish_views(spark, f"pv_trades_{tag}", f"pv_prices_{tag}", temporary=True,
                            broadcast_max_rows=2)["price_gap_daily"]
     assert "SortMergeJoin" in plan_text(big)
+
+
+def test_beyond_the_bound_no_estimate_can_broadcast(spark):
+    """With Spark's default estimate-based threshold (10 MB) the hint above the bound wins."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        trades, prices = FX.fixture_tables(spark, SF_SMALL)
+        assert "BroadcastHashJoin" in plan_text(PG.price_gap_daily(trades, prices))
+        shuffled = PG.price_gap_daily(trades, prices, broadcast_max_rows=1)
+        shuffled.collect()                      # final AQE plan, after run-time re-planning
+        text = plan_text(shuffled)
+        assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
