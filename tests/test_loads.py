@@ -257,3 +257,19 @@ def test_stream_archives_loaded_documents(spark):
             break
         time.sleep(0.2)
     assert glob.glob(f"{base}/archive/**/*.txt", recursive=True)
+
+
+def test_both_directions_load_as_one_batch(spark):
+    t, _ = frames(spark, [trade("2024-01-14 10:00:00", tx_hash="a"),
+                          trade("2024-01-14 11:00:00", tx_hash="b", sell_token="WETH", buy_token="USDC"),
+                          trade("2024-01-14 12:00:00", tx_hash="c", sell_token="DAI", buy_token="WETH"),
+                          trade("2024-01-13 11:00:00", tx_hash="d")], [])
+    table = JB.trades_table(spark, path=scratch_path(spark, "t-directions"))
+    report = JB.load_trades(spark, t, table, dt.date(2024, 1, 15),
+                            directions=[("WETH", "USDC"), ("USDC", "WETH")])
+    assert report.inserted_rows == 2
+    assert sorted(r.tx_hash for r in table.read().collect()) == ["a", "b"]
+    monthly = JB.trades_table(spark, path=scratch_path(spark, "t-directions-mtd"))
+    JB.load_trades(spark, t, monthly, dt.date(2024, 1, 15), initial=True,
+                   directions=[("WETH", "USDC"), ("USDC", "WETH")])
+    assert sorted(r.tx_hash for r in monthly.read().collect()) == ["a", "b", "d"]

@@ -9,8 +9,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .functions.identity import with_row_id
+from .functions.scalars import days_before, month_start
 from .schemas import COIN_PRICES, TRADES
 from .sinks.load import LoadReport, insert_if_absent
 from .sinks.tables import StagingTable
@@ -44,11 +46,24 @@ def prices_table(spark: SparkSession, name: str | None = None, path: str | None
 
 
 def load_trades(spark: SparkSession, source: DataFrame, table: StagingTable, as_of, initial: bool = False,
-                buy_token: str = DEFAULT_BUY_TOKEN, sell_token: str = DEFAULT_SELL_TOKEN) -> LoadReport:
-    """Month-to-date (initial) or previous-day (daily) trades of one direction."""
+                buy_token: str = DEFAULT_BUY_TOKEN, sell_token: str = DEFAULT_SELL_TOKEN,
+                directions: list[tuple[str, str]] | None = None) -> LoadReport:
+    """Month-to-date (initial) or previous-day (daily) trades of one direction, or of
+    several ``directions`` ``[(buy_token, sell_token), ...]`` loaded as one batch: one
+    scan with the OR of the token filters, one anti-join, one append."""
     d = _day(as_of)
-    pick = trades_month_to_date if initial else trades_prev_day
-    batch = pick(source, d, buy_token, sell_token)
+    pairs = directions or [(buy_token, sell_token)]
+    if len(pairs) == 1:
+        pick = trades_month_to_date if initial else trades_prev_day
+        batch = pick(source, d, *pairs[0])
+    else:
+        tokens = None
+        for buy, sell in pairs:
+            c = (F.col("buy_token") == buy) & (F.col("sell_token") == sell)
+            tokens = c if tokens is None else tokens | c
+        day = F.col("block_date")
+        window = ((day >= month_start(F.lit(d))) & (day < F.lit(d))) if initial else (day == days_before(F.lit(d), 1))
+        batch = source.where(tokens & window)
     if initial:
         days = [d.replace(day=1) + dt.timedelta(days=i) for i in range((d - d.replace(day=1)).days)]
     else:
