@@ -94,11 +94,12 @@ def load_prices(spark: SparkSession, source: DataFrame, table: StagingTable, coi
 
 def daily_load(spark: SparkSession, trade_source: DataFrame, price_source: DataFrame,
                trades: StagingTable, prices: StagingTable, as_of,
-               coins=DEFAULT_COINS, views_db: str | None = None) -> list[LoadReport]:
+               coins=DEFAULT_COINS, views_db: str | None = None,
+               directions: list[tuple[str, str]] | None = None) -> list[LoadReport]:
     """The scheduled daily task: previous-day trades, then the coins' previous-day prices
     (all coins in one batch: one scan, one anti-join, one append).  With ``views_db``
     the views are published again, which re-measures the price-join strategy."""
-    reports = [load_trades(spark, trade_source, trades, as_of),
+    reports = [load_trades(spark, trade_source, trades, as_of, directions=directions),
                load_prices(spark, price_source, prices, list(coins), as_of)]
     if views_db is not None and trades.name and prices.name:
         publish_views(spark, trades.name, prices.name, target=views_db)
@@ -107,7 +108,8 @@ def daily_load(spark: SparkSession, trade_source: DataFrame, price_source: DataF
 
 def backfill(spark: SparkSession, trade_source: DataFrame, price_source: DataFrame,
              trades: StagingTable, prices: StagingTable, as_of, start=None,
-             coins=DEFAULT_COINS, views_db: str | None = None) -> list[LoadReport]:
+             coins=DEFAULT_COINS, views_db: str | None = None,
+             directions: list[tuple[str, str]] | None = None) -> list[LoadReport]:
     """Initial load: both coins' prices from ``start``, month-to-date trades, then the views.
 
     Both tables are created with their declared schema first, so the views can be
@@ -116,7 +118,7 @@ def backfill(spark: SparkSession, trade_source: DataFrame, price_source: DataFra
     trades.ensure()
     prices.ensure()
     reports = [load_prices(spark, price_source, prices, list(coins), as_of, initial=True, start=start),
-               load_trades(spark, trade_source, trades, as_of, initial=True)]
+               load_trades(spark, trade_source, trades, as_of, initial=True, directions=directions)]
     if views_db is not None and trades.name and prices.name:
         publish_views(spark, trades.name, prices.name, target=views_db)
     return reports
