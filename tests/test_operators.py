@@ -207,3 +207,16 @@ def test_flagship_result_does_not_depend_on_the_session_zone(spark):
         assert run() == utc
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_coin_lookup_table_equals_the_case_mapping(spark):
+    from conftest import SF_SMALL
+    from tradelens.sources import fixtures as FX
+    trades, prices = FX.fixture_tables(spark, SF_SMALL)
+    lookup = spark.createDataFrame([("ethereum", "WETH"), ("usd-coin", "USDC")], "coin string, token string")
+    for plan in ("single_join", "union"):
+        assert gap_rows(PG.price_gap_daily(trades, prices, plan=plan, mapping=lookup)) == \
+            gap_rows(PG.price_gap_daily(trades, prices, plan=plan))
+    def counts(df):
+        return sorted(df.collect())
+    assert counts(PG.left_join_counts(trades, prices, mapping=lookup)) == counts(PG.left_join_counts(trades, prices))

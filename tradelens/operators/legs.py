@@ -9,14 +9,27 @@ from ..functions.scalars import coin_to_token, hour_key, hour_slot, market_value
 from .joins import BROADCAST_MAX_ROWS, checked_broadcast
 
 
-def keyed_prices(prices: DataFrame, mode: str = "12h", mapping: dict | None = None) -> DataFrame:
+def with_token(prices: DataFrame, mapping=None) -> DataFrame:
+    """Add ``token``, the trade symbol of each price row's ``coin`` (NULL when unmapped).
+
+    ``mapping`` is a dict (a CASE expression, right for a handful of coins) or a
+    DataFrame ``(coin, token)``: a lookup table for many coins, where a CASE with
+    thousands of branches would outgrow generated code.  The lookup is joined behind
+    the measured broadcast bound; a coin listed twice keeps one token.
+    """
+    if isinstance(mapping, DataFrame):
+        lookup = mapping.select("coin", F.col("token").alias("_token")).dropDuplicates(["coin"])
+        return prices.join(checked_broadcast(lookup), "coin", "left").withColumnRenamed("_token", "token")
+    return prices.withColumn("token", coin_to_token("coin", mapping))
+
+
+def keyed_prices(prices: DataFrame, mode: str = "12h", mapping=None) -> DataFrame:
     """Price rows -> (slot, token, external_price); unmapped coins keep a NULL token."""
-    return prices.select(hour_slot("date_time", mode).alias("slot"),
-                         coin_to_token("coin", mapping).alias("token"),
-                         F.col("prices").alias("external_price"))
+    return with_token(prices, mapping).select(hour_slot("date_time", mode).alias("slot"), "token",
+                                              F.col("prices").alias("external_price"))
 
 
-def weighted_prices(prices: DataFrame, mode: str = "12h", mapping: dict | None = None) -> DataFrame:
+def weighted_prices(prices: DataFrame, mode: str = "12h", mapping=None) -> DataFrame:
     """Distinct (slot, token, external_price) with their multiplicity ``n``.
 
     Exact pre-aggregation of the price side: a pair (leg, price) counted ``n`` times
@@ -27,7 +40,7 @@ def weighted_prices(prices: DataFrame, mode: str = "12h", mapping: dict | None =
             .groupBy("slot", "token", "external_price").agg(F.count(F.lit(1)).alias("n")))
 
 
-def mapped_prices(prices: DataFrame, mode: str = "12h", mapping: dict | None = None) -> DataFrame:
+def mapped_prices(prices: DataFrame, mode: str = "12h", mapping=None) -> DataFrame:
     """Keyed price rows of mapped coins: the input of ``weighted_prices`` (and a bound on its size)."""
     return keyed_prices(prices, mode, mapping).where(F.col("token").isNotNull())
 
@@ -54,7 +67,7 @@ def trade_legs(trades: DataFrame, mode: str = "12h",
 
 
 def trades_left_join_prices(trades: DataFrame, prices: DataFrame, mode: str = "12h",
-                  mapping: dict | None = None,
+                  mapping=None,
                   broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Trades LEFT JOIN prices on the hour key, as in the source view.
 
@@ -67,10 +80,10 @@ def trades_left_join_prices(trades: DataFrame, prices: DataFrame, mode: str = "1
         hour_key("block_time", mode).alias("datetime"), "token_pair", "order_type", "partial_fill",
         "units_sold", "sell_value_usd", "sell_token", "sell_price", "units_bought",
         F.col("usd_value").alias("buy_value_usd"), "buy_token", "buy_price")
-    price_side = prices.select(hour_slot("date_time", mode).alias("slot"),
-                               hour_key("date_time", mode).alias("date_time"),
-                               coin_to_token("coin", mapping).alias("coin"),
-                               F.col("prices").alias("external_price"))
+    price_side = with_token(prices, mapping).select(hour_slot("date_time", mode).alias("slot"),
+                                                    hour_key("date_time", mode).alias("date_time"),
+                                                    F.col("token").alias("coin"),
+                                                    F.col("prices").alias("external_price"))
     return trade_side.join(checked_broadcast(price_side, broadcast_max_rows), "slot", "left")
 
 
@@ -104,7 +117,7 @@ def leg_side(joined: DataFrame, side: str, gap: str = "quarter") -> DataFrame:
 
 
 def leg_pairs(trades: DataFrame, prices: DataFrame, side: str, mode: str = "12h",
-              gap: str = "quarter", mapping: dict | None = None,
+              gap: str = "quarter", mapping=None,
               broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows of one side of the view: every (trade leg, price) pair.
 
@@ -115,14 +128,14 @@ def leg_pairs(trades: DataFrame, prices: DataFrame, side: str, mode: str = "12h"
 
 
 def legs_union_all(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
-                   mapping: dict | None = None, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                   mapping=None, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``sell side UNION ALL buy side`` of the source view (both sides share one join)."""
     joined = trades_left_join_prices(trades, prices, mode, mapping, broadcast_max_rows)
     return leg_side(joined, "sell", gap).unionByName(leg_side(joined, "buy", gap))
 
 
 def weighted_view_rows(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
-                       mapping: dict | None = None,
+                       mapping=None,
                        broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Both sides of the view as a multiset: each row stands for ``n`` identical view rows.
 
@@ -141,7 +154,7 @@ def weighted_view_rows(trades: DataFrame, prices: DataFrame, mode: str = "12h",
         "usd_cow_value")
 
 
-def price_sums(prices: DataFrame, mode: str = "12h", mapping: dict | None = None) -> DataFrame:
+def price_sums(prices: DataFrame, mode: str = "12h", mapping=None) -> DataFrame:
     """Per (slot, token): the number ``n`` of price rows and their sum ``sum_price``.
 
     Enough for every aggregate that is linear in the market price (counts, sums of
@@ -152,7 +165,7 @@ def price_sums(prices: DataFrame, mode: str = "12h", mapping: dict | None = None
 
 
 def legs_with_price_sums(trades: DataFrame, prices: DataFrame, mode: str = "12h",
-                         mapping: dict | None = None,
+                         mapping=None,
                          broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Each leg with ``n`` and ``sum_price`` of its (slot, token): one row per leg.
 

@@ -24,7 +24,7 @@ from ..operators.legs import keyed_prices, legs_union_all, mapped_prices, trade_
 
 
 def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
-                    plan: str = "single_join", mapping: dict | None = None,
+                    plan: str = "single_join", mapping=None,
                     broadcast_max_rows: int = BROADCAST_MAX_ROWS, on_zero: str = "raise",
                     dedupe_prices: str = "none") -> DataFrame:
     """Columns: date (``yyyy-MM-dd`` text), cow_token, avg_price_difference.
@@ -81,7 +81,7 @@ def price_gap_from_legs(final_data: DataFrame, mode: str = "12h") -> DataFrame:
 
 
 def left_join_counts(trades: DataFrame, prices: DataFrame, mode: str = "12h",
-                     mapping: dict | None = None,
+                     mapping=None,
                      broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """The view's trades-to-prices left join, counted per day of the hour key.
 
