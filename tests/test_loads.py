@@ -273,3 +273,15 @@ def test_both_directions_load_as_one_batch(spark):
     JB.load_trades(spark, t, monthly, dt.date(2024, 1, 15), initial=True,
                    directions=[("WETH", "USDC"), ("USDC", "WETH")])
     assert sorted(r.tx_hash for r in monthly.read().collect()) == ["a", "b", "d"]
+
+
+def test_price_anti_join_reads_only_the_window(spark):
+    _, p = frames(spark, [], [price("2024-01-13 10:00:00"), price("2024-01-14 10:00:00"), price("2024-01-14 11:00:00")])
+    table = JB.prices_table(spark, path=scratch_path(spark, "p-window"))
+    JB.load_prices(spark, p, table, ["ethereum"], dt.date(2024, 1, 15), initial=True)
+    stored = LD._existing_for(table, p, {"coin": ["ethereum"]},  # noqa: SLF001
+                              {"date_time": ("2024-01-14 00:00:00", "2024-01-14 23:59:59")})
+    plan = stored._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+    assert "GreaterThanOrEqual(date_time,2024-01-14 00:00:00)" in plan and "PartitionFilters: [isnotnull(coin" in plan
+    assert stored.count() == 2
+    assert JB.load_prices(spark, p, table, ["ethereum"], dt.date(2024, 1, 15)).inserted_rows == 0

@@ -78,18 +78,21 @@ def load_prices(spark: SparkSession, source: DataFrame, table: StagingTable, coi
     ``[start, as_of - 1]`` (initial) or the day before ``as_of``."""
     d = _day(as_of)
     coins = [coin] if isinstance(coin, str) else list(coin)
+    first = (_day(start) if start is not None else d.replace(day=1)) if initial else d - dt.timedelta(days=1)
+    last = d - dt.timedelta(days=1)
     parts = []
     for c in coins:
         if initial:
             parts.append(init_price_window(source, c, d, start))
         else:
-            parts.append(update_price_window(source, c, d - dt.timedelta(days=1)))
+            parts.append(update_price_window(source, c, last))
     batch = parts[0]
     for part in parts[1:]:
         batch = batch.unionByName(part)
     rows = batch.select(*PRICE_ROW_COLUMNS, "coin")
+    window = (f"{first.isoformat()} 00:00:00", f"{last.isoformat()} 23:59:59")
     return insert_if_absent(spark, with_row_id(rows.select(*PRICE_COLUMNS)), table,
-                            partition_values={"coin": coins})
+                            partition_values={"coin": coins}, value_ranges={"date_time": window})
 
 
 def daily_load(spark: SparkSession, trade_source: DataFrame, price_source: DataFrame,

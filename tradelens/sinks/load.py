@@ -46,11 +46,16 @@ def insert_new_rows(rows: DataFrame, existing: DataFrame | None) -> DataFrame:
     return batch if existing is None else anti_join_ids(batch, existing)
 
 
-def _existing_for(table: StagingTable, rows: DataFrame,
-                  partition_values: dict | None = None) -> DataFrame | None:
+def _existing_for(table: StagingTable, rows: DataFrame, partition_values: dict | None = None,
+                  value_ranges: dict | None = None) -> DataFrame | None:
     if not table.exists():
         return None
     stored = table.read()
+    # Columns the id hashes, bounded by the batch's window: an equal id has an equal
+    # value, so it lies in the same range.  The range reaches the Parquet scan, whose
+    # min/max statistics skip files and row groups of other days.
+    for col, (lo, hi) in (value_ranges or {}).items():
+        stored = stored.where(F.col(col).between(lo, hi))
     # The id hashes the partition column too, so an equal id lives in the same
     # partition: read only the batch's partitions.  Values the caller knows (the
     # load window) are used as given; others are read from the batch.
@@ -65,7 +70,8 @@ def _existing_for(table: StagingTable, rows: DataFrame,
 
 
 def insert_if_absent(spark: SparkSession, rows: DataFrame, table: StagingTable,
-                     schema_name: str | None = None, partition_values: dict | None = None) -> LoadReport:
+                     schema_name: str | None = None, partition_values: dict | None = None,
+                     value_ranges: dict | None = None) -> LoadReport:
     """Append the rows whose ``id`` the table does not hold yet; report the counts.
 
     An empty batch writes nothing (and creates no table).  ``total_rows`` is a row
@@ -73,7 +79,8 @@ def insert_if_absent(spark: SparkSession, rows: DataFrame, table: StagingTable,
     stage, whose metrics count each partition once even when tasks are retried
     (an observation in a shuffle stage could count a recomputed stage twice).
     ``partition_values`` ({column: values}) may name a superset of the batch's
-    partition values, sparing a pass over the batch to find them.
+    partition values, sparing a pass over the batch to find them.  ``value_ranges``
+    ({column: (lo, hi)}) bounds hashed columns by the batch's window (see above).
     """
     total = rows.count()
     if total == 0:
@@ -82,7 +89,7 @@ def insert_if_absent(spark: SparkSession, rows: DataFrame, table: StagingTable,
         table.schema = rows.schema
     table.ensure()
     written = Observation("written")
-    new = insert_new_rows(rows, _existing_for(table, rows, partition_values))
+    new = insert_new_rows(rows, _existing_for(table, rows, partition_values, value_ranges))
     table.append(new, observation=written)
     return LoadReport(schema_name, table.label, int(total), int(written.get["n"]), list(rows.columns))
 
