@@ -12,6 +12,7 @@ import dataclasses
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.identity import with_row_id
@@ -55,7 +56,10 @@ def stream_price_docs(spark: SparkSession, landing: str, table: StagingTable, ch
         target = dataclasses.replace(table, spark=batch.sparkSession)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            insert_if_absent(batch.sparkSession, batch, target)
+            # The batch's time span bounds the stored ids the anti-join reads.
+            lo, hi = batch.agg(F.min("date_time"), F.max("date_time")).first()
+            ranges = {"date_time": (lo, hi)} if lo is not None else None
+            insert_if_absent(batch.sparkSession, batch, target, value_ranges=ranges)
         finally:
             batch.unpersist()
 
