@@ -71,7 +71,7 @@ def _existing_for(table: StagingTable, rows: DataFrame, partition_values: dict |
 
 def insert_if_absent(spark: SparkSession, rows: DataFrame, table: StagingTable,
                      schema_name: str | None = None, partition_values: dict | None = None,
-                     value_ranges: dict | None = None) -> LoadReport:
+                     value_ranges: dict | None = None, total_rows: int | None = None) -> LoadReport:
     """Append the rows whose ``id`` the table does not hold yet; report the counts.
 
     An empty batch writes nothing (and creates no table).  ``total_rows`` is a row
@@ -81,8 +81,9 @@ def insert_if_absent(spark: SparkSession, rows: DataFrame, table: StagingTable,
     ``partition_values`` ({column: values}) may name a superset of the batch's
     partition values, sparing a pass over the batch to find them.  ``value_ranges``
     ({column: (lo, hi)}) bounds hashed columns by the batch's window (see above).
+    ``total_rows`` passes a row count the caller already has.
     """
-    total = rows.count()
+    total = rows.count() if total_rows is None else total_rows
     if total == 0:
         return LoadReport(schema_name, table.label, 0, 0, list(rows.columns))
     if table.schema is None:

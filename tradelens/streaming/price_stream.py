@@ -56,10 +56,11 @@ def stream_price_docs(spark: SparkSession, landing: str, table: StagingTable, ch
         target = dataclasses.replace(table, spark=batch.sparkSession)
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # The batch's time span bounds the stored ids the anti-join reads.
-            lo, hi = batch.agg(F.min("date_time"), F.max("date_time")).first()
+            # One pass gives the row count and the time span that bounds the stored
+            # ids the anti-join reads.
+            n, lo, hi = batch.agg(F.count(F.lit(1)), F.min("date_time"), F.max("date_time")).first()
             ranges = {"date_time": (lo, hi)} if lo is not None else None
-            insert_if_absent(batch.sparkSession, batch, target, value_ranges=ranges)
+            insert_if_absent(batch.sparkSession, batch, target, value_ranges=ranges, total_rows=n)
         finally:
             batch.unpersist()
 
