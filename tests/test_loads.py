@@ -285,3 +285,46 @@ def test_price_anti_join_reads_only_the_window(spark):
     assert "GreaterThanOrEqual(date_time,2024-01-14 00:00:00)" in plan and "PartitionFilters: [isnotnull(coin" in plan
     assert stored.count() == 2
     assert JB.load_prices(spark, p, table, ["ethereum"], dt.date(2024, 1, 15)).inserted_rows == 0
+
+
+def test_refresh_daily_results_incrementally(spark):
+    from pyspark.sql import functions as F
+    from conftest import SF_SMALL
+    from tradelens.operators import aggregates as AG
+    from tradelens.plans import price_gap as PG
+    from tradelens.sources import fixtures as FX
+    trades, prices = FX.fixture_tables(spark, SF_SMALL)
+    base = scratch_path(spark, "results")
+    s_path, g_path = f"{base}/summary", f"{base}/gap"
+
+    def rows(df, cols):
+        return sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in (r[c] for c in cols))
+                      for r in df.collect())
+    early = [dt.date(2024, 1, d) for d in range(1, 15)]
+    late = [dt.date(2024, 1, d) for d in range(15, 31)]
+    # Day by day as the data arrives: first the early days from the early trades only ...
+    JB.refresh_daily_results(spark, trades.where(F.col("block_date") < dt.date(2024, 1, 15)), prices, early,
+                             s_path, g_path)
+    # ... then the late days, and the 14th once more (a rerun replaces its partition).
+    JB.refresh_daily_results(spark, trades, prices, late + [dt.date(2024, 1, 14)], s_path, g_path)
+    summary, gap = JB.read_daily_results(spark, s_path, g_path)
+    want_gap = PG.price_gap_daily(trades, prices)
+    assert rows(gap, ["date", "cow_token", "avg_price_difference"]) == \
+        rows(want_gap, ["date", "cow_token", "avg_price_difference"])
+    cols = ["block_date", "token_pair", "no_txn", "total_usd_value_bought", "avg_sell_price"]
+    assert rows(summary, cols) == rows(AG.daily_trade_summary(trades), cols)
+
+
+def test_jobs_materialize_the_loaded_days(spark):
+    t, p = frames(spark, [trade("2024-01-03 10:00:00", buy_price=3.0), trade("2024-01-15 10:00:00", buy_price=3.0)],
+                  [price("2024-01-03 10:30:00", "ethereum", 1.0), price("2024-01-15 10:30:00", "ethereum", 1.0)])
+    base = scratch_path(spark, "jobs-results")
+    trades = JB.trades_table(spark, path=f"{base}/trades")
+    prices = JB.prices_table(spark, path=f"{base}/prices")
+    results = (f"{base}/summary", f"{base}/gap")
+    JB.backfill(spark, t, p, trades, prices, dt.date(2024, 1, 15), results=results)
+    JB.daily_load(spark, t, p, trades, prices, dt.date(2024, 1, 16), results=results)
+    summary, gap = JB.read_daily_results(spark, *results)
+    assert sorted((r.date, r.cow_token, r.avg_price_difference) for r in gap.collect()) == \
+        [("2024-01-03", "WETH", 25.0), ("2024-01-15", "WETH", 25.0)]
+    assert sorted(r.block_date.isoformat() for r in summary.collect()) == ["2024-01-03", "2024-01-15"]

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from .functions.identity import with_row_id
 from .functions.scalars import days_before, month_start
+from .operators.aggregates import daily_trade_summary
+from .plans.price_gap import price_gap_daily
 from .schemas import COIN_PRICES, TRADES
 from .sinks.load import LoadReport, insert_if_absent
 from .sinks.tables import StagingTable
@@ -98,21 +100,26 @@ def load_prices(spark: SparkSession, source: DataFrame, table: StagingTable, coi
 def daily_load(spark: SparkSession, trade_source: DataFrame, price_source: DataFrame,
                trades: StagingTable, prices: StagingTable, as_of,
                coins=DEFAULT_COINS, views_db: str | None = None,
-               directions: list[tuple[str, str]] | None = None) -> list[LoadReport]:
+               directions: list[tuple[str, str]] | None = None,
+               results: tuple[str, str] | None = None) -> list[LoadReport]:
     """The scheduled daily task: previous-day trades, then the coins' previous-day prices
     (all coins in one batch: one scan, one anti-join, one append).  With ``views_db``
-    the views are published again, which re-measures the price-join strategy."""
+    the views are published again, which re-measures the price-join strategy; with
+    ``results=(summary_path, gap_path)`` the loaded day's results are materialized."""
     reports = [load_trades(spark, trade_source, trades, as_of, directions=directions),
                load_prices(spark, price_source, prices, list(coins), as_of)]
     if views_db is not None and trades.name and prices.name:
         publish_views(spark, trades.name, prices.name, target=views_db)
+    if results is not None:
+        refresh_daily_results(spark, trades.read(), prices.read(), [_day(as_of) - dt.timedelta(days=1)], *results)
     return reports
 
 
 def backfill(spark: SparkSession, trade_source: DataFrame, price_source: DataFrame,
              trades: StagingTable, prices: StagingTable, as_of, start=None,
              coins=DEFAULT_COINS, views_db: str | None = None,
-             directions: list[tuple[str, str]] | None = None) -> list[LoadReport]:
+             directions: list[tuple[str, str]] | None = None,
+             results: tuple[str, str] | None = None) -> list[LoadReport]:
     """Initial load: both coins' prices from ``start``, month-to-date trades, then the views.
 
     Both tables are created with their declared schema first, so the views can be
@@ -124,4 +131,56 @@ def backfill(spark: SparkSession, trade_source: DataFrame, price_source: DataFra
                load_trades(spark, trade_source, trades, as_of, initial=True, directions=directions)]
     if views_db is not None and trades.name and prices.name:
         publish_views(spark, trades.name, prices.name, target=views_db)
+    if results is not None:
+        d = _day(as_of)
+        first = _day(start) if start is not None else d.replace(day=1)
+        refresh_daily_results(spark, trades.read(), prices.read(),
+                              [first + dt.timedelta(days=i) for i in range((d - first).days)], *results)
     return reports
+
+
+def refresh_daily_results(spark: SparkSession, trades: DataFrame, prices: DataFrame, days,
+                          summary_path: str, gap_path: str, mode: str = "12h",
+                          gap: str = "quarter") -> None:
+    """Materialize the two daily results for ``days`` only, replacing those days' partitions.
+
+    Both results are per day: a day's trade summary reads that day's trades, and its
+    price gap reads the trades and prices of that day's hour slots.  So the daily job
+    recomputes just the loaded day (partition-pruned scans) instead of all history, and
+    readers scan the small materialized tables.  Rewriting a day's partition
+    (dynamic partition overwrite) makes a rerun idempotent.
+    """
+    days = sorted({_day(d) for d in days})
+    if not days:
+        return
+    first, last = days[0], days[-1]
+    day_col = F.col("block_date")
+    # Prune trade partitions with a one-day margin, then keep the trades whose hour
+    # slot falls on the requested days (the gap groups by the slot's day).
+    margin = (day_col >= F.lit(first - dt.timedelta(days=1))) & (day_col <= F.lit(last + dt.timedelta(days=1)))
+    in_days = F.to_date(F.col("block_time")).isin(days)
+    window = F.col("date_time").between(f"{first.isoformat()} 00:00:00", f"{last.isoformat()} 23:59:59")
+    day_trades = trades.where(margin & in_days)
+    day_prices = prices.where(window & F.to_date(F.col("date_time").cast("timestamp_ntz")).isin(days))
+
+    def overwrite(df: DataFrame, path: str, col: str) -> None:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(col).parquet(path))
+
+    summary = daily_trade_summary(trades.where(day_col.isin(days)))
+    overwrite(summary, summary_path, "block_date")
+    overwrite(price_gap_daily(day_trades, day_prices, mode=mode, gap=gap), gap_path, "date")
+
+
+# Declared schemas of the materialized results (partition discovery would read the
+# gap's ``date`` text back as a DATE).
+SUMMARY_RESULT_DDL = ("block_date date, token_pair string, no_txn bigint, total_usd_value_bought double, "
+                      "total_usd_value_sold double, total_units_sold double, total_units_bought double, "
+                      "avg_buy_price double, avg_sell_price double")
+GAP_RESULT_DDL = "date string, cow_token string, avg_price_difference double"
+
+
+def read_daily_results(spark: SparkSession, summary_path: str, gap_path: str) -> tuple[DataFrame, DataFrame]:
+    """The materialized (summary, price gap) written by ``refresh_daily_results``."""
+    return (spark.read.schema(SUMMARY_RESULT_DDL).parquet(summary_path),
+            spark.read.schema(GAP_RESULT_DDL).parquet(gap_path))
