@@ -164,7 +164,9 @@ def refresh_daily_results(spark: SparkSession, trades: DataFrame, prices: DataFr
     day_prices = prices.where(window & F.to_date(F.col("date_time").cast("timestamp_ntz")).isin(days))
 
     def overwrite(df: DataFrame, path: str, col: str) -> None:
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # A day's result is a few rows (tokens or pairs): one task per day writes it,
+        # so each day partition is one file, not one per task.
+        (df.repartition(col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(col).parquet(path))
 
     summary = daily_trade_summary(trades.where(day_col.isin(days)))
