@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -56,23 +55,33 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def apply_recommended(spark: SparkSession) -> None:
-    """Set the time zone and ANSI mode on a session built elsewhere."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """Apply ``RECOMMENDED_CONF`` to a session built elsewhere: time zone and ANSI mode
+    always; the join and AQE settings only where the session leaves them unset."""
+    always = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")
+    for key, value in RECOMMENDED_CONF.items():
+        if key in always or spark.conf.getAll.get(key) is None:
+            spark.conf.set(key, value)
+
+
+def is_local(spark: SparkSession) -> bool:
+    """One JVM (``local`` or ``local[...]``); ``local-cluster`` runs separate executors."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
-    On a cluster this is the folder the cluster names in ``spark.checkpoint.dir``
-    (or the context's checkpoint folder); it is only read here.  Only when neither
-    is set (tests, local runs) a local folder is created and registered with the
-    context.  ``spark.checkpoint.dir`` itself cannot change in a running session.
+    On a cluster this is the folder the cluster names in ``spark.checkpoint.dir`` (or the
+    context's checkpoint folder); without one this raises, since a machine-local folder
+    would be invisible to the other machines.  In a single JVM (tests, local runs) a
+    temporary folder is created and registered with the context.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
-        current = sc.getCheckpointDir()
-    if not current:
+        if not is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tradelens-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
@@ -80,8 +89,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint location."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique folder under the shared checkpoint location (its URI is kept)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
