@@ -15,6 +15,7 @@ daylight-saving zone).
 from __future__ import annotations
 
 import datetime as _dt
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -602,6 +603,21 @@ staged_prices AS (
 })
 
 
+# --------------------------------------------------------------------------- optional parts
+
+# The training-data operators and their pipeline may be absent; the rest works without them.
+# Only their absence is handled: an import error inside them is raised.
+if importlib.util.find_spec("tradelens.llm") is not None:
+    from tradelens.llm import queries as _LLM
+    _QUERIES.update(_LLM.QUERIES)
+    _ORACLE.update(_LLM.ORACLE_SQL)
+if importlib.util.find_spec("corpus_pipeline") is not None:
+    import corpus_pipeline as _CP
+    _QUERIES["pipeline"] = _CP.run
+    if _CP.ORACLE_SQL is not None:
+        _ORACLE["pipeline"] = _CP.ORACLE_SQL
+
+
 # --------------------------------------------------------------------------- contract
 
 def entry(spark: SparkSession) -> DataFrame:
