@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import per_process
+
 PIECE_CHARS = 50_000
 
 # The characters that ``\s`` of the split pattern matches.
@@ -99,7 +102,7 @@ def bpe_ids(text: Column, ranks: bytes, pattern: str) -> Column:
     """The ids of a text column, as an array of ints."""
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder = Coder(ranks, pattern)
+        coder = per_process(("bpe", zlib.crc32(ranks), pattern), lambda: Coder(ranks, pattern))
         for texts in batches:
             yield pd.Series([coder.encode(t).astype("int32") for t in texts], index=texts.index, dtype=object)
 
@@ -110,7 +113,7 @@ def bpe_bytes(ids: Column, ranks: bytes, pattern: str) -> Column:
     """The raw bytes that an array of ids stands for (null: empty)."""
     @F.pandas_udf("binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder = Coder(ranks, pattern)
+        coder = per_process(("bpe", zlib.crc32(ranks), pattern), lambda: Coder(ranks, pattern))
         for arrays in batches:
             yield pd.Series([b"" if a is None else coder.decode(np.asarray(a)) for a in arrays],
                             index=arrays.index, dtype=object)
@@ -125,7 +128,7 @@ def bpe_round_trip(text: Column, ranks: bytes, pattern: str) -> Column:
     """
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        coder = Coder(ranks, pattern)
+        coder = per_process(("bpe", zlib.crc32(ranks), pattern), lambda: Coder(ranks, pattern))
         for texts in batches:
             rows = []
             for t in texts:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import types
 import uuid
 
 from pyspark import cloudpickle
@@ -83,6 +84,14 @@ def read_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
             .select("path", "content"))
 
 
+def per_process(key, make):
+    """``make()`` once per worker process and ``key``; reused workers share it over tasks."""
+    state = sys.modules.setdefault("_tradelens_llm_state", types.ModuleType("_tradelens_llm_state")).__dict__
+    if key not in state:
+        state[key] = make()
+    return state[key]
+
+
 def ship_package() -> None:
     """Send this package's functions to the workers by value.
 
