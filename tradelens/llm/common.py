@@ -78,6 +78,14 @@ def write_file(folder: str, name: str, parts) -> int:
     return size
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh, existing folder on the shared store, for files that tasks write."""
+    folder = scratch_path(spark, name)
+    store, base = _filesystem(folder)
+    store.create_dir(base, recursive=True)
+    return folder
+
+
 def read_files(spark: SparkSession, folder: str, suffix: str) -> DataFrame:
     """``(path, content)`` of the files in ``folder``, one row per file, by Spark's reader."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(folder)

@@ -8,11 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bitplane as BIT
 from . import byte_bpe as BP
 from . import decontaminate as DC
 from . import langid as LI
 from . import line_dedup as LN
-from .common import crc32_mod, doc_key, documents, ship_package
+from . import warc as WA
+from .common import crc32_mod, doc_key, documents, new_folder, ship_package
+
+#: The id appended to every document in the token files.
+END_ID = 2
 
 
 def fit_languages(docs: DataFrame) -> dict[str, bytes]:
@@ -54,11 +59,39 @@ def q_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", digest.alias("d")).select("doc_id", "d.*")
 
 
+def token_planes(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
+    """Write the documents' token files and read them back."""
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        vocabulary = f.read()
+    folder = new_folder(spark, "token-planes")
+    written = BIT.write_planes(docs, folder, vocabulary, END_ID, **options)
+    read = BIT.read_planes(BIT.open_planes(spark, folder))
+    return BIT.document_ranges(written, read).withColumnRenamed("id", "doc_id")
+
+
+def q_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_planes(spark, documents(spark, sf_dir))
+
+
+def warc_digest(spark: SparkSession, pages: DataFrame) -> DataFrame:
+    """Write the pages' archives and read them back."""
+    folder = new_folder(spark, "warc")
+    WA.write_archives(pages, folder)
+    return WA.read_archives(WA.open_archives(spark, folder)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_digest(spark, documents(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": q_langid,
     "op3_line_dedup": q_line_dedup,
     "op4_decontaminate": q_decontaminate,
     "op5_byte_bpe": q_byte_bpe,
+    "op9_bitplane": q_token_planes,
+    "op10_warc": q_warc,
 }
 
 ORACLE_SQL: dict[str, str] = {}
