@@ -13,6 +13,7 @@ from . import byte_bpe as BP
 from . import decontaminate as DC
 from . import langid as LI
 from . import line_dedup as LN
+from . import lsh_forest as LF
 from . import warc as WA
 from .common import crc32_mod, doc_key, documents, new_folder, ship_package
 
@@ -59,6 +60,10 @@ def q_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", digest.alias("d")).select("doc_id", "d.*")
 
 
+def q_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LF.near_duplicates(documents(spark, sf_dir), width=2).drop("k1", "k2")
+
+
 def token_planes(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """Write the documents' token files and read them back."""
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_dedup": q_line_dedup,
     "op4_decontaminate": q_decontaminate,
     "op5_byte_bpe": q_byte_bpe,
+    "op6_lsh_forest": q_near_duplicates,
     "op9_bitplane": q_token_planes,
     "op10_warc": q_warc,
 }
