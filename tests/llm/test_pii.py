@@ -1,0 +1,76 @@
+import random
+import re
+
+from tradelens.llm import pii as P
+from tradelens.llm import queries as Q
+
+RULES = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(d):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def brute(t):
+    out = []
+    for kind, rule in RULES.items():
+        for m in re.finditer(rule, t):
+            d = re.sub("[^0-9]", "", m.group())
+            ok = {"email": True, "ip": all(int(x) <= 255 for x in m.group().split(".")) if kind == "ip" else True,
+                  "card": 13 <= len(d) <= 19 and luhn(d), "phone": 9 <= len(d) <= 15}[kind]
+            if ok:
+                out.append((kind, *m.span()))
+    return out
+
+
+def test_base_rules_equal_the_patterns():
+    rng = random.Random(9)
+    parts = ["a", "Z", "9", "12", "255", "256", ".", "..", "@", "@x.", "-", " ", "+", "(", ")", "é", "0", "1.2.3.4", "x@y.z",
+             "4539578763621486", "+1 (555) 010-9999", "\n", "%", "_", "007", "300.1.1.1"]
+    for _ in range(6000):
+        t = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert P.base_spans(t) == brute(t), repr(t)
+
+
+def test_long_runs_take_linear_time():
+    for t in ("9" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "+1" + " " * 200_000, "@" * 100_000, "a.b@" * 50_000,
+              "a@" + "b." * 100_000, "a " * 100_000 + "at dot", "9 " * 100_000, "x dot " * 30_000 + "at"):
+        P.find(t, {"trees": P.Boosted(), "thresholds": dict.fromkeys(P.KINDS, 0.5)})
+
+
+def test_trees_learn_and_keep_base_spans(spark):
+    rng = random.Random(2)
+    docs = []
+    for i in range(400):
+        t = f"words and words {rng.randint(10**6, 10**7)} call " if i % 3 else "see "
+        t += rng.choice([f"mail me{i}@site{i % 7}.example.com now", f"phone +1 555 010 {rng.randint(1000, 9999)} x",
+                         "card 4539 5787 6362 1486 y", f"host 10.0.{i % 256}.7 up", f"order {rng.randint(10**9, 10**10)} of"])
+        docs.append((i, t))
+    docs += [(900, None), (901, ""), (902, "no data"), (903, "mail me (at) site3.example.com now")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    model = P.fit(P.training_rows(df))
+    rows = {r.doc_id: r for r in Q.personal_data(df, model).collect()}
+    assert len(rows) == len(docs)
+    for i, t in docs:
+        base = brute(t or "")
+        for k in P.KINDS:
+            assert rows[i][f"n_{k}"] == sum(b[0] == k for b in base)
+        assert {f"{k}:{a}:{b}" for k, a, b in base} <= set(rows[i].spans.split(",") if rows[i].spans else [])
+    got = {r.doc_id: r.t for r in df.select("doc_id", P.redact(df.text, model).alias("t")).collect()}
+    assert got[900] is None and got[902] == "no data" and "@" not in "".join(got[i] for i in range(400))
+    x, y = [], []
+    for i in range(600):
+        a, b = rng.random(), rng.random()
+        x.append([a, b, rng.random()])
+        y.append(float((a > 0.5) != (b > 0.5)))
+    import numpy as np
+    trees = P.Boosted().fit(np.array(x[:400]), np.array(y[:400]))
+    assert ((trees.predict(np.array(x[400:])) > 0.5) == np.array(y[400:])).mean() > 0.9
+
+
+def test_empty_tables(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    model = P.fit(P.training_rows(df))
+    assert model["thresholds"] == dict.fromkeys(P.KINDS, 2.0)
+    assert Q.personal_data(df, model).count() == 0

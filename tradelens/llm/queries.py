@@ -14,6 +14,8 @@ from . import decontaminate as DC
 from . import langid as LI
 from . import line_dedup as LN
 from . import lsh_forest as LF
+from . import pii as PI
+from . import toxicity as TX
 from . import warc as WA
 from .common import crc32_mod, doc_key, documents, new_folder, ship_package
 
@@ -64,6 +66,38 @@ def q_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LF.near_duplicates(documents(spark, sf_dir), width=2).drop("k1", "k2")
 
 
+def fit_toxicity(docs: DataFrame, labels: DataFrame) -> dict:
+    """The classifier from the labelled rows outside the held-out fold."""
+    return TX.fit(TX.training_rows(docs, labels.where(crc32_mod("doc_id", 3) != 1)))
+
+
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = fit_toxicity(docs, documents(spark, sf_dir, "labels"))
+    done = docs.select("doc_id", (crc32_mod("doc_id", 3) == 1).alias("held_out"),
+                       TX.toxicity(F.col("text"), model).alias("score"))
+    return done.withColumn("predicted", (F.col("score") >= TX.THRESHOLD).cast("int"))
+
+
+def personal_data(docs: DataFrame, model: dict) -> DataFrame:
+    """Digest of ``pii.personal_spans``: one row per row of ``docs``."""
+    found = docs.select("doc_id", PI.personal_spans(F.col("text"), model).alias("p")).select("doc_id", "p.*")
+
+    def listed(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in PI.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
+def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return personal_data(docs, PI.fit(PI.training_rows(docs)))
+
+
 def token_planes(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """Write the documents' token files and read them back."""
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
@@ -96,6 +130,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": q_decontaminate,
     "op5_byte_bpe": q_byte_bpe,
     "op6_lsh_forest": q_near_duplicates,
+    "op7_toxicity": q_toxicity,
+    "op8_pii": q_pii,
     "op9_bitplane": q_token_planes,
     "op10_warc": q_warc,
 }
