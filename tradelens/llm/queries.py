@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import bitplane as BIT
 from . import byte_bpe as BP
+from . import cover_tree as CT
 from . import decontaminate as DC
 from . import langid as LI
 from . import line_dedup as LN
@@ -23,6 +24,11 @@ from .common import crc32_mod, doc_key, documents, new_folder, ship_package
 END_ID = 2
 
 
+def q_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = documents(spark, sf_dir, "embeddings")
+    return CT.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
+
+
 def fit_languages(docs: DataFrame) -> dict[str, bytes]:
     """Dictionaries from the labelled rows outside the held-out fold."""
     return LI.fit(LI.training_sample(docs.where(crc32_mod("doc_id", 4) != 2)))
@@ -125,6 +131,7 @@ def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cover_tree": q_top_k,
     "op2_language_id": q_langid,
     "op3_line_dedup": q_line_dedup,
     "op4_decontaminate": q_decontaminate,
@@ -136,6 +143,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": q_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_cover_tree": """
+WITH ok AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, r.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM ok q JOIN ok r ON q.vec_id % 50 = 0 AND r.vec_id <> q.vec_id AND len(r.v) = len(q.v)),
+ranked AS (
+  SELECT query_id, vec_id, score,
+         CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+}
 
 ship_package()
