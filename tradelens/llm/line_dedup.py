@@ -170,7 +170,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     k1, k2 = doc_key(id_col, text_col)
     # The text travels as its lines, so they are split once, before the join.
     rows = docs.withColumns({"__k1": k1, "__k2": k2, "__lines": _lines(F.col(text_col))}).drop(text_col)
-    rows = rows.join(drop, ["__k1", "__k2"], "left")
+    # Merged at every size: the list grows with the documents, so it is never sent to each task.
+    rows = rows.join(drop.hint("merge"), ["__k1", "__k2"], "left")
     kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__drop"))
     kept = F.transform(kept, lambda i: F.get(F.col("__lines"), i))
     lines = F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(kept)
