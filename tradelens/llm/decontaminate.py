@@ -189,4 +189,4 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id
     bad = stored(overlaps(docs, items, id_col, text_col, **options).where(contaminated(share)).select(
         F.col("k1").alias("__k1"), F.col("k2").alias("__k2")), "decontaminate-bad")
     k1, k2 = doc_key(id_col, text_col)
-    return docs.withColumns({"__k1": k1, "__k2": k2}).join(bad, ["__k1", "__k2"], "left_anti").drop("__k1", "__k2")
+    return docs.withColumns({"__k1": k1, "__k2": k2}).join(bad.hint("merge"), ["__k1", "__k2"], "left_anti").drop("__k1", "__k2")

@@ -208,7 +208,8 @@ def full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wi
                 yield pa.RecordBatch.from_arrays([pa.array([_digest(s) for s in sets], pa.binary()),
                                                   pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
 
-    rows = docs.select(*doc_key(id_col, text_col), F.col(text_col).alias("text")).join(wanted, ["k1", "k2"], "left_semi")
+    rows = docs.select(*doc_key(id_col, text_col), F.col(text_col).alias("text")).join(
+        wanted.hint("merge"), ["k1", "k2"], "left_semi")
     sets = rows.select("text").mapInArrow(run, "node binary, shingles binary")
     return sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
 
@@ -314,5 +315,5 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     found = near_duplicates(docs, id_col, text_col, **options).where("kept")
     kept = stored(found.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct(), "lsh-forest-kept")
     k1, k2 = doc_key(id_col, text_col)
-    rows = docs.withColumns({"__k1": k1, "__k2": k2}).join(kept, ["__k1", "__k2"], "left_semi")
+    rows = docs.withColumns({"__k1": k1, "__k2": k2}).join(kept.hint("merge"), ["__k1", "__k2"], "left_semi")
     return rows.dropDuplicates(["__k1", "__k2"]).drop("__k1", "__k2")

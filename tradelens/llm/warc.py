@@ -7,8 +7,7 @@ the file stays readable by any reader of the format.
 The writer deduplicates: of records with equal payloads of at least ``MIN_SHARED`` bytes, the
 one with the largest id is a ``response``, the others are ``revisit`` records that name it and
 carry no payload; smaller payloads are always a ``response``.  Equal payloads are found by
-SHA-1 digest and length, from narrow rows; the pages themselves are not shuffled for it unless
-the table of shared digests is too large to send to every task.
+SHA-1 digest and length, from narrow rows; the pages themselves meet the outcome by their ids.
 
 The reader loads the dictionary from the leading skippable frame, decodes one frame per
 record, and validates the version line, the required headers, the declared content length and
@@ -174,26 +173,26 @@ def page_sample(pages: DataFrame, id_col: str, payload_col: str) -> list[bytes]:
     return [build_record(None, "", (r[0] or "").encode("utf-8")) for r in rows.select("m.opening").collect()]
 
 
-def shared_payloads(pages: DataFrame, id_col: str, payload_col: str) -> DataFrame:
-    """``(digest, size, response)`` of payloads that several pages share."""
-    text = F.col(payload_col)
-    rows = pages.where(F.octet_length(text) >= MIN_SHARED).select(
-        F.unhex(F.sha1(text.cast("binary"))).alias("digest"), F.octet_length(text).alias("size"), F.col(id_col).alias("id"))
-    return rows.groupBy("digest", "size").agg(F.max("id").alias("response"), F.count(F.lit(1)).alias("n")).where(
-        "n > 1 and response is not null").select("digest", "size", "response")
+def revisits(rows: DataFrame) -> DataFrame:
+    """``(k, digest, refers_to)`` of the pages that revisit another, from ``(id, k, digest,
+    size)`` with a null digest for small payloads."""
+    rows = stored(rows.where("digest is not null"), "warc-digests")
+    shared = rows.groupBy("digest", "size").agg(F.max("id").alias("response"), F.count(F.lit(1)).alias("n"))
+    shared = stored(shared.where("n > 1 and response is not null").select("digest", "size", "response"), "warc-shared")
+    found = rows.join(shared, ["digest", "size"]).where(~F.col("response").eqNullSafe(F.col("id")))
+    return found.groupBy("k", "digest").agg(F.max("response").alias("refers_to"))
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url",
                    payload_col: str = "html", file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write a record per page; returns ``(shard, file, records, bytes)``."""
     dictionary = train_dictionary(page_sample(pages, id_col, payload_col))
-    shared = stored(shared_payloads(pages, id_col, payload_col), "warc-shared")
     text = F.col(payload_col)
-    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), text.alias("payload"),
-                        F.octet_length(text).alias("size"),
-                        F.when(F.octet_length(text) >= MIN_SHARED, F.unhex(F.sha1(text.cast("binary")))).alias("digest"))
-    rows = rows.join(shared, ["digest", "size"], "left").select(
-        "id", "url", "payload", F.when(~F.col("response").eqNullSafe(F.col("id")), F.col("response")).alias("refers_to"))
+    key = [F.xxhash64(id_col).alias("k"), F.when(F.octet_length(text) >= MIN_SHARED, F.unhex(F.sha1(text.cast("binary")))).alias("digest")]
+    again = stored(revisits(pages.select(F.col(id_col).alias("id"), *key, F.octet_length(text).alias("size"))), "warc-revisits")
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), text.alias("payload"), *key)
+    # By id and digest: a payload that many pages share is spread over all tasks.
+    rows = rows.join(again.hint("merge"), ["k", "digest"], "left").select("id", "url", "payload", "refers_to")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
