@@ -5,7 +5,7 @@ Every query reads the driver's tables through the fixture mapping of FIXTURES.md
 results are rounded to 6 decimals in both engines, because sums in a different
 order differ in the last bits; the inputs have at most 4 decimals, so sums sit on
 a 4-decimal grid and 6-decimal rounding never meets a tie.  Sums too large for
-that (``legs_union_all``) are summed exactly as integer counts of 1e-4.
+that (``legs_union_all``) are exact decimal sums, rounded once at the end.
 
 Every query sets the recommended session time zone (UTC).  The library's keys and
 unix conversions read wall-clock fields and do not depend on it (tested under a
@@ -14,8 +14,10 @@ daylight-saving zone).
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 import importlib.util
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +34,7 @@ from tradelens.sources import prices as PR
 from tradelens.sources import trades as TR
 from tradelens import jobs as JB
 from tradelens.sinks import load as LD
+from tradelens.sinks import tables as TB
 from tradelens.sinks import views as VW
 from tradelens.streaming import price_stream as ST
 
@@ -71,39 +74,34 @@ def q_trade_price_left_join(spark, sf_dir):
 
 
 def _legs_query(side):
-    """One side of the view per (hour key, token), from weighted view rows."""
+    """One side's legs with their prices, per (hour key, token), from weighted pairs."""
     def run(spark, sf_dir):
         trades, prices = _tables(spark, sf_dir)
-        rows = LG.weighted_view_rows(trades, prices).where(F.col("side") == side)
-        out = PG.leg_summary_weighted(rows)
-        return _r(out, {"sum_amount": 6, "avg_cow_price": 6, "avg_price_difference": 6,
-                        "sum_external_value_usd": 6, "sum_usd_cow_value": 6})
+        pairs = LG.weighted_pairs(LG.side_legs(trades, side), prices)
+        out = PG.leg_summary(pairs, weight="n")
+        return _r(out, {"sum_amount": 6, "avg_trade_price": 6, "avg_price_difference": 6,
+                        "sum_external_value_usd": 6, "sum_usd_trade_value": 6})
     return run
 
 
 def q_legs_union_all(spark, sf_dir):
-    """Counts and value sums of ``sell side UNION ALL buy side`` per token.
+    """Counts and value sums per token of ``sell legs UNION ALL buy legs`` with their prices.
 
     All four are linear in the market price, so each leg meets the count and sum of
-    its hour's prices (one row per leg, no pairs).  Sums over millions of view rows
-    reach 1e10, where a double's last bit exceeds any decimal rounding; the inputs
-    have at most 4 decimals, so each term is summed exactly as an integer count of
-    1e-4 (a long sum, < 2**53) and divided once.
+    its hour's prices (one row per leg, no pairs).
     """
     trades, prices = _tables(spark, sf_dir)
-    legs = LG.legs_with_price_sums(trades, prices)
+    legs = LG.legs_with_price_sums(LG.legs_union_all(trades), prices)
     n = F.col("n")
-    return legs.groupBy(F.col("token").alias("cow_token")).agg(
+    return legs.groupBy("token").agg(
         F.sum(n).alias("n_rows"),
-        _exact_sum(F.col("amount") * n).alias("sum_amount"),
-        _exact_sum(F.col("amount") * F.col("sum_price")).alias("sum_external_value_usd"),
-        _exact_sum(F.col("usd_cow_value") * n).alias("sum_usd_cow_value"))
+        _decimal_sum(F.col("amount") * n).alias("sum_amount"),
+        _decimal_sum(F.col("amount") * F.col("sum_price")).alias("sum_external_value_usd"),
+        _decimal_sum(F.col("usd_trade_value") * n).alias("sum_usd_trade_value"))
 
 
-def _exact_sum(c):
-    # rint (Math.rint) is the fast native rounding; every term lies within ~1e-6 of
-    # an integer count of 1e-4, never on a .5 tie, so it equals SQL round here.
-    return F.sum(F.rint(c * 10000).cast("long")) / F.lit(10000.0)
+def _decimal_sum(c):
+    return F.round(F.sum(c.cast("decimal(28,10)")), 4).cast("double")
 
 
 def q_trade_summary_daily(spark, sf_dir):
@@ -115,7 +113,7 @@ def q_trade_summary_daily(spark, sf_dir):
 
 def q_headline_totals(spark, sf_dir):
     trades, _ = _tables(spark, sf_dir)
-    return AG.headline_totals(AG.daily_trade_summary(trades), trades)
+    return AG.headline_totals_of_trades(trades)
 
 
 def _gap_table(spark, sf_dir):
@@ -236,26 +234,64 @@ def q_seed_if_empty(spark, sf_dir):
 
 
 def q_load_report(spark, sf_dir):
+    """The reports of two loads into a catalog table: an overlapping batch, an empty one."""
     rows = _trade_rows(spark, sf_dir)
-    stored = rows.where(F.col("block_date") < F.lit(FIRST_HALF_END).cast("date")).select("id")
-    columns = ",".join(rows.columns)
-
-    def report(batch, load):
-        return AG.load_counts(batch, stored).select(
-            F.lit("staging").alias("schema_name"), F.lit("trades").alias("table_name"),
-            F.lit(load).alias("load"), "total_rows", "inserted_rows", F.lit(columns).alias("columns"))
-    empty = rows.where(F.col("block_date") < F.lit(EMPTY_BEFORE).cast("date"))
-    return report(_overlapping_batch(rows), "daily").unionByName(report(empty, "empty"))
+    with _databases(spark, "staging") as (staging,):
+        table = JB.trades_table(spark, name=f"{staging}.trades")
+        LD.insert_if_absent(spark, rows.where(F.col("block_date") < F.lit(FIRST_HALF_END).cast("date")), table)
+        reports = [("daily", LD.insert_if_absent(spark, _overlapping_batch(rows), table, source_id="q-1")),
+                   ("empty", LD.insert_if_absent(
+                       spark, rows.where(F.col("block_date") < F.lit(EMPTY_BEFORE).cast("date")), table, source_id="q-2"))]
+    out = [(r.schema.rpartition("_")[0], r.table_name.rpartition(".")[2], load, r.total_rows, r.inserted_rows,
+            ",".join(r.columns), r.source_id) for load, r in reports]
+    return spark.createDataFrame(out, "schema_name string, table_name string, load string, total_rows long, "
+                                      "inserted_rows long, columns string, query_id string")
+
+
+@contextlib.contextmanager
+def _databases(spark, *names):
+    """Fresh databases, dropped with their tables and views at the end."""
+    tag = uuid.uuid4().hex[:10]
+    made = [TB.create_namespace(spark, f" {n.title()} {tag} ") for n in names]
+    try:
+        yield made
+    finally:
+        for db in made:
+            spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def _kept(spark, df):
+    """The rows of ``df``, read from a copy in the shared scratch folder."""
+    path = _session.scratch_path(spark, "kept")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def q_published_views_read(spark, sf_dir):
+    """Namespaces, tables, loads and persistent views in fresh databases; the view read back."""
+    trades, prices = _tables(spark, sf_dir)
+    with _databases(spark, "staging", "data warehouse") as (staging, warehouse):
+        t = JB.trades_table(spark, name=f"{staging}.trades")
+        p = JB.prices_table(spark, name=f"{staging}.coin_prices")
+        for _ in range(2):
+            LD.insert_if_absent(spark, with_row_id(trades.select(*JB.TRADE_COLUMNS)), t)
+            LD.insert_if_absent(spark, with_row_id(prices.select(*JB.PRICE_COLUMNS)), p, range_columns=("date_time",))
+        VW.publish_views(spark, t.name, p.name, target=warehouse)
+        return _kept(spark, _r(spark.table(f"{warehouse}.price_gap_daily"), {"avg_price_difference": 6}))
 
 
 def _published(spark, sf_dir, view):
-    import uuid
+    """The views over session views of the inputs; every name is gone once the result is kept."""
     trades, prices = _tables(spark, sf_dir)
-    tag = uuid.uuid4().hex[:8]
-    t_name, p_name = f"tl_trades_{tag}", f"tl_coin_prices_{tag}"
-    trades.createOrReplaceTempView(t_name)
-    prices.createOrReplaceTempView(p_name)
-    return VW.publish_views(spark, t_name, p_name, temporary=True)[view]
+    tag = f"tl_{uuid.uuid4().hex[:8]}_"
+    trades.createOrReplaceTempView(f"{tag}trades")
+    prices.createOrReplaceTempView(f"{tag}coin_prices")
+    out = VW.publish_views(spark, f"{tag}trades", f"{tag}coin_prices", temporary=True, prefix=tag)
+    try:
+        return _kept(spark, out[view])
+    finally:
+        for name in ("price_gap_daily", "trade_summary_daily", "trades", "coin_prices"):
+            spark.catalog.dropTempView(f"{tag}{name}")
 
 
 def q_published_price_gap_view(spark, sf_dir):
@@ -268,6 +304,45 @@ def q_published_summary_view(spark, sf_dir):
                "total_units_bought": 6, "avg_buy_price": 6, "avg_sell_price": 6})
 
 
+def _odd_prices(events):
+    """Price rows with missing and empty coins and missing times."""
+    n = F.col("event_id")
+    coin = F.when(n % 5 == 0, F.lit(None)).when(n % 5 == 1, F.lit("")).otherwise(F.lit("ethereum"))
+    rows = FX.coin_prices_from_events(events.withColumn("event_type", F.lit("view")))
+    return events.select(
+        F.when(n % 7 != 0, F.substring(F.col("ts").cast("timestamp_ntz").cast("string"), 1, 19)).alias("date_time"),
+        F.col("value").alias("prices"), n.cast("double").alias("market_cap"),
+        F.lit(None).cast("double").alias("total_volume"), coin.cast("string").alias("coin")).select(*rows.columns)
+
+
+def q_replay_odd_partitions(spark, sf_dir):
+    """Three loads of rows with null and empty partition values and null times store each once."""
+    rows = with_row_id(_odd_prices(_events(spark, sf_dir)).select(*JB.PRICE_COLUMNS))
+    table = JB.prices_table(spark, path=_session.scratch_path(spark, "odd"))
+    for _ in range(3):
+        LD.insert_if_absent(spark, rows, table, range_columns=("date_time",))
+    return table.read().drop("id")
+
+
+def q_seeded_table(spark, sf_dir):
+    """A seed is written to an empty table; a second seed finds rows and changes nothing."""
+    rows = _trade_rows(spark, sf_dir)
+    d = F.col("block_date")
+    table = JB.trades_table(spark, path=_session.scratch_path(spark, "seeded"))
+    LD.seed_table(spark, table, rows.where(d < F.lit(AS_OF).cast("date")))
+    LD.seed_table(spark, table, rows)
+    return table.read().drop("id")
+
+
+def q_landed_price_docs(spark, sf_dir):
+    """Landed JSON documents read in one batch; documents without prices give no rows."""
+    docs = PR.price_docs_from_prices(FX.price_points_from_events(_events(spark, sf_dir))).select("coin", "doc")
+    broken = docs.select("coin", F.lit('{"error": "rate limited"}').alias("doc"))
+    path = _session.scratch_path(spark, "landed")
+    ST.land_price_docs(docs.unionByName(broken), path)
+    return PR.read_price_docs(spark, path)
+
+
 def q_staged_trades(spark, sf_dir):
     """A source frame with raw column names -> cleaned names, staging types, id."""
     events = _events(spark, sf_dir)
@@ -282,16 +357,24 @@ def q_staged_trades(spark, sf_dir):
     return LD.stage_rows(raw, ["column_0", "block_date", "tx_hash", "user_id", "partial_fill"])
 
 
-def q_coin_tagged_prices(spark, sf_dir):
-    """One document set per coin request; the coin is a constant column of each."""
+def q_staged_types(spark, sf_dir):
+    """Arrays become arrays of texts, decimals keep their digits; the month's first day as text."""
     events = _events(spark, sf_dir)
-    docs = PR.price_docs_from_prices(FX.price_points_from_events(events))
-    out = None
+    raw = events.select(F.col("event_id").alias("Event Id"), F.array("event_id", "user_id").alias("Id List"),
+                        F.col("value").cast("decimal(38,9)").alias("Amount"),
+                        S.month_start_text("ts").alias(" Month Start "))
+    return LD.stage_rows(raw).drop("id").withColumn("id_list", F.array_join("id_list", "|"))
+
+
+def q_coin_tagged_prices(spark, sf_dir):
+    """Each coin's documents parsed on their own columns; the coin is the request's constant.
+
+    One scan: the constant is set per coin by a CASE over the coins requested."""
+    docs = PR.price_docs_from_prices(FX.price_points_from_events(_events(spark, sf_dir)))
+    request = F.lit(None).cast("string")
     for coin in FX.PRICE_EVENT_COINS.values():
-        one = PR.explode_price_docs(PR.parse_price_docs(docs.where(F.col("coin") == coin).drop("coin")))
-        one = one.withColumn("coin", F.lit(coin))
-        out = one if out is None else out.unionByName(one)
-    return out
+        request = F.when(F.col("coin") == coin, F.lit(coin)).otherwise(request)
+    return PR.explode_price_docs(PR.parse_price_docs(docs.withColumn("coin", request))).select(*PR.PRICE_ROW_COLUMNS, "coin")
 
 
 def q_daily_load_replayed(spark, sf_dir):
@@ -322,15 +405,39 @@ def q_backfill_price_gap(spark, sf_dir):
     return _r(PG.price_gap_daily(t.read(), p.read()), {"avg_price_difference": 6})
 
 
-def q_materialized_price_gap(spark, sf_dir):
-    """Daily results materialized day by day, then read back (the dashboard's table)."""
+def _drifted(trades):
+    """Trades some of which lie two days off their ``block_date``."""
+    off = F.when(F.dayofmonth("block_time") % 3 == 0, 2).otherwise(0)
+    return trades.withColumn("block_date", F.date_add(F.to_date("block_time"), off))
+
+
+def _materialized(spark, sf_dir):
+    """Results refreshed by three loads: all but the late prices, the late prices, a replay."""
     trades, prices = _tables(spark, sf_dir)
-    # The days present: one value per day, bounded by the calendar, not by the rows.
-    days = [r[0] for r in trades.select(F.to_date("block_time")).distinct().collect()]
     base = _session.scratch_path(spark, "results")
-    JB.refresh_daily_results(spark, trades, prices, days, f"{base}/summary", f"{base}/gap")
-    _, gap = JB.read_daily_results(spark, f"{base}/summary", f"{base}/gap")
-    return _r(gap, {"avg_price_difference": 6})
+    t, p = JB.trades_table(spark, path=f"{base}/trades"), JB.prices_table(spark, path=f"{base}/prices")
+    late = F.hour(F.col("date_time").cast("timestamp_ntz")) >= 18
+    trades = with_row_id(_drifted(trades).select(*JB.TRADE_COLUMNS))
+    parts = [prices.where(~late), prices.where(late), prices.where(late)]
+    for part in parts:
+        def load(part=part):
+            days = (F.to_date("block_time"), F.col("block_date"))
+            time = F.to_date(F.col("date_time").cast("timestamp_ntz"))
+            return [LD.insert_if_absent(spark, trades, t, day_columns=days),
+                    LD.insert_if_absent(spark, with_row_id(part.select(*JB.PRICE_COLUMNS)), p,
+                                        range_columns=("date_time",), day_columns=(time,))]
+        JB.load_and_refresh(spark, t, p, (f"{base}/summary", f"{base}/gap"), load)
+    return JB.read_daily_results(spark, f"{base}/summary", f"{base}/gap")
+
+
+def q_materialized_price_gap(spark, sf_dir):
+    return _r(_materialized(spark, sf_dir)[1], {"avg_price_difference": 6})
+
+
+def q_materialized_summary(spark, sf_dir):
+    return _r(_materialized(spark, sf_dir)[0],
+              {"total_usd_value_bought": 6, "total_usd_value_sold": 6, "total_units_sold": 6,
+               "total_units_bought": 6, "avg_buy_price": 6, "avg_sell_price": 6})
 
 
 def q_stream_load_replayed(spark, sf_dir):
@@ -379,13 +486,19 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_load_replayed": q_stream_load_replayed,
     "backfill_price_gap": q_backfill_price_gap,
     "materialized_price_gap": q_materialized_price_gap,
+    "materialized_summary": q_materialized_summary,
+    "published_views_read": q_published_views_read,
+    "replay_odd_partitions": q_replay_odd_partitions,
+    "seeded_table": q_seeded_table,
+    "landed_price_docs": q_landed_price_docs,
+    "staged_types": q_staged_types,
 }
 
 
 # --------------------------------------------------------------------------- oracle SQL
 
 _FIXTURE_CTES = """
-ev AS (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events),
+ev AS (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events),
 trades AS (
   SELECT CAST(ts AS DATE) AS block_date, ts AS block_time, CAST(user_id AS VARCHAR) AS tx_hash,
          'USDC-WETH' AS token_pair, event_type AS order_type, (k >= 50) AS partial_fill,
@@ -401,45 +514,32 @@ coin_prices AS (
   FROM ev WHERE event_type IN ('view', 'click', 'error'))"""
 
 
-def _view_ctes(hour_fmt="%I", gap="quarter", trades_src="trades", prices_src="coin_prices", base=None):
-    def diff(p):
-        if gap == "quarter":
-            return f"(({p} - external_price) / ({p} + external_price) / 2) * 100"
-        return f"({p} - external_price) / (({p} + external_price) / 2) * 100"
+def _price_ctes(hours=12, gap="quarter", trades_src="trades", prices_src="coin_prices", base=None):
+    """Legs (a trade's two sides), quotes (mapped prices) and their pairs by day and hour key."""
+    mean = "(trade_price + price)" if gap == "quarter" else "((trade_price + price) / 2)"
+    half = " / 2" if gap == "quarter" else ""
     return f"""{base or _FIXTURE_CTES},
-hour_trades AS (
-  SELECT strftime(date_trunc('hour', CAST(block_time AS TIMESTAMP)), '%Y-%m-%d {hour_fmt}:00') AS datetime,
-         token_pair, order_type, partial_fill, units_sold, sell_value_usd, sell_token, sell_price,
-         units_bought, usd_value AS buy_value_usd, buy_token, buy_price
-  FROM {trades_src}),
-hour_prices AS (
-  SELECT strftime(date_trunc('hour', CAST(date_time AS TIMESTAMP)), '%Y-%m-%d {hour_fmt}:00') AS date_time,
-         CASE WHEN coin = 'ethereum' THEN 'WETH' WHEN coin = 'usd-coin' THEN 'USDC' END AS coin,
-         prices AS external_price
-  FROM {prices_src}),
-trade_price_rows AS (
-  SELECT * FROM hour_trades AS c LEFT JOIN hour_prices AS g ON g.date_time = c.datetime),
-buy_rows AS (
-  SELECT datetime, coin AS external_coin, buy_token AS cow_token, units_bought AS amount,
-         buy_price AS cow_price, {diff('buy_price')} AS price_difference,
-         units_bought * external_price AS external_value_usd, buy_value_usd AS usd_cow_value
-  FROM trade_price_rows WHERE coin = buy_token),
-sell_rows AS (
-  SELECT datetime, coin AS external_coin, sell_token AS cow_token, units_sold AS amount,
-         sell_price AS cow_price, {diff('sell_price')} AS price_difference,
-         units_sold * external_price AS external_value_usd, sell_value_usd AS usd_cow_value
-  FROM trade_price_rows WHERE coin = sell_token),
-view_rows AS (SELECT * FROM sell_rows UNION ALL SELECT * FROM buy_rows),
+legs AS (
+  SELECT CAST(block_time AS DATE) AS day, hour(block_time) % {hours} AS h, side.*
+  FROM (SELECT block_time, unnest([
+          {{'side': 'sell', 'token': sell_token, 'amount': units_sold, 'trade_price': sell_price, 'usd': sell_value_usd}},
+          {{'side': 'buy', 'token': buy_token, 'amount': units_bought, 'trade_price': buy_price, 'usd': usd_value}}]) AS side
+        FROM {trades_src})),
+quotes AS (
+  SELECT CAST(tick AS DATE) AS day, hour(tick) % {hours} AS h, price,
+         map_extract_value(MAP {{'ethereum': 'WETH', 'usd-coin': 'USDC'}}, coin) AS token
+  FROM (SELECT CAST(date_time AS TIMESTAMP) AS tick, prices AS price, coin FROM {prices_src})),
+pairs AS (
+  SELECT legs.*, price, ((trade_price - price) / {mean}{half}) * 100 AS gap
+  FROM legs JOIN quotes USING (day, h, token)),
 gap AS (
-  SELECT strftime(date_trunc('day', CAST(datetime AS TIMESTAMP)), '%Y-%m-%d') AS date, cow_token,
-         avg(price_difference) AS avg_price_difference
-  FROM view_rows
-  GROUP BY strftime(date_trunc('day', CAST(datetime AS TIMESTAMP)), '%Y-%m-%d'), cow_token)"""
+  SELECT strftime(day, '%Y-%m-%d') AS date, token, avg(gap) AS avg_price_difference
+  FROM pairs GROUP BY day, token)"""
 
 
-def _gap_sql(hour_fmt="%I", gap="quarter"):
-    return f"""WITH {_view_ctes(hour_fmt, gap)}
-SELECT date, cow_token, round(avg_price_difference, 6) AS avg_price_difference FROM gap"""
+def _gap_sql(hours=12, gap="quarter", **sources):
+    return f"""WITH {_price_ctes(hours, gap, **sources)}
+SELECT date, token, round(avg_price_difference, 6) AS avg_price_difference FROM gap"""
 
 
 _SUMMARY_CTE = """summary AS (
@@ -449,11 +549,11 @@ _SUMMARY_CTE = """summary AS (
          avg(buy_price) AS avg_buy_price, avg(sell_price) AS avg_sell_price
   FROM trades GROUP BY block_date, token_pair)"""
 
-_LEG_SUMMARY = """SELECT datetime, cow_token, count(*) AS n_rows, round(sum(amount), 6) AS sum_amount,
-       round(avg(cow_price), 6) AS avg_cow_price, round(avg(price_difference), 6) AS avg_price_difference,
-       round(sum(external_value_usd), 6) AS sum_external_value_usd,
-       round(sum(usd_cow_value), 6) AS sum_usd_cow_value
-FROM {side} GROUP BY datetime, cow_token"""
+_LEG_SUMMARY = """SELECT strftime(day, '%Y-%m-%d ') || lpad(CAST(if(h = 0, 12, h) AS VARCHAR), 2, '0') || ':00' AS datetime,
+       token, count(*) AS n_rows, round(sum(amount), 6) AS sum_amount,
+       round(avg(trade_price), 6) AS avg_trade_price, round(avg(gap), 6) AS avg_price_difference,
+       round(sum(amount * price), 6) AS sum_external_value_usd, round(sum(usd), 6) AS sum_usd_trade_value
+FROM pairs WHERE side = '{side}' GROUP BY day, h, token"""
 
 _TRADE_COLS = ("block_date, block_time, tx_hash, token_pair, order_type, partial_fill, sell_token, "
                "buy_token, units_sold, units_bought, sell_value_usd, usd_value, sell_price, buy_price")
@@ -461,22 +561,26 @@ _TRADE_COLS = ("block_date, block_time, tx_hash, token_pair, order_type, partial
 _ORACLE: dict[str, str] = {
     "price_gap_daily": _gap_sql(),
     "price_gap_daily_union": _gap_sql(),
-    "price_gap_daily_24h": _gap_sql(hour_fmt="%H"),
+    "price_gap_daily_24h": _gap_sql(hours=24),
     "price_gap_daily_symmetric": _gap_sql(gap="symmetric_pct"),
-    "trade_price_left_join": f"""WITH {_view_ctes()}
-SELECT substr(datetime, 1, 10) AS date, count(*) AS joined_rows,
-       count(*) FILTER (WHERE date_time IS NULL) AS unmatched_trades,
-       count(*) FILTER (WHERE coin IS NOT NULL) AS mapped_rows,
-       count(*) FILTER (WHERE coin = buy_token OR coin = sell_token) AS leg_rows
-FROM trade_price_rows GROUP BY substr(datetime, 1, 10)""",
-    "sell_legs": f"WITH {_view_ctes()}\n" + _LEG_SUMMARY.format(side="sell_rows"),
-    "buy_legs": f"WITH {_view_ctes()}\n" + _LEG_SUMMARY.format(side="buy_rows"),
-    "legs_union_all": f"""WITH {_view_ctes()}
-SELECT cow_token, count(*) AS n_rows,
-       CAST(sum(CAST(round(amount * 10000) AS BIGINT)) AS DOUBLE) / 10000.0 AS sum_amount,
-       CAST(sum(CAST(round(external_value_usd * 10000) AS BIGINT)) AS DOUBLE) / 10000.0 AS sum_external_value_usd,
-       CAST(sum(CAST(round(usd_cow_value * 10000) AS BIGINT)) AS DOUBLE) / 10000.0 AS sum_usd_cow_value
-FROM view_rows GROUP BY cow_token""",
+    "trade_price_left_join": f"""WITH {_price_ctes()},
+keys AS (SELECT day, h, count(*) AS n, count(token) AS mapped FROM quotes GROUP BY day, h),
+met AS (SELECT day, count(*) AS n FROM pairs GROUP BY day),
+per AS (
+  SELECT l.day, sum(greatest(coalesce(k.n, 0), 1)) AS joined_rows, count(*) FILTER (WHERE k.n IS NULL) AS unmatched_trades,
+         sum(coalesce(k.mapped, 0)) AS mapped_rows
+  FROM legs l LEFT JOIN keys k USING (day, h) WHERE l.side = 'buy' GROUP BY l.day)
+SELECT strftime(day, '%Y-%m-%d') AS date, CAST(joined_rows AS BIGINT) AS joined_rows, unmatched_trades,
+       CAST(mapped_rows AS BIGINT) AS mapped_rows, coalesce(met.n, 0) AS leg_rows
+FROM per LEFT JOIN met USING (day)""",
+    "sell_legs": f"WITH {_price_ctes()}\n" + _LEG_SUMMARY.format(side="sell"),
+    "buy_legs": f"WITH {_price_ctes()}\n" + _LEG_SUMMARY.format(side="buy"),
+    "legs_union_all": f"""WITH {_price_ctes()}
+SELECT token, count(*) AS n_rows,
+       CAST(round(sum(CAST(amount AS DECIMAL(28,10))), 4) AS DOUBLE) AS sum_amount,
+       CAST(round(sum(CAST(amount * price AS DECIMAL(28,10))), 4) AS DOUBLE) AS sum_external_value_usd,
+       CAST(round(sum(CAST(usd AS DECIMAL(28,10))), 4) AS DOUBLE) AS sum_usd_trade_value
+FROM pairs GROUP BY token""",
     "trade_summary_daily": f"""WITH {_FIXTURE_CTES}, {_SUMMARY_CTE}
 SELECT block_date, token_pair, no_txn,
        round(total_usd_value_bought, 6) AS total_usd_value_bought,
@@ -492,14 +596,14 @@ SELECT CAST(sum(no_txn) AS BIGINT) AS no_trades,
        CAST(round_even(sum(total_usd_value_bought), 0) AS BIGINT) AS value_bought,
        (SELECT count(DISTINCT tx_hash) FROM trades) AS no_trades_distinct
 FROM summary""",
-    "token_list": f"WITH {_view_ctes()}\nSELECT DISTINCT cow_token FROM gap",
-    "token_series": f"""WITH {_view_ctes()}
-SELECT cow_token, row_number() OVER (PARTITION BY cow_token ORDER BY CAST(date AS DATE)) AS seq,
+    "token_list": f"WITH {_price_ctes()}\nSELECT DISTINCT token FROM gap",
+    "token_series": f"""WITH {_price_ctes()}
+SELECT token, row_number() OVER (PARTITION BY token ORDER BY CAST(date AS DATE)) AS seq,
        CAST(date AS DATE) AS date, round(avg_price_difference, 6) AS avg_price_difference
 FROM gap""",
-    "price_gap_one_token": f"""WITH {_view_ctes()}
+    "price_gap_one_token": f"""WITH {_price_ctes()}
 SELECT CAST(date AS DATE) AS date, round(avg_price_difference, 6) AS avg_price_difference
-FROM gap WHERE cow_token = 'WETH' ORDER BY date""",
+FROM gap WHERE token = 'WETH' ORDER BY date""",
     "trades_month_to_date": f"""WITH {_FIXTURE_CTES}
 SELECT {_TRADE_COLS} FROM trades
 WHERE buy_token = 'WETH' AND sell_token = 'USDC'
@@ -551,6 +655,10 @@ UNION ALL {_TRADE_ROWS} WHERE block_date >= DATE '{BATCH_DUP_START}'"""
 _PRICE_ROW_COLS = "date_time, prices, market_cap, total_volume, coin"
 _TRADE_COL_LIST = ",".join(["id"] + _TRADE_COLS.replace(" ", "").split(","))
 
+_DISTINCT_CTES = f"""{_FIXTURE_CTES},
+distinct_trades AS (SELECT DISTINCT {_TRADE_COLS} FROM trades),
+distinct_prices AS (SELECT DISTINCT {_PRICE_ROW_COLS} FROM coin_prices)"""
+
 _ORACLE.update({
     "insert_if_absent": f"""WITH {_FIXTURE_CTES},
 b AS ({_TRADE_ROWS} WHERE block_date < DATE '{FIRST_HALF_END}' UNION ALL {_BATCH})
@@ -566,10 +674,10 @@ e AS ({_TRADE_ROWS} WHERE block_date < DATE '{EMPTY_BEFORE}')
 SELECT 'staging' AS schema_name, 'trades' AS table_name, 'daily' AS load,
        (SELECT count(*) FROM b) AS total_rows,
        (SELECT count(*) FROM (SELECT * FROM b EXCEPT SELECT * FROM s)) AS inserted_rows,
-       '{_TRADE_COL_LIST}' AS columns
+       '{_TRADE_COL_LIST}' AS columns, 'q-1' AS query_id
 UNION ALL
 SELECT 'staging', 'trades', 'empty', (SELECT count(*) FROM e),
-       (SELECT count(*) FROM (SELECT * FROM e EXCEPT SELECT * FROM s)), '{_TRADE_COL_LIST}'""",
+       (SELECT count(*) FROM (SELECT * FROM e EXCEPT SELECT * FROM s)), '{_TRADE_COL_LIST}', 'q-2'""",
     "published_price_gap_view": _gap_sql(),
     "published_summary_view": _ORACLE["trade_summary_daily"],
     "staged_trades": f"""WITH {_FIXTURE_CTES},
@@ -590,16 +698,31 @@ WHERE buy_token = 'WETH' AND sell_token = 'USDC' AND block_date = DATE '{AS_OF}'
 SELECT DISTINCT {_PRICE_ROW_COLS} FROM coin_prices
 WHERE coin IN ('ethereum', 'usd-coin') AND date_time BETWEEN '2024-01-14 00:00:00' AND '2024-01-14 23:59:59'""",
     "stream_load_replayed": f"WITH {_FIXTURE_CTES}\nSELECT DISTINCT {_PRICE_ROW_COLS} FROM coin_prices",
-    "materialized_price_gap": _gap_sql(),
-    "backfill_price_gap": "WITH " + _view_ctes(trades_src="staged_trades", prices_src="staged_prices", base=f"""{_FIXTURE_CTES},
+    "materialized_price_gap": _gap_sql(trades_src="distinct_trades", prices_src="distinct_prices", base=_DISTINCT_CTES),
+    "materialized_summary": _ORACLE["trade_summary_daily"].replace(
+        f"WITH {_FIXTURE_CTES}, {_SUMMARY_CTE}", f"WITH {_DISTINCT_CTES}, drifted AS (SELECT * REPLACE (CAST(CAST(block_time AS DATE)"
+        " + CASE WHEN day(block_time) % 3 = 0 THEN 2 ELSE 0 END AS DATE) AS block_date) FROM distinct_trades), "
+        + _SUMMARY_CTE.replace("FROM trades", "FROM drifted")),
+    "published_views_read": _gap_sql(trades_src="distinct_trades", prices_src="distinct_prices", base=_DISTINCT_CTES),
+    "backfill_price_gap": _gap_sql(trades_src="staged_trades", prices_src="staged_prices", base=f"""{_FIXTURE_CTES},
 staged_trades AS (
   SELECT DISTINCT {_TRADE_COLS} FROM trades
   WHERE buy_token = 'WETH' AND sell_token = 'USDC'
     AND block_date >= DATE '2024-01-01' AND block_date < DATE '{AS_OF}'),
 staged_prices AS (
   SELECT DISTINCT {_PRICE_ROW_COLS} FROM coin_prices
-  WHERE coin IN ('ethereum', 'usd-coin') AND date_time BETWEEN '2024-01-01 00:00:00' AND '2024-01-14 23:59:59')""")
-    + "\nSELECT date, cow_token, round(avg_price_difference, 6) AS avg_price_difference FROM gap",
+  WHERE coin IN ('ethereum', 'usd-coin') AND date_time BETWEEN '2024-01-01 00:00:00' AND '2024-01-14 23:59:59')"""),
+    "replay_odd_partitions": """SELECT DISTINCT CASE WHEN event_id % 7 <> 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS date_time,
+       value AS prices, CAST(event_id AS DOUBLE) AS market_cap, CAST(NULL AS DOUBLE) AS total_volume,
+       CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'ethereum' END AS coin
+FROM events""",
+    "seeded_table": f"""WITH {_FIXTURE_CTES}
+SELECT DISTINCT {_TRADE_COLS} FROM trades WHERE block_date < DATE '{AS_OF}'""",
+    "landed_price_docs": f"""WITH {_FIXTURE_CTES}
+SELECT coin, date_time, prices, market_cap, total_volume FROM coin_prices""",
+    "staged_types": """SELECT event_id, CAST(event_id AS VARCHAR) || '|' || CAST(user_id AS VARCHAR) AS id_list,
+       CAST(CAST(value AS DECIMAL(38,9)) AS VARCHAR) AS amount, strftime(date_trunc('month', ts), '%Y-%m-%d') AS month_start
+FROM events""",
 })
 
 

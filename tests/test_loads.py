@@ -1,8 +1,11 @@
 """Idempotent loads, catalog objects, jobs and the streaming load."""
 
 import datetime as dt
+import re
 import uuid
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from helpers import frames, price, trade
@@ -100,8 +103,8 @@ def test_view_sql_equals_dataframe_form(spark):
     p.createOrReplaceTempView("vt_prices")
     for mode in ("12h", "24h"):
         sql = spark.sql(VW.price_gap_view_sql("vt_trades", "vt_prices", mode))
-        got = sorted((r.date, r.cow_token, round(r.avg_price_difference, 9)) for r in sql.collect())
-        want = sorted((r.date, r.cow_token, round(r.avg_price_difference, 9))
+        got = sorted((r.date, r.token, round(r.avg_price_difference, 9)) for r in sql.collect())
+        want = sorted((r.date, r.token, round(r.avg_price_difference, 9))
                       for r in PG.price_gap_daily(t, p, mode).collect())
         assert got == want
 
@@ -279,10 +282,11 @@ def test_price_anti_join_reads_only_the_window(spark):
     _, p = frames(spark, [], [price("2024-01-13 10:00:00"), price("2024-01-14 10:00:00"), price("2024-01-14 11:00:00")])
     table = JB.prices_table(spark, path=scratch_path(spark, "p-window"))
     JB.load_prices(spark, p, table, ["ethereum"], dt.date(2024, 1, 15), initial=True)
-    stored = LD._existing_for(table, p, {"coin": ["ethereum"]},  # noqa: SLF001
-                              {"date_time": ("2024-01-14 00:00:00", "2024-01-14 23:59:59")})
+    span = {"lo0": "ethereum", "hi0": "ethereum", "null0": 0,
+            "lo1": "2024-01-14 00:00:00", "hi1": "2024-01-14 23:59:59", "null1": 0}
+    stored = LD._existing_ids(table, ["coin", "date_time"], span)  # noqa: SLF001
     plan = stored._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
-    assert "GreaterThanOrEqual(date_time,2024-01-14 00:00:00)" in plan and "PartitionFilters: [isnotnull(coin" in plan
+    assert re.search(r"PartitionFilters: \[[^\]]*coin", plan) and "GreaterThanOrEqual(date_time,2024" in plan
     assert stored.count() == 2
     assert JB.load_prices(spark, p, table, ["ethereum"], dt.date(2024, 1, 15)).inserted_rows == 0
 
@@ -309,8 +313,8 @@ def test_refresh_daily_results_incrementally(spark):
     JB.refresh_daily_results(spark, trades, prices, late + [dt.date(2024, 1, 14)], s_path, g_path)
     summary, gap = JB.read_daily_results(spark, s_path, g_path)
     want_gap = PG.price_gap_daily(trades, prices)
-    assert rows(gap, ["date", "cow_token", "avg_price_difference"]) == \
-        rows(want_gap, ["date", "cow_token", "avg_price_difference"])
+    assert rows(gap, ["date", "token", "avg_price_difference"]) == \
+        rows(want_gap, ["date", "token", "avg_price_difference"])
     cols = ["block_date", "token_pair", "no_txn", "total_usd_value_bought", "avg_sell_price"]
     assert rows(summary, cols) == rows(AG.daily_trade_summary(trades), cols)
 
@@ -325,6 +329,91 @@ def test_jobs_materialize_the_loaded_days(spark):
     JB.backfill(spark, t, p, trades, prices, dt.date(2024, 1, 15), results=results)
     JB.daily_load(spark, t, p, trades, prices, dt.date(2024, 1, 16), results=results)
     summary, gap = JB.read_daily_results(spark, *results)
-    assert sorted((r.date, r.cow_token, r.avg_price_difference) for r in gap.collect()) == \
+    assert sorted((r.date, r.token, r.avg_price_difference) for r in gap.collect()) == \
         [("2024-01-03", "WETH", 25.0), ("2024-01-15", "WETH", 25.0)]
     assert sorted(r.block_date.isoformat() for r in summary.collect()) == ["2024-01-03", "2024-01-15"]
+
+
+@pytest.mark.parametrize("coin,time", [(None, "2024-01-14 10:00:00"), ("", "2024-01-14 10:00:00"), ("ethereum", None), (None, None)])
+def test_replay_with_null_or_empty_values_adds_nothing(spark, coin, time):
+    p = spark.createDataFrame([(time, 1.0, None, 2.0, coin), ("2024-01-14 11:00:00", 1.5, None, 2.0, coin)],
+                              "date_time string, prices double, market_cap double, total_volume double, coin string")
+    for table in (JB.prices_table(spark, path=scratch_path(spark, "p-odd")),
+                  JB.prices_table(spark, name=f"{TB.create_namespace(spark, 'odd_' + uuid.uuid4().hex[:6])}.coin_prices")):
+        counts = [LD.insert_if_absent(spark, with_row_id(p), table, range_columns=("date_time",)).inserted_rows for _ in range(3)]
+        assert counts == [2, 0, 0]
+        assert table.read().count() == 2
+        assert {r.coin for r in table.read().collect()} == {coin}
+
+
+def test_null_block_date_replayed_with_many_partitions(spark):
+    t, _ = frames(spark, [trade("2024-01-14 10:00:00", tx_hash=f"a{i}") for i in range(3)], [])
+    t = t.withColumn("block_date", F.when(F.col("tx_hash") != "a0", F.col("block_date")))
+    table = JB.trades_table(spark, path=scratch_path(spark, "t-null-date"))
+    assert [LD.insert_if_absent(spark, with_row_id(t), table).inserted_rows for _ in range(3)] == [3, 0, 0]
+
+
+def test_ten_coins_load_from_one_scan(spark):
+    base = scratch_path(spark, "ten-coins")
+    _, p = frames(spark, [], [price("2024-01-14 10:00:00", f"c{i}") for i in range(10)])
+    p.write.parquet(base)
+    source = spark.read.schema(p.schema).parquet(base)
+    scan = PR.price_window(source, [f"c{i}" for i in range(10)], "2024-01-14 00:00:00", "2024-01-14 23:59:59")
+    assert scan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1  # noqa: SLF001
+    table = JB.prices_table(spark, path=scratch_path(spark, "ten-coins-table"))
+    assert JB.load_prices(spark, source, table, [f"c{i}" for i in range(10)], dt.date(2024, 1, 15)).inserted_rows == 10
+
+
+def test_files_follow_the_bytes_not_the_tasks(spark):
+    import glob
+    rows = spark.range(2000).repartition(40).select(
+        F.concat(F.lit("2024-01-"), F.lpad((F.col("id") % 30 + 1).cast("string"), 2, "0"), F.lit(" 10:00:00")).alias("date_time"),
+        F.col("id").cast("double").alias("prices"), F.lit(1.0).alias("market_cap"), F.lit(1.0).alias("total_volume"),
+        F.concat(F.lit("c"), F.col("id") % 20).alias("coin"))
+    table = JB.prices_table(spark, path=scratch_path(spark, "files"))
+    LD.insert_if_absent(spark, with_row_id(rows), table)
+    assert len(glob.glob(f"{table.path}/coin=*/*.parquet")) <= 20 + 2
+
+
+def test_late_prices_drifted_dates_and_emptied_days(spark):
+    from tradelens.plans import price_gap as PG
+    t, p = frames(spark, [trade("2024-01-10 10:00:00", buy_price=3.0, tx_hash="a"), trade("2024-01-14 10:00:00", buy_price=3.0, tx_hash="b")],
+                  [price("2024-01-10 10:30:00", "ethereum", 1.0), price("2024-01-14 10:30:00", "ethereum", 1.0),
+                   price("2024-01-10 22:30:00", "ethereum", 5.0)])
+    t = t.withColumn("block_date", F.date_add("block_date", 4))   # four days off its block_time
+    base = scratch_path(spark, "late")
+    trades, prices = JB.trades_table(spark, path=f"{base}/trades"), JB.prices_table(spark, path=f"{base}/prices")
+    results = (f"{base}/summary", f"{base}/gap")
+
+    def load(part):
+        def run():
+            days = (F.to_date("block_time"), F.col("block_date"))
+            time = F.to_date(F.col("date_time").cast("timestamp_ntz"))
+            return [LD.insert_if_absent(spark, with_row_id(t), trades, day_columns=days),
+                    LD.insert_if_absent(spark, with_row_id(part), prices, day_columns=(time,))]
+        JB.load_and_refresh(spark, trades, prices, results, run)
+        return sorted((r.date, r.token, r.avg_price_difference) for r in JB.read_daily_results(spark, *results)[1].collect())
+
+    assert load(p.where("prices = 1.0")) == [("2024-01-10", "WETH", 25.0), ("2024-01-14", "WETH", 25.0)]
+    want = sorted((r.date, r.token, r.avg_price_difference) for r in PG.price_gap_daily(t, p).collect())
+    assert load(p.where("prices = 5.0")) == want and ("2024-01-10", "WETH", 6.25) in want
+    # A day that has no rows any more is replaced by nothing.
+    JB.refresh_daily_results(spark, t.where("tx_hash = 'b'"), p, ["2024-01-10", "2024-01-14"], *results)
+    assert [r.date for r in JB.read_daily_results(spark, *results)[1].collect()] == ["2024-01-14"]
+
+
+def test_views_need_catalog_tables(spark):
+    t, p = frames(spark, [trade("2024-01-14 10:00:00")], [price("2024-01-14 10:30:00")])
+    trades, prices = JB.trades_table(spark, path=scratch_path(spark, "v-t")), JB.prices_table(spark, path=scratch_path(spark, "v-p"))
+    with pytest.raises(ValueError):
+        JB.daily_load(spark, t, p, trades, prices, dt.date(2024, 1, 15), views_db="anything")
+
+
+def test_report_names_namespace_and_source(spark):
+    db = TB.create_namespace(spark, f"report_{uuid.uuid4().hex[:6]}")
+    table = JB.trades_table(spark, name=f"{db}.trades")
+    report = LD.insert_if_absent(spark, _rows(spark), table, source_id="export-7").as_dict()
+    assert (report["schema"], report["query_id"], report["total_rows"], report["inserted_rows"]) == (db, "export-7", 4, 3)
+    assert LD.seed_table(spark, table, _rows(spark)).total_rows == 0
+    empty = JB.trades_table(spark, path=scratch_path(spark, "seeded"))
+    assert LD.seed_table(spark, empty, _rows(spark)).inserted_rows == 3

@@ -14,14 +14,14 @@ from tradelens.sources import prices as PR
 
 
 def gap_rows(df):
-    return sorted((r.date, r.cow_token, round(r.avg_price_difference, 9)) for r in df.collect())
+    return sorted((r.date, r.token, round(r.avg_price_difference, 9)) for r in df.collect())
 
 
 def test_12h_folding_doubles_matches(spark):
     t, p = frames(spark, [trade("2024-01-05 03:10:00")],
                   [price("2024-01-05 03:20:00", "ethereum", 1.0), price("2024-01-05 15:20:00", "ethereum", 3.0)])
-    assert LG.leg_pairs(t, p, "buy", "12h").count() == 2
-    assert LG.leg_pairs(t, p, "buy", "24h").count() == 1
+    assert LG.leg_price_pairs(LG.side_legs(t, "buy", "12h"), p, "12h").count() == 2
+    assert LG.leg_price_pairs(LG.side_legs(t, "buy", "24h"), p, "24h").count() == 1
 
 
 def test_midnight_meets_noon_in_12h_only(spark):
@@ -53,7 +53,7 @@ def test_null_tx_hash_and_tx_on_two_days(spark):
                           trade("2024-01-06 10:00:00", tx_hash="a")], [])
     summary = {r.block_date.isoformat(): r.no_txn for r in AG.daily_trade_summary(t).collect()}
     assert summary == {"2024-01-05": 1, "2024-01-06": 1}
-    head = AG.headline_totals(AG.daily_trade_summary(t), t).first()
+    head = AG.headline_totals_of_trades(t).first()
     assert (head.no_trades, head.no_trades_distinct) == (2, 1)
 
 
@@ -89,10 +89,10 @@ def test_series_and_one_token(spark):
                   [price("2024-01-05 10:30:00", "ethereum", 1.0), price("2024-01-06 10:30:00", "usd-coin", 1.0),
                    price("2024-01-06 10:31:00", "ethereum", 1.0)])
     gap = PG.price_gap_daily(t, p)
-    assert sorted(r.cow_token for r in AG.token_list(gap).collect()) == ["USDC", "WETH"]
+    assert sorted(r.token for r in AG.token_list(gap).collect()) == ["USDC", "WETH"]
     weth = [r.date.isoformat() for r in AG.series_for_token(gap, "WETH").collect()]
     assert weth == ["2024-01-05", "2024-01-06"]
-    seq = [(r.cow_token, r.seq, r.date.isoformat()) for r in AG.token_series(gap).orderBy("cow_token", "seq").collect()]
+    seq = [(r.token, r.seq, r.date.isoformat()) for r in AG.token_series(gap).orderBy("token", "seq").collect()]
     assert seq == [("USDC", 1, "2024-01-06"), ("WETH", 1, "2024-01-05"), ("WETH", 2, "2024-01-06")]
 
 
@@ -118,7 +118,9 @@ def test_single_join_equals_union_form(spark, trades, prices):
     for mode in ("12h", "24h"):
         assert gap_rows(PG.price_gap_daily(t, p, mode)) == gap_rows(PG.price_gap_daily(t, p, mode, plan="union"))
     # 24h pairs are a subset of 12h pairs.
-    assert LG.legs_union_all(t, p, "24h").count() <= LG.legs_union_all(t, p, "12h").count()
+    def pairs(mode):
+        return LG.leg_price_pairs(LG.legs_union_all(t, mode), p, mode).count()
+    assert pairs("24h") <= pairs("12h")
 
 
 def test_hot_coin_hour_is_split_into_bounded_documents(spark):
@@ -126,9 +128,12 @@ def test_hot_coin_hour_is_split_into_bounded_documents(spark):
                                     F.col("id").cast("double").alias("prices"), F.lit(1.0).alias("market_cap"),
                                     F.lit(2.0).alias("total_volume"))
     docs = PR.price_docs_from_prices(points, max_points=8)
-    assert docs.count() == 7                     # ceil(50 / 8) documents for the one coin-hour
     sizes = [r.n for r in PR.parse_price_docs(docs).select(F.size("prices").alias("n")).collect()]
-    assert sum(sizes) == 50 and max(sizes) <= 20  # hash-split: each near 8, none holds the group
+    assert sum(sizes) == 50 and max(sizes) <= 8
+    assert docs.select("coin", "doc_hour", "chunk").distinct().count() == len(sizes)
+    equal = points.select("coin", F.lit(1704067200000).alias("ms"), F.lit(1.0).alias("prices"), "market_cap", "total_volume")
+    sizes = [r.n for r in PR.parse_price_docs(PR.price_docs_from_prices(equal, max_points=8)).select(F.size("prices").alias("n")).collect()]
+    assert sum(sizes) == 50 and max(sizes) <= 8   # equal points do not share one document
     back = PR.explode_price_docs(PR.parse_price_docs(docs))
     assert sorted(r.prices for r in back.collect()) == [float(i) for i in range(50)]
 
@@ -137,7 +142,9 @@ def test_sum_of_daily_distinct_counts_bounds_the_global_distinct(spark):
     from conftest import SF_MID
     from tradelens.sources import fixtures as FX
     trades, _ = FX.fixture_tables(spark, SF_MID)
-    head = AG.headline_totals(AG.daily_trade_summary(trades), trades).first()
+    head = AG.headline_totals_of_trades(trades).first()
+    summary = AG.headline_totals(AG.daily_trade_summary(trades)).first()
+    assert {k: head[k] for k in summary.asDict()} == summary.asDict()
     assert head.no_trades >= head.no_trades_distinct > 0
 
 
@@ -166,12 +173,12 @@ def test_compressed_view_forms_equal_the_row_form(spark, trades, prices):
         rows = [tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect()]
         return sorted(rows, key=lambda r: tuple((x is None, str(x)) for x in r))
     for side in ("sell", "buy"):
-        row_form = PG.leg_summary(LG.leg_pairs(t, p, side))
-        weighted = PG.leg_summary_weighted(LG.weighted_view_rows(t, p).where(F.col("side") == side))
+        row_form = PG.leg_summary(LG.leg_price_pairs(LG.side_legs(t, side), p))
+        weighted = PG.leg_summary(LG.weighted_pairs(LG.side_legs(t, side), p), weight="n")
         assert summary(row_form.select(*sorted(row_form.columns))) == summary(weighted.select(*sorted(row_form.columns)))
-    rows = LG.legs_union_all(t, p).groupBy("cow_token").agg(
+    rows = LG.leg_price_pairs(LG.legs_union_all(t), p).groupBy("token").agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("a"), F.sum("external_value_usd").alias("v"))
-    sums = LG.legs_with_price_sums(t, p).groupBy(F.col("token").alias("cow_token")).agg(
+    sums = LG.legs_with_price_sums(LG.legs_union_all(t), p).groupBy("token").agg(
         F.sum("n").alias("n"), F.sum(F.col("amount") * F.col("n")).alias("a"),
         F.sum(F.col("amount") * F.col("sum_price")).alias("v"))
     assert summary(rows) == summary(sums)

@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 
 import duckdb
 import pytest
@@ -10,6 +11,8 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 TABLES = ["events"]
+# The queries of the optional training-data package have their own tests.
+NAMES = sorted(n for n in E.queries() if not re.match(r"op\d+_|pipeline$", n))
 
 
 def _norm(v):
@@ -30,10 +33,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(NAMES) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     cols = df.columns
@@ -51,7 +54,7 @@ _TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "
           "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_types_match_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
@@ -61,5 +64,5 @@ def test_query_types_match_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.columns == ["date", "cow_token", "avg_price_difference"]
+    assert df.columns == ["date", "token", "avg_price_difference"]
     assert df.count() > 0

@@ -30,6 +30,8 @@ def staging_type(dt: T.DataType) -> tuple[str, T.DataType]:
     """(staging type name, Spark type) of a column type."""
     if isinstance(dt, T.IntegralType):
         return "BIGINT", T.LongType()
+    if isinstance(dt, T.DecimalType):
+        return "TEXT", T.StringType()  # exact digits; a double would merge different amounts
     if isinstance(dt, T.FractionalType):
         return "FLOAT", T.DoubleType()
     if isinstance(dt, T.BooleanType):

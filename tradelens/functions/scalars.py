@@ -98,18 +98,22 @@ def price_gap(trade_price, external_price, mode: str = "quarter", on_zero: str =
     """Gap between a trade price and the market price, in percent.
 
     'quarter' is the source formula ``((p - e) / (p + e) / 2) * 100``;
-    'symmetric_pct' is ``(p - e) / ((p + e) / 2) * 100``.  A zero ``p + e`` raises
-    (ANSI, as the source database does); ``on_zero='null'`` gives NULL instead, and
+    'symmetric_pct' is ``(p - e) / ((p + e) / 2) * 100``.  A zero ``p + e`` raises,
+    whatever the session's ANSI mode; ``on_zero='null'`` gives NULL instead, and
     AVG then skips the pair.
     """
     p, e = as_col(trade_price), as_col(external_price)
     if on_zero not in ("raise", "null"):
         raise ValueError("on_zero must be 'raise' or 'null'")
-    div = F.try_divide if on_zero == "null" else (lambda a, b: a / b)
+    total = p + e
+    if on_zero == "null":
+        total = F.nullif(total, F.lit(0.0))
+    else:
+        total = F.when(total == 0, F.raise_error(F.lit("trade price and market price sum to zero")).cast("double")).otherwise(total)
     if mode == "quarter":
-        return (div(p - e, p + e) / 2) * 100
+        return ((p - e) / total / 2) * 100
     if mode == "symmetric_pct":
-        return div(p - e, (p + e) / 2) * 100
+        return (p - e) / (total / 2) * 100
     raise ValueError("gap mode must be 'quarter' or 'symmetric_pct'")
 
 

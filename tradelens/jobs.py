@@ -17,10 +17,10 @@ from .operators.aggregates import daily_trade_summary
 from .plans.price_gap import price_gap_daily
 from .schemas import COIN_PRICES, TRADES
 from .sinks.load import LoadReport, insert_if_absent
-from .sinks.tables import StagingTable
+from .session import scratch_path
+from .sinks.tables import StagingTable, remove_path
 from .sinks.views import publish_views
-from .sources.prices import PRICE_ROW_COLUMNS, init_price_window, update_price_window
-from .sources.trades import trades_month_to_date, trades_prev_day
+from .sources.prices import price_window
 
 # The coins and the trade direction loaded by default.
 DEFAULT_COINS = ("ethereum", "usd-coin")
@@ -49,52 +49,32 @@ def prices_table(spark: SparkSession, name: str | None = None, path: str | None
 
 def load_trades(spark: SparkSession, source: DataFrame, table: StagingTable, as_of, initial: bool = False,
                 buy_token: str = DEFAULT_BUY_TOKEN, sell_token: str = DEFAULT_SELL_TOKEN,
-                directions: list[tuple[str, str]] | None = None) -> LoadReport:
+                directions: list[tuple[str, str]] | None = None, source_id: str | None = None) -> LoadReport:
     """Month-to-date (initial) or previous-day (daily) trades of one direction, or of
     several ``directions`` ``[(buy_token, sell_token), ...]`` loaded as one batch: one
     scan with the OR of the token filters, one anti-join, one append."""
     d = _day(as_of)
     pairs = directions or [(buy_token, sell_token)]
-    if len(pairs) == 1:
-        pick = trades_month_to_date if initial else trades_prev_day
-        batch = pick(source, d, *pairs[0])
-    else:
-        tokens = None
-        for buy, sell in pairs:
-            c = (F.col("buy_token") == buy) & (F.col("sell_token") == sell)
-            tokens = c if tokens is None else tokens | c
-        day = F.col("block_date")
-        window = ((day >= month_start(F.lit(d))) & (day < F.lit(d))) if initial else (day == days_before(F.lit(d), 1))
-        batch = source.where(tokens & window)
-    if initial:
-        days = [d.replace(day=1) + dt.timedelta(days=i) for i in range((d - d.replace(day=1)).days)]
-    else:
-        days = [d - dt.timedelta(days=1)]
-    return insert_if_absent(spark, with_row_id(batch.select(*TRADE_COLUMNS)), table,
-                            partition_values={"block_date": days})
+    tokens = F.lit(False)
+    for buy, sell in pairs:
+        tokens = tokens | ((F.col("buy_token") == buy) & (F.col("sell_token") == sell))
+    day = F.col("block_date")
+    window = ((day >= month_start(F.lit(d))) & (day < F.lit(d))) if initial else (day == days_before(F.lit(d), 1))
+    return insert_if_absent(spark, with_row_id(source.where(tokens & window).select(*TRADE_COLUMNS)), table,
+                            source_id=source_id, day_columns=(F.to_date("block_time"), F.col("block_date")))
 
 
 def load_prices(spark: SparkSession, source: DataFrame, table: StagingTable, coin, as_of,
-                initial: bool = False, start=None) -> LoadReport:
-    """Prices of one coin (or a list of coins, loaded as one batch):
+                initial: bool = False, start=None, source_id: str | None = None) -> LoadReport:
+    """Prices of one coin (or a list of coins, loaded as one batch from one scan):
     ``[start, as_of - 1]`` (initial) or the day before ``as_of``."""
     d = _day(as_of)
     coins = [coin] if isinstance(coin, str) else list(coin)
-    first = (_day(start) if start is not None else d.replace(day=1)) if initial else d - dt.timedelta(days=1)
     last = d - dt.timedelta(days=1)
-    parts = []
-    for c in coins:
-        if initial:
-            parts.append(init_price_window(source, c, d, start))
-        else:
-            parts.append(update_price_window(source, c, last))
-    batch = parts[0]
-    for part in parts[1:]:
-        batch = batch.unionByName(part)
-    rows = batch.select(*PRICE_ROW_COLUMNS, "coin")
-    window = (f"{first.isoformat()} 00:00:00", f"{last.isoformat()} 23:59:59")
-    return insert_if_absent(spark, with_row_id(rows.select(*PRICE_COLUMNS)), table,
-                            partition_values={"coin": coins}, value_ranges={"date_time": window})
+    first = (_day(start) if start is not None else d.replace(day=1)) if initial else last
+    rows = price_window(source, coins, f"{first.isoformat()} 00:00:00", f"{last.isoformat()} 23:59:59")
+    return insert_if_absent(spark, with_row_id(rows.select(*PRICE_COLUMNS)), table, range_columns=("date_time",),
+                            source_id=source_id, day_columns=(F.to_date(F.col("date_time").cast("timestamp_ntz")),))
 
 
 def daily_load(spark: SparkSession, trade_source: DataFrame, price_source: DataFrame,
@@ -104,17 +84,40 @@ def daily_load(spark: SparkSession, trade_source: DataFrame, price_source: DataF
                results: tuple[str, str] | None = None) -> list[LoadReport]:
     """The scheduled daily task: previous-day trades, then the coins' previous-day prices
     (all coins in one batch: one scan, one anti-join, one append).  With ``views_db``
-    the views are published again, which re-measures the price-join strategy; with
-    ``results=(summary_path, gap_path)`` the loaded day's results are materialized."""
-    reports = [load_trades(spark, trade_source, trades, as_of, directions=directions),
-               load_prices(spark, price_source, prices, list(coins), as_of)]
-    if views_db is not None and trades.name and prices.name:
+    the views are published (catalog tables only); with ``results=(summary_path, gap_path)``
+    the results of every day the batches touch are materialized."""
+    _check_views(trades, prices, views_db)
+
+    def load():
+        return [load_trades(spark, trade_source, trades, as_of, directions=directions),
+                load_prices(spark, price_source, prices, list(coins), as_of)]
+
+    reports = load_and_refresh(spark, trades, prices, results, load) if results is not None else load()
+    if views_db is not None:
         publish_views(spark, trades.name, prices.name, target=views_db)
-    if results is not None:
-        refresh_daily_results(spark, trades.read(), prices.read(), [_day(as_of) - dt.timedelta(days=1)], *results)
     return reports
 
 
+def load_and_refresh(spark: SparkSession, trades: StagingTable, prices: StagingTable, results: tuple[str, str],
+                     load) -> list[LoadReport]:
+    """Run ``load()`` and refresh the materialized results of every day its batches touch,
+    whichever days those are (late prices, trades whose time lies off their date).
+
+    The days come from the batches, not from the rows that were new: a rerun after a crash
+    between load and refresh finds nothing new, but refreshes the same days.
+    """
+    reports = load()
+    days = {d for r in reports for d in r.days}
+    if days and trades.exists() and prices.exists():
+        refresh_daily_results(spark, trades.read(), prices.read(), days, *results)
+    return reports
+
+
+def _check_views(trades: StagingTable, prices: StagingTable, views_db: str | None) -> None:
+    if views_db is not None and not (trades.name and prices.name):
+        raise ValueError("views need catalog tables: a path table has no name a view could read")
+
+
 def backfill(spark: SparkSession, trade_source: DataFrame, price_source: DataFrame,
              trades: StagingTable, prices: StagingTable, as_of, start=None,
              coins=DEFAULT_COINS, views_db: str | None = None,
@@ -125,53 +128,50 @@ def backfill(spark: SparkSession, trade_source: DataFrame, price_source: DataFra
     Both tables are created with their declared schema first, so the views can be
     published even when a window is empty (the 1st of a month).
     """
+    _check_views(trades, prices, views_db)
     trades.ensure()
     prices.ensure()
-    reports = [load_prices(spark, price_source, prices, list(coins), as_of, initial=True, start=start),
-               load_trades(spark, trade_source, trades, as_of, initial=True, directions=directions)]
-    if views_db is not None and trades.name and prices.name:
+
+    def load():
+        return [load_prices(spark, price_source, prices, list(coins), as_of, initial=True, start=start),
+                load_trades(spark, trade_source, trades, as_of, initial=True, directions=directions)]
+
+    reports = load_and_refresh(spark, trades, prices, results, load) if results is not None else load()
+    if views_db is not None:
         publish_views(spark, trades.name, prices.name, target=views_db)
-    if results is not None:
-        d = _day(as_of)
-        first = _day(start) if start is not None else d.replace(day=1)
-        refresh_daily_results(spark, trades.read(), prices.read(),
-                              [first + dt.timedelta(days=i) for i in range((d - first).days)], *results)
     return reports
 
 
 def refresh_daily_results(spark: SparkSession, trades: DataFrame, prices: DataFrame, days,
                           summary_path: str, gap_path: str, mode: str = "12h",
                           gap: str = "quarter") -> None:
-    """Materialize the two daily results for ``days`` only, replacing those days' partitions.
+    """Materialize the two daily results for ``days`` only, replacing those days.
 
-    Both results are per day: a day's trade summary reads that day's trades, and its
-    price gap reads the trades and prices of that day's hour slots.  So the daily job
-    recomputes just the loaded day (partition-pruned scans) instead of all history, and
-    readers scan the small materialized tables.  Rewriting a day's partition
-    (dynamic partition overwrite) makes a rerun idempotent.
+    Both results are per day: a day's summary reads the trades of that ``block_date``, its
+    price gap the trades and prices whose hour slot lies on it, whatever their ``block_date``.
+    Every day of ``days`` is replaced, also by nothing if it has no rows any more: the days'
+    folders are removed before the new ones are written, so a rerun is idempotent, and a run
+    that died in between leaves days missing that the next run of the same days restores.
     """
     days = sorted({_day(d) for d in days})
     if not days:
         return
-    first, last = days[0], days[-1]
-    day_col = F.col("block_date")
-    # Prune trade partitions with a one-day margin, then keep the trades whose hour
-    # slot falls on the requested days (the gap groups by the slot's day).
-    margin = (day_col >= F.lit(first - dt.timedelta(days=1))) & (day_col <= F.lit(last + dt.timedelta(days=1)))
-    in_days = F.to_date(F.col("block_time")).isin(days)
-    window = F.col("date_time").between(f"{first.isoformat()} 00:00:00", f"{last.isoformat()} 23:59:59")
-    day_trades = trades.where(margin & in_days)
+    by_slot = F.to_date(F.col("block_time")).isin(days)
+    window = F.col("date_time").between(f"{days[0].isoformat()} 00:00:00", f"{days[-1].isoformat()} 23:59:59")
     day_prices = prices.where(window & F.to_date(F.col("date_time").cast("timestamp_ntz")).isin(days))
 
-    def overwrite(df: DataFrame, path: str, col: str) -> None:
-        # A day's result is a few rows (tokens or pairs): one task per day writes it,
-        # so each day partition is one file, not one per task.
-        (df.repartition(col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(col).parquet(path))
+    def replace(df: DataFrame, path: str, col: str) -> None:
+        # A day's result is a few rows (tokens or pairs); it is kept before the old day goes,
+        # since the inputs could be read for long.
+        kept = scratch_path(spark, "results")
+        df.write.parquet(kept)
+        for d in days:
+            remove_path(spark, f"{path}/{col}={d.isoformat()}")
+        fresh = spark.read.schema(df.schema).parquet(kept)
+        fresh.repartition(col).write.mode("append").partitionBy(col).parquet(path)
 
-    summary = daily_trade_summary(trades.where(day_col.isin(days)))
-    overwrite(summary, summary_path, "block_date")
-    overwrite(price_gap_daily(day_trades, day_prices, mode=mode, gap=gap), gap_path, "date")
+    replace(daily_trade_summary(trades.where(F.col("block_date").isin(days))), summary_path, "block_date")
+    replace(price_gap_daily(trades.where(by_slot), day_prices, mode=mode, gap=gap), gap_path, "date")
 
 
 # Declared schemas of the materialized results (partition discovery would read the
@@ -179,7 +179,7 @@ def refresh_daily_results(spark: SparkSession, trades: DataFrame, prices: DataFr
 SUMMARY_RESULT_DDL = ("block_date date, token_pair string, no_txn bigint, total_usd_value_bought double, "
                       "total_usd_value_sold double, total_units_sold double, total_units_bought double, "
                       "avg_buy_price double, avg_sell_price double")
-GAP_RESULT_DDL = "date string, cow_token string, avg_price_difference double"
+GAP_RESULT_DDL = "date string, token string, avg_price_difference double"
 
 
 def read_daily_results(spark: SparkSession, summary_path: str, gap_path: str) -> tuple[DataFrame, DataFrame]:

@@ -1,8 +1,7 @@
 """Relational operators of the price-gap and summary results."""
 
-from .joins import checked_broadcast, join_prices, trade_price_left_join, anti_join_ids  # noqa: F401
-from .legs import (trade_legs, keyed_prices, weighted_prices, leg_pairs, legs_union_all,
-                   trades_left_join_prices, leg_side, mapped_prices, weighted_view_rows, price_sums,
-                   legs_with_price_sums)  # noqa: F401
-from .aggregates import (daily_trade_summary, headline_totals, token_list, token_series,  # noqa: F401
-                         series_for_token, load_counts)
+from .joins import anti_join_ids, checked_broadcast, trade_price_left_join, within_bound  # noqa: F401
+from .legs import (keyed_prices, leg_price_pairs, legs_union_all, legs_with_price_sums, mapped_prices,  # noqa: F401
+                   price_sums, side_legs, trade_legs, weighted_pairs, weighted_prices)
+from .aggregates import (daily_trade_summary, headline_totals, headline_totals_of_trades, series_for_token,  # noqa: F401
+                         token_list, token_series)

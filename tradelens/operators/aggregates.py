@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import round_half_even, text_to_date
-from .joins import checked_broadcast
 
 
 def daily_trade_summary(trades: DataFrame) -> DataFrame:
@@ -26,61 +25,55 @@ def daily_trade_summary(trades: DataFrame) -> DataFrame:
     )
 
 
-def headline_totals(summary: DataFrame, trades: DataFrame | None = None) -> DataFrame:
+def headline_totals(summary: DataFrame) -> DataFrame:
     """The five dashboard totals over the daily summary (one row).
 
     ``no_trades`` sums the per-(day, pair) distinct counts, so a hash seen on two days
-    counts twice; with ``trades`` given, ``no_trades_distinct`` adds the global count.
-    The other four are sums rounded half-even to integers.
+    counts twice.  The other four are sums rounded half-even to integers.
     """
-    totals = summary.agg(
+    return summary.agg(
         F.sum("no_txn").cast("long").alias("no_trades"),
-        round_half_even(F.sum("total_units_bought")).alias("units_bought"),
-        round_half_even(F.sum("total_units_sold")).alias("units_sold"),
-        round_half_even(F.sum("total_usd_value_sold")).alias("value_sold"),
-        round_half_even(F.sum("total_usd_value_bought")).alias("value_bought"),
-    )
-    if trades is None:
-        return totals
-    distinct = trades.agg(F.count_distinct("tx_hash").alias("no_trades_distinct"))
-    # Two one-row results side by side without a cross join: stack, then fold.
-    cols = totals.columns + ["no_trades_distinct"]
-    stacked = totals.unionByName(distinct, allowMissingColumns=True)
-    return stacked.agg(*[F.max(c).alias(c) for c in cols])
+        *[round_half_even(F.sum(c)).alias(name) for name, c in _TOTALS.items()])
+
+
+# The summary column behind each total.
+_TOTALS = {"units_bought": "total_units_bought", "units_sold": "total_units_sold",
+           "value_sold": "total_usd_value_sold", "value_bought": "total_usd_value_bought"}
+
+
+def headline_totals_of_trades(trades: DataFrame) -> DataFrame:
+    """``headline_totals`` and ``no_trades_distinct`` (hashes over all days) from one scan.
+
+    The trades are aggregated once per (day, pair, hash): a group with a hash is one distinct
+    transaction of its day and pair, and the hashes of the groups give the global count.
+    """
+    per_hash = trades.groupBy("block_date", "token_pair", "tx_hash").agg(
+        F.sum("units_bought").alias("total_units_bought"), F.sum("units_sold").alias("total_units_sold"),
+        F.sum("sell_value_usd").alias("total_usd_value_sold"), F.sum("usd_value").alias("total_usd_value_bought"))
+    return per_hash.agg(
+        F.count("tx_hash").alias("no_trades"),
+        *[round_half_even(F.sum(c)).alias(name) for name, c in _TOTALS.items()],
+        F.count_distinct("tx_hash").alias("no_trades_distinct"))
 
 
 def token_list(gap: DataFrame) -> DataFrame:
-    return gap.select("cow_token").distinct()
+    return gap.select("token").distinct()
 
 
 def token_series(gap: DataFrame) -> DataFrame:
-    """One ordered series per token in long form: (cow_token, seq, date, avg_price_difference).
+    """One ordered series per token in long form: (token, seq, date, avg_price_difference).
 
     ``gap`` is already aggregated to one row per (day, token), so a window partition
     holds one token's days.
     """
-    w = Window.partitionBy("cow_token").orderBy("date")
-    return (gap.select("cow_token", text_to_date("date").alias("date"), "avg_price_difference")
+    w = Window.partitionBy("token").orderBy("date")
+    return (gap.select("token", text_to_date("date").alias("date"), "avg_price_difference")
             .withColumn("seq", F.row_number().over(w).cast("long"))
-            .select("cow_token", "seq", "date", "avg_price_difference"))
+            .select("token", "seq", "date", "avg_price_difference"))
 
 
 def series_for_token(gap: DataFrame, token: str) -> DataFrame:
     """The dashboard trace of one token: its rows, date parsed, sorted by date."""
-    return (gap.where(F.col("cow_token") == token)
+    return (gap.where(F.col("token") == token)
             .select(text_to_date("date").alias("date"), "avg_price_difference")
             .orderBy("date"))
-
-
-def load_counts(batch: DataFrame, existing_ids: DataFrame) -> DataFrame:
-    """(total_rows, inserted_rows) of loading ``batch`` into a table holding ``existing_ids``.
-
-    ``total_rows`` counts fetched rows (duplicates included); ``inserted_rows`` counts
-    distinct ids not yet stored.  One left join and one aggregation.
-    """
-    known = existing_ids.select("id").distinct().withColumn("_known", F.lit(True))
-    flagged = batch.select("id").join(checked_broadcast(known, bound_by=existing_ids), "id", "left")
-    return flagged.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count_distinct(F.when(F.col("_known").isNull(), F.col("id"))).alias("inserted_rows"),
-    )

@@ -12,33 +12,28 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 1_000_000
 
 
+def within_bound(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, bound_by: DataFrame | None = None) -> bool:
+    """Whether ``side`` is proven to hold ``<= max_rows`` rows.
+
+    The bound is measured (an exact, distributed row count: partial counts per task and a
+    one-row merge; a ``limit`` would funnel rows through one task), not estimated.
+    ``bound_by`` may name a frame with at least as many rows as ``side`` (the input of its
+    pre-aggregation): counting it needs no shuffle, and only when it exceeds the bound is
+    ``side`` itself counted.
+    """
+    return max_rows > 0 and any(p.count() <= max_rows for p in ([bound_by] if bound_by is not None else []) + [side])
+
+
 def checked_broadcast(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                       bound_by: DataFrame | None = None) -> DataFrame:
-    """Mark ``side`` for broadcast only if it is proven to hold ``<= max_rows`` rows.
+    """Mark ``side`` for broadcast only if it is ``within_bound``.
 
-    The bound is measured (an exact, distributed row count: partial counts per task
-    and a one-row merge; a ``limit`` would funnel rows through one task), not
-    estimated.  ``bound_by`` may name a frame with at least as many rows as
-    ``side`` (the input of its pre-aggregation): counting it needs no shuffle, and
-    only when it exceeds the bound is ``side`` itself counted.  Beyond the bound the
-    side carries a sort-merge hint, so neither the planner's size estimate nor a
-    run-time re-plan can broadcast it; both sides are shuffled on the join keys and
-    AQE splits skewed key partitions.  The count runs when the plan is built, so
-    build the plan right before running it.
+    Beyond the bound the side carries a sort-merge hint, so neither the planner's size estimate
+    nor a run-time re-plan can broadcast it; both sides are shuffled on the join keys and AQE
+    splits skewed key partitions.  The count runs when the plan is built, so build the plan
+    right before running it.
     """
-    if max_rows > 0:
-        for probe in ([bound_by] if bound_by is not None else []) + [side]:
-            if probe.count() <= max_rows:
-                return F.broadcast(side)
-    return side.hint("merge")
-
-
-def join_prices(legs: DataFrame, prices: DataFrame, keys=("slot", "token"),
-                how: str = "inner", broadcast_max_rows: int = BROADCAST_MAX_ROWS,
-                bound_by: DataFrame | None = None) -> DataFrame:
-    """Many-to-many equi-join of trade legs to price rows (no de-duplication)."""
-    side = checked_broadcast(prices, broadcast_max_rows, bound_by)
-    return legs.join(side, list(keys), how)
+    return F.broadcast(side) if within_bound(side, max_rows, bound_by) else side.hint("merge")
 
 
 def trade_price_left_join(keyed: DataFrame, price_counts: DataFrame,
@@ -54,12 +49,10 @@ def trade_price_left_join(keyed: DataFrame, price_counts: DataFrame,
     return keyed.join(side, ["slot"], "left")
 
 
-def anti_join_ids(batch: DataFrame, existing_ids: DataFrame,
-                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def anti_join_ids(batch: DataFrame, existing_ids: DataFrame) -> DataFrame:
     """Rows of ``batch`` whose ``id`` is not among ``existing_ids``.
 
-    The stored ids (already restricted to the batch's partitions) are broadcast only
-    under the measured bound; a large history is sort-merge joined on the id, whose
-    MD5 values spread evenly over the shuffle partitions.
+    No side is hinted: the stored ids are measured when they are read, and AQE broadcasts them
+    only if they turn out small; the MD5 ids spread evenly over the shuffle partitions.
     """
-    return batch.join(checked_broadcast(existing_ids.select("id"), broadcast_max_rows), "id", "left_anti")
+    return batch.join(existing_ids.select("id"), "id", "left_anti")

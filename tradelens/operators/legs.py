@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import coin_to_token, hour_key, hour_slot, market_value, price_gap
+from ..functions.scalars import coin_to_token, hour_slot, market_value, price_gap
 from .joins import BROADCAST_MAX_ROWS, checked_broadcast
 
 
@@ -46,112 +46,64 @@ def mapped_prices(prices: DataFrame, mode: str = "12h", mapping=None) -> DataFra
 
 
 # The trade column behind each leg field, per side.
-_LEG_FIELDS = {
-    "token": ("sell_token", "buy_token"),
-    "amount": ("units_sold", "units_bought"),
-    "cow_price": ("sell_price", "buy_price"),
-    "usd_cow_value": ("sell_value_usd", "usd_value"),
+_LEG_COLUMNS = {
+    "sell": {"token": "sell_token", "amount": "units_sold", "trade_price": "sell_price", "usd_trade_value": "sell_value_usd"},
+    "buy": {"token": "buy_token", "amount": "units_bought", "trade_price": "buy_price", "usd_trade_value": "usd_value"},
 }
+LEG_FIELDS = ("token", "amount", "trade_price", "usd_trade_value")
 
 
-def trade_legs(trades: DataFrame, mode: str = "12h",
-               fields: tuple[str, ...] = ("token", "amount", "cow_price", "usd_cow_value")) -> DataFrame:
-    """Unpivot each trade into its sell and buy leg (one scan, no union).
+def _leg(side: str, fields) -> list[Column]:
+    if side not in _LEG_COLUMNS:
+        raise ValueError("side must be 'sell' or 'buy'")
+    return [F.col(_LEG_COLUMNS[side][f]).alias(f) for f in fields]
 
-    Only ``fields`` are carried through the generator, so unused trade columns are
-    pruned down to the Parquet scan.
-    """
-    sell = F.struct(F.lit("sell").alias("side"), *[F.col(_LEG_FIELDS[f][0]).alias(f) for f in fields])
-    buy = F.struct(F.lit("buy").alias("side"), *[F.col(_LEG_FIELDS[f][1]).alias(f) for f in fields])
-    return trades.select(hour_slot("block_time", mode).alias("slot"), F.inline(F.array(sell, buy)))
 
+def side_legs(trades: DataFrame, side: str, mode: str = "12h", fields: tuple[str, ...] = LEG_FIELDS) -> DataFrame:
+    """The legs of one side: (slot, *fields), straight from that side's columns."""
+    return trades.select(hour_slot("block_time", mode).alias("slot"), *_leg(side, fields))
 
-def trades_left_join_prices(trades: DataFrame, prices: DataFrame, mode: str = "12h",
-                  mapping=None,
-                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Trades LEFT JOIN prices on the hour key, as in the source view.
 
-    Many-to-many: a trade meets every price row of its key, of every coin.  The
-    join runs on the integer hour slot (equal slots <=> equal key texts); the
-    ``datetime`` / ``date_time`` texts are computed once per input row.
+def trade_legs(trades: DataFrame, mode: str = "12h", fields: tuple[str, ...] = LEG_FIELDS) -> DataFrame:
+    """Unpivot each trade into its sell and buy leg (one scan, no union): (slot, side, *fields).
+
+    Only ``fields`` are carried through the generator, so unused trade columns are
+    pruned down to the Parquet scan.
     """
-    trade_side = trades.select(
-        hour_slot("block_time", mode).alias("slot"),
-        hour_key("block_time", mode).alias("datetime"), "token_pair", "order_type", "partial_fill",
-        "units_sold", "sell_value_usd", "sell_token", "sell_price", "units_bought",
-        F.col("usd_value").alias("buy_value_usd"), "buy_token", "buy_price")
-    price_side = with_token(prices, mapping).select(hour_slot("date_time", mode).alias("slot"),
-                                                    hour_key("date_time", mode).alias("date_time"),
-                                                    F.col("token").alias("coin"),
-                                                    F.col("prices").alias("external_price"))
-    return trade_side.join(checked_broadcast(price_side, broadcast_max_rows), "slot", "left")
-
-
-# The columns each side of the source view reads.
-_SIDE_COLUMNS = {
-    "sell": ("sell_token", "units_sold", "sell_price", "sell_value_usd"),
-    "buy": ("buy_token", "units_bought", "buy_price", "buy_value_usd"),
-}
+    both = F.array(*[F.struct(F.lit(side).alias("side"), *_leg(side, fields)) for side in _LEG_COLUMNS])
+    return trades.select(hour_slot("block_time", mode).alias("slot"), F.inline(both))
 
 
-def leg_side(joined: DataFrame, side: str, gap: str = "quarter") -> DataFrame:
-    """One side of the view: joined rows whose price coin is that side's token.
+def legs_union_all(trades: DataFrame, mode: str = "12h", fields: tuple[str, ...] = LEG_FIELDS) -> DataFrame:
+    """The legs of both sides as ``sell legs UNION ALL buy legs``: (slot, *fields)."""
+    return side_legs(trades, "sell", mode, fields).unionByName(side_legs(trades, "buy", mode, fields))
 
-    Columns: slot (the integer hour key) and the view's eight columns.
 
-    The filter rejects the NULL-extended rows, so Catalyst turns the left join into
-    an inner join with the token as a second join key.
-    """
-    if side not in _SIDE_COLUMNS:
-        raise ValueError("side must be 'sell' or 'buy'")
-    token, units, price, value = _SIDE_COLUMNS[side]
-    return joined.where(F.col("coin") == F.col(token)).select(
-        "slot", "datetime",
-        F.col("coin").alias("external_coin"),
-        F.col(token).alias("cow_token"),
-        F.col(units).alias("amount"),
-        F.col(price).alias("cow_price"),
-        price_gap(price, "external_price", gap).alias("price_difference"),
-        market_value(units, "external_price").alias("external_value_usd"),
-        F.col(value).alias("usd_cow_value"))
-
-
-def leg_pairs(trades: DataFrame, prices: DataFrame, side: str, mode: str = "12h",
-              gap: str = "quarter", mapping=None,
-              broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows of one side of the view: every (trade leg, price) pair.
-
-    Columns: slot, datetime (hour-key text), external_coin, cow_token, amount,
-    cow_price, price_difference, external_value_usd, usd_cow_value.
+def leg_price_pairs(legs: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter", mapping=None,
+                    broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Every (leg, price row) pair of one (slot, token), with its gap and market value.
+
+    The row form of the price join, many-to-many: its size is legs times prices.  The
+    aggregates below and ``plans.price_gap`` give the same sums without the pairs.
     """
-    return leg_side(trades_left_join_prices(trades, prices, mode, mapping, broadcast_max_rows), side, gap)
+    side = checked_broadcast(mapped_prices(prices, mode, mapping), broadcast_max_rows)
+    return legs.join(side, ["slot", "token"]).withColumns({
+        "price_difference": price_gap("trade_price", "external_price", gap),
+        "external_value_usd": market_value("amount", "external_price")})
 
 
-def legs_union_all(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
+def weighted_pairs(legs: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
                    mapping=None, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``sell side UNION ALL buy side`` of the source view (both sides share one join)."""
-    joined = trades_left_join_prices(trades, prices, mode, mapping, broadcast_max_rows)
-    return leg_side(joined, "sell", gap).unionByName(leg_side(joined, "buy", gap))
+    """``leg_price_pairs`` as a multiset: each row stands for ``n`` equal pairs.
 
-
-def weighted_view_rows(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
-                       mapping=None,
-                       broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Both sides of the view as a multiset: each row stands for ``n`` identical view rows.
-
-    Legs (one per trade side) are joined to distinct (slot, token, price) with their
-    multiplicity, so a price repeated within an hour key is one joined row of
-    weight ``n`` rather than ``n`` rows.  Columns: slot, side, cow_token, amount,
-    cow_price, external_price, n, price_difference, external_value_usd, usd_cow_value.
+    Legs are joined to distinct (slot, token, price) with their multiplicity, so a price
+    repeated within an hour key is one joined row of weight ``n``.
     """
-    legs = trade_legs(trades, mode).withColumnRenamed("token", "cow_token")
-    side = checked_broadcast(weighted_prices(prices, mode, mapping).withColumnRenamed("token", "cow_token"),
-                             broadcast_max_rows, mapped_prices(prices, mode, mapping))
-    return legs.join(side, ["slot", "cow_token"]).select(
-        "slot", "side", "cow_token", "amount", "cow_price", "external_price", "n",
-        price_gap("cow_price", "external_price", gap).alias("price_difference"),
-        market_value("amount", "external_price").alias("external_value_usd"),
-        "usd_cow_value")
+    side = checked_broadcast(weighted_prices(prices, mode, mapping), broadcast_max_rows,
+                             mapped_prices(prices, mode, mapping))
+    return legs.join(side, ["slot", "token"]).withColumns({
+        "price_difference": price_gap("trade_price", "external_price", gap),
+        "external_value_usd": market_value("amount", "external_price")})
 
 
 def price_sums(prices: DataFrame, mode: str = "12h", mapping=None) -> DataFrame:
@@ -164,14 +116,13 @@ def price_sums(prices: DataFrame, mode: str = "12h", mapping=None) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("external_price").alias("sum_price"))
 
 
-def legs_with_price_sums(trades: DataFrame, prices: DataFrame, mode: str = "12h",
-                         mapping=None,
+def legs_with_price_sums(legs: DataFrame, prices: DataFrame, mode: str = "12h", mapping=None,
                          broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Each leg with ``n`` and ``sum_price`` of its (slot, token): one row per leg.
 
-    ``sum(n)`` is the number of view rows (sell side UNION ALL buy side), and
-    ``sum(amount * sum_price)`` their market value, without emitting the pairs.
+    ``sum(n)`` is the number of (leg, price) pairs, and ``sum(amount * sum_price)`` their
+    market value, without emitting the pairs.
     """
     side = checked_broadcast(price_sums(prices, mode, mapping), broadcast_max_rows,
                              mapped_prices(prices, mode, mapping))
-    return trade_legs(trades, mode).join(side, ["slot", "token"])
+    return legs.join(side, ["slot", "token"])

@@ -1,4 +1,3 @@
-"""End-to-end results: the price-gap view in its two plans, left-join counts, leg summaries."""
+"""End-to-end results: the daily price gap in its two plans, left-join counts, leg summaries."""
 
-from .price_gap import (price_gap_daily, price_gap_from_legs, left_join_counts, leg_summary,  # noqa: F401
-                        leg_summary_weighted)
+from .price_gap import left_join_counts, leg_summary, price_gap_daily  # noqa: F401

@@ -1,16 +1,16 @@
 """Daily average gap between trade price and market price, per token.
 
-Two plans give the same rows:
-
-* ``single_join`` (default): each trade is unpivoted into its two legs and joined
-  once to the price side on (hour slot, token).  The price side is reduced exactly
-  to distinct (slot, token, price) with a multiplicity, broadcast only when its
-  measured size is under the bound, and the join streams into a partial aggregate,
-  so the joined rows are never stored and the trades are never shuffled when the
-  prices are broadcast.
-* ``union``: the source view's shape: left join on the hour key (as its integer
-  slot), one filter per side, ``UNION ALL`` of every (leg, price row) pair, then the
-  daily average.  Kept as the reference form and cross-check.
+The average runs over every (trade leg, price row) pair of an hour slot and token.  Two plans
+give the same rows:
+
+* ``single_join`` (default): both sides are first reduced to distinct (slot, token, price)
+  with a multiplicity, ``m`` legs and ``n`` prices; a joined row stands for ``m * n`` pairs.
+  So the work follows the distinct prices, not the rows, and one hot hour shrinks before it is
+  shuffled.  The price side is broadcast only under its measured bound; beyond it, legs are
+  spread over ``SALTS`` salts by their price and the price side is sent to each, so a hot slot
+  is joined by many tasks whatever its bytes.
+* ``union``: sell legs UNION ALL buy legs, then the pairs row by row.  Kept as the reference
+  form and cross-check.
 """
 
 from __future__ import annotations
@@ -19,65 +19,66 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import hour_slot, hour_text_from_slot, price_gap, slot_day
-from ..operators.joins import BROADCAST_MAX_ROWS, join_prices, trade_price_left_join
-from ..operators.legs import keyed_prices, legs_union_all, mapped_prices, trade_legs, weighted_prices
+from ..operators.joins import BROADCAST_MAX_ROWS, trade_price_left_join, within_bound
+from ..operators.legs import (keyed_prices, leg_price_pairs, legs_union_all, mapped_prices, trade_legs,
+                              weighted_prices)
+
+# Tasks a hot (slot, token) is spread over beyond the broadcast bound.
+SALTS = 32
 
 
 def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
                     plan: str = "single_join", mapping=None,
                     broadcast_max_rows: int = BROADCAST_MAX_ROWS, on_zero: str = "raise",
                     dedupe_prices: str = "none") -> DataFrame:
-    """Columns: date (``yyyy-MM-dd`` text), cow_token, avg_price_difference.
+    """Columns: date (``yyyy-MM-dd`` text), token, avg_price_difference.
 
     ``on_zero='null'`` skips pairs whose prices sum to zero instead of failing.
     ``dedupe_prices='avg'`` first averages the prices of each (hour key, token), so a
-    trade meets one price per key instead of every price row (a different result;
-    the source joins every row).
+    trade meets one price per key instead of every price row (a different result).
     """
     if dedupe_prices not in ("none", "avg"):
         raise ValueError("dedupe_prices must be 'none' or 'avg'")
     if plan == "union":
         if on_zero != "raise" or dedupe_prices != "none":
-            raise ValueError("the union plan mirrors the source view: no on_zero / dedupe_prices options")
-        return price_gap_from_legs(legs_union_all(trades, prices, mode, gap, mapping, broadcast_max_rows), mode)
+            raise ValueError("the union plan has no on_zero / dedupe_prices options")
+        pairs = leg_price_pairs(legs_union_all(trades, mode), prices, mode, gap, mapping, broadcast_max_rows)
+        daily = pairs.groupBy(slot_day("slot", mode).alias("day"), "token").agg(
+            F.avg("price_difference").alias("avg_price_difference"))
+        return daily.select(_day_text("day"), "token", "avg_price_difference")
     if plan != "single_join":
         raise ValueError("plan must be 'single_join' or 'union'")
-    legs = trade_legs(trades, mode, fields=("token", "cow_price")).select("slot", "token", "cow_price")
+    legs = trade_legs(trades, mode, fields=("token", "trade_price")).groupBy("slot", "token", "trade_price").agg(
+        F.count(F.lit(1)).alias("m"))
     if dedupe_prices == "avg":
         side = mapped_prices(prices, mode, mapping).groupBy("slot", "token").agg(
             F.avg("external_price").alias("external_price"), F.lit(1).cast("long").alias("n"))
     else:
         side = weighted_prices(prices, mode, mapping)
-    pairs = join_prices(legs, side, ("slot", "token"), "inner", broadcast_max_rows,
-                        bound_by=mapped_prices(prices, mode, mapping))
-    n = F.col("n")
-    diff = price_gap("cow_price", "external_price", gap, on_zero)
+    pairs = _spread_join(legs, side, broadcast_max_rows, mapped_prices(prices, mode, mapping))
+    weight = F.col("m") * F.col("n")
+    diff = price_gap("trade_price", "external_price", gap, on_zero)
     # Group on the integer day (cheap per joined row); format the date text only
     # on the aggregated rows.  Like AVG, pairs whose gap is NULL (a NULL price)
     # count in neither sum.
-    daily = pairs.groupBy(slot_day("slot", mode).alias("day"), F.col("token").alias("cow_token")).agg(
-        F.sum(diff * n).alias("gap_sum"),
-        F.sum(F.when(diff.isNotNull(), n)).alias("pairs"))
-    return daily.select(_day_text("day"), "cow_token",
-                        (F.col("gap_sum") / F.col("pairs")).alias("avg_price_difference"))
-
+    daily = pairs.groupBy(slot_day("slot", mode).alias("day"), "token").agg(
+        F.sum(diff * weight).alias("gap_sum"),
+        F.sum(F.when(diff.isNotNull(), weight)).alias("pairs"))
+    return daily.select(_day_text("day"), "token", (F.col("gap_sum") / F.col("pairs")).alias("avg_price_difference"))
 
-def _day_text(day_col: str):
-    return F.date_from_unix_date(F.col(day_col)).cast("string").alias("date")
 
+def _spread_join(legs: DataFrame, side: DataFrame, broadcast_max_rows: int, bound_by: DataFrame) -> DataFrame:
+    """Legs and prices of one (slot, token): broadcast under the bound, else salted."""
+    keys = ["slot", "token"]
+    if within_bound(side, broadcast_max_rows, bound_by):
+        return legs.join(F.broadcast(side), keys)
+    salted = legs.withColumn("salt", F.pmod(F.xxhash64("trade_price"), F.lit(SALTS)))
+    copies = side.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(copies.hint("merge"), [*keys, "salt"])
 
-def price_gap_from_legs(final_data: DataFrame, mode: str = "12h") -> DataFrame:
-    """Daily average of ``price_difference`` over view rows.
 
-    Groups on the integer day of the hour slot when the rows carry it, else on the
-    date part of the ``datetime`` text; the two are the same day.
-    """
-    if "slot" in final_data.columns:
-        daily = final_data.groupBy(slot_day("slot", mode).alias("day"), "cow_token").agg(
-            F.avg("price_difference").alias("avg_price_difference"))
-        return daily.select(_day_text("day"), "cow_token", "avg_price_difference")
-    return final_data.groupBy(F.substring("datetime", 1, 10).alias("date"), "cow_token").agg(
-        F.avg("price_difference").alias("avg_price_difference"))
+def _day_text(day_col: str):
+    return F.date_from_unix_date(F.col(day_col)).cast("string").alias("date")
 
 
 def left_join_counts(trades: DataFrame, prices: DataFrame, mode: str = "12h",
@@ -105,32 +106,22 @@ def left_join_counts(trades: DataFrame, prices: DataFrame, mode: str = "12h",
     return counted.select(_day_text("day"), "joined_rows", "unmatched_trades", "mapped_rows", "leg_rows")
 
 
-def leg_summary(legs: DataFrame, mode: str = "12h") -> DataFrame:
-    """View rows of one or both sides aggregated per (hour key, token).
+def leg_summary(pairs: DataFrame, mode: str = "12h", weight: str | None = None) -> DataFrame:
+    """(leg, price) pairs aggregated per (hour key, token); ``weight`` names a multiplicity.
 
     Groups on the integer slot and renders the hour-key text on the aggregated rows.
     """
-    agg = legs.groupBy("slot", "cow_token").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum("amount").alias("sum_amount"),
-        F.avg("cow_price").alias("avg_cow_price"),
-        F.avg("price_difference").alias("avg_price_difference"),
-        F.sum("external_value_usd").alias("sum_external_value_usd"),
-        F.sum("usd_cow_value").alias("sum_usd_cow_value"),
-    )
-    return agg.select(hour_text_from_slot("slot", mode).alias("datetime"), *[c for c in agg.columns if c != "slot"])
+    n = F.col(weight) if weight else F.lit(1).cast("long")
 
+    def mean(c: str):
+        return F.sum(F.col(c) * n) / F.sum(F.when(F.col(c).isNotNull(), n))
 
-def leg_summary_weighted(rows: DataFrame, mode: str = "12h") -> DataFrame:
-    """``leg_summary`` over weighted view rows (``weighted_view_rows``): same result."""
-    n = F.col("n")
-    pd = F.col("price_difference")
-    agg = rows.groupBy("slot", "cow_token").agg(
+    agg = pairs.groupBy("slot", "token").agg(
         F.sum(n).alias("n_rows"),
         F.sum(F.col("amount") * n).alias("sum_amount"),
-        (F.sum(F.col("cow_price") * n) / F.sum(F.when(F.col("cow_price").isNotNull(), n))).alias("avg_cow_price"),
-        (F.sum(pd * n) / F.sum(F.when(pd.isNotNull(), n))).alias("avg_price_difference"),
+        mean("trade_price").alias("avg_trade_price"),
+        mean("price_difference").alias("avg_price_difference"),
         F.sum(F.col("external_value_usd") * n).alias("sum_external_value_usd"),
-        F.sum(F.col("usd_cow_value") * n).alias("sum_usd_cow_value"),
+        F.sum(F.col("usd_trade_value") * n).alias("sum_usd_trade_value"),
     )
     return agg.select(hour_text_from_slot("slot", mode).alias("datetime"), *[c for c in agg.columns if c != "slot"])

@@ -41,15 +41,6 @@ PRICE_DOC = T.StructType([
 PRICE_DOC_DDL = ("prices array<array<double>>, market_caps array<array<double>>, "
                  "total_volumes array<array<double>>")
 
-# Columns of the derived results.
-DAILY_SUMMARY_COLUMNS = [
-    "block_date", "token_pair", "no_txn", "total_usd_value_bought", "total_usd_value_sold",
-    "total_units_sold", "total_units_bought", "avg_buy_price", "avg_sell_price",
-]
-PRICE_GAP_COLUMNS = ["date", "cow_token", "avg_price_difference"]
-LEG_COLUMNS = ["datetime", "external_coin", "cow_token", "amount", "cow_price",
-               "price_difference", "external_value_usd", "usd_cow_value"]
-
 
 def without_id(schema: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema.fields if f.name != "id"])

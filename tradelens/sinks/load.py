@@ -8,31 +8,31 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.identity import with_row_id
 from ..functions.naming import clean_columns, staging_types
 from ..operators.joins import anti_join_ids
+from ..session import scratch_path
 from .tables import StagingTable
 
-# Above this many distinct partition values in one batch the anti-join reads the
-# whole target instead of the batch's partitions (listing a few folders is cheap;
-# a long literal IN list is not).
-MAX_PRUNED_PARTITIONS = 1000
-
-
 @dataclass
 class LoadReport:
+    """``schema``: the table's namespace (None for a path table); ``source_id``: the id of the
+    source query or export the rows came from, if the caller names one."""
+
     schema: str | None
     table_name: str
     total_rows: int            # rows fetched, duplicates included
     inserted_rows: int         # rows actually appended
     columns: list[str] = field(default_factory=list)
+    source_id: str | None = None
+    days: list = field(default_factory=list)   # days the batch touches, if asked for
 
     def as_dict(self) -> dict:
         return {"schema": self.schema, "table_name": self.table_name, "total_rows": self.total_rows,
-                "inserted_rows": self.inserted_rows, "columns": list(self.columns)}
+                "inserted_rows": self.inserted_rows, "columns": list(self.columns), "query_id": self.source_id}
 
 
 def stage_rows(raw: DataFrame, id_cols: list[str] | None = None) -> DataFrame:
@@ -41,58 +41,64 @@ def stage_rows(raw: DataFrame, id_cols: list[str] | None = None) -> DataFrame:
 
 
 def insert_new_rows(rows: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """Rows with ids not yet stored: duplicates in the batch and stored ids are skipped."""
-    batch = rows.dropDuplicates(["id"])
-    return batch if existing is None else anti_join_ids(batch, existing)
+    """Rows with ids not yet stored, one per id: a replay drops out before the deduplication,
+    so it shuffles no more than the ids."""
+    new = rows if existing is None else anti_join_ids(rows, existing)
+    return new.dropDuplicates(["id"])
+
+
+def _spans(rows: DataFrame, cols: list[str]) -> list[Column]:
+    out = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(cols):
+        out += [F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"), F.count(F.when(F.col(c).isNull(), 1)).alias(f"null{i}")]
+    return out
 
 
-def _existing_for(table: StagingTable, rows: DataFrame, partition_values: dict | None = None,
-                  value_ranges: dict | None = None) -> DataFrame | None:
-    if not table.exists():
-        return None
+def _existing_ids(table: StagingTable, cols: list[str], span) -> DataFrame:
+    """The stored ids that the batch could repeat.
+
+    The id hashes every column, so an equal id has equal values: it lies between the batch's
+    smallest and largest value of a column, or is null there if the batch holds nulls.  Ranges
+    of the partition columns prune folders, those of others reach the scan's statistics.
+    """
     stored = table.read()
-    # Columns the id hashes, bounded by the batch's window: an equal id has an equal
-    # value, so it lies in the same range.  The range reaches the Parquet scan, whose
-    # min/max statistics skip files and row groups of other days.
-    for col, (lo, hi) in (value_ranges or {}).items():
-        stored = stored.where(F.col(col).between(lo, hi))
-    # The id hashes the partition column too, so an equal id lives in the same
-    # partition: read only the batch's partitions.  Values the caller knows (the
-    # load window) are used as given; others are read from the batch.
-    for col in table.partition_by:
-        if partition_values and col in partition_values:
-            values = list(partition_values[col])
-        else:
-            values = [r[0] for r in rows.select(col).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()]
-        if len(values) <= MAX_PRUNED_PARTITIONS:
-            stored = stored.where(F.col(col).isin(values)) if values else stored.limit(0)
+    for i, c in enumerate(cols):
+        near = F.lit(False) if span[f"lo{i}"] is None else F.col(c).between(span[f"lo{i}"], span[f"hi{i}"])
+        stored = stored.where(near | F.col(c).isNull() if span[f"null{i}"] else near)
     return stored.select("id")
 
 
 def insert_if_absent(spark: SparkSession, rows: DataFrame, table: StagingTable,
-                     schema_name: str | None = None, partition_values: dict | None = None,
-                     value_ranges: dict | None = None, total_rows: int | None = None) -> LoadReport:
+                     schema_name: str | None = None, range_columns: tuple[str, ...] = (),
+                     source_id: str | None = None, day_columns: tuple[Column, ...] = ()) -> LoadReport:
     """Append the rows whose ``id`` the table does not hold yet; report the counts.
 
-    An empty batch writes nothing (and creates no table).  ``total_rows`` is a row
-    count of the batch; ``inserted_rows`` is observed in the write's own result
-    stage, whose metrics count each partition once even when tasks are retried
-    (an observation in a shuffle stage could count a recomputed stage twice).
-    ``partition_values`` ({column: values}) may name a superset of the batch's
-    partition values, sparing a pass over the batch to find them.  ``value_ranges``
-    ({column: (lo, hi)}) bounds hashed columns by the batch's window (see above).
-    ``total_rows`` passes a row count the caller already has.
+    The batch is read from its source once and kept in the shared scratch folder; its row
+    count and the spans of the partition columns (and ``range_columns``, columns the id
+    hashes) come from there.  ``inserted_rows`` is observed in the write's own result stage,
+    whose metrics count each partition once even when tasks are retried.  An empty batch
+    writes nothing (and creates no table).  ``day_columns``: expressions whose distinct days
+    over the batch are reported (bounded by the calendar).
     """
-    total = rows.count() if total_rows is None else total_rows
-    if total == 0:
-        return LoadReport(schema_name, table.label, 0, 0, list(rows.columns))
+    schema_name = schema_name or table.namespace
+    path = scratch_path(spark, "batch")
+    rows.write.parquet(path)
+    batch = spark.read.schema(rows.schema).parquet(path)
+    cols = [*table.partition_by, *range_columns]
+    span = batch.agg(*_spans(batch, cols)).first()
+    if span["n"] == 0:
+        return LoadReport(schema_name, table.label, 0, 0, list(rows.columns), source_id)
     if table.schema is None:
         table.schema = rows.schema
+    existing = _existing_ids(table, cols, span) if table.exists() else None
     table.ensure()
     written = Observation("written")
-    new = insert_new_rows(rows, _existing_for(table, rows, partition_values, value_ranges))
-    table.append(new, observation=written)
-    return LoadReport(schema_name, table.label, int(total), int(written.get["n"]), list(rows.columns))
+    table.append(insert_new_rows(batch, existing), observation=written)
+    days = []
+    if day_columns:
+        found = batch.select(F.explode(F.array(*day_columns)).alias("day")).where("day is not null").distinct()
+        days = sorted(r[0] for r in found.collect())
+    return LoadReport(schema_name, table.label, int(span["n"]), int(written.get["n"]), list(rows.columns), source_id, days)
 
 
 def seed_if_empty(target: DataFrame, seed: DataFrame) -> DataFrame:
@@ -100,6 +106,15 @@ def seed_if_empty(target: DataFrame, seed: DataFrame) -> DataFrame:
     return seed if target.isEmpty() else target
 
 
+def seed_table(spark: SparkSession, table: StagingTable, seed: DataFrame) -> LoadReport:
+    """Insert the seed rows (with ids) into a table that holds none, creating it if absent.
+
+    A table that holds rows is left alone: nothing is read from the seed."""
+    if table.exists() and not table.read().isEmpty():
+        return LoadReport(table.namespace, table.label, 0, 0, list(seed.columns))
+    return insert_if_absent(spark, seed, table)
+
+
 def load_frame(spark: SparkSession, raw: DataFrame, table: StagingTable,
                schema_name: str | None = None) -> LoadReport:
     """Load any source frame: clean its column names, cast to staging types, hash each

@@ -19,6 +19,11 @@ def create_namespace(spark: SparkSession, name: str) -> str:
     return db
 
 
+# Partition folders cannot tell an empty text from a missing value; the empty text of a
+# partition column is stored as this marker and read back as ''.
+EMPTY_PARTITION = "__EMPTY__"
+
+
 def ddl_columns(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -47,6 +52,16 @@ class StagingTable:
         if self.bucket_by is not None and self.name is None:
             raise ValueError("bucketing needs a catalog table (name)")
 
+    @property
+    def namespace(self) -> str | None:
+        """The database of a catalog table."""
+        return self.name.rpartition(".")[0] or None if self.name is not None else None
+
+    def _swap_empty(self, df: DataFrame, old: str, new: str) -> DataFrame:
+        texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+        return df.withColumns({c: F.when(F.col(c) == old, F.lit(new)).otherwise(F.col(c))
+                               for c in self.partition_by if c in texts})
+
     @property
     def label(self) -> str:
         return self.name or self.path
@@ -78,25 +93,32 @@ class StagingTable:
         """Current rows; the file listing is refreshed first (appends by other jobs)."""
         if self.name is not None:
             self.spark.catalog.refreshTable(self.name)
-            return self.spark.table(self.name)
+            return self._swap_empty(self.spark.table(self.name), EMPTY_PARTITION, "")
         reader = self.spark.read
         if self.schema is not None:
             reader = reader.schema(self.schema)
-        return reader.parquet(self.path)
+        return self._swap_empty(reader.parquet(self.path), EMPTY_PARTITION, "")
 
     def append(self, df: DataFrame, observation: Observation | None = None) -> None:
         """Append ``df``; ``observation`` (a row count ``n``) is taken in the writing stage."""
         def observed(out: DataFrame) -> DataFrame:
             return out if observation is None else out.observe(observation, F.count(F.lit(1)).alias("n"))
+        df = self._swap_empty(df, "", EMPTY_PARTITION)
         if self.name is not None:
-            cols = self.spark.table(self.name).columns
-            out = df.select(*cols)
+            out = df.select(*self.spark.table(self.name).columns)
             if self.bucket_by is not None:
                 # Same hash as the bucket id: each task writes one bucket file per partition.
                 out = out.repartition(int(self.bucket_by[1]), self.bucket_by[0])
+            else:
+                out = self._rebalanced(out)
             observed(out).write.mode("append").insertInto(self.name)
         else:
-            observed(df).write.mode("append").partitionBy(*self.partition_by).parquet(self.path)
+            observed(self._rebalanced(df)).write.mode("append").partitionBy(*self.partition_by).parquet(self.path)
+
+    def _rebalanced(self, df: DataFrame) -> DataFrame:
+        """Rows of a partition folder meet in as many tasks as their bytes need (AQE splits and
+        merges by the advisory size), so files follow the data, not tasks times folders."""
+        return df.hint("rebalance", *self.partition_by) if self.partition_by else df.hint("rebalance")
 
     def drop(self) -> None:
         if self.name is not None:
@@ -120,6 +142,12 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the cluster's file system, if it exists."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)  # noqa: SLF001
+
+
 def drop_tables(spark: SparkSession, names: list[str]) -> None:
     """Development reset: drop the named staging tables (opt-in)."""
     for n in names:

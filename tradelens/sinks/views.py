@@ -2,8 +2,7 @@
 
 The price-gap view is written in the single-join form: each trade unpivoted into
 its two legs, joined once on (hour slot, token).  Catalyst plans it like the
-DataFrame version in ``plans.price_gap``; the join strategy is measured when the
-view is published and written into it as a hint.
+DataFrame version in ``plans.price_gap``.
 """
 
 from __future__ import annotations
@@ -11,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.scalars import COIN_TOKENS
-from ..operators.joins import BROADCAST_MAX_ROWS
-from ..operators.legs import mapped_prices, weighted_prices
 
+# The sum of both prices; a zero sum raises whatever the session's ANSI mode.
+_TOTAL = ("CASE WHEN trade_price + external_price = 0 "
+          "THEN CAST(raise_error('trade price and market price sum to zero') AS DOUBLE) "
+          "ELSE trade_price + external_price END")
 _GAP_EXPR = {
-    "quarter": "((cow_price - external_price) / (cow_price + external_price) / 2) * 100",
-    "symmetric_pct": "(cow_price - external_price) / ((cow_price + external_price) / 2) * 100",
+    "quarter": f"((trade_price - external_price) / ({_TOTAL}) / 2) * 100",
+    "symmetric_pct": f"(trade_price - external_price) / (({_TOTAL}) / 2) * 100",
 }
 
 
@@ -29,19 +30,18 @@ def _slot(ts_sql: str, n: int) -> str:
     return f"unix_date(to_date({ts_sql})) * {n} + hour({ts_sql}) % {n}"
 
 
-def price_gap_view_sql(trades: str, prices: str, mode: str = "12h", gap: str = "quarter",
-                       join_hint: str | None = None) -> str:
-    """The price-gap view; ``join_hint`` ('BROADCAST' or 'MERGE') names the price-side strategy."""
+def price_gap_view_sql(trades: str, prices: str, mode: str = "12h", gap: str = "quarter") -> str:
+    """The price-gap view.  It names no join strategy: a view outlives the sizes measured when
+    it is published, so AQE decides from those it meets at read time."""
     n = 12 if mode == "12h" else 24
-    hint = f"/*+ {join_hint}(px) */ " if join_hint else ""
     t_ts = "CAST(block_time AS TIMESTAMP_NTZ)"
     p_ts = "CAST(date_time AS TIMESTAMP_NTZ)"
     return f"""
 WITH legs AS (
-  SELECT {_slot(t_ts, n)} AS slot, leg.token, leg.cow_price
+  SELECT {_slot(t_ts, n)} AS slot, leg.token, leg.trade_price
   FROM {trades}
-  LATERAL VIEW inline(array(named_struct('token', sell_token, 'cow_price', sell_price),
-                            named_struct('token', buy_token, 'cow_price', buy_price))) leg AS token, cow_price
+  LATERAL VIEW inline(array(named_struct('token', sell_token, 'trade_price', sell_price),
+                            named_struct('token', buy_token, 'trade_price', buy_price))) leg AS token, trade_price
 ), px AS (
   SELECT slot, token, external_price, count(*) AS n
   FROM (SELECT {_slot(p_ts, n)} AS slot, {_token_case('coin')} AS token, prices AS external_price
@@ -49,13 +49,13 @@ WITH legs AS (
   WHERE token IS NOT NULL
   GROUP BY slot, token, external_price
 ), days AS (
-  SELECT {hint}CAST(floor(legs.slot / {n}) AS INT) AS day, legs.token AS cow_token,
+  SELECT CAST(floor(legs.slot / {n}) AS INT) AS day, legs.token AS token,
          sum(({_GAP_EXPR[gap]}) * px.n) AS gap_sum,
          sum(CASE WHEN ({_GAP_EXPR[gap]}) IS NOT NULL THEN px.n END) AS pairs
   FROM legs JOIN px ON legs.slot = px.slot AND legs.token = px.token
   GROUP BY CAST(floor(legs.slot / {n}) AS INT), legs.token
 )
-SELECT CAST(date_from_unix_date(day) AS STRING) AS date, cow_token,
+SELECT CAST(date_from_unix_date(day) AS STRING) AS date, token,
        gap_sum / pairs AS avg_price_difference
 FROM days"""
 
@@ -74,39 +74,20 @@ FROM {trades}
 GROUP BY block_date, token_pair"""
 
 
-def price_side_hint(spark: SparkSession, prices: str, mode: str = "12h",
-                    broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> str:
-    """'BROADCAST' if the view's price side measures under half the bound, else 'MERGE'.
-
-    A view is planned on every read, after the decision; the half-bound margin
-    covers the growth of the price table until the next publish (the daily job
-    publishes again).  The row count is bounded by the keyed price rows first.
-    """
-    table = spark.table(prices)
-    side = weighted_prices(table, mode)
-    limit = broadcast_max_rows // 2
-    for probe in (mapped_prices(table, mode), side):
-        if probe.count() <= limit:
-            return "BROADCAST"
-    return "MERGE"
-
-
 def publish_views(spark: SparkSession, trades: str, prices: str, target: str | None = None,
                   mode: str = "12h", gap: str = "quarter", temporary: bool = False,
-                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> dict[str, DataFrame]:
+                  prefix: str = "") -> dict[str, DataFrame]:
     """Create or replace ``price_gap_daily`` and ``trade_summary_daily``.
 
     ``target`` is the database of persistent views; ``temporary=True`` publishes
-    session views instead (allowed over temporary inputs).  The price join of the
-    first view carries a strategy hint measured now (``price_side_hint``).
+    session views instead (allowed over temporary inputs), their names preceded by ``prefix``.
     """
     kind = "TEMPORARY VIEW" if temporary else "VIEW"
-    prefix = "" if temporary or not target else f"{target}."
-    hint = price_side_hint(spark, prices, mode, broadcast_max_rows)
-    names = {"price_gap_daily": price_gap_view_sql(trades, prices, mode, gap, hint),
+    place = "" if temporary or not target else f"{target}."
+    names = {"price_gap_daily": price_gap_view_sql(trades, prices, mode, gap),
              "trade_summary_daily": summary_view_sql(trades)}
     out = {}
     for name, body in names.items():
-        spark.sql(f"CREATE OR REPLACE {kind} {prefix}{name} AS {body}")
-        out[name] = spark.table(f"{prefix}{name}")
+        spark.sql(f"CREATE OR REPLACE {kind} {place}{prefix}{name} AS {body}")
+        out[name] = spark.table(f"{place}{prefix}{name}")
     return out

@@ -25,20 +25,11 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
 
 
-# Fixed value: the integer field of ``props`` (``{"k": <int>}``).
-K_PATTERN = r'"k":\s*(-?[0-9]+(?:\.[0-9]+)?)'
-
-
 def k_of(props="props"):
-    """The ``k`` field of ``props`` as double.
-
-    A regular expression rather than a JSON parser: whole-stage codegen evaluates
-    trade-side columns once per *joined pair* (deferred until a join match), so the
-    view-form joins would parse each trade's JSON once per matching price row.  On
-    the driver tables both give the same value for every row.
-    """
+    """The ``k`` field of the JSON text ``props`` (``{"k": <number>}``) as double; null if it is
+    missing or no number."""
     p = F.col(props) if isinstance(props, str) else props
-    return F.regexp_extract(p, K_PATTERN, 1).cast("double")
+    return F.get_json_object(p, "$.k").try_cast("double")
 
 
 def _k(events: DataFrame):

@@ -9,11 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import element, unix_ms_to_text
-from ..operators.joins import checked_broadcast
 from ..schemas import PRICE_DOC, PRICE_DOC_DDL
 
 PRICE_ROW_COLUMNS = ["date_time", "prices", "market_cap", "total_volume"]
@@ -23,9 +22,11 @@ def _day(d) -> dt.date:
     return dt.date.fromisoformat(d) if isinstance(d, str) else d
 
 
-def price_window(prices: DataFrame, coin: str, lo: str, hi: str) -> DataFrame:
-    """Prices of one coin with ``lo <= date_time <= hi`` (UTC text, so text order = time order)."""
-    return prices.where((F.col("coin") == coin) & F.col("date_time").between(lo, hi))
+def price_window(prices: DataFrame, coin, lo: str, hi: str) -> DataFrame:
+    """Prices of a coin, or of a list of coins (one scan), with ``lo <= date_time <= hi``
+    (UTC text, so text order = time order)."""
+    coins = [coin] if isinstance(coin, str) else list(coin)
+    return prices.where(F.col("coin").isin(coins) & F.col("date_time").between(lo, hi))
 
 
 def init_price_window(prices: DataFrame, coin: str, as_of, start=None) -> DataFrame:
@@ -42,7 +43,7 @@ def update_price_window(prices: DataFrame, coin: str, target_date) -> DataFrame:
     return price_window(prices, coin, f"{d} 00:00:00", f"{d} 23:59:59")
 
 
-# A built document holds about this many points at most (an API page).
+# A built document holds at most this many points (an API page).
 MAX_DOC_POINTS = 512
 
 
@@ -50,21 +51,21 @@ def price_docs_from_prices(points: DataFrame, ms_col: str = "ms",
                            max_points: int = MAX_DOC_POINTS) -> DataFrame:
     """Build price-history documents as JSON text: (coin, doc_hour, chunk, doc).
 
-    ``points`` has ``coin``, ``ms_col``, ``prices``, ``market_cap``, ``total_volume``.
-    Points are grouped per (coin, UTC hour); a group with more than ``max_points``
-    points is split into ``ceil(n / max_points)`` documents by a hash of the point,
-    so no single document (and no single collect) grows with a hot coin-hour.
+    ``points`` has ``coin``, ``ms_col``, ``prices``, ``market_cap``, ``total_volume``.  The
+    points that an input partition holds of a (coin, UTC hour) are numbered and cut into
+    documents of at most ``max_points``, equal points included; so neither a document nor a
+    task grows with a hot coin-hour.  ``chunk`` tells a coin-hour's documents apart.
     """
     pts = points.select(
         "coin", F.col(ms_col).cast("double").alias("ms"), "prices", "market_cap", "total_volume",
-        F.floor(F.col(ms_col) / 3_600_000).cast("long").alias("doc_hour"))
-    sizes = pts.groupBy("coin", "doc_hour").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(max_points)).cast("int").alias("n_docs"))
-    chunked = pts.join(checked_broadcast(sizes, bound_by=pts), ["coin", "doc_hour"]).withColumn(
-        "chunk", F.pmod(F.xxhash64("ms", "prices", "market_cap", "total_volume"), F.col("n_docs")).cast("int"))
-    grouped = (chunked.groupBy("coin", "doc_hour", "chunk")
+        F.floor(F.col(ms_col) / 3_600_000).cast("long").alias("doc_hour"),
+        F.spark_partition_id().cast("long").alias("part"), F.monotonically_increasing_id().alias("n"))
+    group = ["part", "coin", "doc_hour"]
+    place = F.row_number().over(Window.partitionBy(*group).orderBy("n")) - 1
+    grouped = (pts.withColumn("cut", F.floor(place / max_points).cast("long")).groupBy(*group, "cut")
                .agg(F.sort_array(F.collect_list(F.struct("ms", "prices", "market_cap", "total_volume")))
-                    .alias("pts")))
+                    .alias("pts"))
+               .withColumn("chunk", F.col("part") * (1 << 32) + F.col("cut")))
 
     def series(field):
         return F.transform("pts", lambda p: F.array(p["ms"], p[field]))

@@ -10,9 +10,7 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.identity import with_row_id
@@ -21,6 +19,9 @@ from ..sinks.load import insert_if_absent
 from ..sinks.tables import StagingTable
 from ..sources.prices import PRICE_ROW_COLUMNS, explode_price_docs
 
+# Files of one micro-batch: a replayed backlog is loaded in bounded steps.
+MAX_FILES_PER_TRIGGER = 1_000
+
 PRICE_COLUMNS = [f.name for f in COIN_PRICES.fields if f.name != "id"]
 
 
@@ -31,7 +32,7 @@ def land_price_docs(docs: DataFrame, path: str) -> None:
 
 def stream_price_docs(spark: SparkSession, landing: str, table: StagingTable, checkpoint: str,
                       available_now: bool = True, multi_line: bool = False,
-                      max_files_per_trigger: int | None = None,
+                      max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
                       archive_dir: str | None = None) -> StreamingQuery:
     """Start the load; ``checkpoint`` must be in shared storage.
 
@@ -49,20 +50,11 @@ def stream_price_docs(spark: SparkSession, landing: str, table: StagingTable, ch
     staged = with_row_id(rows.select(*PRICE_COLUMNS))
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        # The batch runs in a cloned session: read the target through it, so the
-        # anti-join sees the files appended by earlier batches.  The batch is used
-        # twice (its row count, then the append), so its parsed rows are kept for
-        # the duration of this call; lost blocks are recomputed from the files.
+        # The batch runs in a cloned session: read the target through it, so the anti-join
+        # sees the files appended by earlier batches.  The load keeps the parsed batch in the
+        # shared scratch folder, so the documents are parsed once.
         target = dataclasses.replace(table, spark=batch.sparkSession)
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # One pass gives the row count and the time span that bounds the stored
-            # ids the anti-join reads.
-            n, lo, hi = batch.agg(F.count(F.lit(1)), F.min("date_time"), F.max("date_time")).first()
-            ranges = {"date_time": (lo, hi)} if lo is not None else None
-            insert_if_absent(batch.sparkSession, batch, target, value_ranges=ranges, total_rows=n)
-        finally:
-            batch.unpersist()
+        insert_if_absent(batch.sparkSession, batch, target, range_columns=("date_time",))
 
     writer = staged.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
