@@ -1,7 +1,7 @@
 import random
 
 from tradelens.llm import lsh_forest as LF
-from tradelens.llm.components import components
+from tradelens.llm.components import components, extended
 
 
 def brute(rows, width, similarity):
@@ -76,3 +76,12 @@ def test_components_of_a_long_chain_and_a_star(spark):
     got = {r.node: r.label for r in components(df).collect()}
     assert all(got[i] == 0 for i in range(201)) and all(got[1000 + i] == 1000 for i in range(60))
     assert got[300] == 299 and components(df.limit(0)).count() == 0
+
+
+def test_more_links_extend_the_labels(spark):
+    def frame(rows):
+        return spark.createDataFrame(rows, "a long, b long")
+    labels = components(frame([(1, 2), (2, 3), (10, 11), (20, 21)]))
+    assert extended(labels, frame([])).count() == 7
+    got = {r.node: r.label for r in extended(labels, frame([(3, 11), (30, 31), (21, 20), (11, 40)])).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 10: 1, 11: 1, 40: 1, 20: 20, 21: 20, 30: 30, 31: 30}

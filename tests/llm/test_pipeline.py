@@ -1,0 +1,134 @@
+"""The pipeline against brute-force versions of its stages, and the registered queries."""
+
+import random
+import re
+
+import duckdb
+import public_tokenizers
+import pytest
+import test_decontaminate
+import test_line_dedup
+import test_near_duplicates
+
+import __spark_entry__ as E
+import corpus_pipeline as CP
+from tradelens.llm import byte_bpe as BP
+from tradelens.llm import langid as LI
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def world():
+    rng = random.Random(11)
+    stems = {"aa": ["kor", "tun", "velo", "mik", "sar", "neb"], "bb": ["ghe", "wiz", "plo", "urth", "enk", "yaf"]}
+
+    def line(lang, n):
+        return " ".join("".join(rng.choice(stems[lang]) for _ in range(rng.randint(1, 3))) for _ in range(n))
+
+    passage, item = line("aa", 60), line("aa", 40)
+    docs = []
+    for i in range(60):
+        lang = rng.choice(list(stems))
+        lines = [line(lang, rng.randint(4, 25)) for _ in range(rng.randint(1, 6))]
+        if i % 9 == 0:
+            lines.insert(rng.randrange(len(lines) + 1), passage)
+        if i % 11 == 0:
+            lines.append(item)
+        docs.append([i, "\n".join(lines), lang])
+    docs.append([100, docs[5][1], docs[5][2]])                       # an exact copy
+    near = docs[7][1].split(" ")
+    docs.append([101, docs[7][1] + " " + near[0], docs[7][2]])       # a near copy on one line run
+    docs += [[102, "!!! 123", None], [103, None, "aa"], [104, "", None], [105, line("bb", 30), None]]
+    return [(i, t, lang, "s", None if t is None else len(t)) for i, t, lang in docs], [(1, item), (2, line("bb", 20))]
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("world"))
+    docs, items = world()
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{folder}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return folder, docs, items
+
+
+def test_stages_against_brute_force(spark, tables):
+    folder, rows, items = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    assert [name for name, _ in CP.STAGES] == ["language", "lines", "near_duplicates", "benchmark", "tokens"]
+
+    def run(stage, docs):
+        out = dict(CP.STAGES)[stage](spark, docs, folder)
+        found = out.collect()
+        return spark.createDataFrame(found, out.schema), found
+
+    docs, found = run("language", docs)
+    model = LI.fit(LI.training_sample(spark.read.parquet(f"{folder}/documents.parquet")))
+    coder = LI.Classifier(model)
+    want = {i for i, t, *_ in rows if coder.predict(t)[0] != LI.UNKNOWN and coder.predict(t)[2] >= LI.MIN_MARGIN}
+    assert docs.columns == columns and {r.doc_id for r in found} == want and not want & {102, 103, 104}
+    assert len(want) >= 61 and {r.doc_id: r.lang for r in found}.get(105) == "bb"
+
+    kept = [(r.doc_id, r.text) for r in found]
+    docs, found = run("lines", docs)
+    clean = test_line_dedup.brute(kept, 50)
+    want = {i: clean[(i, t)] for i, t in kept if clean[(i, t)].strip()}
+    assert docs.columns == columns and {r.doc_id: r.text for r in found} == want
+    assert all(r.n_chars == len(r.text) for r in found) and 100 not in want
+
+    kept = [(r.doc_id, r.text) for r in found]
+    docs, found = run("near_duplicates", docs)
+    assert docs.columns == columns
+    assert {r.doc_id for r in found} == {d for d, _, _, keep in test_near_duplicates.brute(kept, 5, 80) if keep}
+
+    kept = [(r.doc_id, r.text) for r in found]
+    docs, found = run("benchmark", docs)
+    bad = {r[0] for r in test_decontaminate.brute(kept, items) if r[5]}
+    assert docs.columns == columns and bad and {r.doc_id for r in found} == {i for i, _ in kept} - bad
+
+    _, tokens = run("tokens", docs)
+    bpe = BP.make_encoding(BP.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    assert {r.doc_id: list(r.ids) for r in tokens} == {r.doc_id: bpe.encode_ordinary(r.text) for r in found}
+    assert all(r.round_trip and r.n_tokens == len(r.ids) for r in tokens)
+
+    whole = CP.run(spark, folder).collect()
+    assert sorted((r.doc_id, list(r.ids)) for r in whole) == sorted((r.doc_id, list(r.ids)) for r in tokens)
+
+
+def test_empty_documents(spark, tables):
+    folder, *_ = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    for name, stage in CP.STAGES:
+        assert stage(spark, docs, folder).count() == 0, name
+
+
+def test_every_operator_has_a_query_with_the_contract_columns():
+    names = {int(m[1]): n for n in E.queries() if (m := re.match(r"op(\d+)_", n))}
+    assert sorted(names) == list(range(1, 11)) and "pipeline" in E.queries()
+
+
+WANT = {
+    "op1_": "query_id rank vec_id score", "op2_": "doc_id held_out lang_pred score", "op3_": "doc_id text n_deleted",
+    "op4_": "doc_id n_words n_hit n_items items_sha256 contaminated", "op5_": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op6_": "doc_id n_shingles component_id kept", "op7_": "doc_id held_out score predicted",
+    "op8_": "doc_id n_email n_ip n_card n_phone base_sha256 spans", "op9_": "doc_id start n_tokens ids_crc32",
+    "op10_": "page_id payload_bytes payload_digest record_type refers_to",
+}
+
+
+@pytest.mark.parametrize("prefix", WANT)
+def test_query_on_the_given_tables(spark, prefix):
+    name = next(n for n in E.queries() if n.startswith(prefix))
+    df = E.queries()[name](spark, SMALL)
+    rows = df.collect()
+    assert set(WANT[prefix].split()) <= set(df.columns)
+    table = {"op1_": "embeddings", "op10_": "pages"}.get(prefix, "documents")
+    if prefix != "op1_":
+        assert len(rows) == spark.read.parquet(f"{SMALL}/{table}.parquet").count()
+    if name in E.oracle_sql():
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SMALL}/{table}.parquet')")
+        cur = con.execute(E.oracle_sql()[name])
+        at = [[d[0] for d in cur.description].index(c) for c in df.columns]
+        assert sorted(tuple(r) for r in rows) == sorted(tuple(r[i] for i in at) for r in cur.fetchall())

@@ -54,3 +54,21 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     if labels is None:
         return rest.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return labels
+
+
+def extended(labels: DataFrame, links: DataFrame, name: str = "components") -> DataFrame:
+    """``labels`` after more ``links (a, b)``: only the links between different components are
+    solved, as links between their labels."""
+    left = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    right = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    named = stored(links.join(left, "a", "left").join(right, "b", "left").select(
+        "a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")), f"{name}-new")
+    if named.isEmpty():
+        return labels
+    merged = components(named.select(F.col("la").alias("a"), F.col("lb").alias("b")), name)
+    ends = named.select(F.col("a").alias("node"), F.col("la").alias("label")).unionByName(
+        named.select(F.col("b").alias("node"), F.col("lb").alias("label")))
+    every = labels.unionByName(ends).distinct()
+    up = merged.select(F.col("node").alias("label"), F.col("label").alias("higher"))
+    return stored(every.join(up, "label", "left").select("node", F.coalesce("higher", "label").alias("label")),
+                  f"{name}-extended")

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import doc_key, per_process, stored
-from .components import components
+from .components import components, extended
 
 SHINGLE_WORDS, SIMILARITY = 5, 80
 TREES, DEPTH, EXTRA = 48, 5, 1
@@ -262,14 +262,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Neighbours in the first orders, then those of all orders that are not yet connected,
     # then whatever else shares a region and is not.
     first = pairs.where("tree < 4").select("a", "b")
-    links = stored(confirmed(first, sets, similarity), f"{name}-links1")
-    labels = components(links, f"{name}-components1")
+    labels = components(stored(confirmed(first, sets, similarity), f"{name}-links1"), f"{name}-components1")
     apart = _apart(pairs.where("tree >= 4").select("a", "b"), labels)
-    links = stored(links.unionByName(confirmed(apart, sets, similarity)), f"{name}-links2")
-    labels = components(links, f"{name}-components2")
+    labels = extended(labels, stored(confirmed(apart, sets, similarity), f"{name}-links2"), f"{name}-components2")
     across = stored(region_pairs(region, labels, similarity).join(pairs, ["a", "b"], "left_anti"), f"{name}-across")
-    links = stored(links.unionByName(confirmed(across, sets, similarity)), f"{name}-links3")
-    labels = components(links, f"{name}-components3")
+    labels = extended(labels, stored(confirmed(across, sets, similarity), f"{name}-links3"), f"{name}-components3")
 
     group = classes.select("node", "low").join(labels, "node", "left").select(
         "node", "low", F.coalesce("label", "node").alias("label"))
