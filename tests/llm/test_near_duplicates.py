@@ -85,3 +85,18 @@ def test_more_links_extend_the_labels(spark):
     assert extended(labels, frame([])).count() == 7
     got = {r.node: r.label for r in extended(labels, frame([(3, 11), (30, 31), (21, 20), (11, 40)])).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 10: 1, 11: 1, 40: 1, 20: 20, 21: 20, 30: 30, 31: 30}
+
+
+def test_blocks_of_a_region_lose_no_pair(spark, monkeypatch):
+    """A star: copies are linked to their base only, among them and to heavier edits not."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(200)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 70):
+        w = list(base)
+        for k in rng.sample(range(200), rng.choice([8, 9, 10, 11, 12, 13, 20])):
+            w[k] = f"x{i}-{k}"
+        rows.append((i, " ".join(w)))
+    monkeypatch.setattr(LF.region_pairs, "__defaults__", (4,))
+    assert run(spark, rows, width=2) == brute(rows, 2, 80)
+    assert LF.least_agreement(80) == 186 and LF.least_agreement(100) == 288

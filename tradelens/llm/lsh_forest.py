@@ -10,12 +10,13 @@ everything below works on classes, so groups of exact copies cost no more than o
   longest common prefix, are candidates: the denser a region, the deeper its neighbours agree,
   and candidates stay linear in its size.
 * Links are confirmed on the full sets, then merged into components.
-* What neighbours cannot show: a region whose classes still lie in different components gets
-  all its pairs between different components confirmed as well.  So every pair of classes that
+* What neighbours cannot show: in a region whose classes still lie in different components,
+  members of different components are compared by sketches (a byte of every minhash), block by
+  block, and what looks alike is confirmed on the full sets.  So every pair of classes that
   share a region ends up compared or already connected, without a cap.
 
-A pair of similarity s misses every region with probability (1 - s**DEPTH)**TREES: 5e-9 at
-0.8.  Sets of fewer than four shingles can at 0.8 only link to equal sets (any other has a
+A pair of similarity s misses every region with probability (1 - s**DEPTH)**TREES, 5e-9 at
+0.8, and the sketch comparison with less than 1e-10.  Sets of fewer than four shingles can at 0.8 only link to equal sets (any other has a
 similarity of at most 3/4) and skip the forest.
 
 Texts: null, empty and blank texts have an empty set and link with nothing.  Shingles are
@@ -39,6 +40,8 @@ from .components import components, extended
 
 SHINGLE_WORDS, SIMILARITY = 5, 80
 TREES, DEPTH, EXTRA = 48, 5, 1
+#: Rows of a block where members of a region are compared.
+BLOCK = 512
 #: Words whose hash a worker remembers before it starts over.
 WORD_MEMORY = 400_000
 
@@ -105,11 +108,12 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, least: int) -> DataFrame:
-    """``(id, k1, k2, n, node, sig)``: document key, set size, the set's 128-bit name (null if
-    empty), and its region keys.
+    """``(id, k1, k2, n, node, sig, sketch)``: document key, set size, the set's 128-bit name
+    (null if empty), and its region keys.
 
     ``sig`` holds per tree a 64-bit hash of the first ``DEPTH`` minhashes and the 32 bits of
-    the next one; it is null for sets under ``least`` shingles."""
+    the next one, ``sketch`` a byte of every minhash; both are null for sets under ``least``
+    shingles."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,15 +121,17 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, least: i
         for batch in batches:
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
-                n, node, sig = [], [], []
+                n, node, sig, sketch = [], [], [], []
                 for text in part.column(3).to_pylist():
                     s = h.shingles(text, width)
                     n.append(len(s))
                     node.append(_digest(s) if len(s) else None)
                     if len(s) < least:
                         sig.append(None)
+                        sketch.append(None)
                         continue
                     m = h.signature(s).astype(np.uint64)
+                    sketch.append((m & np.uint64(255)).astype(np.uint8).tobytes())
                     key = np.zeros(h.trees, np.uint64)
                     for j in range(DEPTH):
                         key = _mixed(key * _MIX_A + m[:, j] + np.uint64(j + 1))
@@ -134,10 +140,11 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, least: i
                     sig.append(row.tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()),
-                     pa.array(node, pa.binary()), pa.array(sig, pa.binary())], ["id", "k1", "k2", "n", "node", "sig"])
+                     pa.array(node, pa.binary()), pa.array(sig, pa.binary()), pa.array(sketch, pa.binary())],
+                    ["id", "k1", "k2", "n", "node", "sig", "sketch"])
 
     rows = docs.select(F.col(id_col).alias("id"), *doc_key(id_col, text_col), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, k1 long, k2 long, n long, node binary, sig binary")
+    return rows.mapInArrow(run, f"id {kind}, k1 long, k2 long, n long, node binary, sig binary, sketch binary")
 
 
 def forest_rows(classes: DataFrame) -> DataFrame:
@@ -246,6 +253,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = stored(signatures(docs, id_col, text_col, width, least), f"{name}-signatures")
     classes = stored(sigs.where("node is not null").groupBy("node").agg(
         F.min("id").alias("low"), F.first("n").alias("n"), F.first("sig").alias("sig"),
+        F.first("sketch").alias("sketch"),
         F.min(F.struct("k1", "k2")).alias("key")), f"{name}-classes")
 
     near = stored(neighbours(forest_rows(classes.where("sig is not null"))), f"{name}-neighbours")
@@ -253,8 +261,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = near.where(F.col("prev").isNotNull() & fits).groupBy(
         F.least("node", "prev").alias("a"), F.greatest("node", "prev").alias("b")).agg(F.min("tree").alias("tree"))
     pairs = stored(pairs.where("a != b"), f"{name}-pairs")
-    region = stored(near.select("tree", "key", "node", "n").unionByName(near.where("prev is not null").select(
-        "tree", "key", F.col("prev").alias("node"), F.col("prev_n").alias("n"))).distinct(), f"{name}-regions")
+    # ``edge``: the region may go on in another partition, so its neighbours are not all known.
+    region = near.select("tree", "key", "node", "n", F.col("prev").isNull().alias("edge")).unionByName(
+        near.where("prev is not null").select("tree", "key", F.col("prev").alias("node"), F.col("prev_n").alias("n"),
+                                              F.lit(False).alias("edge")))
+    region = stored(region.groupBy("tree", "key", "node").agg(F.first("n").alias("n"), F.max("edge").alias("edge")),
+                    f"{name}-regions")
     members = region.select("node").distinct()
     wanted = classes.join(members, "node", "left_semi").select("key.k1", "key.k2")
     sets = stored(full_sets(docs, wanted, id_col, text_col, width), f"{name}-sets")
@@ -265,7 +277,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = components(stored(confirmed(first, sets, similarity), f"{name}-links1"), f"{name}-components1")
     apart = _apart(pairs.where("tree >= 4").select("a", "b"), labels)
     labels = extended(labels, stored(confirmed(apart, sets, similarity), f"{name}-links2"), f"{name}-components2")
-    across = stored(region_pairs(region, labels, similarity).join(pairs, ["a", "b"], "left_anti"), f"{name}-across")
+    across = stored(region_pairs(region, labels, classes, similarity).join(pairs, ["a", "b"], "left_anti"), f"{name}-across")
     labels = extended(labels, stored(confirmed(across, sets, similarity), f"{name}-links3"), f"{name}-components3")
 
     group = classes.select("node", "low").join(labels, "node", "left").select(
@@ -286,23 +298,91 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
 
 
-def region_pairs(region: DataFrame, labels: DataFrame, similarity: int) -> DataFrame:
-    """Distinct pairs ``(a, b)`` that share a region but no component, sizes permitting.
-
-    Components are paired first, so members of one component never meet each other."""
-    rows = region.join(labels, "node", "left").select("tree", "key", "node", "n", F.coalesce("label", "node").alias("label"))
-    rows = stored(rows, "lsh-forest-labelled")
-    parts = rows.select("tree", "key", "label").distinct()
-    mixed = parts.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("tree", "key")
-    rows = stored(rows.join(mixed, ["tree", "key"], "left_semi"), "lsh-forest-mixed")
-    parts = stored(rows.select("tree", "key", "label").distinct(), "lsh-forest-parts")
-    other = parts.select("tree", "key", F.col("label").alias("lb"))
-    both = parts.withColumnRenamed("label", "la").join(other, ["tree", "key"]).where("la < lb")
-    left = rows.select("tree", "key", F.col("label").alias("la"), F.col("node").alias("x"), F.col("n").alias("nx"))
-    right = rows.select("tree", "key", F.col("label").alias("lb"), F.col("node").alias("y"), F.col("n").alias("ny"))
-    pairs = both.join(left, ["tree", "key", "la"]).join(right, ["tree", "key", "lb"])
-    pairs = pairs.where(100 * F.least("nx", "ny") >= similarity * F.greatest("nx", "ny"))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def least_agreement(similarity: int) -> int:
+    """Minhashes that a pair of this similarity agrees in, but for a chance under 1e-10."""
+    count, share = TREES * (DEPTH + EXTRA), similarity / 100
+    return int(count * share - 6.5 * (count * share * (1 - share))**0.5)
+
+
+def region_pairs(region: DataFrame, labels: DataFrame, classes: DataFrame, similarity: int,
+                 block: int = BLOCK) -> DataFrame:
+    """Distinct pairs ``(a, b)`` that share a region but no component and look alike: their sizes
+    allow the similarity and their sketches agree as often as it asks for.
+
+    Regions whose neighbours were all compared are done, and members of one component never
+    meet.  The largest component of a region is its core; core and rest are dealt into blocks
+    by a hash, and a task compares a block of the core with a block of the rest, or two blocks
+    of the rest, so neither a region nor a component is gathered in one task."""
+    name = "lsh-forest"
+    rows = stored(region.join(labels, "node", "left").select(
+        "tree", "key", "node", "n", "edge", F.coalesce("label", "node").alias("label")), f"{name}-labelled")
+    parts = rows.groupBy("tree", "key", "label").agg(F.count(F.lit(1)).alias("c"), F.max("edge").alias("edge"))
+    regions = parts.groupBy("tree", "key").agg(
+        F.max_by("label", F.struct("c", "label")).alias("core"), F.max("c").alias("in_core"), F.sum("c").alias("size"),
+        F.count(F.lit(1)).alias("parts"), F.max("edge").alias("edge"))
+    open_ones = regions.where((F.col("parts") > 1) & ((F.col("size") > 2) | F.col("edge"))).select(
+        "tree", "key", "core", F.ceil(F.col("in_core") / block).cast("long").alias("core_blocks"),
+        F.ceil((F.col("size") - F.col("in_core")) / block).cast("long").alias("rest_blocks"))
+    open_ones = stored(open_ones, f"{name}-open")
+    rows = rows.select("tree", "key", "node", "n", "label").join(open_ones, ["tree", "key"])
+    spread = F.xxhash64("node")
+
+    def spots(start, stop, make):
+        return F.transform(F.filter(F.sequence(F.lit(0).cast("long"), F.greatest(stop, F.lit(1)) - 1), lambda j: j >= start), make)
+
+    def spot(kind, x, y, side):
+        return F.struct(F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"), F.lit(side).alias("side"))
+
+    own = F.when(F.col("label") == F.col("core"), F.pmod(spread, "core_blocks")).otherwise(F.pmod(spread, "rest_blocks"))
+    rows = rows.withColumn("own", own)
+    mine, zero = F.col("own"), F.lit(0).cast("long")
+    core = spots(zero, F.col("rest_blocks"), lambda j: spot(0, mine, j, 0))
+    rest = F.concat(spots(zero, F.col("core_blocks"), lambda i: spot(0, i, mine, 1)),
+                    spots(mine + 1, F.col("rest_blocks"), lambda j: spot(1, mine, j, 0)),
+                    F.filter(spots(zero, F.col("rest_blocks"), lambda j: spot(1, j, mine, 1)), lambda t: t["x"] < t["y"]))
+    placed = rows.withColumn("spot", F.explode(F.when(F.col("label") == F.col("core"), core).otherwise(rest)))
+    sketches = classes.where("sketch is not null").select("node", "sketch")
+    group = ["tree", "key", "kind", "x", "y"]
+    placed = placed.select("tree", "key", "spot.kind", "spot.x", "spot.y", "spot.side", "node", "n", "label").join(
+        sketches, "node").select(*group, "side", "node", "n", "label", "sketch")
+    least = least_agreement(similarity)
+
+    def compared(t: pa.Table) -> list[tuple[bytes, bytes]]:
+        """The alike pairs of one group: side 0 with side 1, and side 1 with itself where its
+        block meets the first block of the core."""
+        node, label = t["node"].to_pylist(), np.unique(t["label"].to_pylist(), return_inverse=True)[1]
+        n, side = t["n"].to_numpy(), t["side"].to_numpy()
+        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)
+        itself = t["kind"][0].as_py() == 0 and t["x"][0].as_py() == 0
+        first, out = np.flatnonzero(side == 0), []
+        for i in np.flatnonzero(side == 1):
+            to = np.concatenate([first, np.flatnonzero((side == 1) & (np.arange(len(side)) > i))]) if itself else first
+            to = to[(label[to] != label[i]) & (100 * np.minimum(n[to], n[i]) >= similarity * np.maximum(n[to], n[i]))]
+            if len(to):
+                for j in to[(sketch[to] == sketch[i]).sum(axis=1) >= least]:
+                    out.append((min(node[i], node[j]), max(node[i], node[j])))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            if not table.num_rows:
+                continue
+            keys = [table[c].to_numpy() for c in group]
+            new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+            starts = [0, *new.tolist()]
+            out = [p for a, b in zip(starts[:-1], starts[1:], strict=True) for p in compared(table.slice(a, b - a))]
+            held = table.slice(starts[-1])
+            yield emit(out)
+        if held is not None:
+            yield emit(compared(held))
+
+    def emit(out):
+        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+    dealt = placed.repartition(*group).sortWithinPartitions(*group)
+    return dealt.mapInArrow(run, "a binary, b binary").distinct()
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
