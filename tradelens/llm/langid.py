@@ -123,4 +123,5 @@ def predict(text: Column, dictionaries: dict[str, bytes], min_margin: float = MI
             out["rejected"] = (out["lang_pred"] == UNKNOWN) | (out["margin"] < min_margin)
             yield out
 
-    return run(text)
+    # Marked so that a filter on the outcome is not pushed below it with a second evaluation.
+    return run.asNondeterministic()(text)
