@@ -242,7 +242,7 @@ def document_ranges(written: DataFrame, docs: DataFrame) -> DataFrame:
                          F.crc32("ids").alias("ids_crc32"))
     within = Window.partitionBy("shard", "file").orderBy("doc").rowsBetween(Window.unboundedPreceding, -1)
     placed = narrow.withColumn("inside", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
-    return placed.join(F.broadcast(base), ["shard", "file"]).select(
+    return placed.join(base, ["shard", "file"]).select(
         "id", (F.col("base") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
