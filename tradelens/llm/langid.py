@@ -30,6 +30,9 @@ SAMPLE_TEXTS, SAMPLE_CHARS = 400, 1_000
 DICTIONARY_BYTES = 100_000
 BLOCK = 2_048
 LEVEL = 6
+#: Texts of at most this many bytes are encoded at several levels and the sizes averaged:
+#: their sizes differ by few whole bytes, and one level alone would often tie.
+SHORT, SHORT_LEVELS = 256, (1, 3, 6, 9, 12)
 #: A text is rejected if the runner-up needs less than this share of bytes more per letter.
 MIN_MARGIN = 0.001
 
@@ -78,22 +81,27 @@ class Classifier:
         import zstandard as zstd
         self.block = block
         self.languages = list(dictionaries)
-        self.empty = []
-        self.coders = []
-        for content in dictionaries.values():
-            params = zstd.ZstdCompressionParameters.from_level(
-                level, source_size=block, dict_size=len(content), write_content_size=0, write_checksum=0,
-                write_dict_id=0)
-            coder = zstd.ZstdCompressor(dict_data=zstd.ZstdCompressionDict(
-                content, dict_type=zstd.DICT_TYPE_RAWCONTENT), compression_params=params)
-            self.coders.append(coder)
-            self.empty.append(len(coder.compress(b"")))
-
-    def sizes(self, text: str) -> list[int]:
+
+        def coders(at: int) -> list:
+            out = []
+            for content in dictionaries.values():
+                params = zstd.ZstdCompressionParameters.from_level(
+                    at, source_size=block, dict_size=len(content), write_content_size=0, write_checksum=0,
+                    write_dict_id=0)
+                coder = zstd.ZstdCompressor(dict_data=zstd.ZstdCompressionDict(
+                    content, dict_type=zstd.DICT_TYPE_RAWCONTENT), compression_params=params)
+                out.append((coder, len(coder.compress(b""))))
+            return out
+
+        self.coders = [coders(level)]
+        self.fine = [coders(x) for x in SHORT_LEVELS]
+
+    def sizes(self, text: str) -> list[float]:
         data = text.encode("utf-8")
         blocks = [data[i:i + self.block] for i in range(0, len(data), self.block)]
-        return [sum(len(c.compress(b)) - e for b in blocks)
-                for c, e in zip(self.coders, self.empty, strict=True)]
+        levels = self.fine if len(data) <= SHORT else self.coders
+        return [sum(len(level[k][0].compress(b)) - level[k][1] for level in levels for b in blocks) / len(levels)
+                for k in range(len(self.languages))]
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """``(language, score, margin)``; margin: bytes the runner-up needs more, per letter."""
