@@ -412,13 +412,14 @@ def _drifted(trades):
 
 
 def _materialized(spark, sf_dir):
-    """Results refreshed by three loads: all but the late prices, the late prices, a replay."""
+    """Results refreshed by two loads: all but the late prices, then the late prices with the
+    same trades again."""
     trades, prices = _tables(spark, sf_dir)
     base = _session.scratch_path(spark, "results")
     t, p = JB.trades_table(spark, path=f"{base}/trades"), JB.prices_table(spark, path=f"{base}/prices")
     late = F.hour(F.col("date_time").cast("timestamp_ntz")) >= 18
     trades = with_row_id(_drifted(trades).select(*JB.TRADE_COLUMNS))
-    parts = [prices.where(~late), prices.where(late), prices.where(late)]
+    parts = [prices.where(~late), prices.where(late)]
     for part in parts:
         def load(part=part):
             days = (F.to_date("block_time"), F.col("block_date"))
