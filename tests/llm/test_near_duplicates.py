@@ -97,6 +97,7 @@ def test_blocks_of_a_region_lose_no_pair(spark, monkeypatch):
         for k in rng.sample(range(200), rng.choice([8, 9, 10, 11, 12, 13, 20])):
             w[k] = f"x{i}-{k}"
         rows.append((i, " ".join(w)))
-    monkeypatch.setattr(LF.region_pairs, "__defaults__", (4,))
+    monkeypatch.setattr(LF.lookalikes, "__defaults__", (4,))
+    monkeypatch.setattr(LF.component_links, "__defaults__", (5,))
     assert run(spark, rows, width=2) == brute(rows, 2, 80)
     assert LF.least_agreement(80) == 186 and LF.least_agreement(100) == 288

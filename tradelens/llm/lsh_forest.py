@@ -12,8 +12,9 @@ everything below works on classes, so groups of exact copies cost no more than o
 * Links are confirmed on the full sets, then merged into components.
 * What neighbours cannot show: in a region whose classes still lie in different components,
   members of different components are compared by sketches (a byte of every minhash), block by
-  block, and what looks alike is confirmed on the full sets.  So every pair of classes that
-  share a region ends up compared or already connected, without a cap.
+  block.  A node that looks like a member of another component is then compared with all its
+  members on the full sets, block by block again.  So every pair of classes that share a region
+  ends up compared or already connected, without a cap, and only confirmed links are written.
 
 A pair of similarity s misses every region with probability (1 - s**DEPTH)**TREES, 5e-9 at
 0.8, and the sketch comparison with less than 1e-10.  Sets of fewer than four shingles can at 0.8 only link to equal sets (any other has a
@@ -277,8 +278,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = components(stored(confirmed(first, sets, similarity), f"{name}-links1"), f"{name}-components1")
     apart = _apart(pairs.where("tree >= 4").select("a", "b"), labels)
     labels = extended(labels, stored(confirmed(apart, sets, similarity), f"{name}-links2"), f"{name}-components2")
-    across = stored(region_pairs(region, labels, classes, similarity).join(pairs, ["a", "b"], "left_anti"), f"{name}-across")
-    labels = extended(labels, stored(confirmed(across, sets, similarity), f"{name}-links3"), f"{name}-components3")
+    found = stored(lookalikes(region, labels, classes, similarity), f"{name}-lookalikes")
+    links = stored(component_links(found, labels, sets, similarity), f"{name}-links3")
+    labels = extended(labels, links, f"{name}-components3")
 
     group = classes.select("node", "low").join(labels, "node", "left").select(
         "node", "low", F.coalesce("label", "node").alias("label"))
@@ -304,10 +306,11 @@ def least_agreement(similarity: int) -> int:
     return int(count * share - 6.5 * (count * share * (1 - share))**0.5)
 
 
-def region_pairs(region: DataFrame, labels: DataFrame, classes: DataFrame, similarity: int,
+def lookalikes(region: DataFrame, labels: DataFrame, classes: DataFrame, similarity: int,
                  block: int = BLOCK) -> DataFrame:
-    """Distinct pairs ``(a, b)`` that share a region but no component and look alike: their sizes
-    allow the similarity and their sketches agree as often as it asks for.
+    """Distinct ``(label, node)``: a component and a node outside it that share a region where
+    the node looks like a member: their sizes allow the similarity and their sketches agree as
+    often as it asks for.
 
     Regions whose neighbours were all compared are done, and members of one component never
     meet.  The largest component of a region is its core; core and rest are dealt into blocks
@@ -348,9 +351,10 @@ def region_pairs(region: DataFrame, labels: DataFrame, classes: DataFrame, simil
     least = least_agreement(similarity)
 
     def compared(t: pa.Table) -> list[tuple[bytes, bytes]]:
-        """The alike pairs of one group: side 0 with side 1, and side 1 with itself where its
-        block meets the first block of the core."""
-        node, label = t["node"].to_pylist(), np.unique(t["label"].to_pylist(), return_inverse=True)[1]
+        """What looks alike in one group: side 0 with side 1, and side 1 with itself where its
+        block meets the first block of the core.  A node is named once per component."""
+        node, names = t["node"].to_pylist(), t["label"].to_pylist()
+        names, label = np.unique(names, return_inverse=True)
         n, side = t["n"].to_numpy(), t["side"].to_numpy()
         sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)
         itself = t["kind"][0].as_py() == 0 and t["x"][0].as_py() == 0
@@ -359,18 +363,88 @@ def region_pairs(region: DataFrame, labels: DataFrame, classes: DataFrame, simil
             to = np.concatenate([first, np.flatnonzero((side == 1) & (np.arange(len(side)) > i))]) if itself else first
             to = to[(label[to] != label[i]) & (100 * np.minimum(n[to], n[i]) >= similarity * np.maximum(n[to], n[i]))]
             if len(to):
-                for j in to[(sketch[to] == sketch[i]).sum(axis=1) >= least]:
-                    out.append((min(node[i], node[j]), max(node[i], node[j])))
+                alike = to[(sketch[to] == sketch[i]).sum(axis=1) >= least]
+                out.extend((names[k], node[i]) for k in np.unique(label[alike]))
         return out
 
+    dealt = placed.repartition(*group).sortWithinPartitions(*group)
+    return dealt.mapInArrow(_by_group(group, compared, ["label", "node"]), "label binary, node binary").distinct()
+
+
+def component_links(found: DataFrame, labels: DataFrame, sets: DataFrame, similarity: int,
+                    block: int = BLOCK) -> DataFrame:
+    """Links ``(a, b)`` between each component and the outside nodes found to look like a member:
+    every member is compared with them on the full sets, and of a node's links to a block of
+    members one is returned.
+
+    Members and outsiders of a component are dealt into blocks by a hash; a task compares two
+    blocks, each set is sent once per block it meets, and no pair is written before it is
+    confirmed."""
+    name = "lsh-forest"
+    every = found.select("label").distinct()
+    single = every.join(labels.select(F.col("node").alias("label")), "label", "left_anti").select(
+        "label", F.col("label").alias("node"))
+    member = every.join(labels.select("label", "node"), "label").unionByName(single)
+    both = member.withColumn("side", F.lit(0)).unionByName(found.select("label", "node").withColumn("side", F.lit(1)))
+    both = stored(both, f"{name}-compare")
+    counts = both.groupBy("label").agg(
+        F.ceil(F.count(F.when(F.col("side") == 0, 1)) / block).cast("long").alias("x_blocks"),
+        F.ceil(F.count(F.when(F.col("side") == 1, 1)) / block).cast("long").alias("y_blocks"))
+    rows = both.join(stored(counts, f"{name}-blocks"), "label")
+    spread = F.xxhash64("node")
+
+    def upto(n):
+        return F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+
+    x = F.when(F.col("side") == 0, F.array(F.pmod(spread, "x_blocks"))).otherwise(upto("x_blocks"))
+    rows = rows.select("label", "node", "side", "y_blocks", F.explode(x).alias("x"))
+    y = F.when(F.col("side") == 1, F.array(F.pmod(spread, "y_blocks"))).otherwise(upto("y_blocks"))
+    group = ["label", "x", "y"]
+    rows = rows.select("label", "node", "side", "x", F.explode(y).alias("y")).join(sets, "node").select(
+        *group, "side", "node", "shingles")
+
+    def compared(t: pa.Table) -> list[tuple[bytes, bytes]]:
+        node, side = t["node"].to_pylist(), t["side"].to_numpy()
+        held = [np.frombuffer(v, np.uint64) for v in t["shingles"].to_pylist()]
+        inside = np.flatnonzero(side == 0)
+        if not len(inside):
+            return []
+        flat = np.concatenate([held[i] for i in inside])
+        size = np.array([len(held[i]) for i in inside])
+        start = np.concatenate([[0], np.cumsum(size)[:-1]])
+        out = []
+        for i in np.flatnonzero(side == 1):
+            at = np.searchsorted(held[i], flat)
+            at[at == len(held[i])] = 0
+            shared = np.add.reduceat((held[i][at] == flat).astype(np.int64), start)
+            linked = np.flatnonzero(100 * shared >= similarity * (size + len(held[i]) - shared))
+            if len(linked):
+                out.append((node[inside[linked[0]]], node[i]))
+        return out
+
+    dealt = rows.repartition(*group).sortWithinPartitions(*group)
+    return dealt.mapInArrow(_by_group(group, compared, ["a", "b"]), "a binary, b binary")
+
+
+def _by_group(group: list[str], compared, names: list[str]):
+    """A batch function that hands ``compared`` the rows of one group at a time, of batches
+    sorted by the group's columns."""
+
+    def emit(out):
+        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.binary()) for i in (0, 1)], names)
+
+    def changes(column) -> np.ndarray:
+        from pyarrow import compute
+        column = column.combine_chunks()
+        return compute.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
             if not table.num_rows:
                 continue
-            keys = [table[c].to_numpy() for c in group]
-            new = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
+            new = np.flatnonzero(np.any([changes(table[c]) for c in group], axis=0)) + 1
             starts = [0, *new.tolist()]
             out = [p for a, b in zip(starts[:-1], starts[1:], strict=True) for p in compared(table.slice(a, b - a))]
             held = table.slice(starts[-1])
@@ -378,11 +452,7 @@ def region_pairs(region: DataFrame, labels: DataFrame, classes: DataFrame, simil
         if held is not None:
             yield emit(compared(held))
 
-    def emit(out):
-        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.binary()) for i in (0, 1)], ["a", "b"])
-
-    dealt = placed.repartition(*group).sortWithinPartitions(*group)
-    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+    return run
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
