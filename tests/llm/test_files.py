@@ -14,7 +14,7 @@ from tradelens.llm import warc as W
 VOCAB = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
 TEXTS = ["Hello, World!  It's 12 o'clock.", "", None, "a\tb c d", "line one\nline  two\n\n", " \n ", "é ́x",
          "<|endoftext|> <|startoftext|>", "mixed\x1cseparators\x85here", "ÉCOLE straße İstanbul", "long " * 3000, "x" * 5000,
-         "don't can't we'll I'm", "日本語のテキスト です", "\r\n tabs\t\tand\rcr"]
+         "don't can't we'll I'm", "Ab.c d__ e-f g!! h'! 'i j' ÀÉ. ﬁn ǅ ŉ ΑΣ. e\u0301x q\u0307. naïve%%% ß, x² ½ a\u0338= <b> i\u0307", "日本語のテキスト です", "\r\n tabs\t\tand\rcr"]
 
 
 def test_words_equal_whole_texts():
@@ -25,6 +25,14 @@ def test_words_equal_whole_texts():
         for text, got in zip(TEXTS, words.encode(TEXTS), strict=True):
             want = whole.encode(text or "", add_special_tokens=False).ids
             assert np.frombuffer(got, "<u4").tolist() == want, repr(text)
+    assert words.direct
+    import random
+    rng = random.Random(4)
+    parts = ["a", "Zb", "é", "É", "İ", "ß", ".", ",", "'", "'s", "!!", "_", "-", "1", "\u0301", "ﬁ", "日", "\x1c", "\xa0", "²", "<"]
+    for _ in range(3000):
+        word = "".join(rng.choice(parts) for _ in range(rng.randint(1, 5)))
+        want = whole.encode(word, add_special_tokens=False).ids
+        assert np.frombuffer(words.encode([word])[0], "<u4").tolist() == want, repr(word)
 
 
 @pytest.mark.parametrize("kind", ["bit", "byte"])

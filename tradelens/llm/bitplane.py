@@ -22,6 +22,7 @@ and rows that agree in both are interchangeable.  An empty table gives no file a
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -39,7 +40,9 @@ SUFFIX = ".planes"
 #: Ids in one file, about; a file is read by one task.
 FILE_IDS = 4_000_000
 #: Distinct words whose ids a task remembers before it starts over.
-WORD_MEMORY = 600_000
+WORD_MEMORY = 400_000
+# Letters, then ASCII punctuation without the apostrophe (it begins contractions).
+PLAIN_WORD = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 # --------------------------------------------------------------------------- the format
@@ -127,29 +130,81 @@ def decode_file(data: bytes) -> Iterator[tuple[object, np.ndarray]]:
 
 # --------------------------------------------------------------------------- tokenizing
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable Latin-1 bytes
+    for themselves, the others for the code points from 256 on, in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class Words:
     """Whole-text ids with the tokenizers library, remembering the ids of words.
 
     Only for vocabularies whose pre-tokenizer never joins what a blank or a line feed parts
     and drops that white space: the text's ids are then those of its words, joined.
+
+    Most words are letters, perhaps with punctuation behind them.  Where the vocabulary parts
+    the two, letters are handed to the library's normalizer and merge model directly, which
+    spares its matcher; whether it does is tried out on ``PROBES`` first.
     """
 
+    PROBES = ("thing", "Thing.", "über,", "ÉCOLE!!", "İstanbul", "naïve%%%", "日本語", "ab_", "Σίσυφος", "ﬁn;", "x")
+
     def __init__(self, vocabulary: str, memory: int = WORD_MEMORY):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.encode_special_tokens = True
         self.memory = memory
         self.known: dict[str, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+        self.bytes = _byte_letters()
+        self.direct = True
+        self.direct = all(self._direct(w) in (None, self._whole([w])[0]) for w in self.PROBES)
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        done = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in done]
+
+    def _letters(self, low: str) -> bytes:
+        known = self.letters.get(low)
+        if known is None:
+            text = low if low.isascii() else "".join(self.bytes[b] for b in low.encode("utf-8"))
+            ids = [t.id for t in self.tokenizer.model.tokenize(text)]
+            known = self.letters[low] = np.array(ids, "<u4").tobytes()
+        return known
+
+    def _direct(self, word: str) -> bytes | None:
+        """The ids of letters and trailing punctuation; None for any other word."""
+        m = PLAIN_WORD.fullmatch(word) if self.direct else None
+        if not m:
+            return None
+        low = m[1].lower() if m[1].isascii() else self.tokenizer.normalizer.normalize_str(m[1])
+        if not low.isalpha():
+            return None
+        if not m[2]:
+            return self._letters(low)
+        tail = self.known.get(m[2])
+        if tail is None:
+            tail = self.known[m[2]] = self._whole([m[2]])[0]
+        return self._letters(low) + tail
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
         if len(self.known) > self.memory:
             self.known = {}
-        new = list({w for words in split for w in words if w not in self.known})
-        for i in range(0, len(new), 20_000):
-            part = new[i:i + 20_000]
-            done = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, done, strict=True))
+        if len(self.letters) > self.memory:
+            self.letters = {}
+        other = []
+        for w in {w for words in split for w in words if w not in self.known}:
+            ids = self._direct(w)
+            if ids is None:
+                other.append(w)
+            else:
+                self.known[w] = ids
+        for i in range(0, len(other), 20_000):
+            part = other[i:i + 20_000]
+            self.known.update(zip(part, self._whole(part), strict=True))
         known = self.known
         return [b"".join([known[w] for w in words]) for words in split]
 
