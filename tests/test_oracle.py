@@ -36,8 +36,14 @@ def test_every_query_has_an_oracle():
     assert set(NAMES) <= set(E.oracle_sql())
 
 
+# Spark simple type names -> DuckDB type names of the same values.
+_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+          "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
+    """Rows, column names and types equal the oracle's, and no Python runs in the plan."""
     df = E.queries()[name](spark, SF_SMALL)
     cols = df.columns
     got = [tuple(_norm(r[c]) for c in cols) for r in df.collect()]
@@ -48,19 +54,14 @@ def test_query_matches_oracle(spark, con, name):
     key = lambda r: tuple((x is None, str(x)) for x in r)
     assert sorted(got, key=key) == sorted(want, key=key)
 
-
-# Spark simple type names -> DuckDB type names of the same values.
-_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
-          "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
-
-
-@pytest.mark.parametrize("name", NAMES)
-def test_query_types_match_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF_SMALL)
     spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
     rel = con.sql(E.oracle_sql()[name])
     assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
 
+    plan = df._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+    for marker in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow"):
+        assert marker not in plan
+
 
 def test_entry_smoke(spark):
     df = E.entry(spark)

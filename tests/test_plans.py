@@ -4,7 +4,6 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
 from tradelens.operators import legs as LG
 from tradelens.operators.joins import checked_broadcast
@@ -16,17 +15,6 @@ def plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
 
 
-# The queries of the optional training-data package have their own tests.
-NAMES = sorted(n for n in E.queries() if not re.match(r"op\d+_|pipeline$", n))
-
-
-@pytest.mark.parametrize("name", NAMES)
-def test_no_python_udf(spark, name):
-    text = plan_text(E.queries()[name](spark, SF_SMALL))
-    for marker in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
-        assert marker not in text
-
-
 def test_single_join_plan_has_one_join_and_prunes_columns(spark):
     trades, prices = FX.fixture_tables(spark, SF_SMALL)
     text = plan_text(PG.price_gap_daily(trades, prices))
