@@ -123,7 +123,7 @@ def warc_digest(spark: SparkSession, pages: DataFrame) -> DataFrame:
     folder = new_folder(spark, "warc")
     WA.write_archives(pages, folder)
     return WA.read_archives(WA.open_archives(spark, folder)).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,6 +159,34 @@ ranked AS (
          CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
   FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op4_decontaminate": r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS words
+  FROM (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS p FROM item WHERE len(w) > 0)),
+grams AS (
+  SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS words
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM doc, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+met AS (SELECT g.doc_id, g.p, g.n, x.item_id FROM grams g JOIN windows x ON x.n = g.n AND x.words = g.words),
+hits AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS place FROM met) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM met) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * n_hit >= len(w) AS contaminated
+FROM doc LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op10_warc": """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS n,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS latest FROM pages)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN n >= 1000 AND latest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND latest <> page_id THEN latest END AS refers_to
+FROM p""",
 }
 
 ship_package()
