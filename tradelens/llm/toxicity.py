@@ -71,7 +71,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
 
     At most ``per_class`` rows of each class, those with the smallest id hash per slot,
     whatever the partitioning; ``share``: the class's labelled rows.  ``codes``: the text's
-    feature codes; ``other``: those of its counterfactual (empty without an identity term).
+    feature codes, packed as 64-bit integers; ``other``: those of its counterfactual (empty
+    without an identity term).
     """
     marked = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
@@ -82,7 +83,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
     swap = swaps(groups)
 
-    @F.pandas_udf("codes array<long>, other array<long>")
+    @F.pandas_udf("codes binary, other binary")
     def coded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             out = []
@@ -92,7 +93,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
                 other = {}
                 if words & swap.keys():
                     other = {_code(f) for w in words for f in features_of(swap.get(w, w))}
-                out.append((np.fromiter(codes, np.int64, len(codes)), np.fromiter(other, np.int64, len(other))))
+                out.append(tuple(np.fromiter(x, np.int64, len(x)).tobytes() for x in (codes, other)))
             yield pd.DataFrame(out, columns=["codes", "other"], index=texts.index)
 
     return rows.select("label", "n", coded("text").alias("c")).select("label", "n", "c.codes", "c.other")
@@ -133,19 +134,23 @@ def fit(sample: DataFrame, features: int = FEATURES, least: int = LEAST_DOCUMENT
         return none
     if y.min() == y.max():
         return none | {"intercept": 40.0 if y[0] else -40.0}
-    texts, others = [np.array(r[2], np.int64) for r in rows], [np.array(r[3], np.int64) for r in rows]
+    texts, others = ([np.frombuffer(r[i], np.int64) for r in rows] for i in (2, 3))
     total = np.array([sum(r[1] for r in rows if r[0] == k) for k in (0, 1)], float)
     count = np.array([(y == 0).sum(), (y == 1).sum()], float)
     weight = (total / total.sum() / count)[y.astype(int)]
 
     # The most telling features: largest gain in log likelihood over the class shares.
-    every, place = np.unique(np.concatenate(texts), return_inverse=True)
-    label = np.repeat(y, [len(t) for t in texts])
-    pos, all_ = np.bincount(place, label, len(every)), np.bincount(place, minlength=len(every))
+    every, all_ = np.unique(np.concatenate(texts), return_counts=True)
+    every, all_ = every[all_ >= least], all_[all_ >= least]
+    found, times = np.unique(np.concatenate([t for t, k in zip(texts, y, strict=True) if k]), return_counts=True)
+    pos = np.zeros(len(every))
+    if len(every):
+        at = np.minimum(np.searchsorted(every, found), len(every) - 1)
+        same = every[at] == found
+        pos[at[same]] = times[same]
     rate = (pos + 0.5 * count[1] / len(y)) / (all_ + 0.5)
     base = count[1] / len(y)
     gain = pos * np.log(rate / base) + (all_ - pos) * np.log((1 - rate) / (1 - base))
-    gain[all_ < least] = 0
     best = np.argsort(-gain, kind="stable")[:features]
     kept = np.sort(every[best[gain[best] > 6.0]])
 
