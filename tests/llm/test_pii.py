@@ -69,6 +69,37 @@ def test_trees_learn_and_keep_base_spans(spark):
     assert ((trees.predict(np.array(x[400:])) > 0.5) == np.array(y[400:])).mean() > 0.9
 
 
+def test_looser_forms_are_added_and_order_numbers_are_not(spark):
+    """Also where the corpus itself holds looser forms, which nobody has labelled."""
+    rng = random.Random(5)
+
+    def number(n):
+        return str(rng.randint(10**(n - 1), 10**n - 1))
+
+    def doc(i):
+        day = f"20{rng.randint(10, 30)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}"
+        return rng.choice([
+            f"please mail me{i}@site{i % 7}.example.com now", f"phone +1 (555) 010-{number(4)} today",
+            f"my phone is +44 20 7946 {number(4)} thanks", "pay by card 4539 5787 6362 1486 then",
+            f"the host 10.{i % 250}.3.{i % 199} is up", f"order {number(10)} of {day}", f"order {number(8)} shipped {day} at noon. Then",
+            f"phone 1 (555) 010-{number(4)} today", f"my phone is 20.7946.{number(4)} thanks",
+            f"please mail me{i} (at) site{i % 7}.example.com now", f"phone 555-010-{number(4)} today",
+            f"please mail me{i} at site{i % 7} dot example dot com now", f"case {number(4)}-{number(4)}-{number(4)}-{number(4)} closed", f"timer 12:{number(2)}:{number(2)}:{number(3)} ran"])
+
+    docs = [(i, doc(i)) for i in range(3000)]
+    model = P.fit(P.training_rows(spark.createDataFrame(docs, "doc_id long, text string")))
+    loose = [("phone", "1 (555) 010-4321", "phone {} today"), ("phone", "555-010-4321", "phone {} today"),
+             ("phone", "20.7946.4321", "my phone is {} thanks"), ("email", "me77 (at) site3.example.com", "please mail {} now"),
+             ("email", "me78 at site2 dot example dot com", "please mail {} now"),
+             ("card", "4539.5787.6362.1486", "pay by card {} then")]
+    for kind, form, frame in loose:
+        text = frame.format(form)
+        at = text.index(form)
+        assert P.find(text, model) == ([], [(kind, at, at + len(form))]), (text, P.find(text, model))
+    for text in ("order 8273645190 of 2024-11-23", "order 82736451 shipped 2021-10-12 at noon. Then", "case 4539-1111-2222-3334 closed"):
+        assert P.find(text, model) == ([], []), (text, P.find(text, model))
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     model = P.fit(P.training_rows(df))
