@@ -100,6 +100,25 @@ def test_looser_forms_are_added_and_order_numbers_are_not(spark):
         assert P.find(text, model) == ([], []), (text, P.find(text, model))
 
 
+def test_overlapping_alternatives_are_proposed():
+    def proposed(text):
+        return {(k, text[a:b]) for k, a, b in P.candidates(text, P.base_spans(text))}
+
+    assert {("phone", "555-123-4567"), ("phone", "555-987-6543"), ("card", "555-123-4567 555-987-6543")} <= proposed(
+        "555-123-4567 555-987-6543")
+    assert {("phone", "(555) 123-4567"), ("phone", "12345678")} <= proposed("12345678 (555) 123-4567")
+    assert ("phone", "+1 234567") in proposed("no +1 234567") and not proposed("a1234567 1234567b 12 and 34")
+    text = "9 " * 30 + "12345678 x 1234567"
+    digits = [(k, re.sub("[^0-9]", "", s)) for k, s in proposed(text)]
+    assert ("phone", "12345678") in digits and ("phone", "9" * 7 + "12345678") in digits
+    assert all(7 <= len(d) <= 15 if k == "phone" else 12 <= len(d) <= 20 for k, d in digits)
+    assert ("email", "jane (AT) site (DOT) com") in proposed("write jane (AT) site (DOT) com")
+    # Alone in the text, and with a sentence after it.
+    assert ("email", "john at site.com") in proposed("john at site.com")
+    assert ("email", "john at site.com") in proposed("ask john at site.com. Then go")
+    assert P.find("jane AT site.com", {"trees": P.Boosted().fit([], []), "thresholds": dict.fromkeys(P.KINDS, 0.0)})[1]
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     model = P.fit(P.training_rows(df))
