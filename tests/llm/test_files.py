@@ -35,6 +35,15 @@ def test_words_equal_whole_texts():
         assert np.frombuffer(words.encode([word])[0], "<u4").tolist() == want, repr(word)
 
 
+def test_words_equal_the_library_with_default_settings():
+    whole = Tokenizer.from_str(VOCAB)
+    texts = [*TEXTS, "end <|endoftext|> of", "a<|endoftext|>b", "x.<|startoftext|>, y", "<|endoftext|", "two <|endoftext|><|endoftext|>\n.",
+             "<|EndOfText|>", "<|endoftext|>."]
+    for text, got in zip(texts, BIT.Words(VOCAB, special=True).encode(texts), strict=True):
+        want = whole.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(got, "<u4").tolist() == want, repr(text)
+
+
 @pytest.mark.parametrize("kind", ["bit", "byte"])
 def test_format_round_trip_and_random_access(kind):
     rng = np.random.default_rng(1)
@@ -72,6 +81,16 @@ def test_planes_query_against_whole_texts(spark, tmp_path):
     assert Q.token_planes(spark, df.limit(0)).count() == 0
 
 
+def test_registered_query_codes_special_tokens_as_the_library_does(spark, tmp_path):
+    texts = ["end <|endoftext|> of", "plain words"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    whole = Tokenizer.from_str(VOCAB)
+    got = {r.doc_id: r.ids_crc32 for r in Q.q_token_planes(spark, str(tmp_path)).collect()}
+    for i, t in enumerate(texts):
+        ids = np.array([*whole.encode(t, add_special_tokens=False).ids, 2], "<u4")
+        assert got[i] == zlib.crc32(ids.tobytes())
+
+
 def pages_brute(rows):
     best = {}
     for i, _, h in rows:

@@ -147,14 +147,17 @@ class Words:
     Most words are letters, perhaps with punctuation behind them.  Where the vocabulary parts
     the two, letters are handed to the library's normalizer and merge model directly, which
     spares its matcher; whether it does is tried out on ``PROBES`` first.
+
+    ``special``: the text of a special token, such as ``<|endoftext|>``, becomes that token, as
+    the library does by default; otherwise it is coded as ordinary text.
     """
 
     PROBES = ("thing", "Thing.", "über,", "ÉCOLE!!", "İstanbul", "naïve%%%", "日本語", "ab_", "Σίσυφος", "ﬁn;", "x")
 
-    def __init__(self, vocabulary: str, memory: int = WORD_MEMORY):
+    def __init__(self, vocabulary: str, memory: int = WORD_MEMORY, special: bool = False):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not special
         self.memory = memory
         self.known: dict[str, bytes] = {}
         self.letters: dict[str, bytes] = {}
@@ -209,10 +212,10 @@ class Words:
         return [b"".join([known[w] for w in words]) for words in split]
 
 
-def tokenized(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int,
-              rows_at_once: int = 256) -> Iterator[tuple[object, bytes]]:
+def tokenized(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int, rows_at_once: int = 256,
+              special: bool = False) -> Iterator[tuple[object, bytes]]:
     """``(id, ids)`` of ``(id, text)`` batches: the document's ids and the end id, as bytes."""
-    words = per_process(("words", zlib.crc32(vocabulary.encode())), lambda: Words(vocabulary))
+    words = per_process(("words", zlib.crc32(vocabulary.encode()), special), lambda: Words(vocabulary, special=special))
     end = np.array([end_id], "<u4").tobytes()
     for batch in batches:
         for at in range(0, batch.num_rows, rows_at_once):
@@ -225,7 +228,7 @@ def tokenized(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int,
 
 def write_planes(docs: DataFrame, folder: str, vocabulary: str, end_id: int, id_col: str = "doc_id",
                  text_col: str = "text", kind: str = "byte", file_ids: int = FILE_IDS,
-                 block_ids: int = BLOCK_IDS) -> DataFrame:
+                 block_ids: int = BLOCK_IDS, special: bool = False) -> DataFrame:
     """Tokenize ``docs`` and write them in ascending id order; ``(shard, file, docs, n_ids)``.
 
     The texts are dealt by ranges of document ids and sorted, then each task tokenizes and
@@ -249,7 +252,7 @@ def write_planes(docs: DataFrame, folder: str, vocabulary: str, end_id: int, id_
             out.append((shard, len(out), len(ids), size))
             ids, arrays, size = [], [], 0
 
-        for doc, data in tokenized(batches, vocabulary, end_id):
+        for doc, data in tokenized(batches, vocabulary, end_id, special=special):
             ids.append(doc)
             arrays.append(np.frombuffer(data, "<u4"))
             size += len(data) // 4

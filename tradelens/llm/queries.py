@@ -115,7 +115,8 @@ def token_planes(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
 
 
 def q_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_planes(spark, documents(spark, sf_dir))
+    # As the library codes a text by default.
+    return token_planes(spark, documents(spark, sf_dir), special=True)
 
 
 def warc_digest(spark: SparkSession, pages: DataFrame) -> DataFrame:
