@@ -66,6 +66,15 @@ def test_five_word_default_and_kept_rows(spark):
     assert kept == sorted({r[0] for r in brute(rows, 5, 80) if r[3]}, key=str)
 
 
+def test_one_document_of_a_group_stays_for_null_and_shared_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(None, a), (None, a + " z"), (None, a + " z"), (7, b), (7, b + " z"), (8, b + " y"), (7, c), (None, c + " z"),
+            (None, ""), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r.doc_id, (r.text or "")[:1]) for r in LF.drop_near_duplicates(df).collect()]
+    assert sorted(got, key=str) == sorted([(None, "a"), (7, "b"), (7, "c"), (None, ""), (9, "")], key=str)
+
+
 def test_empty_table(spark):
     assert run(spark, [], width=2) == []
 

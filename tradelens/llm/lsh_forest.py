@@ -245,7 +245,17 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS,
                     similarity: int = SIMILARITY) -> DataFrame:
-    """Per row of ``docs``: ``id_col, k1, k2, n_shingles, component_id, kept``."""
+    """Per row of ``docs``: ``id_col, k1, k2, n_shingles, component_id, kept``.
+
+    ``kept`` marks the rows whose id is the component's; several rows may share it."""
+    done = _grouped(docs, id_col, text_col, width, similarity)
+    return done.select(F.col("id").alias(id_col), "k1", "k2", F.col("n").alias("n_shingles"),
+                       "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, width: int, similarity: int) -> DataFrame:
+    """Per row of ``docs``: ``id, k1, k2, n, label, component_id``; the label names the
+    component and is null for an empty set."""
     if not 1 <= similarity <= 100 or width < 1:
         raise ValueError("similarity is a percentage, width at least 1")
     name = "lsh-forest"
@@ -285,11 +295,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     group = classes.select("node", "low").join(labels, "node", "left").select(
         "node", "low", F.coalesce("label", "node").alias("label"))
     lowest = stored(group.groupBy("label").agg(F.min("low").alias("component_id")), f"{name}-lowest")
-    group = stored(group.join(lowest, "label").select("node", "component_id"), f"{name}-groups")
+    group = stored(group.join(lowest, "label").select("node", "label", "component_id"), f"{name}-groups")
     done = sigs.select("id", "k1", "k2", "n", "node").join(group, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return done.select(F.col("id").alias(id_col), "k1", "k2", F.col("n").alias("n_shingles"),
-                       component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return done.select("id", "k1", "k2", "n", "label", component.alias("component_id"))
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -455,12 +464,18 @@ def _by_group(group: list[str], compared, names: list[str]):
     return run
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of every group: its smallest id; every column stays.
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE_WORDS,
+                         similarity: int = SIMILARITY) -> DataFrame:
+    """``docs`` with one document of every group, that of the smallest id, null ids last, and
+    among texts of one id that of the smallest text hash; every column stays.  Documents with
+    an empty set are no group and stay.
 
     Rows that repeat the id and text of a kept document are reduced to one as well."""
-    found = near_duplicates(docs, id_col, text_col, **options).where("kept")
-    kept = stored(found.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct(), "lsh-forest-kept")
+    found = stored(_grouped(docs, id_col, text_col, width, similarity), "lsh-forest-grouped")
+    best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k2", "k1")).alias("m")
+    first = found.where("label is not null").groupBy("label").agg(best).select("m.k1", "m.k2")
+    kept = first.unionByName(found.where("label is null").select("k1", "k2").distinct())
+    kept = stored(kept.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")), "lsh-forest-kept")
     k1, k2 = doc_key(id_col, text_col)
     rows = docs.withColumns({"__k1": k1, "__k2": k2}).join(kept.hint("merge"), ["__k1", "__k2"], "left_semi")
     return rows.dropDuplicates(["__k1", "__k2"]).drop("__k1", "__k2")
