@@ -91,6 +91,20 @@ def test_registered_query_codes_special_tokens_as_the_library_does(spark, tmp_pa
         assert got[i] == zlib.crc32(ids.tobytes())
 
 
+def test_a_lost_or_replaced_file_raises(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"some words {i}") for i in range(40)], "doc_id long, text string")
+    folder = str(tmp_path / "planes")
+    written = BIT.write_planes(df, folder, VOCAB, 2, file_ids=30)
+    read = BIT.read_planes(BIT.open_planes(spark, folder))
+    assert written.count() > 3 and BIT.document_ranges(written, read).count() == 40
+    one = written.orderBy("shard", "file").first()
+    for changed in (read.where(f"NOT (shard = {one.shard} AND file = {one.file})"),
+                    read.where(f"NOT (shard = {one.shard} AND file = {one.file} AND doc = 0)"),
+                    read.unionByName(read.where(f"file = {one.file}").selectExpr("shard", "file + 1000 AS file", "doc", "id", "ids"))):
+        with pytest.raises(ValueError):
+            BIT.document_ranges(written, changed)
+
+
 def pages_brute(rows):
     best = {}
     for i, _, h in rows:

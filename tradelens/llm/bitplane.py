@@ -290,14 +290,21 @@ def read_planes(files: DataFrame, id_type: str = "long") -> DataFrame:
 def document_ranges(written: DataFrame, docs: DataFrame) -> DataFrame:
     """``(id, start, n_tokens, ids_crc32)``: every document's place in the whole sequence.
 
-    ``written`` has one row per file; the ids before a file are summed over files, those
-    before a document within its file.
+    ``docs`` are the documents read back: the ids before a file are summed over the files that
+    were read, those before a document within its file.  ``written``, the writer's row per
+    file, must name the same files with as many documents and ids: a lost, replaced or extra
+    file raises.
     """
     from pyspark.sql import Window
+    narrow = stored(docs.select("shard", "file", "doc", "id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                                F.crc32("ids").alias("ids_crc32")), "planes-read")
+    files = narrow.groupBy("shard", "file").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_tokens").alias("n_ids"))
+    both = files.withColumn("read", F.lit(1)).unionByName(written.select(*files.columns).withColumn("read", F.lit(-1)))
+    bad = both.groupBy(*files.columns).agg(F.sum("read").alias("read")).where("read != 0").orderBy("shard", "file").take(3)
+    if bad:
+        raise ValueError(f"the files read back are not those written: {bad}")
     before = Window.orderBy("shard", "file").rowsBetween(Window.unboundedPreceding, -1)
-    base = written.select("shard", "file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
-    narrow = docs.select("shard", "file", "doc", "id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
-                         F.crc32("ids").alias("ids_crc32"))
+    base = files.select("shard", "file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"))
     within = Window.partitionBy("shard", "file").orderBy("doc").rowsBetween(Window.unboundedPreceding, -1)
     placed = narrow.withColumn("inside", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
     return placed.join(base, ["shard", "file"]).select(
