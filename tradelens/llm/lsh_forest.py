@@ -7,8 +7,9 @@ everything below works on classes, so groups of exact copies cost no more than o
   classes that share the first ``DEPTH`` minhashes form a region.
 * Candidates: every order is dealt by range over its whole sort key and sorted, so a region of
   any size is spread over tasks.  In a region the neighbours in the order, those with the
-  longest common prefix, are candidates: the denser a region, the deeper its neighbours agree,
-  and candidates stay linear in its size.
+  longest common prefix, are candidates, and these stay linear in its size.  The depth is the
+  same in every region, ``DEPTH``, and neighbours are ordered by ``EXTRA`` more: a deeper prefix
+  in dense regions would lose links.
 * Links are confirmed on the full sets, then merged into components.
 * What neighbours cannot show: in a region whose classes still lie in different components,
   members of different components are compared by sketches (a byte of every minhash), block by
