@@ -1,0 +1,91 @@
+import hashlib
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from conftest import SF_SMALL
+from tradelens.llm import heap_bpe as H
+from tradelens.llm import queries as Q
+
+VOCABULARY = H.load_vocabulary(P.path("byte_bpe_50k.json"))
+LIBRARY = Tokenizer.from_str(VOCABULARY)
+CODER = H.HeapBpe(VOCABULARY, memory=5, piece_chars=6)
+PIECES = ["a", "the", "ing", "Bc", " ", "  ", "\n", "\t", "'s", "'", "é", "日", "🙂", "1", "22", "!", "\x00", "\x1c", "\x85",
+          "　", "<|endoftext|>", "<|endo", "|>", "é"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=30).map("".join))
+def test_ids_and_text_equal_the_library(text):
+    ids = LIBRARY.encode(text, add_special_tokens=False).ids
+    assert CODER.encode(text).tolist() == ids
+    assert CODER.decode(np.array(ids)) == LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(max_size=40))
+def test_any_text(text):
+    assert CODER.encode(text).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 50256), max_size=12))
+def test_any_ids_decode_as_the_library_does(ids):
+    assert CODER.decode(np.array(ids, "u4")) == LIBRARY.decode(ids, skip_special_tokens=False)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("aeinrst", min_size=1, max_size=60))
+def test_merging_by_rank_equals_scanning_for_the_lowest_rank(word):
+    ids = [CODER.byte_ids[b] for b in word.encode()]
+    while True:
+        found = [(CODER.merges[a * CODER.width + b][0], i) for i, (a, b) in enumerate(zip(ids, ids[1:]))
+                 if a * CODER.width + b in CODER.merges]
+        if not found:
+            break
+        at = min(found)[1]
+        ids[at:at + 2] = [CODER.merges[ids[at] * CODER.width + ids[at + 1]][1]]
+    assert CODER.merge(word.encode()) == ids
+
+
+def test_very_long_texts():
+    coder = H.HeapBpe(VOCABULARY)
+    for text in ("x" * 200_000, "ab cd\n" * 60_000, " " * 100_000 + "a", "é" * 50_000, "1" * 100_000 + " end"):
+        assert coder.encode(text).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+        assert coder.decode(coder.encode(text)) == text
+
+
+def test_other_kinds_of_vocabulary_are_refused():
+    with open(P.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        words = f.read()
+    with pytest.raises(ValueError):
+        H.HeapBpe(words)
+
+
+def _digest(text):
+    ids = LIBRARY.encode(text or "", add_special_tokens=False).ids
+    decoded = LIBRARY.decode(ids, skip_special_tokens=False)
+    return (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+            hashlib.sha256(decoded.encode()).hexdigest())
+
+
+def test_columns(spark):
+    rows = [(1, "Hello world", 5), (2, None, None), (2, "", 1), (None, "naïve <|endoftext|> 日本", 1), (1, "Hello world", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids int")
+    done = H.decode_documents(H.encode_documents(df, VOCABULARY), VOCABULARY).collect()
+    assert sorted(r.decoded for r in done) == sorted(t or "" for _, t, _ in rows)
+    got = df.select("text", H.heap_round_trip(df.text, VOCABULARY).alias("d")).select("text", "d.*").collect()
+    assert len(got) == 5
+    for r in got:
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == _digest(r.text)
+    assert H.decode_documents(H.encode_documents(df.limit(0), VOCABULARY), VOCABULARY).count() == 0
+
+
+def test_query_equals_the_library(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()}
+    got = Q.q_heap_bpe(spark, SF_SMALL).collect()
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got} == {i: _digest(t) for i, t in texts.items()}

@@ -12,6 +12,7 @@ from . import bitplane as BIT
 from . import byte_bpe as BP
 from . import cover_tree as CT
 from . import decontaminate as DC
+from . import heap_bpe as HB
 from . import langid as LI
 from . import line_dedup as LN
 from . import lsh_forest as LF
@@ -131,6 +132,12 @@ def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_digest(spark, documents(spark, sf_dir, "pages"))
 
 
+def q_heap_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = HB.load_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
+    digest = HB.heap_round_trip(F.col("text"), vocabulary)
+    return documents(spark, sf_dir).select("doc_id", digest.alias("d")).select("doc_id", "d.*")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cover_tree": q_top_k,
     "op2_language_id": q_langid,
@@ -142,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": q_pii,
     "op9_bitplane": q_token_planes,
     "op10_warc": q_warc,
+    "op11_heap_bpe": q_heap_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {
