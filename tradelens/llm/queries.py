@@ -17,6 +17,7 @@ from . import langid as LI
 from . import line_dedup as LN
 from . import lsh_forest as LF
 from . import pii as PI
+from . import prefix_trie as PT
 from . import toxicity as TX
 from . import warc as WA
 from .common import crc32_mod, doc_key, documents, new_folder, ship_package
@@ -138,6 +139,10 @@ def q_heap_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", digest.alias("d")).select("doc_id", "d.*")
 
 
+def q_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PT.prefix_trie(PT.shared_heads(PT.paths(documents(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cover_tree": q_top_k,
     "op2_language_id": q_langid,
@@ -150,6 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bitplane": q_token_planes,
     "op10_warc": q_warc,
     "op11_heap_bpe": q_heap_bpe,
+    "op12_prefix_trie": q_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -196,6 +202,44 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(payload) AS payload_dig
        CASE WHEN n >= 1000 AND latest <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN n >= 1000 AND latest <> page_id THEN latest END AS refers_to
 FROM p""",
+    # CRC-32 bit by bit: no function of that name.
+    "op12_prefix_trie": r"""
+WITH raw AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (
+  SELECT conv_id, turn, md5(CAST(strlen(r) AS VARCHAR) || ':' || r || x) AS digest,
+         len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words FROM raw),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS i FROM turns),
+convs AS (
+  SELECT conv_id, xor(list_reduce(
+           list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+           lambda crc, byte: list_reduce([0, 0, 0, 0, 0, 0, 0, 0],
+             lambda v, z: xor(v >> 1, 3988292384 * (v & 1)), xor(crc, byte)), 4294967295), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM raw)),
+joined AS (
+  SELECT c.conv_id, 0 AS part, i, digest, words
+  FROM convs c JOIN numbered n ON n.conv_id = c.conv_id - c.conv_id % 20 AND n.i <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, i, digest, words FROM convs c JOIN numbered n ON n.conv_id = c.conv_id AND n.i > c.h),
+steps AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY part, i) AS d FROM joined),
+members AS (
+  SELECT conv_id, d, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY d) AS path, words FROM steps
+  UNION ALL
+  SELECT conv_id, 0, '', 0 FROM convs),
+sizes AS (SELECT conv_id, max(d) AS size FROM members GROUP BY conv_id),
+nodes AS (
+  SELECT path, d, left(path, 32 * greatest(d - 1, 0)) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+         any_value(words) AS words,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE d = size), '')) AS ends_sha256
+  FROM members JOIN sizes USING (conv_id) GROUP BY path, d),
+kids AS (SELECT parent AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY parent),
+full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids USING (path)),
+below AS (
+  SELECT left(path, 32 * unnest(range(0, d + 1))) AS path, n_children, (n_convs - 1) * words AS saved FROM full_nodes),
+sums AS (SELECT path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved FROM below GROUP BY path)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, CASE WHEN n.d > 0 THEN p.conv_id END AS parent_conv_id, n.n_convs, n.n_children,
+       s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN sums s USING (path) JOIN nodes p ON p.path = n.parent""",
 }
 
 ship_package()
