@@ -12,6 +12,7 @@ from . import bitplane as BIT
 from . import byte_bpe as BP
 from . import cover_tree as CT
 from . import decontaminate as DC
+from . import hard_negatives as HN
 from . import heap_bpe as HB
 from . import langid as LI
 from . import line_dedup as LN
@@ -143,6 +144,17 @@ def q_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PT.prefix_trie(PT.shared_heads(PT.paths(documents(spark, sf_dir, "conversations"))))
 
 
+def relabelled(vectors: DataFrame) -> DataFrame:
+    """``vectors`` with the labels of ids divisible by 7 moved on by one, modulo 10."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return vectors.withColumn("label", moved)
+
+
+def q_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = relabelled(documents(spark, sf_dir, "embeddings"))
+    return HN.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cover_tree": q_top_k,
     "op2_language_id": q_langid,
@@ -156,6 +168,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": q_warc,
     "op11_heap_bpe": q_heap_bpe,
     "op12_prefix_trie": q_prefix_trie,
+    "op13_hard_negatives": q_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -240,6 +253,26 @@ sums AS (SELECT path, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(sa
 SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, CASE WHEN n.d > 0 THEN p.conv_id END AS parent_conv_id, n.n_convs, n.n_children,
        s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, n.ends_sha256
 FROM full_nodes n JOIN sums s USING (path) JOIN nodes p ON p.path = n.parent""",
+    "op13_hard_negatives": """
+WITH ok AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.v, r.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM ok a JOIN ok r ON a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id AND len(r.v) = len(a.v)),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 80 * p.positive_score <= 100 * n.score AND 100 * n.score <= 100 * p.positive_score
+QUALIFY rank <= 5""",
 }
 
 ship_package()
