@@ -20,6 +20,7 @@ def test_held_out_accuracy_and_odd_texts(spark):
     df = spark.createDataFrame(rows + [(900, None, "aa"), (901, "x", None)], "doc_id long, text string, lang string")
     model = L.fit(L.training_sample(df.where("doc_id < 200")))
     assert sorted(model) == sorted(STEMS)
+    assert L.reduced("½ ²") == L.reduced("Ⅳ ①") == L.reduced("１2_") == "" and L.reduced("½ Kg") == "½ kg"
     odd = [(1000, None, None), (1001, "", None), (1002, "12 + 34 !?", None), (1003, "kortun " * 50_000, None), (None, "wizplo", None)]
     test = spark.createDataFrame(rows[200:] + odd, "doc_id long, text string, lang string")
     got = test.select("doc_id", "lang", L.predict(test.text, model).alias("p")).select("doc_id", "lang", "p.*").collect()

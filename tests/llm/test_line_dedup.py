@@ -63,6 +63,26 @@ def test_single_long_lines_and_copies(spark):
     assert got[2] == "" and got[3] == "other\nmore" and got[4] == "" and got[1].count("\n") == 2
 
 
+def test_clashing_names_stay_as_they_are(spark):
+    names = ["k1", "k2", "lines", "positions", "rest", "row", "at", "__k1", "__drop"]
+    df = spark.createDataFrame([(1, "a b\nc", *names), (2, "a b\nc", *names), (3, None, *names)],
+                               "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    done = LD.dedup_lines(df, min_words=2)
+    assert done.columns == [*df.columns, "n_deleted"]
+    rows = {r.doc_id: r for r in done.collect()}
+    assert [rows[i].text for i in (1, 2, 3)] == ["a b\nc", "", None]
+    assert all([r[n] for n in names] == names for r in rows.values())
+
+
+def test_the_text_is_hashed_once_per_document(spark):
+    """No hash of the text lies above the explosion into lines, which does not carry the text."""
+    df = spark.createDataFrame([(1, "a\nb")], "doc_id long, text string")
+    plan = LD.line_table(df, "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    above, explode, below = plan.partition("Generate ")
+    assert explode and "xxhash64(text" not in above and "xxhash64(1, text" not in above and "xxhash64(1, text" in below
+    assert "text#" not in above + below.split("\n")[0]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string, k1 string")
     out = LD.dedup_lines(df)

@@ -6,6 +6,7 @@ import re
 import duckdb
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 import test_decontaminate
 import test_line_dedup
 import test_near_duplicates
@@ -96,6 +97,19 @@ def test_stages_against_brute_force(spark, tables):
     assert sorted((r.doc_id, list(r.ids)) for r in whole) == sorted((r.doc_id, list(r.ids)) for r in tokens)
 
 
+def test_clashing_names_in_every_filtering_stage(spark, tables):
+    folder, *_ = tables
+    names = ["k1", "k2", "row", "p", "rest", "lines", "n_deleted", "had_text", "__k1", "__drop", "label"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    plain, extra = docs, docs.select("*", *[F.concat(F.lit(f"{n} "), "doc_id").alias(n) for n in names])
+    for name, stage in CP.STAGES[:-1]:
+        done = stage(spark, extra, folder)
+        assert done.columns == extra.columns, name
+        rows = done.collect()
+        assert all([r[n] for n in names] == [f"{n} {r.doc_id}" for n in names] for r in rows), name
+        assert {(r.doc_id, r.text) for r in rows} == {(r.doc_id, r.text) for r in stage(spark, plain, folder).collect()}, name
+
+
 def test_empty_documents(spark, tables):
     folder, *_ = tables
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
@@ -105,7 +119,7 @@ def test_empty_documents(spark, tables):
 
 def test_every_operator_has_a_query_with_the_contract_columns():
     names = {int(m[1]): n for n in E.queries() if (m := re.match(r"op(\d+)_", n))}
-    assert sorted(names) == list(range(1, 11)) and "pipeline" in E.queries()
+    assert sorted(names) == list(range(1, 14)) and "pipeline" in E.queries()
 
 
 WANT = {
@@ -114,6 +128,9 @@ WANT = {
     "op6_": "doc_id n_shingles component_id kept", "op7_": "doc_id held_out score predicted",
     "op8_": "doc_id n_email n_ip n_card n_phone base_sha256 spans", "op9_": "doc_id start n_tokens ids_crc32",
     "op10_": "page_id payload_bytes payload_digest record_type refers_to",
+    "op11_": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op12_": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op13_": "anchor_id positive_id rank negative_id positive_score negative_score",
 }
 
 
@@ -124,11 +141,11 @@ def test_query_on_the_given_tables(spark, prefix):
     rows = df.collect()
     assert set(WANT[prefix].split()) <= set(df.columns)
     table = {"op1_": "embeddings", "op10_": "pages"}.get(prefix, "documents")
-    if prefix != "op1_":
+    if prefix not in ("op1_", "op12_", "op13_"):
         assert len(rows) == spark.read.parquet(f"{SMALL}/{table}.parquet").count()
     if name in E.oracle_sql():
         con = duckdb.connect()
-        for view in ("documents", "benchmark", "embeddings", "pages"):
+        for view in ("documents", "benchmark", "embeddings", "pages", "conversations"):
             con.execute(f"CREATE VIEW {view} AS SELECT * FROM read_parquet('{SMALL}/{view}.parquet')")
         cur = con.execute(E.oracle_sql()[name])
         at = [[d[0] for d in cur.description].index(c) for c in df.columns]

@@ -19,14 +19,14 @@ def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> Dat
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared scratch folder and read back.
+def stored(df: DataFrame, name: str, **options) -> DataFrame:
+    """``df`` written once to the shared scratch folder and read back; ``options`` of the writer.
 
     This cuts the lineage in a place every executor can read, so lost executors cost no
     recomputation, and it makes the planner see the table's real size.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -43,6 +43,12 @@ def with_doc_key(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(*doc_key(id_col, text_col), F.col(id_col), F.col(text_col))
 
 
+def keyed_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(k1, k2, row)``: the document key beside the whole row as a struct, so that no column of
+    the input can clash with a working column; ``row.*`` gives the input's columns back."""
+    return df.select(*doc_key(id_col, text_col), F.struct("*").alias("row"))
+
+
 def crc32_mod(id_col: str, n: int) -> Column:
     """``crc32(id as text) mod n``: the fold of a labelled row."""
     return F.crc32(F.col(id_col).cast("string")) % F.lit(n)

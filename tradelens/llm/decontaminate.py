@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import doc_key, stored
+from .common import doc_key, keyed_rows, stored
 
 WINDOW, GRAM = 13, 8
 #: A document is contaminated if ``SHARE * hit words >= words`` (and any is hit).
@@ -186,7 +186,6 @@ def contaminated(share: int = SHARE) -> Column:
 def remove_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                         share: int = SHARE, **options) -> DataFrame:
     """``docs`` without the contaminated ones; every column stays."""
-    bad = stored(overlaps(docs, items, id_col, text_col, **options).where(contaminated(share)).select(
-        F.col("k1").alias("__k1"), F.col("k2").alias("__k2")), "decontaminate-bad")
-    k1, k2 = doc_key(id_col, text_col)
-    return docs.withColumns({"__k1": k1, "__k2": k2}).join(bad.hint("merge"), ["__k1", "__k2"], "left_anti").drop("__k1", "__k2")
+    bad = stored(overlaps(docs, items, id_col, text_col, **options).where(contaminated(share)).select("k1", "k2"),
+                 "decontaminate-bad")
+    return keyed_rows(docs, id_col, text_col).join(bad.hint("merge"), ["k1", "k2"], "left_anti").select("row.*")

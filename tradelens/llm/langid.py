@@ -40,8 +40,11 @@ NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def reduced(text: str | None) -> str:
-    """Lower-case letters, runs of anything else as one blank; empty without a letter."""
-    return NOT_LETTERS.sub(" ", text.lower()).strip() if text else ""
+    """Lower-case letters, runs of anything else as one blank; empty without a letter.
+
+    Numeric signs such as fractions or Roman numerals are no letters, but stay beside them."""
+    text = NOT_LETTERS.sub(" ", text.lower()).strip() if text else ""
+    return text if any(map(str.isalpha, text)) else ""
 
 
 def training_sample(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",

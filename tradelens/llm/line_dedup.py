@@ -45,9 +45,9 @@ def _lines(text: Column) -> Column:
 
 def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per line with a word: document key, place, words, and a 128-bit line id."""
-    rows = docs.select(*doc_key(id_col, text_col), F.col(id_col).alias("id"),
-                       F.posexplode(_lines(F.col(text_col))).alias("pos", "line"))
-    rows = rows.select(*_KEY, "id", "pos", F.trim("line", F.lit(TRIMMED)).alias("line"))
+    # The keys are computed once per document, below the explosion, and the text stays there.
+    rows = docs.select(*doc_key(id_col, text_col), F.col(id_col).alias("id"), _lines(F.col(text_col)).alias("lines"))
+    rows = rows.select(*_KEY, "id", F.posexplode("lines").alias("pos", "line")).select(*_KEY, "id", "pos", F.trim("line", F.lit(TRIMMED)).alias("line"))
     return rows.where(F.col("line") != "").select(
         *_KEY, "id", "pos", F.greatest(F.regexp_count("line", F.lit("\\S+")), F.lit(1)).cast("long").alias("words"),
         F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
@@ -166,15 +166,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A text all of whose lines go becomes empty; a null text stays null.
     """
     drop = stored(repeated_lines(docs, id_col, text_col, min_words), "line-dedup-drop")
-    drop = drop.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("positions").alias("__drop"))
-    k1, k2 = doc_key(id_col, text_col)
-    # The text travels as its lines, so they are split once, before the join.
-    rows = docs.withColumns({"__k1": k1, "__k2": k2, "__lines": _lines(F.col(text_col))}).drop(text_col)
+    # The text travels as its lines, so they are split once, before the join; the other columns
+    # travel in a struct, where no name clashes.
+    others = [c for c in docs.columns if c not in (text_col, "n_deleted")]
+    rest = F.struct(F.lit(True).alias("row"), *[docs[c].alias(f"c{i}") for i, c in enumerate(others)])
+    rows = docs.select(*doc_key(id_col, text_col), rest.alias("rest"), _lines(F.col(text_col)).alias("lines"))
     # Merged at every size: the list grows with the documents, so it is never sent to each task.
-    rows = rows.join(drop.hint("merge"), ["__k1", "__k2"], "left")
-    kept = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__drop"))
-    kept = F.transform(kept, lambda i: F.get(F.col("__lines"), i))
-    lines = F.when(F.col("__drop").isNull(), F.col("__lines")).otherwise(kept)
-    done = rows.withColumns({text_col: F.array_join(lines, "\n"),
-                             "n_deleted": F.coalesce(F.size("__drop"), F.lit(0)).cast("long")})
-    return done.select(*docs.drop("n_deleted").columns, "n_deleted")
+    rows = rows.join(drop.hint("merge"), _KEY, "left")
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("positions"))
+    kept = F.transform(kept, lambda i: F.get(F.col("lines"), i))
+    lines = F.when(F.col("positions").isNull(), F.col("lines")).otherwise(kept)
+    back = {c: F.col(f"rest.c{i}") for i, c in enumerate(others)} | {text_col: F.array_join(lines, "\n")}
+    return rows.select(*[back[c].alias(c) for c in docs.columns if c in back],
+                       F.coalesce(F.size("positions"), F.lit(0)).cast("long").alias("n_deleted"))

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_key, per_process, stored
+from .common import doc_key, keyed_rows, per_process, stored
 from .components import components, extended
 
 SHINGLE_WORDS, SIMILARITY = 5, 80
@@ -476,7 +476,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     best = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "k2", "k1")).alias("m")
     first = found.where("label is not null").groupBy("label").agg(best).select("m.k1", "m.k2")
     kept = first.unionByName(found.where("label is null").select("k1", "k2").distinct())
-    kept = stored(kept.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")), "lsh-forest-kept")
-    k1, k2 = doc_key(id_col, text_col)
-    rows = docs.withColumns({"__k1": k1, "__k2": k2}).join(kept.hint("merge"), ["__k1", "__k2"], "left_semi")
-    return rows.dropDuplicates(["__k1", "__k2"]).drop("__k1", "__k2")
+    kept = stored(kept.select("k1", "k2"), "lsh-forest-kept")
+    rows = keyed_rows(docs, id_col, text_col).join(kept.hint("merge"), ["k1", "k2"], "left_semi")
+    return rows.dropDuplicates(["k1", "k2"]).select("row.*")
