@@ -729,17 +729,20 @@ FROM events""",
 
 # --------------------------------------------------------------------------- optional parts
 
-# The training-data operators and their pipeline may be absent; the rest works without them.
-# Only their absence is handled: an import error inside them is raised.
-if importlib.util.find_spec("tradelens.llm") is not None:
+# The training-data operators may be absent, and with them or alone their pipeline, which needs
+# them; the rest works without them.  Only their absence is handled: an import error inside them
+# is raised.
+_llm = importlib.util.find_spec("tradelens.llm")
+# A folder left behind without its modules has no file of its own.
+if _llm is not None and _llm.origin is not None:
     from tradelens.llm import queries as _LLM
     _QUERIES.update(_LLM.QUERIES)
     _ORACLE.update(_LLM.ORACLE_SQL)
-if importlib.util.find_spec("corpus_pipeline") is not None:
-    import corpus_pipeline as _CP
-    _QUERIES["pipeline"] = _CP.run
-    if _CP.ORACLE_SQL is not None:
-        _ORACLE["pipeline"] = _CP.ORACLE_SQL
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline as _CP
+        _QUERIES["pipeline"] = _CP.run
+        if _CP.ORACLE_SQL is not None:
+            _ORACLE["pipeline"] = _CP.ORACLE_SQL
 
 
 # --------------------------------------------------------------------------- contract

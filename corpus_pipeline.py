@@ -28,17 +28,21 @@ ORACLE_SQL = None
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(langid.training_sample(docs))
-    rows = docs.withColumn("__language", langid.predict(F.col("text"), model))
-    lang = F.coalesce(F.col("lang"), F.col("__language.lang_pred"))
-    return rows.where(~F.col("__language.rejected")).withColumn("lang", lang).drop("__language")
+    # The input's columns travel in a struct, where no name clashes.
+    rows = docs.select(F.struct("*").alias("row"), langid.predict(F.col("text"), model).alias("p"))
+    lang = F.coalesce(F.col("row.lang"), F.col("p.lang_pred"))
+    return rows.where(~F.col("p.rejected")).select(
+        *[(lang if c == "lang" else F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = line_dedup.dedup_lines(docs.withColumn("__had_text", F.col("text").rlike("\\S")))
-    emptied = F.col("__had_text") & (F.col("n_deleted") > 0) & ~F.col("text").rlike("\\S")
+    others = F.struct(*[c for c in docs.columns if c != "text"]).alias("row")
+    done = line_dedup.dedup_lines(docs.select("doc_id", "text", others, F.col("text").rlike("\\S").alias("had_text")))
+    emptied = F.col("had_text") & (F.col("n_deleted") > 0) & ~F.col("text").rlike("\\S")
     done = done.where(~F.coalesce(emptied, F.lit(False)))
-    n_chars = F.when(F.col("n_deleted") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-    return done.withColumn("n_chars", n_chars).select(*docs.columns)
+    n_chars = F.when(F.col("n_deleted") > 0, F.char_length("text").cast("long")).otherwise(F.col("row.n_chars"))
+    rows = {c: F.col("row").getField(c) for c in docs.columns if c != "text"} | {"text": F.col("text"), "n_chars": n_chars}
+    return done.select(*[rows[c].alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,6 +62,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
                           same.alias("round_trip"))
 
 
+#: Whole texts are written beside Python workers: small row groups keep the writers' buffers small.
+ROW_GROUPS = {"parquet.block.size": 16 * 1024 * 1024}
+
 STAGES = [("language", language), ("lines", lines), ("near_duplicates", near_duplicates),
           ("benchmark", benchmark), ("tokens", tokens)]
 
@@ -66,5 +73,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written as Parquet and read again."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}", **ROW_GROUPS)
     return STAGES[-1][1](spark, docs, sf_dir)
