@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +44,8 @@ FILE_IDS = 4_000_000
 WORD_MEMORY = 400_000
 # Letters, then ASCII punctuation without the apostrophe (it begins contractions).
 PLAIN_WORD = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]*)")
+# Letters whose lower case Python and a lower-casing normalizer agree on, and which are in NFC.
+LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
 # --------------------------------------------------------------------------- the format
@@ -152,7 +155,7 @@ class Words:
     the library does by default; otherwise it is coded as ordinary text.
     """
 
-    PROBES = ("thing", "Thing.", "über,", "ÉCOLE!!", "İstanbul", "naïve%%%", "日本語", "ab_", "Σίσυφος", "ﬁn;", "x")
+    PROBES = ("ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞß", "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ", "thing", "Thing.", "über,", "ÉCOLE!!", "İstanbul", "naïve%%%", "日本語", "ab_", "Σίσυφος", "ﬁn;", "x")
 
     def __init__(self, vocabulary: str, memory: int = WORD_MEMORY, special: bool = False):
         from tokenizers import Tokenizer
@@ -173,8 +176,9 @@ class Words:
         known = self.letters.get(low)
         if known is None:
             text = low if low.isascii() else "".join(self.bytes[b] for b in low.encode("utf-8"))
-            ids = [t.id for t in self.tokenizer.model.tokenize(text)]
-            known = self.letters[low] = np.array(ids, "<u4").tobytes()
+            if len(self.letters) >= self.memory:
+                self.letters.clear()
+            known = self.letters[low] = array("I", [t.id for t in self.tokenizer.model.tokenize(text)]).tobytes()
         return known
 
     def _direct(self, word: str) -> bytes | None:
@@ -182,34 +186,29 @@ class Words:
         m = PLAIN_WORD.fullmatch(word) if self.direct else None
         if not m:
             return None
-        low = m[1].lower() if m[1].isascii() else self.tokenizer.normalizer.normalize_str(m[1])
-        if not low.isalpha():
-            return None
-        if not m[2]:
-            return self._letters(low)
-        tail = self.known.get(m[2])
-        if tail is None:
-            tail = self.known[m[2]] = self._whole([m[2]])[0]
-        return self._letters(low) + tail
+        word, tail = m.groups()
+        if LATIN.fullmatch(word):
+            low = word.lower()
+        else:
+            low = self.tokenizer.normalizer.normalize_str(word)
+            if not low.isalpha():
+                return None
+        ids = self._letters(low)
+        return ids + (self.known.get(tail) or self._new(tail)) if tail else ids
+
+    def _new(self, word: str) -> bytes:
+        """The ids of a word that is not remembered."""
+        ids = self._direct(word)
+        if ids is None:
+            ids = self._whole([word])[0]
+        if len(self.known) >= self.memory:
+            self.known.clear()
+        self.known[word] = ids
+        return ids
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        if len(self.known) > self.memory:
-            self.known = {}
-        if len(self.letters) > self.memory:
-            self.letters = {}
-        other = []
-        for w in {w for words in split for w in words if w not in self.known}:
-            ids = self._direct(w)
-            if ids is None:
-                other.append(w)
-            else:
-                self.known[w] = ids
-        for i in range(0, len(other), 20_000):
-            part = other[i:i + 20_000]
-            self.known.update(zip(part, self._whole(part), strict=True))
-        known = self.known
-        return [b"".join([known[w] for w in words]) for words in split]
+        known, new = self.known.get, self._new
+        return [b"".join([known(w) or new(w) for w in t.replace("\n", " ").split(" ") if w]) if t else b"" for t in texts]
 
 
 def tokenized(batches: Iterator[pa.RecordBatch], vocabulary: str, end_id: int, rows_at_once: int = 256,
