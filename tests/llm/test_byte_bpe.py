@@ -33,6 +33,8 @@ def test_columns(spark):
     df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, ids int")
     done = B.decode_documents(B.encode_documents(df, RANKS, P.PATTERN), RANKS, P.PATTERN).collect()
     assert sorted(bytes(r.decoded) for r in done) == sorted((t or "").encode() for _, t in rows)
+    checked = df.select("text", B.bpe_checked_ids(df.text, RANKS, P.PATTERN).alias("c")).collect()
+    assert all(r.c.round_trip and r.c.ids == CODER.encoding.encode_ordinary(r.text or "") for r in checked)
     got = df.select("text", B.bpe_round_trip(df.text, RANKS, P.PATTERN).alias("d")).select("text", "d.*").collect()
     for r in got:
         ids = np.array(CODER.encoding.encode_ordinary(r.text or ""), "<u4")

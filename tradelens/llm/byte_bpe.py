@@ -140,6 +140,22 @@ def bpe_round_trip(text: Column, ranks: bytes, pattern: str) -> Column:
     return run(text)
 
 
+def bpe_checked_ids(text: Column, ranks: bytes, pattern: str) -> Column:
+    """``struct<ids, round_trip>``: the ids, and whether they decode back to the text's bytes.
+
+    Both directions run in one worker per task; ``bpe_bytes`` over ``bpe_ids`` takes two."""
+    @F.pandas_udf("ids array<int>, round_trip boolean")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        coder = per_process(("bpe", zlib.crc32(ranks), pattern), lambda: Coder(ranks, pattern))
+        for texts in batches:
+            ids = [coder.encode(t) for t in texts]
+            same = [coder.decode(i) == (t or "").encode("utf-8") for i, t in zip(ids, texts, strict=True)]
+            yield pd.DataFrame({"ids": pd.Series([i.astype("int32") for i in ids], index=texts.index, dtype=object),
+                                "round_trip": pd.Series(same, index=texts.index, dtype=bool)})
+
+    return run(text)
+
+
 def encode_documents(docs: DataFrame, ranks: bytes, pattern: str, text_col: str = "text",
                      out_col: str = "ids") -> DataFrame:
     """``docs`` with the ids of ``text_col`` in ``out_col`` (which it replaces if present)."""
