@@ -431,6 +431,26 @@ def _materialized(spark, sf_dir):
     return JB.read_daily_results(spark, f"{base}/summary", f"{base}/gap")
 
 
+def q_materialized_null_days(spark, sf_dir):
+    """The summary refreshed by three loads, with trades that have no ``block_date``: the first
+    half, the second half, and the second half again."""
+    trades, prices = _tables(spark, sf_dir)
+    no_day = F.when(F.dayofmonth("block_time") % 5 != 0, F.col("block_date"))
+    rows = with_row_id(trades.withColumn("block_date", no_day).select(*JB.TRADE_COLUMNS))
+    base = _session.scratch_path(spark, "null-days")
+    t, p = JB.trades_table(spark, path=f"{base}/trades"), JB.prices_table(spark, path=f"{base}/prices")
+    p.ensure()
+    late = F.dayofmonth("block_time") >= 15
+    for part in (rows.where(~late), rows.where(late), rows.where(late)):
+        JB.load_and_refresh(spark, t, p, (f"{base}/summary", f"{base}/gap"), lambda part=part: [
+            LD.insert_if_absent(spark, part, t, day_columns=(F.to_date("block_time"), F.col("block_date")))])
+    return _r(JB.read_daily_results(spark, f"{base}/summary", f"{base}/gap")[0], _SUMMARY_DIGITS)
+
+
+_SUMMARY_DIGITS = {"total_usd_value_bought": 6, "total_usd_value_sold": 6, "total_units_sold": 6,
+                   "total_units_bought": 6, "avg_buy_price": 6, "avg_sell_price": 6}
+
+
 def q_materialized_price_gap(spark, sf_dir):
     return _r(_materialized(spark, sf_dir)[1], {"avg_price_difference": 6})
 
@@ -488,6 +508,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_price_gap": q_backfill_price_gap,
     "materialized_price_gap": q_materialized_price_gap,
     "materialized_summary": q_materialized_summary,
+    "materialized_null_days": q_materialized_null_days,
     "published_views_read": q_published_views_read,
     "replay_odd_partitions": q_replay_odd_partitions,
     "seeded_table": q_seeded_table,
@@ -704,6 +725,10 @@ WHERE coin IN ('ethereum', 'usd-coin') AND date_time BETWEEN '2024-01-14 00:00:0
         f"WITH {_FIXTURE_CTES}, {_SUMMARY_CTE}", f"WITH {_DISTINCT_CTES}, drifted AS (SELECT * REPLACE (CAST(CAST(block_time AS DATE)"
         " + CASE WHEN day(block_time) % 3 = 0 THEN 2 ELSE 0 END AS DATE) AS block_date) FROM distinct_trades), "
         + _SUMMARY_CTE.replace("FROM trades", "FROM drifted")),
+    "materialized_null_days": _ORACLE["trade_summary_daily"].replace(
+        f"WITH {_FIXTURE_CTES}, {_SUMMARY_CTE}", f"WITH {_DISTINCT_CTES}, undated AS (SELECT * REPLACE ("
+        "CASE WHEN day(block_time) % 5 <> 0 THEN block_date END AS block_date) FROM distinct_trades), "
+        + _SUMMARY_CTE.replace("FROM trades", "FROM undated")),
     "published_views_read": _gap_sql(trades_src="distinct_trades", prices_src="distinct_prices", base=_DISTINCT_CTES),
     "backfill_price_gap": _gap_sql(trades_src="staged_trades", prices_src="staged_prices", base=f"""{_FIXTURE_CTES},
 staged_trades AS (

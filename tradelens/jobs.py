@@ -7,8 +7,10 @@ reproducible; loads are idempotent, so a rerun of the same day adds nothing.
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import operator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.identity import with_row_id
@@ -147,31 +149,75 @@ def refresh_daily_results(spark: SparkSession, trades: DataFrame, prices: DataFr
                           gap: str = "quarter") -> None:
     """Materialize the two daily results for ``days`` only, replacing those days.
 
-    Both results are per day: a day's summary reads the trades of that ``block_date``, its
-    price gap the trades and prices whose hour slot lies on it, whatever their ``block_date``.
-    Every day of ``days`` is replaced, also by nothing if it has no rows any more: the days'
-    folders are removed before the new ones are written, so a rerun is idempotent, and a run
-    that died in between leaves days missing that the next run of the same days restores.
+    Both results are per day: a day's summary reads the trades of that ``block_date`` (None:
+    those without one), its price gap the trades and prices whose hour slot lies on it, whatever
+    their ``block_date``.  Every day of ``days`` is replaced (see ``replace_days``).
     """
-    days = sorted({_day(d) for d in days})
+    days = {d if d is None else _day(d) for d in days}
     if not days:
         return
-    by_slot = F.to_date(F.col("block_time")).isin(days)
-    window = F.col("date_time").between(f"{days[0].isoformat()} 00:00:00", f"{days[-1].isoformat()} 23:59:59")
-    day_prices = prices.where(window & F.to_date(F.col("date_time").cast("timestamp_ntz")).isin(days))
-
-    def replace(df: DataFrame, path: str, col: str) -> None:
-        # A day's result is a few rows (tokens or pairs); it is kept before the old day goes,
-        # since the inputs could be read for long.
-        kept = scratch_path(spark, "results")
-        df.write.parquet(kept)
-        for d in days:
-            remove_path(spark, f"{path}/{col}={d.isoformat()}")
-        fresh = spark.read.schema(df.schema).parquet(kept)
-        fresh.repartition(col).write.mode("append").partitionBy(col).parquet(path)
-
-    replace(daily_trade_summary(trades.where(F.col("block_date").isin(days))), summary_path, "block_date")
-    replace(price_gap_daily(trades.where(by_slot), day_prices, mode=mode, gap=gap), gap_path, "date")
+    dated = sorted(days - {None})
+    of_days = F.col("block_date").isin(dated) if dated else F.lit(False)
+    if None in days:
+        of_days = of_days | F.col("block_date").isNull()
+    replace_days(spark, daily_trade_summary(trades.where(of_days)), summary_path, "block_date", days)
+    slots = price_gap_daily(trades.where(in_days("block_time", dated)), prices.where(in_days("date_time", dated, text=True)),
+                            mode=mode, gap=gap)
+    replace_days(spark, slots, gap_path, "date", dated)
+
+
+#: Stretches of days that become ranges of their own in a filter; beyond it, one range from the
+#: first to the last day and the list of days.
+MAX_RANGES = 64
+
+
+def in_days(column: str, days, text: bool = False) -> Column:
+    """Whether a timestamp (or ``yyyy-MM-dd HH:mm:ss`` text) lies on one of ``days``.
+
+    Days in a row are one range of the bare column, so the filter reaches the scan's
+    statistics; it never casts the column."""
+    days = sorted({_day(d) for d in days})
+    if not days:
+        return F.lit(False)
+    starts = [d for i, d in enumerate(days) if not i or days[i - 1] != d - dt.timedelta(days=1)]
+    ends = [d + dt.timedelta(days=1) for i, d in enumerate(days) if i + 1 == len(days) or days[i + 1] != d + dt.timedelta(days=1)]
+
+    def bound(d: dt.date) -> Column:
+        return F.lit(d.isoformat()) if text else F.lit(d.isoformat()).cast("timestamp_ntz")
+
+    def within(start: dt.date, end: dt.date) -> Column:
+        return (F.col(column) >= bound(start)) & (F.col(column) < bound(end))
+
+    if len(starts) > MAX_RANGES:
+        day = F.substring(column, 1, 10) if text else F.to_date(column).cast("string")
+        return within(starts[0], ends[-1]) & day.isin([d.isoformat() for d in days])
+    return functools.reduce(operator.or_, [within(a, b) for a, b in zip(starts, ends, strict=True)])
+
+
+def replace_days(spark: SparkSession, df: DataFrame, path: str, column: str, days) -> None:
+    """Replace exactly the folders of ``days`` (None: the one of missing values) of a result
+    partitioned by ``column`` with the rows of ``df``, which lie on those days.
+
+    The new rows are written by a dynamic partition overwrite: Spark computes them into a staging
+    folder and swaps each day's folder when the job commits, so readers see a day's old or new
+    rows while it is computed, and a run that dies before leaves the old ones.  Days that have no
+    rows any more are removed afterwards.  A rerun gives the same result.
+    """
+    kept = scratch_path(spark, "results")
+    df.write.parquet(kept)
+    fresh = spark.read.schema(df.schema).parquet(kept)
+    fresh.repartition(column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    # A row per day at most, of a result that holds a few rows a day.
+    there = {None if r[0] is None else str(r[0]) for r in fresh.select(column).distinct().collect()}
+    for d in days:
+        name = None if d is None else _day(d).isoformat()
+        if name not in there:
+            remove_path(spark, f"{path}/{column}={NULL_FOLDER if name is None else name}")
+    remove_path(spark, kept)
+
+
+# Fixed value: the folder of rows without a partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 # Declared schemas of the materialized results (partition discovery would read the

@@ -15,7 +15,7 @@ from ..functions.identity import with_row_id
 from ..functions.naming import clean_columns, staging_types
 from ..operators.joins import anti_join_ids
 from ..session import scratch_path
-from .tables import StagingTable
+from .tables import StagingTable, remove_path
 
 @dataclass
 class LoadReport:
@@ -28,7 +28,7 @@ class LoadReport:
     inserted_rows: int         # rows actually appended
     columns: list[str] = field(default_factory=list)
     source_id: str | None = None
-    days: list = field(default_factory=list)   # days the batch touches, if asked for
+    days: list = field(default_factory=list)   # days the batch touches, if asked for; None: no day
 
     def as_dict(self) -> dict:
         return {"schema": self.schema, "table_name": self.table_name, "total_rows": self.total_rows,
@@ -78,7 +78,8 @@ def insert_if_absent(spark: SparkSession, rows: DataFrame, table: StagingTable,
     hashes) come from there.  ``inserted_rows`` is observed in the write's own result stage,
     whose metrics count each partition once even when tasks are retried.  An empty batch
     writes nothing (and creates no table).  ``day_columns``: expressions whose distinct days
-    over the batch are reported (bounded by the calendar).
+    over the batch are reported (bounded by the calendar; None stands for rows without one).
+    The kept batch is deleted once it is loaded.
     """
     schema_name = schema_name or table.namespace
     path = scratch_path(spark, "batch")
@@ -87,6 +88,7 @@ def insert_if_absent(spark: SparkSession, rows: DataFrame, table: StagingTable,
     cols = [*table.partition_by, *range_columns]
     span = batch.agg(*_spans(batch, cols)).first()
     if span["n"] == 0:
+        remove_path(spark, path)
         return LoadReport(schema_name, table.label, 0, 0, list(rows.columns), source_id)
     if table.schema is None:
         table.schema = rows.schema
@@ -96,8 +98,9 @@ def insert_if_absent(spark: SparkSession, rows: DataFrame, table: StagingTable,
     table.append(insert_new_rows(batch, existing), observation=written)
     days = []
     if day_columns:
-        found = batch.select(F.explode(F.array(*day_columns)).alias("day")).where("day is not null").distinct()
-        days = sorted(r[0] for r in found.collect())
+        found = batch.select(F.explode(F.array(*day_columns)).alias("day")).distinct()
+        days = sorted((r[0] for r in found.collect()), key=lambda d: (d is not None, d))
+    remove_path(spark, path)
     return LoadReport(schema_name, table.label, int(span["n"]), int(written.get["n"]), list(rows.columns), source_id, days)
 
 
