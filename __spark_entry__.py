@@ -28,6 +28,7 @@ from tradelens.functions import scalars as S
 from tradelens.functions.identity import with_row_id
 from tradelens.operators import aggregates as AG
 from tradelens.operators import legs as LG
+from tradelens.plans import incremental as IN
 from tradelens.plans import price_gap as PG
 from tradelens.sources import fixtures as FX
 from tradelens.sources import prices as PR
@@ -461,6 +462,31 @@ def q_materialized_summary(spark, sf_dir):
                "total_units_bought": 6, "avg_buy_price": 6, "avg_sell_price": 6})
 
 
+def _incremental(spark, sf_dir):
+    """States after four loads: the early prices and trades, the late prices, the late trades with
+    all trades again, and everything again."""
+    trades, prices = _tables(spark, sf_dir)
+    base = _session.scratch_path(spark, "incremental")
+    t, p = JB.trades_table(spark, path=f"{base}/trades"), JB.prices_table(spark, path=f"{base}/prices")
+    trades = with_row_id(_drifted(trades).select(*JB.TRADE_COLUMNS))
+    prices = with_row_id(prices.select(*JB.PRICE_COLUMNS))
+    late_price = F.hour(F.col("date_time").cast("timestamp_ntz")) >= 18
+    results = IN.IncrementalResults(spark, f"{base}/states", t, p)
+    results.load(trades.where(F.minute("block_time") < 40), prices.where(~late_price))
+    results.load(None, prices.where(late_price))
+    results.load(trades)
+    results.load(trades, prices)
+    return results
+
+
+def q_incremental_price_gap(spark, sf_dir):
+    return _r(_incremental(spark, sf_dir).price_gap(), {"avg_price_difference": 6})
+
+
+def q_incremental_summary(spark, sf_dir):
+    return _r(_incremental(spark, sf_dir).summary(), _SUMMARY_DIGITS)
+
+
 def q_stream_load_replayed(spark, sf_dir):
     events = _events(spark, sf_dir)
     base = _session.scratch_path(spark, "price-stream")
@@ -509,6 +535,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "materialized_price_gap": q_materialized_price_gap,
     "materialized_summary": q_materialized_summary,
     "materialized_null_days": q_materialized_null_days,
+    "incremental_price_gap": q_incremental_price_gap,
+    "incremental_summary": q_incremental_summary,
     "published_views_read": q_published_views_read,
     "replay_odd_partitions": q_replay_odd_partitions,
     "seeded_table": q_seeded_table,
@@ -751,6 +779,9 @@ SELECT coin, date_time, prices, market_cap, total_volume FROM coin_prices""",
 FROM events""",
 })
 
+_ORACLE["incremental_price_gap"] = _ORACLE["materialized_price_gap"]
+_ORACLE["incremental_summary"] = _ORACLE["materialized_summary"]
+
 
 # --------------------------------------------------------------------------- optional parts
 

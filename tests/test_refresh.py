@@ -103,3 +103,96 @@ def test_loads_and_refreshes_leave_no_scratch_folder(spark):
         LD.insert_if_absent(spark, with_row_id(t), trades, day_columns=(F.to_date("block_time"),)),
         LD.insert_if_absent(spark, with_row_id(p), prices)])
     assert set(glob.glob(f"{root}/*")) - before == {base}
+
+
+# --------------------------------------------------------------------------- incremental results
+
+def _results(spark, name="inc"):
+    from tradelens.plans.incremental import IncrementalResults
+    base = scratch_path(spark, name)
+    return IncrementalResults(spark, f"{base}/states", JB.trades_table(spark, path=f"{base}/t"),
+                              JB.prices_table(spark, path=f"{base}/p"))
+
+
+def _same(results, t, p):
+    from tradelens.operators.aggregates import daily_trade_summary
+    from tradelens.plans.price_gap import price_gap_daily
+    assert _rows(results.summary()) == _rows(daily_trade_summary(t.distinct()))
+    got = {(r.date, r.token): r.avg_price_difference for r in results.price_gap().collect()}
+    want = {(r.date, r.token): r.avg_price_difference for r in price_gap_daily(t.distinct(), p.distinct()).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def _history(spark):
+    rows = [trade(f"2024-01-0{d} {h:02d}:15:00", buy_price=float(h + d), sell_price=1.0 + d / 4, tx_hash=f"h{h % 3}",
+                  token_pair=None if h == 4 else "USDC-WETH") for d in (3, 4, 5) for h in (1, 4, 13, 16)]
+    rows += [trade("2024-01-04 13:15:00", buy_price=None, tx_hash=None), rows[0]]
+    quotes = [price(f"2024-01-0{d} {h:02d}:30:00", coin, float(d + h)) for d in (3, 4, 5) for h in (1, 4, 13)
+              for coin in ("ethereum", "usd-coin", "other")]
+    t, p = frames(spark, rows, quotes)
+    undated = F.when((F.col("tx_hash") != "h1") | F.col("tx_hash").isNull(), F.col("block_date"))
+    return t.withColumn("block_date", undated), p
+
+
+def test_late_trades_and_prices_update_both_results(spark):
+    t, p = _history(spark)
+    ids, quotes = with_row_id(t), with_row_id(p)
+    results = _results(spark)
+    early, first = F.hour("block_time") < 10, F.substring("date_time", 12, 2) < "04"
+    reports = results.load(ids.where(early), quotes.where(first))
+    assert [(r.total_rows, r.inserted_rows) for r in reports] == [(7, 6), (9, 9)]
+    _same(results, t.where(early), p.where(first))
+    results.load(None, quotes)                       # late prices meet the stored legs
+    _same(results, t.where(early), p)
+    reports = results.load(ids)                      # late trades meet the stored quotes
+    assert reports[0].total_rows == 14 and reports[0].inserted_rows == 7
+    _same(results, t, p)
+    results.load(ids, quotes)
+    results.load(ids.limit(0), None)
+    _same(results, t, p)
+    assert results.trades.read().count() == 13 and results.recover() == []
+
+
+def test_a_delta_reads_the_touched_days_states_and_no_trade(spark):
+    t, p = _history(spark)
+    results = _results(spark, "inc-plan")
+    results.load(with_row_id(t), with_row_id(p))
+    days = [D(2024, 1, 4)]
+    late, _ = frames(spark, [trade("2024-01-04 01:20:00", buy_price=9.0, tx_hash="new")], [])
+    delta = results.gap_delta(results.legs_of(late), results.quotes_of(p.limit(0)), results.state("legs", [], "b"),
+                              results.state("quotes", days, "b"))
+    sums = results.hash_sums(late, results.state("hashes", days, "b"))
+    for plan in (_plan(delta), _plan(sums)):
+        assert any("day#" in scan.split("PushedFilters")[0] for scan in plan.split("PartitionFilters: ")[1:])
+    files = {f for df in (delta, sums) for f in df.inputFiles()}
+    assert files and not any("/t/" in f for f in files)
+    assert {r.day for r in results.state("quotes", days, "b").select("day").distinct().collect()} == set(days)
+
+
+@pytest.mark.parametrize("step", ["keep", "insert", "gap"])
+def test_a_load_that_died_is_finished_or_dropped(spark, monkeypatch, step):
+    from tradelens.plans import incremental as IN
+    t, p = _history(spark)
+    early = F.hour("block_time") < 10
+    results = _results(spark, f"inc-{step}")
+    results.load(with_row_id(t.where(early)), with_row_id(p))
+    lost = RuntimeError("lost")
+
+    def fail(*args, **kwargs):
+        raise lost
+
+    with monkeypatch.context() as m:
+        write = results._write
+        if step == "keep":
+            m.setattr(IN, "new_rows", fail)
+        elif step == "insert":
+            m.setattr(IN, "insert_if_absent", fail)
+        else:
+            m.setattr(results, "_write", lambda name, *a: fail() if name == step else write(name, *a))
+        with pytest.raises(RuntimeError, match="lost"):
+            results.load(with_row_id(t))
+    assert len(results.recover()) == (step != "keep")
+    _same(results, t.where(early) if step == "keep" else t, p)
+    results.load(with_row_id(t), with_row_id(p))
+    _same(results, t, p)

@@ -55,7 +55,7 @@ def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap
             F.avg("external_price").alias("external_price"), F.lit(1).cast("long").alias("n"))
     else:
         side = weighted_prices(prices, mode, mapping)
-    pairs = _spread_join(legs, side, broadcast_max_rows, mapped_prices(prices, mode, mapping))
+    pairs = spread_join(legs, side, broadcast_max_rows, mapped_prices(prices, mode, mapping))
     weight = F.col("m") * F.col("n")
     diff = price_gap("trade_price", "external_price", gap, on_zero)
     # Group on the integer day (cheap per joined row); format the date text only
@@ -67,7 +67,7 @@ def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap
     return daily.select(_day_text("day"), "token", (F.col("gap_sum") / F.col("pairs")).alias("avg_price_difference"))
 
 
-def _spread_join(legs: DataFrame, side: DataFrame, broadcast_max_rows: int, bound_by: DataFrame) -> DataFrame:
+def spread_join(legs: DataFrame, side: DataFrame, broadcast_max_rows: int, bound_by: DataFrame) -> DataFrame:
     """Legs and prices of one (slot, token): broadcast under the bound, else salted."""
     keys = ["slot", "token"]
     if within_bound(side, broadcast_max_rows, bound_by):

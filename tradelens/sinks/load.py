@@ -68,6 +68,20 @@ def _existing_ids(table: StagingTable, cols: list[str], span) -> DataFrame:
     return stored.select("id")
 
 
+def new_rows(spark: SparkSession, rows: DataFrame, table: StagingTable,
+             range_columns: tuple[str, ...] = ()) -> tuple[int, DataFrame, str]:
+    """``(rows in the batch, those the table does not hold, one per id, the kept batch's folder)``.
+
+    The caller deletes the folder once it has used the rows."""
+    path = scratch_path(spark, "batch")
+    rows.write.parquet(path)
+    batch = spark.read.schema(rows.schema).parquet(path)
+    cols = [*table.partition_by, *range_columns]
+    span = batch.agg(*_spans(batch, cols)).first()
+    stored = span["n"] and table.exists()
+    return int(span["n"]), insert_new_rows(batch, _existing_ids(table, cols, span) if stored else None), path
+
+
 def insert_if_absent(spark: SparkSession, rows: DataFrame, table: StagingTable,
                      schema_name: str | None = None, range_columns: tuple[str, ...] = (),
                      source_id: str | None = None, day_columns: tuple[Column, ...] = ()) -> LoadReport:

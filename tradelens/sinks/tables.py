@@ -69,7 +69,7 @@ class StagingTable:
     def exists(self) -> bool:
         if self.name is not None:
             return self.spark.catalog.tableExists(self.name)
-        return _path_exists(self.spark, self.path)
+        return path_exists(self.spark, self.path)
 
     def ensure(self, schema: T.StructType | None = None) -> bool:
         """Create the empty table with the declared schema if absent; True if created."""
@@ -125,7 +125,7 @@ class StagingTable:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder exists, asked of the cluster file system (HDFS, object stores,
     local) through Hadoop's FileSystem API.  Where no JVM gateway exists (Spark
     Connect), creating a reader on the folder is the probe (a missing folder fails
@@ -142,6 +142,13 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder, sorted; none if it does not exist."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()) if fs.exists(hpath) else []
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder through the cluster's file system, if it exists."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
