@@ -344,6 +344,45 @@ def q_landed_price_docs(spark, sf_dir):
     return PR.read_price_docs(spark, path)
 
 
+def _bad_docs(points):
+    """Three documents per coin and hour that do not load: cut off, without prices, unequal arrays."""
+    hours = points.select("coin", F.floor(F.col("ms") / 3_600_000).cast("string").alias("h")).distinct()
+    texts = [F.concat(F.lit('{"prices": [['), "h"), F.concat(F.lit('{"error": "rate limited", "hour": '), "h", F.lit("}")),
+             F.concat(F.lit('{"prices": [[1, 2]], "market_caps": [], "total_volumes": [], "hour": '), "h", F.lit("}"))]
+    return hours.select("coin", F.explode(F.array(*texts)).alias("doc"))
+
+
+def _quarantined(prices, rejected):
+    loaded = prices.groupBy("coin").agg(F.count(F.lit(1)).alias("n")).select("coin", F.lit("loaded").alias("outcome"), "n")
+    return loaded.unionByName(rejected.groupBy("coin", F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n")))
+
+
+def _land_with_bad_docs(spark, sf_dir, path):
+    points = FX.price_points_from_events(_events(spark, sf_dir))
+    good = PR.price_docs_from_prices(points).select("coin", "doc")
+    ST.land_price_docs(good.unionByName(_bad_docs(points)), path)
+
+
+def q_quarantined_price_docs(spark, sf_dir):
+    """Good and bad documents loaded twice in batch: points per coin, rejected documents by reason."""
+    base = _session.scratch_path(spark, "quarantine")
+    _land_with_bad_docs(spark, sf_dir, f"{base}/landing")
+    p, bad = JB.prices_table(spark, path=f"{base}/prices"), JB.rejected_table(spark, path=f"{base}/rejected")
+    for _ in range(2):
+        JB.load_price_docs(spark, PR.landed_docs(spark, f"{base}/landing"), p, bad)
+    return _quarantined(p.read(), bad.read())
+
+
+def q_stream_quarantine(spark, sf_dir):
+    """The same documents as a stream, replayed under a new checkpoint."""
+    base = _session.scratch_path(spark, "quarantine-stream")
+    _land_with_bad_docs(spark, sf_dir, f"{base}/landing")
+    p, bad = JB.prices_table(spark, path=f"{base}/prices"), JB.rejected_table(spark, path=f"{base}/rejected")
+    for run in range(2):
+        ST.stream_price_docs(spark, f"{base}/landing", p, f"{base}/checkpoint-{run}", rejected=bad).awaitTermination()
+    return _quarantined(p.read(), bad.read())
+
+
 def q_staged_trades(spark, sf_dir):
     """A source frame with raw column names -> cleaned names, staging types, id."""
     events = _events(spark, sf_dir)
@@ -541,6 +580,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "replay_odd_partitions": q_replay_odd_partitions,
     "seeded_table": q_seeded_table,
     "landed_price_docs": q_landed_price_docs,
+    "quarantined_price_docs": q_quarantined_price_docs,
+    "stream_quarantine": q_stream_quarantine,
     "staged_types": q_staged_types,
 }
 
@@ -779,6 +820,12 @@ SELECT coin, date_time, prices, market_cap, total_volume FROM coin_prices""",
 FROM events""",
 })
 
+_ORACLE["quarantined_price_docs"] = _ORACLE["stream_quarantine"] = f"""WITH {_FIXTURE_CTES},
+hours AS (SELECT coin, count(DISTINCT floor(epoch(CAST(date_time AS TIMESTAMP)) / 3600)) AS n FROM coin_prices GROUP BY coin)
+SELECT coin, 'loaded' AS outcome, count(*) AS n
+FROM (SELECT DISTINCT {_PRICE_ROW_COLS} FROM coin_prices) GROUP BY coin
+UNION ALL
+SELECT coin, unnest(['{PR.NOT_JSON}', '{PR.NO_PRICES}', '{PR.UNEQUAL}']), n FROM hours"""
 _ORACLE["incremental_price_gap"] = _ORACLE["materialized_price_gap"]
 _ORACLE["incremental_summary"] = _ORACLE["materialized_summary"]
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import functools
 import operator
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +18,12 @@ from .functions.identity import with_row_id
 from .functions.scalars import days_before, month_start
 from .operators.aggregates import daily_trade_summary
 from .plans.price_gap import price_gap_daily
-from .schemas import COIN_PRICES, TRADES
+from .schemas import COIN_PRICES, REJECTED_DOCS, TRADES
 from .sinks.load import LoadReport, insert_if_absent
 from .session import scratch_path
 from .sinks.tables import StagingTable, remove_path
 from .sinks.views import publish_views
-from .sources.prices import price_window
+from .sources.prices import checked_price_docs, loadable_prices, price_window, rejected_docs
 
 # The coins and the trade direction loaded by default.
 DEFAULT_COINS = ("ethereum", "usd-coin")
@@ -49,6 +50,39 @@ def prices_table(spark: SparkSession, name: str | None = None, path: str | None
     return StagingTable(spark, name=name, path=path, schema=COIN_PRICES, partition_by=["coin"])
 
 
+def rejected_table(spark: SparkSession, name: str | None = None, path: str | None = None) -> StagingTable:
+    """The quarantine of price documents that do not load, partitioned by coin."""
+    return StagingTable(spark, name=name, path=path, schema=REJECTED_DOCS, partition_by=["coin"])
+
+
+def load_price_docs(spark: SparkSession, docs: DataFrame, prices: StagingTable, rejected: StagingTable) -> DocLoad:
+    """Load landed documents (``sources.prices.landed_docs``): their points into ``prices``, the
+    documents that do not load into ``rejected``, each once however often they are read.
+
+    The documents are parsed once, into the shared scratch folder."""
+    path = scratch_path(spark, "docs")
+    checked = checked_price_docs(docs)
+    checked.write.parquet(path)
+    checked = spark.read.schema(checked.schema).parquet(path)
+    counts = checked.agg(F.count(F.lit(1)).alias("n"), F.count("reason").alias("bad")).first()
+    points = insert_if_absent(spark, with_row_id(loadable_prices(checked).select(*PRICE_COLUMNS)), prices, range_columns=("date_time",))
+    rejected.ensure()
+    bad = insert_if_absent(spark, with_row_id(rejected_docs(checked)), rejected)
+    remove_path(spark, path)
+    return DocLoad(counts["n"], counts["n"] - counts["bad"], counts["bad"], points, bad)
+
+
+@dataclass
+class DocLoad:
+    """Documents read, loaded and rejected (they add up), and the reports of the two tables."""
+
+    documents: int
+    loaded: int
+    rejected: int
+    points: LoadReport
+    quarantine: LoadReport
+
+
 def load_trades(spark: SparkSession, source: DataFrame, table: StagingTable, as_of, initial: bool = False,
                 buy_token: str = DEFAULT_BUY_TOKEN, sell_token: str = DEFAULT_SELL_TOKEN,
                 directions: list[tuple[str, str]] | None = None, source_id: str | None = None) -> LoadReport:

@@ -41,6 +41,9 @@ PRICE_DOC = T.StructType([
 PRICE_DOC_DDL = ("prices array<array<double>>, market_caps array<array<double>>, "
                  "total_volumes array<array<double>>")
 
+# Price documents that could not be loaded: the landed file, why, and the document's text.
+REJECTED_DOCS = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "coin", "file", "reason", "doc")])
+
 
 def without_id(schema: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema.fields if f.name != "id"])

@@ -11,6 +11,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import element, unix_ms_to_text
 from ..schemas import PRICE_DOC, PRICE_DOC_DDL
@@ -123,3 +124,53 @@ def read_price_docs(spark: SparkSession, path: str, multi_line: bool = False,
     if coin_from == "file_name":
         raw = raw.withColumn("coin", F.regexp_extract(F.col("_metadata.file_name"), file_pattern, 1))
     return explode_price_docs(raw).select("coin", *PRICE_ROW_COLUMNS)
+
+
+# --------------------------------------------------------------------------- documents that do not load
+
+NOT_JSON, NO_PRICES, UNEQUAL, NO_TIME = "not a JSON document", "no prices", "arrays differ in length", "a point without time"
+_ARRAYS = ["prices", "market_caps", "total_volumes"]
+
+
+def landed_docs(spark: SparkSession, path: str, multi_line: bool = False, coin_from: str = "folder",
+                file_pattern: str = COIN_FILE_PATTERN, stream_options: dict | None = None) -> DataFrame:
+    """Landed documents as text: ``(coin, file, doc)``, without blank ones.
+
+    The options are those of ``read_price_docs``; with ``stream_options`` (may be empty) it is a
+    streaming read."""
+    if coin_from not in ("folder", "file_name"):
+        raise ValueError("coin_from must be 'folder' or 'file_name'")
+    reader = spark.read if stream_options is None else spark.readStream.options(**stream_options)
+    ddl = "value string" + (", coin string" if coin_from == "folder" else "")
+    raw = reader.schema(ddl).option("wholetext", str(multi_line).lower()).format("text").load(path)
+    coin = F.col("coin") if coin_from == "folder" else F.regexp_extract(F.col("_metadata.file_name"), file_pattern, 1)
+    return raw.where(F.trim(F.regexp_replace("value", r"[\r\n\t]", " ")) != "").select(
+        coin.alias("coin"), F.col("_metadata.file_path").alias("file"), F.col("value").alias("doc"))
+
+
+def checked_price_docs(docs: DataFrame) -> DataFrame:
+    """``docs`` (``coin, file, doc``) with the three arrays and ``reason``: why the document does
+    not load, null if it does.
+
+    A document loads whole or not at all: it must be a JSON object whose ``prices`` is an array
+    of points with times and whose other two arrays are as long."""
+    schema = T.StructType([*PRICE_DOC.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json("doc", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    rows = docs.select("coin", "file", "doc", parsed.alias("d")).select("coin", "file", "doc", "d.*")
+    size = [F.coalesce(F.size(c), F.lit(-1)) for c in _ARRAYS]
+    timed = F.forall("prices", lambda p: p.isNotNull() & F.get(p, F.lit(0)).isNotNull())
+    reason = (F.when(F.col("_corrupt").isNotNull(), NOT_JSON)
+              .when(F.col("prices").isNull(), NO_PRICES)
+              .when((size[0] != size[1]) | (size[0] != size[2]), UNEQUAL)
+              .when(~timed, NO_TIME))
+    return rows.select("coin", "file", "doc", *_ARRAYS, reason.alias("reason"))
+
+
+def loadable_prices(checked: DataFrame) -> DataFrame:
+    """The points of the documents that load: ``coin`` and the price columns."""
+    return explode_price_docs(checked.where("reason is null").select("coin", *_ARRAYS)).select("coin", *PRICE_ROW_COLUMNS)
+
+
+def rejected_docs(checked: DataFrame) -> DataFrame:
+    """``(coin, file, reason, doc)`` of the others."""
+    return checked.where("reason is not null").select("coin", "file", "reason", "doc")
