@@ -198,6 +198,15 @@ def q_row_ids(spark, sf_dir):
     return with_row_id(trades.select(*cols))
 
 
+def q_float_row_ids(spark, sf_dir):
+    """Ids over floats of every layout: short and long fractions, large and small exponents."""
+    v = F.col("value")
+    return with_row_id(_events(spark, sf_dir).select(
+        "event_id", v.alias("plain"), (v / 3).alias("third"), (v * 1e-9).alias("small"), (v / 7 * 1e15).alias("large"),
+        (-v * 1e18).alias("huge"), F.floor(v).cast("double").alias("whole"),
+        F.when(F.col("event_id") % 3 != 0, v / 1e5).alias("missing")))
+
+
 # --- staging loads (pure DataFrame form of insert-if-absent and its report)
 
 FIRST_HALF_END = "2024-01-16"      # existing rows: block_date before this day
@@ -560,6 +569,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "price_docs_exploded": q_price_docs_exploded,
     "rows_as_json": q_rows_as_json,
     "row_ids": q_row_ids,
+    "float_row_ids": q_float_row_ids,
     "insert_if_absent": q_insert_if_absent,
     "seed_if_empty": q_seed_if_empty,
     "load_report": q_load_report,
@@ -820,6 +830,15 @@ SELECT coin, date_time, prices, market_cap, total_volume FROM coin_prices""",
 FROM events""",
 })
 
+_ORACLE["float_row_ids"] = """WITH r AS (
+  SELECT event_id, value AS plain, value / 3 AS third, value * CAST('1e-9' AS DOUBLE) AS small,
+         value / 7 * CAST('1e15' AS DOUBLE) AS large, -value * CAST('1e18' AS DOUBLE) AS huge, CAST(floor(value) AS DOUBLE) AS whole,
+         CASE WHEN event_id % 3 <> 0 THEN value / CAST('1e5' AS DOUBLE) END AS missing FROM events),
+h AS (SELECT *, md5(concat_ws(',', CAST(event_id AS VARCHAR), CAST(plain AS VARCHAR), CAST(third AS VARCHAR), CAST(small AS VARCHAR),
+                               CAST(large AS VARCHAR), CAST(huge AS VARCHAR), CAST(whole AS VARCHAR),
+                               coalesce(CAST(missing AS VARCHAR), 'None'))) AS hx FROM r)
+SELECT substr(hx, 1, 8) || '-' || substr(hx, 9, 4) || '-' || substr(hx, 13, 4) || '-' || substr(hx, 17, 4)
+       || '-' || substr(hx, 21, 12) AS id, * EXCLUDE (hx) FROM h"""
 _ORACLE["quarantined_price_docs"] = _ORACLE["stream_quarantine"] = f"""WITH {_FIXTURE_CTES},
 hours AS (SELECT coin, count(DISTINCT floor(epoch(CAST(date_time AS TIMESTAMP)) / 3600)) AS n FROM coin_prices GROUP BY coin)
 SELECT coin, 'loaded' AS outcome, count(*) AS n
