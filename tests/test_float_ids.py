@@ -9,7 +9,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from tradelens.functions.identity import float_text, with_row_id
+from tradelens.functions.identity import float_texts, with_row_id
 
 EDGES = [0.1, 1e-05, 1e7, 12345678.9, 1e16, 1e15, 9999999999999998.0, 123456789012345680.0, 0.0001, 0.00012345, 9.5e-05, 0.0, -0.0,
          1e22, 1e23, 2e23, 8.41e21, 9.3e-5, 5e-324, 4.9e-323, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308,
@@ -19,7 +19,7 @@ EDGES = [0.1, 1e-05, 1e7, 12345678.9, 1e16, 1e15, 9999999999999998.0, 1234567890
 
 def _texts(spark, values):
     df = spark.createDataFrame(list(enumerate(values)), "i int, x double").repartition(4)
-    return [r[1] for r in sorted(df.select("i", float_text("x")).collect())]
+    return [r[1] for r in sorted(df.select("i", float_texts([F.col("x")])[0]).collect())]
 
 
 def test_edges(spark):

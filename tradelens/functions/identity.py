@@ -18,23 +18,27 @@ def uuid_text(hex32) -> Column:
                        F.substring(h, 17, 4), F.substring(h, 21, 12))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _laid_out(sci: Column) -> Column:
     """``d.ddde+xx`` as Python prints the number: fixed from 1e-4 to below 1e16, no idle zeros."""
-    parts = F.split(sci, "e")
-    digits = F.regexp_replace(F.regexp_replace(F.get(parts, F.lit(0)), r"\.", ""), "0+$", "")
-
     def text(p: Column) -> Column:
-        d, e = p["digits"], p["e"]
-        n = F.length(d)
-        exponent = F.concat(F.when(e < 0, "-").otherwise("+"), F.when(F.abs(e) < 10, "0").otherwise(""), F.abs(e).cast("string"))
-        return (F.when((e < -4) | (e >= 16), F.concat(F.substring(d, 1, 1), F.when(n > 1, ".").otherwise(""), d.substr(F.lit(2), n),
-                                                       F.lit("e"), exponent))
+        d, e, n = p["digits"], p["e"], p["n"]
+        exponent = F.format_string("e%s%02d", F.when(e < 0, "-").otherwise("+"), F.abs(e))
+        point = F.when(n > 1, ".").otherwise("")
+        return (F.when((e < -4) | (e >= 16), F.concat(F.substring(d, 1, 1), point, d.substr(F.lit(2), n), exponent))
                 .when(e < 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -e - 1), d))
-                .when(n <= e + 1, F.concat(d, F.repeat(F.lit("0"), e + 1 - n), F.lit(".0")))
+                .when(n <= e + 1, F.concat(F.rpad(d, e + 1, "0"), F.lit(".0")))
                 .otherwise(F.concat(d.substr(F.lit(1), e + 1), F.lit("."), d.substr(e + 2, n))))
 
-    bound = F.array(F.struct(digits.alias("digits"), F.get(parts, F.lit(1)).cast("int").alias("e")))
-    return F.get(F.transform(bound, text), F.lit(0))
+    def parts(p: Column) -> Column:
+        digits = F.regexp_replace(F.regexp_replace(F.get(p, F.lit(0)), r"\.", ""), "0+$", "")
+        return _let(digits, lambda d: F.struct(d.alias("digits"), F.length(d).alias("n"), F.get(p, F.lit(1)).cast("int").alias("e")))
+
+    return _let(_let(F.split(sci, "e"), parts), text)
 
 
 # Below it doubles are subnormal and may have fewer than 15 telling digits.
@@ -46,52 +50,55 @@ def _shortest(x: Column) -> Column:
 
     A normal double that has such a text of at most 15 digits has only one, so those need no
     search; otherwise it takes 16 or 17."""
-    def digits(p: int) -> Column:
-        return F.format_string(f"%.{p - 1}e", x)
-
-    # Whole numbers that fit into a long are printed from their exact digits, which rounded twice
-    # can end on the wrong side of a half: they are rounded once, as longs.
-    whole = x.cast("long")
-    length = F.length(whole.cast("string"))
-
-    def rounded(p: int) -> tuple[Column, Column]:
-        cut = F.greatest(length - p, F.lit(0))
-        unit = F.pow(F.lit(10.0), cut).cast("long")
-        kept, rest = F.call_function("div", whole, unit), whole % unit
-        up = (rest * 2 > unit) | ((rest * 2 == unit) & (kept % 2 == 1))
-        q = F.when(up, kept + 1).otherwise(kept).cast("string")
-        same = F.concat(q, F.lit("e"), cut.cast("string")).cast("double") == x
-        return same, F.concat(q, F.lit("e"), (F.length(q) + cut - 1).cast("string"))
-
-    (same15, text15), (same16, text16), (_, text17) = (rounded(p) for p in (15, 16, 17))
-    long = F.when(same15, text15).when(same16, text16).otherwise(text17)
-    any_length = F.transform(F.sequence(F.lit(0), F.lit(16)), lambda p: F.printf(F.concat(F.lit("%."), p.cast("string"), F.lit("e")), x))
-    subnormal = F.get(F.filter(any_length, lambda s: s.cast("double") == x), F.lit(0))
-    return (F.when(x < _SMALLEST_NORMAL, subnormal).when(x.between(2.0**53, 2.0**63 - 1024), long).when(digits(15).cast("double") == x, digits(15))
-            .when(digits(16).cast("double") == x, digits(16)).otherwise(digits(17)))
-
-
-def float_text(c) -> Column:
-    """A double (or float, by its own shortest text) as Python's ``str`` prints it.
-
-    The JVM's text is already that one if it is short and has no exponent: then its at most 15
+    def printed(p: Column) -> Column:
+        return F.printf(F.concat(F.lit("%."), p.cast("string"), F.lit("e")), x)
+
+    places = F.when(x < _SMALLEST_NORMAL, F.sequence(F.lit(0), F.lit(16))).otherwise(F.array(*map(F.lit, (14, 15, 16))))
+    return F.get(F.filter(F.transform(places, printed), lambda s: s.cast("double") == x), F.lit(0))
+
+
+def _shortest_whole(x: Column) -> Column:
+    """The same for whole numbers that fit into a long: they are rounded once, from their exact
+    digits, since a text that is rounded twice can end on the wrong side of a half."""
+    def rounded(whole: Column, unit: Column) -> Column:
+        def text(k: Column) -> Column:
+            up = (k["rest"] * 2 > unit) | ((k["rest"] * 2 == unit) & (k["kept"] % 2 == 1))
+            cut = F.length(unit.cast("string")) - 1
+            return _let((k["kept"] + F.when(up, 1).otherwise(0)).cast("string"), lambda q: F.struct(
+                F.concat(q, F.lit("e"), (F.length(q) + cut - 1).cast("string")).alias("text"),
+                F.concat(q, F.lit("e"), cut.cast("string")).cast("double").alias("value")))
+
+        return _let(F.struct(F.call_function("div", whole, unit).alias("kept"), (whole % unit).alias("rest")), text)
+
+    def texts(whole: Column) -> Column:
+        digits = F.length(whole.cast("string"))
+        units = F.transform(F.array(*map(F.lit, (15, 16, 17))), lambda p: F.pow(F.lit(10.0), F.greatest(digits - p, F.lit(0))).cast("long"))
+        return F.transform(units, lambda unit: rounded(whole, unit))
+
+    return F.get(F.filter(_let(x.cast("long"), texts), lambda t: t["value"] == x), F.lit(0))["text"]
+
+
+def _float_text(x: Column) -> Column:
+    """The JVM's text is already Python's if it is short and has no exponent: then its at most 15
     digits are the only ones of that length that read back as the number."""
-    x = (F.col(c) if isinstance(c, str) else c).cast("double")
-    plain = x.cast("string")
-    searched = F.get(F.transform(F.array(F.abs(x)), lambda v: _laid_out(_shortest(v))), F.lit(0))
-    return (F.when(F.isnan(x), "nan").when(F.abs(x) == float("inf"), F.when(x > 0, "inf").otherwise("-inf"))
-            .when(F.length(plain).between(1, 16) & ~F.contains(plain, F.lit("E")), plain)
-            .when(x.isNotNull(), F.concat(F.when(x < 0, "-").otherwise(""), searched)))
+    searched = _let(F.abs(x), lambda v: _laid_out(
+        F.when(v.between(2.0**53, 2.0**63 - 1024), _shortest_whole(v)).otherwise(_shortest(v))))
+    return _let(x.cast("string"), lambda plain: (
+        F.when(F.isnan(x), "nan").when(F.abs(x) == float("inf"), F.when(x > 0, "inf").otherwise("-inf"))
+        .when(F.length(plain).between(1, 16) & ~F.contains(plain, F.lit("E")), plain)
+        .when(x.isNotNull(), F.concat(F.when(x < 0, "-").otherwise(""), searched))))
+
+
+def float_texts(columns: list[Column]) -> Column:
+    """An array of the doubles' texts as Python's ``str`` prints them (null stays null).  One
+    expression serves all columns, so the plan does not grow with them."""
+    return F.transform(F.array(*[c.cast("double") for c in columns]), _float_text)
 
 
 def _as_text(field: T.StructField) -> Column:
     c = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.BooleanType):
         text = F.when(c, F.lit(TRUE_TEXT)).when(~c, F.lit(FALSE_TEXT))
-    elif isinstance(field.dataType, T.FloatType):
-        text = float_text(c.cast("string"))
-    elif isinstance(field.dataType, T.DoubleType):
-        text = float_text(c)
     else:
         text = c.cast("string")
     return F.coalesce(text, F.lit(NULL_TEXT))
@@ -101,13 +108,22 @@ def content_id(df: DataFrame, cols: list[str] | None = None) -> Column:
     """UUID text of the MD5 of the row's columns joined by ',' (NULL -> 'None').
 
     ``concat_ws`` alone would skip NULLs, so each value is coalesced first.  Floats are printed as
-    Python prints them (``float_text``), so ids equal those of rows hashed there.
+    Python prints them (``float_texts``), so ids equal those of rows hashed there.
     Two rows with equal content get one id; ``('a,b','c')`` and ``('a','b,c')`` too.
     """
     names = [c for c in (cols or df.columns) if c != "id"]
     fields = {f.name: f for f in df.schema.fields}
-    text = F.concat_ws(",", *[_as_text(fields[n]) for n in names])
-    return uuid_text(F.md5(text))
+    floats = [n for n in names if isinstance(fields[n].dataType, (T.FloatType, T.DoubleType))]
+
+    def joined(texts: Column | None) -> Column:
+        return F.concat_ws(",", *[F.coalesce(F.get(texts, F.lit(floats.index(n))), F.lit(NULL_TEXT)) if n in floats
+                                  else _as_text(fields[n]) for n in names])
+
+    if not floats:
+        return uuid_text(F.md5(joined(None)))
+    # A single-precision number is printed by its own shortest text.
+    values = [F.col(f"`{n}`").cast("string") if isinstance(fields[n].dataType, T.FloatType) else F.col(f"`{n}`") for n in floats]
+    return uuid_text(F.md5(_let(float_texts(values), joined)))
 
 
 def with_row_id(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
