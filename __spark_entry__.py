@@ -147,14 +147,7 @@ def q_trades_prev_day(spark, sf_dir):
 def q_price_window(spark, sf_dir):
     _, prices = _tables(spark, sf_dir)
     d = _dt.date.fromisoformat(AS_OF) - _dt.timedelta(days=1)
-    parts = []
-    for coin in ("ethereum", "usd-coin"):
-        parts.append(PR.init_price_window(prices, coin, AS_OF).withColumn("load", F.lit("init")))
-        parts.append(PR.update_price_window(prices, coin, d).withColumn("load", F.lit("update")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return PR.price_windows(prices, JB.DEFAULT_COINS, AS_OF, d)
 
 
 def q_hour_keys(spark, sf_dir):

@@ -39,3 +39,20 @@ def test_price_windows(spark):
     assert start == ["2024-02-14 23:59:59"]
     day = [r.date_time for r in PR.update_price_window(p, "ethereum", "2024-02-14").collect()]
     assert day == ["2024-02-14 23:59:59"]
+
+
+def test_price_windows_of_two_loads_from_one_scan(spark):
+    from helpers import frames, price
+    from tradelens.session import scratch_path
+    from tradelens.sources import prices as PR
+    times = ["2023-12-31 23:59:59", "2024-01-01 00:00:00", "2024-01-13 10:00:00", "2024-01-14 00:00:00", "2024-01-14 23:59:59",
+             "2024-01-15 00:00:00"]
+    _, p = frames(spark, [], [price(t, c) for t in times for c in ("ethereum", "usd-coin", "other")])
+    path = scratch_path(spark, "windows")
+    p.write.parquet(path)
+    p = spark.read.schema(p.schema).parquet(path)
+    got = PR.price_windows(p, ["ethereum", "usd-coin"], "2024-01-15", "2024-01-14")
+    want = [(r.date_time, r.coin, load) for c in ("ethereum", "usd-coin") for load, df in (
+        ("init", PR.init_price_window(p, c, "2024-01-15")), ("update", PR.update_price_window(p, c, "2024-01-14"))) for r in df.collect()]
+    assert sorted((r.date_time, r.coin, r.load) for r in got.collect()) == sorted(want) and len(want) == 12
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1  # noqa: SLF001

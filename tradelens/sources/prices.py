@@ -44,6 +44,18 @@ def update_price_window(prices: DataFrame, coin: str, target_date) -> DataFrame:
     return price_window(prices, coin, f"{d} 00:00:00", f"{d} 23:59:59")
 
 
+def price_windows(prices: DataFrame, coins, as_of, target_date, start=None) -> DataFrame:
+    """The rows of ``init_price_window`` and ``update_price_window`` of several coins from one scan,
+    with ``load`` (``init`` or ``update``); a row of both windows comes twice."""
+    d, day = _day(as_of), _day(target_date).isoformat()
+    first = (_day(start) if start is not None else d.replace(day=1)).isoformat()
+    spans = {"init": (f"{first} 00:00:00", f"{(d - dt.timedelta(days=1)).isoformat()} 23:59:59"),
+             "update": (f"{day} 00:00:00", f"{day} 23:59:59")}
+    rows = price_window(prices, coins, min(lo for lo, _ in spans.values()), max(hi for _, hi in spans.values()))
+    inside = F.array(*[F.when(F.col("date_time").between(lo, hi), F.lit(load)) for load, (lo, hi) in spans.items()])
+    return rows.select(*prices.columns, F.explode(F.filter(inside, lambda x: x.isNotNull())).alias("load"))
+
+
 # A built document holds at most this many points (an API page).
 MAX_DOC_POINTS = 512
 
