@@ -19,6 +19,7 @@ from .functions.scalars import days_before, month_start
 from .operators.aggregates import daily_trade_summary
 from .plans.price_gap import price_gap_daily
 from .schemas import COIN_PRICES, REJECTED_DOCS, TRADES
+from .sinks.ledger import DONE, STARTED, loaded_days, next_attempt, open_windows, write_entry
 from .sinks.load import LoadReport, insert_if_absent
 from .session import scratch_path
 from .sinks.tables import StagingTable, remove_path
@@ -85,17 +86,19 @@ class DocLoad:
 
 def load_trades(spark: SparkSession, source: DataFrame, table: StagingTable, as_of, initial: bool = False,
                 buy_token: str = DEFAULT_BUY_TOKEN, sell_token: str = DEFAULT_SELL_TOKEN,
-                directions: list[tuple[str, str]] | None = None, source_id: str | None = None) -> LoadReport:
-    """Month-to-date (initial) or previous-day (daily) trades of one direction, or of
-    several ``directions`` ``[(buy_token, sell_token), ...]`` loaded as one batch: one
-    scan with the OR of the token filters, one anti-join, one append."""
+                directions: list[tuple[str, str]] | None = None, source_id: str | None = None,
+                start=None) -> LoadReport:
+    """Month-to-date (initial; from ``start`` if given) or previous-day (daily) trades of one
+    direction, or of several ``directions`` ``[(buy_token, sell_token), ...]`` loaded as one
+    batch: one scan with the OR of the token filters, one anti-join, one append."""
     d = _day(as_of)
     pairs = directions or [(buy_token, sell_token)]
     tokens = F.lit(False)
     for buy, sell in pairs:
         tokens = tokens | ((F.col("buy_token") == buy) & (F.col("sell_token") == sell))
     day = F.col("block_date")
-    window = ((day >= month_start(F.lit(d))) & (day < F.lit(d))) if initial else (day == days_before(F.lit(d), 1))
+    since = month_start(F.lit(d)) if start is None else F.lit(_day(start))
+    window = ((day >= since) & (day < F.lit(d))) if initial else (day == days_before(F.lit(d), 1))
     return insert_if_absent(spark, with_row_id(source.where(tokens & window).select(*TRADE_COLUMNS)), table,
                             source_id=source_id, day_columns=(F.to_date("block_time"), F.col("block_date")))
 
@@ -178,6 +181,51 @@ def backfill(spark: SparkSession, trade_source: DataFrame, price_source: DataFra
     return reports
 
 
+def job_name(coins=DEFAULT_COINS, directions: list[tuple[str, str]] | None = None) -> str:
+    """What a backfill loads, as the ledger names it: other coins or directions are another job."""
+    pairs = directions or [(DEFAULT_BUY_TOKEN, DEFAULT_SELL_TOKEN)]
+    return "; ".join([", ".join(sorted(f"{sell}->{buy}" for buy, sell in pairs)), ", ".join(sorted(coins))])
+
+
+def resumable_backfill(spark: SparkSession, trade_source: DataFrame, price_source: DataFrame,
+                       trades: StagingTable, prices: StagingTable, ledger: StagingTable, as_of, start=None,
+                       window_days: int = 1, coins=DEFAULT_COINS, views_db: str | None = None,
+                       directions: list[tuple[str, str]] | None = None,
+                       results: tuple[str, str] | None = None) -> list[LoadReport]:
+    """``backfill`` in windows of ``window_days`` days from ``start`` (the month's first day) to the
+    day before ``as_of``, each written to the ledger (``sinks.ledger``) when it is done.
+
+    Days that the ledger holds as done are not read again, so a run that died goes on where it
+    stopped, and a later ``as_of`` loads the days that are new.  A window that died half-way is
+    loaded again and adds only what is missing; with ``results`` its days are refreshed before
+    it counts as done.  The views are published once every window is done.  Sources must be
+    settled for the days they are asked for: rows that come late to a finished day are the
+    daily load's, not this job's."""
+    _check_views(trades, prices, views_db)
+    for table in (trades, prices, ledger):
+        table.ensure()
+    d, job = _day(as_of), job_name(coins, directions)
+    first = d.replace(day=1) if start is None else _day(start)
+    out = []
+    for window in open_windows(first, d - dt.timedelta(days=1), loaded_days(ledger, job), window_days):
+        attempt = next_attempt(ledger, job, window)
+        write_entry(ledger, job, window, attempt, STARTED)
+        end = window[1] + dt.timedelta(days=1)
+
+        def load(begin=window[0], end=end):
+            return [load_prices(spark, price_source, prices, list(coins), end, initial=True, start=begin),
+                    load_trades(spark, trade_source, trades, end, initial=True, directions=directions, start=begin)]
+
+        loaded = load_and_refresh(spark, trades, prices, results, load) if results is not None else load()
+        of_prices, of_trades = loaded
+        write_entry(ledger, job, window, attempt, DONE, (of_trades.total_rows, of_trades.inserted_rows,
+                                                         of_prices.total_rows, of_prices.inserted_rows))
+        out += loaded
+    if views_db is not None:
+        publish_views(spark, trades.name, prices.name, target=views_db)
+    return out
+
+
 def refresh_daily_results(spark: SparkSession, trades: DataFrame, prices: DataFrame, days,
                           summary_path: str, gap_path: str, mode: str = "12h",
                           gap: str = "quarter") -> None:

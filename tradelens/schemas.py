@@ -44,6 +44,19 @@ PRICE_DOC_DDL = ("prices array<array<double>>, market_caps array<array<double>>,
 # Price documents that could not be loaded: the landed file, why, and the document's text.
 REJECTED_DOCS = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "coin", "file", "reason", "doc")])
 
+# The load ledger: one row when a window's load starts, one when it is done.
+LEDGER = T.StructType([
+    T.StructField("job", T.StringType()),
+    T.StructField("first_day", T.DateType()),
+    T.StructField("last_day", T.DateType()),
+    T.StructField("attempt", T.LongType()),
+    T.StructField("state", T.StringType()),
+    T.StructField("trade_rows", T.LongType()),
+    T.StructField("new_trades", T.LongType()),
+    T.StructField("price_rows", T.LongType()),
+    T.StructField("new_prices", T.LongType()),
+])
+
 
 def without_id(schema: T.StructType) -> T.StructType:
     return T.StructType([f for f in schema.fields if f.name != "id"])
