@@ -98,26 +98,42 @@ def float_texts(columns: list[Column]) -> Column:
 def _as_text(field: T.StructField) -> Column:
     c = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.BooleanType):
-        text = F.when(c, F.lit(TRUE_TEXT)).when(~c, F.lit(FALSE_TEXT))
-    else:
-        text = c.cast("string")
-    return F.coalesce(text, F.lit(NULL_TEXT))
+        return F.when(c, F.lit(TRUE_TEXT)).when(~c, F.lit(FALSE_TEXT))
+    return c.cast("string")
 
 
-def content_id(df: DataFrame, cols: list[str] | None = None) -> Column:
+#: Whole doubles below this are told apart, so they can be printed as integers.
+EXACT_WHOLE = 2.0**53
+
+
+def content_id(df: DataFrame, cols: list[str] | None = None, added: tuple[str, ...] = (),
+               whole: tuple[str, ...] = ()) -> Column:
     """UUID text of the MD5 of the row's columns joined by ',' (NULL -> 'None').
 
     ``concat_ws`` alone would skip NULLs, so each value is coalesced first.  Floats are printed as
     Python prints them (``float_texts``), so ids equal those of rows hashed there.
     Two rows with equal content get one id; ``('a,b','c')`` and ``('a','b,c')`` too.
+
+    For tables whose columns have changed: ``added`` columns came later; they are hashed last, as
+    ``name=text``, and not at all where they are NULL.  ``whole`` columns were integers at first;
+    their whole numbers are hashed as integers.  So a row that could have been loaded before the
+    change keeps its id.
     """
     names = [c for c in (cols or df.columns) if c != "id"]
     fields = {f.name: f for f in df.schema.fields}
     floats = [n for n in names if isinstance(fields[n].dataType, (T.FloatType, T.DoubleType))]
 
+    def text(name: str, texts: Column | None) -> Column:
+        if name not in floats:
+            return _as_text(fields[name])
+        out, v = F.get(texts, F.lit(floats.index(name))), F.col(f"`{name}`")
+        if name not in whole:
+            return out
+        return F.when((v == F.rint(v)) & (F.abs(v) < EXACT_WHOLE), v.cast("long").cast("string")).otherwise(out)
+
     def joined(texts: Column | None) -> Column:
-        return F.concat_ws(",", *[F.coalesce(F.get(texts, F.lit(floats.index(n))), F.lit(NULL_TEXT)) if n in floats
-                                  else _as_text(fields[n]) for n in names])
+        return F.concat_ws(",", *[F.coalesce(text(n, texts), F.lit(NULL_TEXT)) for n in names if n not in added],
+                           *[F.concat(F.lit(f"{n}="), text(n, texts)) for n in added])
 
     if not floats:
         return uuid_text(F.md5(joined(None)))
