@@ -3,11 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tradelens.operators import legs as LG
 from tradelens.operators.joins import checked_broadcast
 from tradelens.plans import price_gap as PG
+from tradelens.session import scratch_path
 from tradelens.sources import fixtures as FX
 
 
@@ -133,3 +135,32 @@ def test_beyond_the_bound_no_estimate_can_broadcast(spark):
         assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_one_token_is_filtered_before_the_unpivot(spark):
+    trades, prices = FX.fixture_tables(spark, SF_SMALL)
+    odd = trades.withColumn("sell_token", F.when(F.col("tx_hash") < "3", F.lit("DAI")).otherwise(F.col("sell_token")))
+    base = scratch_path(spark, "one-token")
+    odd.write.parquet(f"{base}/t")
+    prices.write.parquet(f"{base}/p")
+    odd, prices = spark.read.parquet(f"{base}/t"), spark.read.parquet(f"{base}/p")
+    plan = plan_text(PG.price_gap_of_token(odd, prices, "USDC"))
+    assert "Or(EqualTo(sell_token,USDC),EqualTo(buy_token,USDC))" in plan and "EqualTo(coin,usd-coin)" in plan
+    want = sorted(tuple(r) for r in PG.price_gap_daily(odd, prices).where("token = 'USDC'").collect())
+    got = PG.price_gap_of_token(odd, prices, "USDC")
+    assert sorted(tuple(r) for r in got.collect()) == want
+    assert PG.price_gap_of_token(odd, prices, "none such").count() == 0
+    lookup = spark.createDataFrame([("usd-coin", "USDC"), ("ethereum", "WETH")], "coin string, token string")
+    assert sorted(tuple(r) for r in PG.price_gap_of_token(odd, prices, "USDC", mapping=lookup).collect()) == want
+
+
+@pytest.mark.parametrize("max_rows", [1, 1_000_000])
+def test_token_list_forms_no_pairs(spark, max_rows):
+    from tradelens.operators import aggregates as AG
+    trades, prices = FX.fixture_tables(spark, SF_SMALL)
+    lone = trades.withColumn("buy_token", F.when(F.col("tx_hash") < "3", F.lit("DAI")).otherwise(F.col("buy_token")))
+    got = AG.tokens_with_prices(lone, prices, broadcast_max_rows=max_rows)
+    text = plan_text(got)
+    assert "LeftSemi" in text and text.count("Join") == 1
+    assert {r.token for r in got.collect()} == {r.token for r in AG.token_list(PG.price_gap_daily(lone, prices)).collect()}
+    assert AG.tokens_with_prices(lone.limit(0), prices).count() == 0

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import round_half_even, text_to_date
+from .joins import BROADCAST_MAX_ROWS, checked_broadcast
+from .legs import mapped_prices, trade_legs
 
 
 def daily_trade_summary(trades: DataFrame) -> DataFrame:
@@ -60,6 +62,18 @@ def token_list(gap: DataFrame) -> DataFrame:
     return gap.select("token").distinct()
 
 
+def tokens_with_prices(trades: DataFrame, prices: DataFrame, mode: str = "12h", mapping=None,
+                       broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """``token_list`` of the daily price gap, from its inputs: the tokens with a leg and a price in
+    one hour slot.  Distinct (slot, token) of the legs meet those of the prices, so no pair of a
+    leg and a price is formed and no gap computed."""
+    side = mapped_prices(prices, mode, mapping)
+    keys = side.select("slot", "token").distinct()
+    legs = trade_legs(trades, mode, fields=("token",)).select("slot", "token").distinct()
+    return legs.join(checked_broadcast(keys, broadcast_max_rows, side), ["slot", "token"], "left_semi").select(
+        "token").distinct()
+
+
 def token_series(gap: DataFrame) -> DataFrame:
     """One ordered series per token in long form: (token, seq, date, avg_price_difference).
 

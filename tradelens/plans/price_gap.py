@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import hour_slot, hour_text_from_slot, price_gap, slot_day
+from ..functions.scalars import COIN_TOKENS, hour_slot, hour_text_from_slot, price_gap, slot_day
 from ..operators.joins import BROADCAST_MAX_ROWS, trade_price_left_join, within_bound
 from ..operators.legs import (keyed_prices, leg_price_pairs, legs_union_all, mapped_prices, trade_legs,
                               weighted_prices)
@@ -67,6 +67,16 @@ def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap
     return daily.select(_day_text("day"), "token", (F.col("gap_sum") / F.col("pairs")).alias("avg_price_difference"))
 
 
+def price_gap_of_token(trades: DataFrame, prices: DataFrame, token: str, mapping=None, **options) -> DataFrame:
+    """``price_gap_daily`` of one token.  Trades without it on either side and prices of other
+    coins are dropped in the scan, before the trades are unpivoted."""
+    trades = trades.where((F.col("sell_token") == token) | (F.col("buy_token") == token))
+    if not isinstance(mapping, DataFrame):
+        coins = [c for c, t in (COIN_TOKENS if mapping is None else mapping).items() if t == token]
+        prices = prices.where(F.col("coin").isin(coins))
+    return price_gap_daily(trades, prices, mapping=mapping, **options).where(F.col("token") == token)
+
+
 def spread_join(legs: DataFrame, side: DataFrame, broadcast_max_rows: int, bound_by: DataFrame) -> DataFrame:
     """Legs and prices of one (slot, token): broadcast under the bound, else salted."""
     keys = ["slot", "token"]
