@@ -20,6 +20,7 @@ import importlib.util
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,8 @@ from tradelens.sources import fixtures as FX
 from tradelens.sources import prices as PR
 from tradelens.sources import trades as TR
 from tradelens import jobs as JB
+from tradelens.sinks import drift as DR
+from tradelens.sinks import ledger as LDG
 from tradelens.sinks import load as LD
 from tradelens.sinks import tables as TB
 from tradelens.sinks import views as VW
@@ -123,7 +126,7 @@ def _gap_table(spark, sf_dir):
 
 
 def q_token_list(spark, sf_dir):
-    return AG.token_list(_gap_table(spark, sf_dir))
+    return AG.tokens_with_prices(*_tables(spark, sf_dir))
 
 
 def q_token_series(spark, sf_dir):
@@ -131,7 +134,8 @@ def q_token_series(spark, sf_dir):
 
 
 def q_price_gap_one_token(spark, sf_dir):
-    return _r(AG.series_for_token(_gap_table(spark, sf_dir), "WETH"), {"avg_price_difference": 6})
+    gap = PG.price_gap_of_token(*_tables(spark, sf_dir), "WETH")
+    return _r(AG.series_for_token(gap, "WETH"), {"avg_price_difference": 6})
 
 
 def q_trades_month_to_date(spark, sf_dir):
@@ -447,6 +451,75 @@ def q_backfill_price_gap(spark, sf_dir):
     return _r(PG.price_gap_daily(t.read(), p.read()), {"avg_price_difference": 6})
 
 
+#: Days of a window of the resumed backfill, and the day on which its first run dies.
+WINDOW_DAYS, DEAD_DAY = 5, "2024-01-08"
+
+
+@contextlib.contextmanager
+def _resumed(spark, sf_dir):
+    """A backfill into fresh databases that dies in its second window, once the prices before it
+    and that window's own are asked for, and is run again: ``(staging, warehouse, trades table,
+    prices table, ledger)``."""
+    trades, prices = _tables(spark, sf_dir)
+    dead = F.when(F.substring("date_time", 1, 10) == DEAD_DAY, F.raise_error(F.lit("the price source is gone")).cast("double"))
+    dying = prices.withColumn("market_cap", dead.otherwise(F.col("market_cap")))
+    with _databases(spark, "staging", "data warehouse") as (staging, warehouse):
+        t = JB.trades_table(spark, name=f"{staging}.trades")
+        p = JB.prices_table(spark, name=f"{staging}.coin_prices")
+        ledger = LDG.ledger_table(spark, name=f"{staging}.loads")
+        for source in (dying, prices):
+            with contextlib.suppress(PySparkException) if source is dying else contextlib.nullcontext():
+                JB.resumable_backfill(spark, trades, source, t, p, ledger, AS_OF, window_days=WINDOW_DAYS, views_db=warehouse)
+        yield staging, warehouse, t, p, ledger
+
+
+def q_resumed_backfill_gap(spark, sf_dir):
+    """The published price-gap view after a backfill that died and went on."""
+    with _resumed(spark, sf_dir) as (_, warehouse, *_rest):
+        return _kept(spark, _r(spark.table(f"{warehouse}.price_gap_daily"), {"avg_price_difference": 6}))
+
+
+def q_backfill_ledger(spark, sf_dir):
+    """The ledger of the same backfill, a row per window."""
+    with _resumed(spark, sf_dir) as (*_, ledger):
+        return _kept(spark, LDG.progress(ledger, JB.job_name()))
+
+
+def q_published_headline_totals(spark, sf_dir):
+    """The totals over the published summary view, then a reset of the staging tables: the totals
+    and the number of tables that the reset left."""
+    with _resumed(spark, sf_dir) as (staging, warehouse, *tables):
+        totals = _kept(spark, AG.headline_totals(spark.table(f"{warehouse}.trade_summary_daily")))
+        TB.drop_tables(spark, [t.name for t in tables])
+        left = len([t for t in spark.catalog.listTables(staging) if not t.isTemporary])
+        return totals.withColumn("tables_left", F.lit(left).cast("long"))
+
+
+def q_drifted_loads(spark, sf_dir):
+    """Three loads whose columns change: whole amounts, then real ones with a further column, then
+    all whole amounts again as reals (a replay).  Rows and ids under the newest columns."""
+    events = _events(spark, sf_dir)
+    base = events.select(F.col("event_id").alias("Event Id"), F.col("user_id").alias("User Id"),
+                         F.col("value").alias(" Amount "), F.col("event_type").alias("Kind"))
+    half = F.col("`Event Id`") % 2 == 0
+    whole = base.where(half).withColumn(" Amount ", F.floor(" Amount ")).drop("Kind")
+    table = DR.DriftingTable(spark, _session.scratch_path(spark, "drift"))
+    for frame in (whole, base.where(~half), whole.withColumn(" Amount ", F.col(" Amount ").cast("double"))):
+        DR.load_drifting(spark, frame, table)
+    return table.read()
+
+
+def q_bucketed_id_load(spark, sf_dir):
+    """A source frame loaded twice into a catalog table bucketed by id: half of it, then all."""
+    events = _events(spark, sf_dir)
+    raw = events.select(F.col("event_id").alias("Event Id"), F.col("user_id").alias("User Id"), F.col("event_type").alias("Kind"))
+    with _databases(spark, "staging") as (staging,):
+        table = TB.StagingTable(spark, name=f"{staging}.events", bucket_by=("id", 16))
+        for frame in (raw.where(F.col("`Event Id`") % 2 == 0), raw):
+            LD.load_frame(spark, frame, table)
+        return _kept(spark, table.read().drop("id"))
+
+
 def _drifted(trades):
     """Trades some of which lie two days off their ``block_date``."""
     off = F.when(F.dayofmonth("block_time") % 3 == 0, 2).otherwise(0)
@@ -574,6 +647,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "daily_price_load_replayed": q_daily_price_load_replayed,
     "stream_load_replayed": q_stream_load_replayed,
     "backfill_price_gap": q_backfill_price_gap,
+    "resumed_backfill_gap": q_resumed_backfill_gap,
+    "backfill_ledger": q_backfill_ledger,
+    "published_headline_totals": q_published_headline_totals,
+    "drifted_loads": q_drifted_loads,
+    "bucketed_id_load": q_bucketed_id_load,
     "materialized_price_gap": q_materialized_price_gap,
     "materialized_summary": q_materialized_summary,
     "materialized_null_days": q_materialized_null_days,
@@ -838,6 +916,45 @@ SELECT coin, 'loaded' AS outcome, count(*) AS n
 FROM (SELECT DISTINCT {_PRICE_ROW_COLS} FROM coin_prices) GROUP BY coin
 UNION ALL
 SELECT coin, unnest(['{PR.NOT_JSON}', '{PR.NO_PRICES}', '{PR.UNEQUAL}']), n FROM hours"""
+_BACKFILLED = f"""WITH {_FIXTURE_CTES},
+staged_trades AS (
+  SELECT DISTINCT {_TRADE_COLS} FROM trades
+  WHERE buy_token = 'WETH' AND sell_token = 'USDC' AND block_date >= DATE '2024-01-01' AND block_date < DATE '{AS_OF}'),
+staged_prices AS (
+  SELECT DISTINCT {_PRICE_ROW_COLS} FROM coin_prices
+  WHERE coin IN ('ethereum', 'usd-coin') AND date_time BETWEEN '2024-01-01 00:00:00' AND '2024-01-14 23:59:59')"""
+_ORACLE["resumed_backfill_gap"] = _ORACLE["backfill_price_gap"]
+_ORACLE["backfill_ledger"] = _BACKFILLED + f""",
+days AS (SELECT unnest(generate_series(0, 13)) AS i),
+windows AS (SELECT DATE '2024-01-01' + CAST(min(i) AS INTEGER) AS first_day, DATE '2024-01-01' + CAST(max(i) AS INTEGER) AS last_day
+            FROM days GROUP BY i // {WINDOW_DAYS}),
+w AS (
+  SELECT first_day, last_day,
+         (SELECT count(*) FROM trades t WHERE buy_token = 'WETH' AND sell_token = 'USDC' AND block_date BETWEEN first_day AND last_day) AS trade_rows,
+         (SELECT count(*) FROM staged_trades t WHERE block_date BETWEEN first_day AND last_day) AS new_trades,
+         (SELECT count(*) FROM coin_prices p WHERE coin IN ('ethereum', 'usd-coin')
+            AND CAST(substr(date_time, 1, 10) AS DATE) BETWEEN first_day AND last_day) AS price_rows,
+         (SELECT count(*) FROM staged_prices p WHERE CAST(substr(date_time, 1, 10) AS DATE) BETWEEN first_day AND last_day) AS new_prices
+  FROM windows)
+SELECT first_day, last_day, CAST(CASE WHEN DATE '{DEAD_DAY}' BETWEEN first_day AND last_day THEN 2 ELSE 1 END AS BIGINT) AS attempts,
+       'done' AS state, trade_rows, new_trades, price_rows, new_prices FROM w"""
+_ORACLE["published_headline_totals"] = _BACKFILLED + ", " + _SUMMARY_CTE.replace("FROM trades", "FROM staged_trades") + """
+SELECT CAST(sum(no_txn) AS BIGINT) AS no_trades,
+       CAST(round_even(sum(total_units_bought), 0) AS BIGINT) AS units_bought,
+       CAST(round_even(sum(total_units_sold), 0) AS BIGINT) AS units_sold,
+       CAST(round_even(sum(total_usd_value_sold), 0) AS BIGINT) AS value_sold,
+       CAST(round_even(sum(total_usd_value_bought), 0) AS BIGINT) AS value_bought,
+       CAST(0 AS BIGINT) AS tables_left
+FROM summary"""
+_ORACLE["drifted_loads"] = """WITH r AS (
+  SELECT event_id, CAST(user_id AS BIGINT) AS user_id, CASE WHEN event_id % 2 = 0 THEN floor(value) ELSE value END AS amount,
+         CASE WHEN event_id % 2 <> 0 THEN event_type END AS kind FROM events),
+h AS (SELECT *, md5(concat_ws(',', coalesce(CAST(event_id AS VARCHAR), 'None'), coalesce(CAST(user_id AS VARCHAR), 'None'),
+             coalesce(CASE WHEN amount = floor(amount) THEN CAST(CAST(amount AS BIGINT) AS VARCHAR) ELSE CAST(amount AS VARCHAR) END, 'None'),
+             'kind=' || kind)) AS hx FROM r)
+SELECT DISTINCT substr(hx, 1, 8) || '-' || substr(hx, 9, 4) || '-' || substr(hx, 13, 4) || '-' || substr(hx, 17, 4)
+       || '-' || substr(hx, 21, 12) AS id, * EXCLUDE (hx) FROM h"""
+_ORACLE["bucketed_id_load"] = "SELECT DISTINCT event_id, CAST(user_id AS BIGINT) AS user_id, event_type AS kind FROM events"
 _ORACLE["incremental_price_gap"] = _ORACLE["materialized_price_gap"]
 _ORACLE["incremental_summary"] = _ORACLE["materialized_summary"]
 
