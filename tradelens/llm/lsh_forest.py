@@ -13,7 +13,7 @@ everything below works on classes, so groups of exact copies cost no more than o
 * Links are confirmed on the full sets, then merged into components.
 * What neighbours cannot show: in a region whose classes still lie in different components,
   members of different components are compared by sketches (a byte of every minhash), block by
-  block.  A node that looks like a member of another component is then compared with all its
+  block, each pair in the first tree whose region it shares.  A node that looks like a member of another component is then compared with all its
   members on the full sets, block by block again.  So every pair of classes that share a region
   ends up compared or already connected, without a cap, and only confirmed links are written.
 
@@ -114,8 +114,8 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, least: i
     (null if empty), and its region keys.
 
     ``sig`` holds per tree a 64-bit hash of the first ``DEPTH`` minhashes and the 32 bits of
-    the next one, ``sketch`` a byte of every minhash; both are null for sets under ``least``
-    shingles."""
+    the next one, ``sketch`` a byte of every minhash, then four bytes of every tree's hash;
+    both are null for sets under ``least`` shingles."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,13 +133,13 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, width: int, least: i
                         sketch.append(None)
                         continue
                     m = h.signature(s).astype(np.uint64)
-                    sketch.append((m & np.uint64(255)).astype(np.uint8).tobytes())
                     key = np.zeros(h.trees, np.uint64)
                     for j in range(DEPTH):
                         key = _mixed(key * _MIX_A + m[:, j] + np.uint64(j + 1))
                     row = np.empty(h.trees, dtype=[("key", "<u8"), ("next", "<u4")])
                     row["key"], row["next"] = key, m[:, DEPTH]
                     sig.append(row.tobytes())
+                    sketch.append((m & np.uint64(255)).astype(np.uint8).tobytes() + key.astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()),
                      pa.array(node, pa.binary()), pa.array(sig, pa.binary()), pa.array(sketch, pa.binary())],
@@ -323,7 +323,10 @@ def lookalikes(region: DataFrame, labels: DataFrame, classes: DataFrame, similar
     often as it asks for.
 
     Regions whose neighbours were all compared are done, and members of one component never
-    meet.  The largest component of a region is its core; core and rest are dealt into blocks
+    meet.  Two nodes are compared in the first tree whose region they share: a linked pair of two
+    components has only open regions, so none is lost.  (Regions pass as equal if four bytes of
+    their hashes and the bytes of their minhashes are: wrongly with a chance under 1e-10 a pair.)
+    The largest component of a region is its core; core and rest are dealt into blocks
     by a hash, and a task compares a block of the core with a block of the rest, or two blocks
     of the rest, so neither a region nor a component is gathered in one task."""
     name = "lsh-forest"
@@ -358,7 +361,7 @@ def lookalikes(region: DataFrame, labels: DataFrame, classes: DataFrame, similar
     group = ["tree", "key", "kind", "x", "y"]
     placed = placed.select("tree", "key", "spot.kind", "spot.x", "spot.y", "spot.side", "node", "n", "label").join(
         sketches, "node").select(*group, "side", "node", "n", "label", "sketch")
-    least = least_agreement(similarity)
+    least, count = least_agreement(similarity), TREES * (DEPTH + EXTRA)
 
     def compared(t: pa.Table) -> list[tuple[bytes, bytes]]:
         """What looks alike in one group: side 0 with side 1, and side 1 with itself where its
@@ -367,6 +370,8 @@ def lookalikes(region: DataFrame, labels: DataFrame, classes: DataFrame, similar
         names, label = np.unique(names, return_inverse=True)
         n, side = t["n"].to_numpy(), t["side"].to_numpy()
         sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(len(node), -1)
+        sketch, key = sketch[:, :count], sketch[:, count:].copy().view("<u4")
+        low, tree = sketch.reshape(len(node), TREES, -1)[:, :, :DEPTH], t["tree"][0].as_py()
         itself = t["kind"][0].as_py() == 0 and t["x"][0].as_py() == 0
         first, out = np.flatnonzero(side == 0), []
         for i in np.flatnonzero(side == 1):
@@ -374,6 +379,8 @@ def lookalikes(region: DataFrame, labels: DataFrame, classes: DataFrame, similar
             to = to[(label[to] != label[i]) & (100 * np.minimum(n[to], n[i]) >= similarity * np.maximum(n[to], n[i]))]
             if len(to):
                 alike = to[(sketch[to] == sketch[i]).sum(axis=1) >= least]
+                met = (key[alike, :tree] == key[i, :tree]) & (low[alike, :tree] == low[i, :tree]).all(axis=2)
+                alike = alike[~met.any(axis=1)]
                 out.extend((names[k], node[i]) for k in np.unique(label[alike]))
         return out
 
