@@ -17,6 +17,7 @@ from __future__ import annotations
 import contextlib
 import datetime as _dt
 import importlib.util
+import json
 import uuid
 from collections.abc import Callable
 
@@ -31,6 +32,7 @@ from tradelens.operators import aggregates as AG
 from tradelens.operators import legs as LG
 from tradelens.plans import incremental as IN
 from tradelens.plans import price_gap as PG
+from tradelens.sources import day_documents as DD
 from tradelens.sources import fixtures as FX
 from tradelens.sources import prices as PR
 from tradelens.sources import trades as TR
@@ -389,6 +391,49 @@ def q_stream_quarantine(spark, sf_dir):
     return _quarantined(p.read(), bad.read())
 
 
+def _price_days(spark, sf_dir, name):
+    """The price points landed as documents by coin and day; the format that reads them, its options."""
+    points = FX.price_points_from_events(_events(spark, sf_dir))
+    root = _session.scratch_path(spark, name)
+    day = F.date_from_unix_date(F.floor(F.col("doc_hour") / 24).cast("int")).alias("day")
+    DD.land_by_day(PR.price_docs_from_prices(points).select(F.col("coin").alias("key"), day, "doc"), root)
+    lo, hi = points.agg(F.min("ms"), F.max("ms")).first()
+    first, last = [(_dt.date(1970, 1, 1) + _dt.timedelta(days=(ms or 0) // 86_400_000)) for ms in (lo, hi)]
+    source = DD.register(spark, DD.FolderTransport(root), f"days_{uuid.uuid4().hex[:12]}")
+    return source, {"keys": json.dumps(sorted(FX.PRICE_EVENT_COINS.values())), "first": first.isoformat()}, last
+
+
+def q_sourced_price_docs(spark, sf_dir):
+    """All price documents through the data source, a partition per coin and week."""
+    source, options, last = _price_days(spark, sf_dir, "price-days")
+    docs = spark.read.format(source).options(**options, end=(last + _dt.timedelta(days=1)).isoformat(), days="7").load()
+    return PR.loadable_prices(PR.checked_price_docs(docs.withColumnRenamed("key", "coin")))
+
+
+def q_sourced_price_stream(spark, sf_dir):
+    """The same as a stream in two runs of one checkpoint: the complete days up to the middle, then the others."""
+    source, options, last = _price_days(spark, sf_dir, "price-day-stream")
+    base = _session.scratch_path(spark, "price-day-tables")
+    p, bad = JB.prices_table(spark, path=f"{base}/prices"), JB.rejected_table(spark, path=f"{base}/rejected")
+    first = _dt.date.fromisoformat(options["first"])
+    for more in ({"end": (first + (last - first) / 2).isoformat()}, {}):
+        ST.stream_day_documents(spark, source, options | more, p, bad, f"{base}/checkpoint").awaitTermination()
+    return p.read().drop("id")
+
+
+def q_sourced_trades(spark, sf_dir):
+    """All trades as documents by direction and day, read back through the data source."""
+    trades, _ = _tables(spark, sf_dir)
+    root = _session.scratch_path(spark, "trade-days")
+    DD.land_by_day(TR.trade_docs(trades), root, "direction")
+    lo, hi = trades.agg(F.min("block_date"), F.max("block_date")).first()
+    keys = json.dumps(["USDC-WETH", "WETH-USDC"])
+    source = DD.register(spark, DD.FolderTransport(root, "direction"), f"days_{uuid.uuid4().hex[:12]}")
+    first, last = lo or _dt.date(1970, 1, 1), hi or _dt.date(1970, 1, 1)
+    docs = spark.read.format(source).options(keys=keys, first=first.isoformat(), end=(last + _dt.timedelta(days=1)).isoformat(), days="7")
+    return TR.parse_trade_docs(docs.load())
+
+
 def q_staged_trades(spark, sf_dir):
     """A source frame with raw column names -> cleaned names, staging types, id."""
     events = _events(spark, sf_dir)
@@ -663,6 +708,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "landed_price_docs": q_landed_price_docs,
     "quarantined_price_docs": q_quarantined_price_docs,
     "stream_quarantine": q_stream_quarantine,
+    "sourced_price_docs": q_sourced_price_docs,
+    "sourced_price_stream": q_sourced_price_stream,
+    "sourced_trades": q_sourced_trades,
     "staged_types": q_staged_types,
 }
 
@@ -916,6 +964,11 @@ SELECT coin, 'loaded' AS outcome, count(*) AS n
 FROM (SELECT DISTINCT {_PRICE_ROW_COLS} FROM coin_prices) GROUP BY coin
 UNION ALL
 SELECT coin, unnest(['{PR.NOT_JSON}', '{PR.NO_PRICES}', '{PR.UNEQUAL}']), n FROM hours"""
+_ORACLE["sourced_price_docs"] = _ORACLE["price_docs_exploded"]
+_ORACLE["sourced_price_stream"] = f"""WITH {_FIXTURE_CTES}
+SELECT DISTINCT {_PRICE_ROW_COLS} FROM coin_prices
+WHERE substr(date_time, 1, 10) < (SELECT max(substr(date_time, 1, 10)) FROM coin_prices)"""
+_ORACLE["sourced_trades"] = f"WITH {_FIXTURE_CTES}\nSELECT {_TRADE_COLS} FROM trades"
 _BACKFILLED = f"""WITH {_FIXTURE_CTES},
 staged_trades AS (
   SELECT DISTINCT {_TRADE_COLS} FROM trades

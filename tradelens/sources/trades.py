@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import days_before, month_start
+from ..schemas import TRADES, without_id
+
+# Fixed value: how trade documents write times.
+_DOC_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def _as_of(as_of) -> F.Column:
@@ -41,3 +45,14 @@ def trades_prev_day(trades: DataFrame, as_of, buy_token: str = "WETH",
     d = _as_of(as_of)
     return trades.where((F.col("buy_token") == buy_token) & (F.col("sell_token") == sell_token)
                         & (F.col("block_date") == days_before(d, 1)))
+
+
+def trade_docs(trades: DataFrame) -> DataFrame:
+    """Trades as documents ``(key, day, doc)``: the direction ``<sell>-<buy>``, the date, a JSON row."""
+    row = F.to_json(F.struct(*without_id(TRADES).fieldNames()), _DOC_TIMES)
+    return trades.select(F.concat_ws("-", "sell_token", "buy_token").alias("key"), F.col("block_date").alias("day"), row.alias("doc"))
+
+
+def parse_trade_docs(docs: DataFrame) -> DataFrame:
+    """Documents (``doc``) -> trades; a document that is no JSON row of the layout fails the read."""
+    return docs.select(F.from_json("doc", without_id(TRADES), _DOC_TIMES | {"mode": "FAILFAST"}).alias("t")).select("t.*")

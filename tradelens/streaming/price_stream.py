@@ -11,6 +11,7 @@ from __future__ import annotations
 import dataclasses
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.identity import with_row_id
@@ -58,7 +59,20 @@ def stream_price_docs(spark: SparkSession, landing: str, table: StagingTable, ch
         src = spark.readStream.schema(PRICE_DOC_DDL + ", coin string").option("multiLine", str(multi_line).lower())
         rows = explode_price_docs(src.options(**options).json(landing)).select(*PRICE_ROW_COLUMNS, "coin")
         staged = with_row_id(rows.select(*PRICE_COLUMNS))
+    return _started(staged, table, checkpoint, available_now, rejected, on_batch)
 
+
+def stream_day_documents(spark: SparkSession, source: str, options: dict, table: StagingTable, rejected: StagingTable,
+                         checkpoint: str, available_now: bool = True, on_batch=None) -> StreamingQuery:
+    """Start the load of a ``sources.day_documents`` format, by the rules of ``stream_price_docs``
+    with ``rejected``: the days complete now, or each day as it becomes complete."""
+    docs = spark.readStream.format(source).options(**options).load()
+    staged = docs.select(F.col("key").alias("coin"), "file", "doc")
+    return _started(staged, table, checkpoint, available_now, rejected, on_batch)
+
+
+def _started(staged: DataFrame, table: StagingTable, checkpoint: str, available_now: bool, rejected: StagingTable | None,
+             on_batch) -> StreamingQuery:
     def upsert(batch: DataFrame, epoch_id: int) -> None:
         # The batch runs in a cloned session: read the target through it, so the anti-join
         # sees the files appended by earlier batches.  The load keeps the parsed batch in the
