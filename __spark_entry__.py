@@ -417,7 +417,7 @@ def q_sourced_price_stream(spark, sf_dir):
     p, bad = JB.prices_table(spark, path=f"{base}/prices"), JB.rejected_table(spark, path=f"{base}/rejected")
     first = _dt.date.fromisoformat(options["first"])
     for more in ({"end": (first + (last - first) / 2).isoformat()}, {}):
-        ST.stream_day_documents(spark, source, options | more, p, bad, f"{base}/checkpoint").awaitTermination()
+        ST.stream_day_documents(spark, source, options | {"days": "7"} | more, p, bad, f"{base}/checkpoint").awaitTermination()
     return p.read().drop("id")
 
 
