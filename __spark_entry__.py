@@ -126,7 +126,7 @@ def q_headline_totals(spark, sf_dir):
 
 def _gap_table(spark, sf_dir):
     trades, prices = _tables(spark, sf_dir)
-    return PG.price_gap_daily(trades, prices)
+    return PG.price_gap_daily(trades, prices, on_zero=ON_ZERO)
 
 
 def q_token_list(spark, sf_dir):
