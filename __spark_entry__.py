@@ -138,7 +138,7 @@ def q_token_series(spark, sf_dir):
 
 
 def q_price_gap_one_token(spark, sf_dir):
-    gap = PG.price_gap_of_token(*_tables(spark, sf_dir), "WETH")
+    gap = PG.price_gap_of_token(*_tables(spark, sf_dir), "WETH", on_zero=ON_ZERO)
     return _r(AG.series_for_token(gap, "WETH"), {"avg_price_difference": 6})
 
 
