@@ -85,7 +85,7 @@ def _legs_query(side):
     """One side's legs with their prices, per (hour key, token), from weighted pairs."""
     def run(spark, sf_dir):
         trades, prices = _tables(spark, sf_dir)
-        pairs = LG.weighted_pairs(LG.side_legs(trades, side), prices)
+        pairs = LG.weighted_pairs(LG.side_legs(trades, side), prices, on_zero=ON_ZERO)
         out = PG.leg_summary(pairs, weight="n")
         return _r(out, {"sum_amount": 6, "avg_trade_price": 6, "avg_price_difference": 6,
                         "sum_external_value_usd": 6, "sum_usd_trade_value": 6})

@@ -80,7 +80,7 @@ def legs_union_all(trades: DataFrame, mode: str = "12h", fields: tuple[str, ...]
 
 
 def leg_price_pairs(legs: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter", mapping=None,
-                    broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                    broadcast_max_rows: int = BROADCAST_MAX_ROWS, on_zero: str = "raise") -> DataFrame:
     """Every (leg, price row) pair of one (slot, token), with its gap and market value.
 
     The row form of the price join, many-to-many: its size is legs times prices.  The
@@ -88,12 +88,12 @@ def leg_price_pairs(legs: DataFrame, prices: DataFrame, mode: str = "12h", gap:
     """
     side = checked_broadcast(mapped_prices(prices, mode, mapping), broadcast_max_rows)
     return legs.join(side, ["slot", "token"]).withColumns({
-        "price_difference": price_gap("trade_price", "external_price", gap),
+        "price_difference": price_gap("trade_price", "external_price", gap, on_zero),
         "external_value_usd": market_value("amount", "external_price")})
 
 
 def weighted_pairs(legs: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
-                   mapping=None, broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                   mapping=None, broadcast_max_rows: int = BROADCAST_MAX_ROWS, on_zero: str = "raise") -> DataFrame:
     """``leg_price_pairs`` as a multiset: each row stands for ``n`` equal pairs.
 
     Legs are joined to distinct (slot, token, price) with their multiplicity, so a price
@@ -102,7 +102,7 @@ def weighted_pairs(legs: DataFrame, prices: DataFrame, mode: str = "12h", gap: s
     side = checked_broadcast(weighted_prices(prices, mode, mapping), broadcast_max_rows,
                              mapped_prices(prices, mode, mapping))
     return legs.join(side, ["slot", "token"]).withColumns({
-        "price_difference": price_gap("trade_price", "external_price", gap),
+        "price_difference": price_gap("trade_price", "external_price", gap, on_zero),
         "external_value_usd": market_value("amount", "external_price")})
 
 
