@@ -297,7 +297,7 @@ def _published(spark, sf_dir, view):
     tag = f"tl_{uuid.uuid4().hex[:8]}_"
     trades.createOrReplaceTempView(f"{tag}trades")
     prices.createOrReplaceTempView(f"{tag}coin_prices")
-    out = VW.publish_views(spark, f"{tag}trades", f"{tag}coin_prices", temporary=True, prefix=tag)
+    out = VW.publish_views(spark, f"{tag}trades", f"{tag}coin_prices", temporary=True, prefix=tag, on_zero=ON_ZERO)
     try:
         return _kept(spark, out[view])
     finally:
