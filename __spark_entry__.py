@@ -287,7 +287,7 @@ def q_published_views_read(spark, sf_dir):
         for _ in range(2):
             LD.insert_if_absent(spark, with_row_id(trades.select(*JB.TRADE_COLUMNS)), t)
             LD.insert_if_absent(spark, with_row_id(prices.select(*JB.PRICE_COLUMNS)), p, range_columns=("date_time",))
-        VW.publish_views(spark, t.name, p.name, target=warehouse)
+        VW.publish_views(spark, t.name, p.name, target=warehouse, on_zero=ON_ZERO)
         return _kept(spark, _r(spark.table(f"{warehouse}.price_gap_daily"), {"avg_price_difference": 6}))
 
 
