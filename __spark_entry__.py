@@ -495,7 +495,7 @@ def q_backfill_price_gap(spark, sf_dir):
     t = JB.trades_table(spark, path=f"{base}/trades")
     p = JB.prices_table(spark, path=f"{base}/prices")
     JB.backfill(spark, trades, prices, t, p, AS_OF)
-    return _r(PG.price_gap_daily(t.read(), p.read()), {"avg_price_difference": 6})
+    return _r(PG.price_gap_daily(t.read(), p.read(), on_zero=ON_ZERO), {"avg_price_difference": 6})
 
 
 #: Days of a window of the resumed backfill, and the day on which its first run dies.
