@@ -516,7 +516,8 @@ def _resumed(spark, sf_dir):
         ledger = LDG.ledger_table(spark, name=f"{staging}.loads")
         for source in (dying, prices):
             with contextlib.suppress(PySparkException) if source is dying else contextlib.nullcontext():
-                JB.resumable_backfill(spark, trades, source, t, p, ledger, AS_OF, window_days=WINDOW_DAYS, views_db=warehouse)
+                JB.resumable_backfill(spark, trades, source, t, p, ledger, AS_OF, window_days=WINDOW_DAYS,
+                                      views_db=warehouse, on_zero=ON_ZERO)
         yield staging, warehouse, t, p, ledger
 
 

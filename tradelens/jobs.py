@@ -120,25 +120,26 @@ def daily_load(spark: SparkSession, trade_source: DataFrame, price_source: DataF
                trades: StagingTable, prices: StagingTable, as_of,
                coins=DEFAULT_COINS, views_db: str | None = None,
                directions: list[tuple[str, str]] | None = None,
-               results: tuple[str, str] | None = None) -> list[LoadReport]:
+               results: tuple[str, str] | None = None, on_zero: str = "raise") -> list[LoadReport]:
     """The scheduled daily task: previous-day trades, then the coins' previous-day prices
     (all coins in one batch: one scan, one anti-join, one append).  With ``views_db``
     the views are published (catalog tables only); with ``results=(summary_path, gap_path)``
-    the results of every day the batches touch are materialized."""
+    the results of every day the batches touch are materialized.  ``on_zero`` is what both do
+    where prices sum to zero, as in ``price_gap_daily``."""
     _check_views(trades, prices, views_db)
 
     def load():
         return [load_trades(spark, trade_source, trades, as_of, directions=directions),
                 load_prices(spark, price_source, prices, list(coins), as_of)]
 
-    reports = load_and_refresh(spark, trades, prices, results, load) if results is not None else load()
+    reports = load_and_refresh(spark, trades, prices, results, load, on_zero) if results is not None else load()
     if views_db is not None:
-        publish_views(spark, trades.name, prices.name, target=views_db)
+        publish_views(spark, trades.name, prices.name, target=views_db, on_zero=on_zero)
     return reports
 
 
 def load_and_refresh(spark: SparkSession, trades: StagingTable, prices: StagingTable, results: tuple[str, str],
-                     load) -> list[LoadReport]:
+                     load, on_zero: str = "raise") -> list[LoadReport]:
     """Run ``load()`` and refresh the materialized results of every day its batches touch,
     whichever days those are (late prices, trades whose time lies off their date).
 
@@ -148,7 +149,7 @@ def load_and_refresh(spark: SparkSession, trades: StagingTable, prices: StagingT
     reports = load()
     days = {d for r in reports for d in r.days}
     if days and trades.exists() and prices.exists():
-        refresh_daily_results(spark, trades.read(), prices.read(), days, *results)
+        refresh_daily_results(spark, trades.read(), prices.read(), days, *results, on_zero=on_zero)
     return reports
 
 
@@ -161,7 +162,7 @@ def backfill(spark: SparkSession, trade_source: DataFrame, price_source: DataFra
              trades: StagingTable, prices: StagingTable, as_of, start=None,
              coins=DEFAULT_COINS, views_db: str | None = None,
              directions: list[tuple[str, str]] | None = None,
-             results: tuple[str, str] | None = None) -> list[LoadReport]:
+             results: tuple[str, str] | None = None, on_zero: str = "raise") -> list[LoadReport]:
     """Initial load: both coins' prices from ``start``, month-to-date trades, then the views.
 
     Both tables are created with their declared schema first, so the views can be
@@ -175,9 +176,9 @@ def backfill(spark: SparkSession, trade_source: DataFrame, price_source: DataFra
         return [load_prices(spark, price_source, prices, list(coins), as_of, initial=True, start=start),
                 load_trades(spark, trade_source, trades, as_of, initial=True, directions=directions)]
 
-    reports = load_and_refresh(spark, trades, prices, results, load) if results is not None else load()
+    reports = load_and_refresh(spark, trades, prices, results, load, on_zero) if results is not None else load()
     if views_db is not None:
-        publish_views(spark, trades.name, prices.name, target=views_db)
+        publish_views(spark, trades.name, prices.name, target=views_db, on_zero=on_zero)
     return reports
 
 
@@ -191,7 +192,7 @@ def resumable_backfill(spark: SparkSession, trade_source: DataFrame, price_sourc
                        trades: StagingTable, prices: StagingTable, ledger: StagingTable, as_of, start=None,
                        window_days: int = 1, coins=DEFAULT_COINS, views_db: str | None = None,
                        directions: list[tuple[str, str]] | None = None,
-                       results: tuple[str, str] | None = None) -> list[LoadReport]:
+                       results: tuple[str, str] | None = None, on_zero: str = "raise") -> list[LoadReport]:
     """``backfill`` in windows of ``window_days`` days from ``start`` (the month's first day) to the
     day before ``as_of``, each written to the ledger (``sinks.ledger``) when it is done.
 
@@ -216,19 +217,19 @@ def resumable_backfill(spark: SparkSession, trade_source: DataFrame, price_sourc
             return [load_prices(spark, price_source, prices, list(coins), end, initial=True, start=begin),
                     load_trades(spark, trade_source, trades, end, initial=True, directions=directions, start=begin)]
 
-        loaded = load_and_refresh(spark, trades, prices, results, load) if results is not None else load()
+        loaded = load_and_refresh(spark, trades, prices, results, load, on_zero) if results is not None else load()
         of_prices, of_trades = loaded
         write_entry(ledger, job, window, attempt, DONE, (of_trades.total_rows, of_trades.inserted_rows,
                                                          of_prices.total_rows, of_prices.inserted_rows))
         out += loaded
     if views_db is not None:
-        publish_views(spark, trades.name, prices.name, target=views_db)
+        publish_views(spark, trades.name, prices.name, target=views_db, on_zero=on_zero)
     return out
 
 
 def refresh_daily_results(spark: SparkSession, trades: DataFrame, prices: DataFrame, days,
                           summary_path: str, gap_path: str, mode: str = "12h",
-                          gap: str = "quarter") -> None:
+                          gap: str = "quarter", on_zero: str = "raise") -> None:
     """Materialize the two daily results for ``days`` only, replacing those days.
 
     Both results are per day: a day's summary reads the trades of that ``block_date`` (None:
@@ -244,7 +245,7 @@ def refresh_daily_results(spark: SparkSession, trades: DataFrame, prices: DataFr
         of_days = of_days | F.col("block_date").isNull()
     replace_days(spark, daily_trade_summary(trades.where(of_days)), summary_path, "block_date", days)
     slots = price_gap_daily(trades.where(in_days("block_time", dated)), prices.where(in_days("date_time", dated, text=True)),
-                            mode=mode, gap=gap)
+                            mode=mode, gap=gap, on_zero=on_zero)
     replace_days(spark, slots, gap_path, "date", dated)
 
 
