@@ -590,7 +590,7 @@ def _materialized(spark, sf_dir):
             return [LD.insert_if_absent(spark, trades, t, day_columns=days),
                     LD.insert_if_absent(spark, with_row_id(part.select(*JB.PRICE_COLUMNS)), p,
                                         range_columns=("date_time",), day_columns=(time,))]
-        JB.load_and_refresh(spark, t, p, (f"{base}/summary", f"{base}/gap"), load)
+        JB.load_and_refresh(spark, t, p, (f"{base}/summary", f"{base}/gap"), load, ON_ZERO)
     return JB.read_daily_results(spark, f"{base}/summary", f"{base}/gap")
 
 
