@@ -633,7 +633,7 @@ def _incremental(spark, sf_dir):
     trades = with_row_id(_drifted(trades).select(*JB.TRADE_COLUMNS))
     prices = with_row_id(prices.select(*JB.PRICE_COLUMNS))
     late_price = F.hour(F.col("date_time").cast("timestamp_ntz")) >= 18
-    results = IN.IncrementalResults(spark, f"{base}/states", t, p)
+    results = IN.IncrementalResults(spark, f"{base}/states", t, p, on_zero=ON_ZERO)
     results.load(trades.where(F.minute("block_time") < 40), prices.where(~late_price))
     results.load(None, prices.where(late_price))
     results.load(trades)

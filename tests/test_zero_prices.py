@@ -32,7 +32,10 @@ def _rows(rows):
     return sorted((tuple("nan" if isinstance(v, float) and math.isnan(v) else v for v in r) for r in rows), key=str)
 
 
-@pytest.mark.parametrize("name", ["price_gap_daily", "price_gap_daily_union", "price_gap_daily_24h", "price_gap_daily_symmetric", "sell_legs", "buy_legs", "token_series", "price_gap_one_token", "published_price_gap_view", "published_views_read", "backfill_price_gap", "resumed_backfill_gap", "materialized_price_gap", "materialized_summary"])
+@pytest.mark.parametrize("name", [
+    "price_gap_daily", "price_gap_daily_union", "price_gap_daily_24h", "price_gap_daily_symmetric", "sell_legs", "buy_legs",
+    "token_series", "price_gap_one_token", "published_price_gap_view", "published_views_read", "backfill_price_gap",
+    "resumed_backfill_gap", "materialized_price_gap", "materialized_summary", "incremental_price_gap", "incremental_summary"])
 def test_zero_prices_give_the_rows_of_the_sql(spark, odd_dir, name):
     df = E.queries()[name](spark, odd_dir)
     with duckdb.connect() as con:

@@ -55,14 +55,14 @@ _STATES = {
 class IncrementalResults:
     """The daily summary and price gap over two staging tables, kept up to date by ``load``.
 
-    ``root`` is a folder on shared storage.  ``mode``, ``gap`` and ``mapping`` are those of
-    ``price_gap_daily`` and stay fixed for a root.
+    ``root`` is a folder on shared storage.  ``mode``, ``gap``, ``mapping`` and ``on_zero`` are
+    those of ``price_gap_daily`` and stay fixed for a root.
     """
 
     def __init__(self, spark: SparkSession, root: str, trades: StagingTable, prices: StagingTable, mode: str = "12h",
-                 gap: str = "quarter", mapping=None):
+                 gap: str = "quarter", mapping=None, on_zero: str = "raise"):
         self.spark, self.root, self.trades, self.prices = spark, root.rstrip("/"), trades, prices
-        self.mode, self.gap_formula, self.mapping = mode, gap, mapping
+        self.mode, self.gap_formula, self.mapping, self.on_zero = mode, gap, mapping, on_zero
 
     # ----------------------------------------------------------------- states
 
@@ -107,7 +107,7 @@ class IncrementalResults:
         parts = [spread_join(legs, every, BROADCAST_MAX_ROWS, every),
                  spread_join(old_legs.select("slot", "token", "trade_price", "m"), quotes, BROADCAST_MAX_ROWS, quotes)]
         weight = F.col("m") * F.col("n")
-        diff = price_gap("trade_price", "external_price", self.gap_formula)
+        diff = price_gap("trade_price", "external_price", self.gap_formula, self.on_zero)
         pairs = parts[0].select("slot", "token", "trade_price", "external_price", "m", "n").unionByName(
             parts[1].select("slot", "token", "trade_price", "external_price", "m", "n"))
         return self.with_day(pairs).groupBy("day", "token").agg(
