@@ -82,11 +82,11 @@ def q_trade_price_left_join(spark, sf_dir):
 
 
 def _legs_query(side):
-    """One side's legs with their prices, per (hour key, token), from weighted pairs."""
+    """One side's legs with their prices, per (hour key, token), from weighted pairs of counted legs."""
     def run(spark, sf_dir):
         trades, prices = _tables(spark, sf_dir)
-        pairs = LG.weighted_pairs(LG.side_legs(trades, side), prices, on_zero=ON_ZERO)
-        out = PG.leg_summary(pairs, weight="n")
+        pairs = LG.weighted_pairs(LG.counted_legs(LG.side_legs(trades, side)), prices, on_zero=ON_ZERO)
+        out = PG.leg_summary(pairs, weight="n", legs="m")
         return _r(out, {"sum_amount": 6, "avg_trade_price": 6, "avg_price_difference": 6,
                         "sum_external_value_usd": 6, "sum_usd_trade_value": 6})
     return run

@@ -79,6 +79,13 @@ def legs_union_all(trades: DataFrame, mode: str = "12h", fields: tuple[str, ...]
     return side_legs(trades, "sell", mode, fields).unionByName(side_legs(trades, "buy", mode, fields))
 
 
+def counted_legs(legs: DataFrame) -> DataFrame:
+    """Distinct (slot, token, trade_price) of legs with all ``LEG_FIELDS``: the number ``m`` of
+    legs, the sums of their amounts and values."""
+    return legs.groupBy("slot", "token", "trade_price").agg(
+        F.count(F.lit(1)).alias("m"), F.sum("amount").alias("amount"), F.sum("usd_trade_value").alias("usd_trade_value"))
+
+
 def leg_price_pairs(legs: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter", mapping=None,
                     broadcast_max_rows: int = BROADCAST_MAX_ROWS, on_zero: str = "raise") -> DataFrame:
     """Every (leg, price row) pair of one (slot, token), with its gap and market value.
@@ -97,7 +104,8 @@ def weighted_pairs(legs: DataFrame, prices: DataFrame, mode: str = "12h", gap: s
     """``leg_price_pairs`` as a multiset: each row stands for ``n`` equal pairs.
 
     Legs are joined to distinct (slot, token, price) with their multiplicity, so a price
-    repeated within an hour key is one joined row of weight ``n``.
+    repeated within an hour key is one joined row of weight ``n``.  ``counted_legs`` do the
+    same for the legs: a row then stands for ``m * n`` pairs.
     """
     side = checked_broadcast(weighted_prices(prices, mode, mapping), broadcast_max_rows,
                              mapped_prices(prices, mode, mapping))

@@ -112,18 +112,20 @@ def left_join_counts(trades: DataFrame, prices: DataFrame, mode: str = "12h",
     return counted.select(_day_text("day"), "joined_rows", "unmatched_trades", "mapped_rows", "leg_rows")
 
 
-def leg_summary(pairs: DataFrame, mode: str = "12h", weight: str | None = None) -> DataFrame:
-    """(leg, price) pairs aggregated per (hour key, token); ``weight`` names a multiplicity.
+def leg_summary(pairs: DataFrame, mode: str = "12h", weight: str | None = None, legs: str | None = None) -> DataFrame:
+    """(leg, price) pairs aggregated per (hour key, token); ``weight`` names the multiplicity of
+    the price, ``legs`` that of the leg, whose amounts are then sums (``legs.counted_legs``).
 
     Groups on the integer slot and renders the hour-key text on the aggregated rows.
     """
     n = F.col(weight) if weight else F.lit(1).cast("long")
+    rows = F.col(legs) * n if legs else n
 
     def mean(c: str):
-        return F.sum(F.col(c) * n) / F.sum(F.when(F.col(c).isNotNull(), n))
+        return F.sum(F.col(c) * rows) / F.sum(F.when(F.col(c).isNotNull(), rows))
 
     agg = pairs.groupBy("slot", "token").agg(
-        F.sum(n).alias("n_rows"),
+        F.sum(rows).alias("n_rows"),
         F.sum(F.col("amount") * n).alias("sum_amount"),
         mean("trade_price").alias("avg_trade_price"),
         mean("price_difference").alias("avg_price_difference"),
