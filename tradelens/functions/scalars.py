@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "COIN_TOKENS", "HOUR_KEY_FORMATS", "as_col", "to_ts", "hour_key", "hour_slot",
     "slot_day", "hour_text_from_slot", "day_key", "coin_to_token",
-    "price_gap", "market_value", "month_start", "days_before", "month_start_text",
+    "price_gap", "price_ratio", "gap_of_ratio", "market_value", "month_start", "days_before", "month_start_text",
     "to_unix_seconds", "unix_ms_to_text", "round_half_even", "row_json", "element",
     "text_to_date", "wall_clock_seconds", "wall_clock_millis", "text_from_epoch_seconds",
 ]
@@ -118,6 +118,26 @@ def price_gap(trade_price, external_price, mode: str = "quarter", on_zero: str =
     return F.when(zero, (p - e) * F.lit(float("inf"))).otherwise(gap) if on_zero == "ieee" else gap
 
 
+def price_ratio(p, e, on_zero: str, real: Column) -> Column:
+    """``(p - e) / (p + e)`` of two numbers that are not missing; ``gap_of_ratio`` makes it the gap.
+
+    Where ``p + e`` is zero it is as ``on_zero`` says of ``price_gap``, but 0 for 'null' and for a
+    pair that is not ``real``.  Kept short: many of them share one generated method."""
+    p, e = as_col(p), as_col(e)
+    at_zero = {"raise": F.raise_error(F.lit("trade price and market price sum to zero")).cast("double"),
+               "null": F.lit(0.0), "ieee": (p - e) * F.lit(float("inf"))}
+    if on_zero not in at_zero:
+        raise ValueError("on_zero must be 'raise', 'null' or 'ieee'")
+    return F.coalesce(F.try_divide(p - e, p + e), F.when(real, at_zero[on_zero]).otherwise(F.lit(0.0)))
+
+
+def gap_of_ratio(ratio, mode: str = "quarter") -> Column:
+    """The gap of a ``price_ratio`` (or the sum of the gaps of a sum of them)."""
+    if mode not in ("quarter", "symmetric_pct"):
+        raise ValueError("gap mode must be 'quarter' or 'symmetric_pct'")
+    return as_col(ratio) / 2 * 100 if mode == "quarter" else as_col(ratio) * 2 * 100
+
+
 def market_value(units, external_price) -> Column:
     return as_col(units) * as_col(external_price)
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import coin_to_token, hour_slot, market_value, price_gap
-from .joins import BROADCAST_MAX_ROWS, checked_broadcast
+from .blocks import in_blocks
+from .joins import BROADCAST_MAX_ROWS, checked_broadcast, within_bound
 
 
 def with_token(prices: DataFrame, mapping=None) -> DataFrame:
@@ -87,18 +88,34 @@ def counted_legs(legs: DataFrame) -> DataFrame:
 
 
 def leg_price_pairs(legs: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter", mapping=None,
-                    broadcast_max_rows: int = BROADCAST_MAX_ROWS, on_zero: str = "raise") -> DataFrame:
+                    broadcast_max_rows: int = BROADCAST_MAX_ROWS, on_zero: str = "raise", packed: bool = False) -> DataFrame:
     """Every (leg, price row) pair of one (slot, token), with its gap and market value.
 
     The row form of the price join, many-to-many: its size is legs times prices.  The
     aggregates below and ``plans.price_gap`` give the same sums without the pairs.
+
+    ``packed``: the same pairs, a block of legs by a block of price rows to a row: their gaps are
+    summed by ``blocks.gap_sum`` and counted by ``blocks.pair_count``, and ``external_value_usd`` is
+    the sum of their market values, if the legs carry an amount.
     """
+    if packed:
+        return _packed_pairs(legs, mapped_prices(prices, mode, mapping), broadcast_max_rows)
     side = checked_broadcast(mapped_prices(prices, mode, mapping), broadcast_max_rows)
     return legs.join(side, ["slot", "token"]).withColumns({
         "price_difference": price_gap("trade_price", "external_price", gap, on_zero),
         "external_value_usd": market_value("amount", "external_price")})
 
 
+def _packed_pairs(legs: DataFrame, side: DataFrame, broadcast_max_rows: int) -> DataFrame:
+    one = F.lit(1).cast("long")
+    amounts = {"amount": F.sum("amount")} if "amount" in legs.columns else {}
+    left = in_blocks(legs.withColumn("m", one), "trade_price", "m", **amounts).drop("salt")
+    right = in_blocks(side.withColumn("n", one), "external_price", "n", price_sum=F.sum("external_price")).drop("salt")
+    right = F.broadcast(right) if within_bound(side, broadcast_max_rows) else right.hint("merge")
+    pairs = left.join(right, ["slot", "token"])
+    return pairs.withColumn("external_value_usd", market_value("amount", "price_sum")) if amounts else pairs
+
+
 def weighted_pairs(legs: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
                    mapping=None, broadcast_max_rows: int = BROADCAST_MAX_ROWS, on_zero: str = "raise") -> DataFrame:
     """``leg_price_pairs`` as a multiset: each row stands for ``n`` equal pairs.

@@ -9,8 +9,10 @@ give the same rows:
   shuffled.  The price side is broadcast only under its measured bound; beyond it, legs are
   spread over ``SALTS`` salts by their price and the price side is sent to each, so a hot slot
   is joined by many tasks whatever its bytes.
-* ``union``: sell legs UNION ALL buy legs, then the pairs row by row.  Kept as the reference
-  form and cross-check.
+* ``union``: sell legs UNION ALL buy legs, then the pairs row by row: equal legs and prices are
+  not counted together.  Kept as the reference form and cross-check.
+
+In both the joined rows are blocks of legs by blocks of prices (``operators.blocks``).
 """
 
 from __future__ import annotations
@@ -18,14 +20,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import COIN_TOKENS, hour_slot, hour_text_from_slot, price_gap, slot_day
+from ..functions.scalars import COIN_TOKENS, hour_slot, hour_text_from_slot, slot_day
+from ..operators.blocks import SALTS, gap_sum, in_blocks, pair_count
 from ..operators.joins import BROADCAST_MAX_ROWS, trade_price_left_join, within_bound
 from ..operators.legs import (keyed_prices, leg_price_pairs, legs_union_all, mapped_prices, trade_legs,
                               weighted_prices)
 
-# Tasks a hot (slot, token) is spread over beyond the broadcast bound.
-SALTS = 32
-
 
 def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap: str = "quarter",
                     plan: str = "single_join", mapping=None,
@@ -43,10 +43,9 @@ def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap
     if plan == "union":
         if dedupe_prices != "none":
             raise ValueError("the union plan has no dedupe_prices option")
-        pairs = leg_price_pairs(legs_union_all(trades, mode), prices, mode, gap, mapping, broadcast_max_rows, on_zero)
-        daily = pairs.groupBy(slot_day("slot", mode).alias("day"), "token").agg(
-            F.avg("price_difference").alias("avg_price_difference"))
-        return daily.select(_day_text("day"), "token", "avg_price_difference")
+        pairs = leg_price_pairs(legs_union_all(trades, mode), prices, mode, gap, mapping, broadcast_max_rows, on_zero,
+                                packed=True)
+        return _daily_average(pairs, mode, gap, on_zero)
     if plan != "single_join":
         raise ValueError("plan must be 'single_join' or 'union'")
     legs = trade_legs(trades, mode, fields=("token", "trade_price")).groupBy("slot", "token", "trade_price").agg(
@@ -56,18 +55,31 @@ def price_gap_daily(trades: DataFrame, prices: DataFrame, mode: str = "12h", gap
             F.avg("external_price").alias("external_price"), F.lit(1).cast("long").alias("n"))
     else:
         side = weighted_prices(prices, mode, mapping)
-    pairs = spread_join(legs, side, broadcast_max_rows, mapped_prices(prices, mode, mapping))
-    weight = F.col("m") * F.col("n")
-    diff = price_gap("trade_price", "external_price", gap, on_zero)
-    # Group on the integer day (cheap per joined row); format the date text only
-    # on the aggregated rows.  Like AVG, pairs whose gap is NULL (a NULL price)
-    # count in neither sum.
+    pairs = _spread_blocks(legs, side, broadcast_max_rows, mapped_prices(prices, mode, mapping))
+    return _daily_average(pairs, mode, gap, on_zero)
+
+
+def _daily_average(pairs: DataFrame, mode: str, gap: str, on_zero: str) -> DataFrame:
+    """The gaps of joined blocks, averaged per day and token.  Groups on the integer day (cheap per joined
+    row) and formats the date text only on the aggregated rows.  Like AVG, pairs whose gap is NULL
+    (a NULL price) count in neither sum."""
     daily = pairs.groupBy(slot_day("slot", mode).alias("day"), "token").agg(
-        F.sum(diff * weight).alias("gap_sum"),
-        F.sum(F.when(diff.isNotNull(), weight)).alias("pairs"))
+        F.sum(gap_sum(gap, on_zero)).alias("gap_sum"), F.sum(pair_count(on_zero)).alias("pairs"))
     return daily.select(_day_text("day"), "token", (F.col("gap_sum") / F.col("pairs")).alias("avg_price_difference"))
 
 
+def _spread_blocks(legs: DataFrame, side: DataFrame, broadcast_max_rows: int, bound_by: DataFrame) -> DataFrame:
+    """``spread_join`` of the blocks of legs and prices."""
+    left, right = in_blocks(legs, "trade_price", "m"), in_blocks(side, "external_price", "n").drop("salt")
+    if within_bound(side, broadcast_max_rows, bound_by):
+        return left.join(F.broadcast(right), ["slot", "token"])
+    return left.join(_salt_copies(right).hint("merge"), ["slot", "token", "salt"])
+
+
+def _salt_copies(side: DataFrame) -> DataFrame:
+    return side.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+
+
 def price_gap_of_token(trades: DataFrame, prices: DataFrame, token: str, mapping=None, **options) -> DataFrame:
     """``price_gap_daily`` of one token.  Trades without it on either side and prices of other
     coins are dropped in the scan, before the trades are unpivoted."""
@@ -84,8 +96,7 @@ def spread_join(legs: DataFrame, side: DataFrame, broadcast_max_rows: int, bound
     if within_bound(side, broadcast_max_rows, bound_by):
         return legs.join(F.broadcast(side), keys)
     salted = legs.withColumn("salt", F.pmod(F.xxhash64("trade_price"), F.lit(SALTS)))
-    copies = side.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-    return salted.join(copies.hint("merge"), [*keys, "salt"])
+    return salted.join(_salt_copies(side).hint("merge"), [*keys, "salt"])
 
 
 def _day_text(day_col: str):
