@@ -7,6 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from helpers import frames, price, trade
+from tradelens import jobs as JB
 from tradelens.operators import legs as LG
 from tradelens.operators.blocks import BLOCK, gap_sum, in_blocks, pair_count
 from tradelens.plans import price_gap as PG
@@ -85,3 +86,23 @@ def test_the_pairs_are_summed_outside_the_loop_of_the_join(spark, plan):
     trades, prices = _odd_hour(spark)
     text = PG.price_gap_daily(trades, prices, plan=plan)._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
     assert f"external_price_{BLOCK - 1}#" in text.split("Join Inner")[0] and "try_divide" not in text.split("Join Inner")[1]
+
+
+def test_a_refresh_forms_its_pairs_in_blocks(spark, tmp_path, monkeypatch):
+    """Both materialized results are written by one refresh; its gap joins blocks and is the
+    average of all pairs of the refreshed days, its summary that of their trades."""
+    trades, prices = _odd_hour(spark, zero=True)
+    plans, write = {}, JB.replace_days
+
+    def seen(session, df, path, column, days):
+        plans[column] = df._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+        write(session, df, path, column, days)
+
+    monkeypatch.setattr(JB, "replace_days", seen)
+    paths = (str(tmp_path / "summary"), str(tmp_path / "gap"))
+    JB.refresh_daily_results(spark, trades, prices, ["2024-01-05", "2024-01-07"], *paths, on_zero="ieee")
+    assert f"external_price_{BLOCK - 1}#" in plans["date"].split("Join Inner")[0] and "Join" not in plans["block_date"]
+    summary, gap = JB.read_daily_results(spark, *paths)
+    assert _rows(gap) == [r for r in _rows(_row_form(trades, prices, "12h", "quarter", "ieee")) if r[0] != "2024-01-06"]
+    got = {str(r.block_date): (r.no_txn, r.total_units_sold) for r in summary.collect()}
+    assert got == {"2024-01-05": (23, 23.0), "2024-01-07": (1, 1.0)}
